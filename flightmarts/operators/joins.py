@@ -1,0 +1,20 @@
+"""Join helpers: broadcast a lookup only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from flightmarts.config import MAX_BROADCAST_ROWS
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    The check reads at most ``max_rows + 1`` rows (a limit pushed into the
+    scan), so it stays cheap even when a "lookup" turns out to be large; in
+    that case the join falls back to a shuffled sort-merge join and AQE may
+    still pick a broadcast from runtime statistics.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
