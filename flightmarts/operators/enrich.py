@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from flightmarts.functions.flags import is_on_time, is_reportable_arrival
 from flightmarts.functions.months import month_start
-from flightmarts.operators.joins import bounded_broadcast
 from flightmarts.schema import FLIGHT_COLUMNS
 
 ENRICHED_EXTRA = [
@@ -38,13 +37,14 @@ def enrich(staged: DataFrame, carriers: DataFrame, cancellation_codes: DataFrame
     """Join the two lookups (left, broadcast) and derive the shared flags.
 
     Unknown carrier codes survive with their code as name; a NULL cancellation
-    code never matches. Both lookups are broadcast behind a row-count check, so
-    the per-leg work is a map-side hash probe with no shuffle of the legs.
+    code never matches. The built-in seeds carry a broadcast hint (their size
+    is fixed in code); file-backed lookups are broadcast by the planner only
+    under its size threshold, and ``operators.joins.bounded_broadcast`` adds
+    a row-count check for lookups of unknown size. Either way the per-leg work
+    is a map-side hash probe with no shuffle of the legs.
     """
-    carriers = bounded_broadcast(
-        carriers.select("carrier_code", F.col("carrier_name").alias("_carrier_name"))
-    )
-    codes = bounded_broadcast(cancellation_codes.select("cancellation_code", "cancellation_reason"))
+    carriers = carriers.select("carrier_code", F.col("carrier_name").alias("_carrier_name"))
+    codes = cancellation_codes.select("cancellation_code", "cancellation_reason")
     reportable = is_reportable_arrival()
     joined = staged.join(carriers, "carrier_code", "left").join(codes, "cancellation_code", "left")
     return joined.select(

@@ -8,7 +8,7 @@ pre-registered test tables. Exact rounding uses integer arithmetic:
 
 from __future__ import annotations
 
-from flightmarts.schema import CAUSE_COLUMNS, FLIGHT_COLUMNS, FLIGHT_KEY, PAYLOAD_COLUMNS
+from flightmarts.schema import CAUSE_COLUMNS, FLIGHT_COLUMNS, FLIGHT_KEY, PAYLOAD_COLUMNS, VARCHAR_LENGTHS
 
 SCALE = 100  # measures are summed as round(x * 100)
 
@@ -265,9 +265,198 @@ def over_marts(select: str) -> str:
     return f"{MARTS}\n{select}"
 
 
-ORACLES: dict[str, str] = {
-    "monthly_otp": over_marts("select * from fct_monthly_otp"),
-    "route_performance": over_marts("select * from fct_route_performance"),
-    "airport_congestion": over_marts("select * from fct_airport_congestion"),
-    "delay_causes": over_marts("select * from fct_delay_causes"),
-}
+
+def _months_sql(where: str = "") -> str:
+    return f"select year, month, cast(count(*) as bigint) as rows from clean {where} group by year, month"
+
+
+def _missing_sql(grain: list[str]) -> str:
+    g = ", ".join(grain)
+    eq = " and ".join(f"p.{c} = s.{c}" for c in grain)
+    return over_marts(f"""
+, present as (select distinct {g}, make_date(year, month, 1) as m from clean),
+bounds as (select min(m) as lo, max(m) as hi from present),
+entities as (select distinct {g} from present),
+spine as (
+    select {", ".join("e." + c for c in grain)},
+           cast(unnest(generate_series(b.lo, b.hi, interval 1 month)) as date) as m
+    from entities e, bounds b
+)
+select {", ".join("s." + c for c in grain)},
+       cast(year(s.m) as integer) as year, cast(month(s.m) as integer) as month
+from spine s
+where not exists (select 1 from present p where {eq} and p.m = s.m)""")
+
+
+_REL = {"raw_flights": "clean", "stg_flights": "stg"}
+
+
+def _check_sql(chk) -> str:
+    rel = _REL.get(chk.relation, chk.relation)
+    head = (f"select '{chk.relation}' as relation, '{chk.kind}' as check_name, "
+            f"'{chk.column_name}' as column_name, '{chk.severity}' as severity, ")
+    c = chk.columns[0]
+    if chk.kind == "not_null":
+        return head + f"cast(count_if({c} is null) as bigint) as failures from {rel}"
+    if chk.kind == "accepted_values":
+        vals = ", ".join(f"'{v}'" for v in chk.values)
+        return head + f"cast(count_if({c} not in ({vals})) as bigint) as failures from {rel}"
+    if chk.kind == "accepted_range":
+        conds = []
+        if chk.min_value is not None:
+            conds.append(f"{c} >= {chk.min_value}")
+        if chk.max_value is not None:
+            conds.append(f"{c} <= {chk.max_value}")
+        return head + f"cast(count_if(not ({' and '.join(conds)})) as bigint) as failures from {rel}"
+    cols = ", ".join(chk.columns)
+    where = f"where {c} is not null" if chk.kind == "unique" else ""
+    return head + (f"cast(count(*) as bigint) as failures from "
+                   f"(select {cols} from {rel} {where} group by {cols} having count(*) > 1)")
+
+
+def _checks_sql(checks, summary: bool = False) -> str:
+    body = "\nunion all\n".join(_check_sql(c) for c in checks)
+    if not summary:
+        return over_marts(body)
+    return over_marts(f"""
+, results as ({body})
+select *, case when failures = 0 then 'pass' when severity = 'warn' then 'warn' else 'fail' end as status
+from results""")
+
+
+def _between_sql(c: str, lo, hi) -> str:
+    conds = []
+    if lo is not None:
+        conds.append(f"{c} >= {lo}")
+    if hi is not None:
+        conds.append(f"{c} <= {hi}")
+    return " and ".join(conds) if conds else "true"
+
+
+def _expectation_sql(suite: str, e) -> str:
+    head = (f"select '{suite}' as suite, '{e.kind}' as expectation, "
+            f"{'NULL' if e.column is None else repr(e.column)}::varchar as column_name, "
+            f"'{e.arguments}' as arguments, ")
+    null_d, null_t = "cast(NULL as double)", "cast(NULL as date)"
+    if e.kind == "row_count_between":
+        ok = _between_sql("count(*)", e.min_value, e.max_value)
+        return head + (f"cast(count(*) as bigint) as n_evaluated, "
+                       f"cast(case when {ok} then 0 else 1 end as bigint) as n_unexpected, "
+                       f"cast(count(*) as double) as observed_value, {null_t} as observed_date, "
+                       f"({ok}) as success from {suite}")
+    c = e.column
+    if e.kind == "values_between":
+        n = f"count({c})"
+        bad = f"count_if(not ({_between_sql(c, e.min_value, e.max_value)}))"
+        share = f"(case when {n} = 0 then 1.0 else cast({n} - {bad} as double) / {n} end)"
+        ok = f"({bad} = 0)" if e.mostly >= 1.0 else f"({share} >= {e.mostly})"
+        return head + (f"cast({n} as bigint) as n_evaluated, cast({bad} as bigint) as n_unexpected, "
+                       f"cast({share} as double) as observed_value, {null_t} as observed_date, "
+                       f"{ok} as success from {suite}")
+    if e.kind == "mean_between":
+        mean = f"(cast(sum(cast({c} as decimal(18,2))) as double) / nullif(count({c}), 0))"
+        ok = f"coalesce({_between_sql(mean, e.min_value, e.max_value)}, false)"
+        return head + (f"cast(count({c}) as bigint) as n_evaluated, "
+                       f"cast(case when {ok} then 0 else 1 end as bigint) as n_unexpected, "
+                       f"{mean} as observed_value, {null_t} as observed_date, {ok} as success from {suite}")
+    if e.kind == "max_at_least":
+        ok = f"coalesce(max({c}) >= date '{e.min_date.isoformat()}', false)"
+        return head + (f"cast(count({c}) as bigint) as n_evaluated, "
+                       f"cast(case when {ok} then 0 else 1 end as bigint) as n_unexpected, "
+                       f"{null_d} as observed_value, cast(max({c}) as date) as observed_date, "
+                       f"{ok} as success from {suite}")
+    if e.kind == "not_null":
+        return head + (f"cast(count(*) as bigint) as n_evaluated, "
+                       f"cast(count_if({c} is null) as bigint) as n_unexpected, "
+                       f"{null_d} as observed_value, {null_t} as observed_date, "
+                       f"(count_if({c} is null) = 0) as success from {suite}")
+    raise ValueError(e.kind)
+
+
+def _gate_body(suites) -> str:
+    return "\nunion all\n".join(_expectation_sql(s, e) for s, es in suites.items() for e in es)
+
+
+def _gate_sql(suites, tail: str) -> str:
+    return over_marts(f"\n, results as ({_gate_body(suites)})\n{tail}")
+
+
+_BOUNDED = "\nunion all\n".join(
+    f"select '{c}' as column_name, {n} as max_length, cast(max(length({c})) as integer) as longest, "
+    f"cast(count_if(length({c}) > {n}) as bigint) as violations from clean"
+    for c, n in VARCHAR_LENGTHS.items()
+)
+
+_EXPORT_OTP = """
+select strftime(month_start, '%Y-%m-%d') as month_start, carrier_code, carrier_name,
+    scheduled_flights, cancelled_flights, diverted_flights, completed_flights, on_time_flights,
+    otp_pct, cancellation_pct, avg_arr_delay_min, avg_dep_delay_min
+from fct_monthly_otp"""
+
+_EXPORT_COUNTS = "\nunion all\n".join(
+    f"select '{t}' as table_name, cast(count(*) as bigint) as rows, true as within_limit from {t}"
+    for t in ("fct_monthly_otp", "fct_route_performance", "fct_airport_congestion", "fct_delay_causes")
+)
+
+
+def build_oracles() -> dict[str, str]:
+    from flightmarts.operators import checks as C
+    from flightmarts.operators import gate as G
+    from flightmarts.plans.queries import AS_OF, EMPTIED_MONTH, RUN_DATE
+
+    suites = G.default_suites(AS_OF)
+    ey, em = EMPTIED_MONTH
+    rd = RUN_DATE.month - 2
+    dy, dm = (RUN_DATE.year, rd) if rd >= 1 else (RUN_DATE.year - 1, rd + 12)
+    return {
+        "clean_flights": with_ctes(LEGS, CLEAN_CSV) + "\nselect * from clean_csv",
+        "clean_reconciliation": with_ctes(LEGS, CLEAN) + """
+select rows_in, rows_out, rows_in - rows_out as dropped from (
+    select cast((select count(*) from legs)
+              + (select count(*) from legs where cast(flight_number as bigint) % 10 = 0) as bigint) as rows_in,
+           cast((select count(*) from clean) as bigint) as rows_out)""",
+        "stage_flights": over_marts("select * from stg"),
+        "enrich_flights": over_marts(
+            f"select {_KEY}, carrier_name, cancellation_reason, month_start, "
+            "is_reportable_arrival, is_on_time from enriched"),
+        "monthly_otp": over_marts("select * from fct_monthly_otp"),
+        "route_performance": over_marts("select * from fct_route_performance"),
+        "airport_congestion": over_marts("select * from fct_airport_congestion"),
+        "delay_causes": over_marts("select * from fct_delay_causes"),
+        "rows_by_month": over_marts(_months_sql()),
+        "rows_by_month_running": over_marts(
+            f"select *, cast(sum(rows) over (order by year, month rows between unbounded preceding "
+            f"and current row) as bigint) as running_rows from ({_months_sql()})"),
+        "missing_months": _missing_sql(["carrier_code"]),
+        "missing_route_months": _missing_sql(["origin", "dest"]),
+        "data_month_slice": over_marts(
+            f"select year, month, carrier_code, cast(count(*) as bigint) as flights from clean "
+            f"where year = {dy} and month = {dm} group by year, month, carrier_code"),
+        "partition_from_path": over_marts(_months_sql()),
+        "month_overwrite": over_marts(_months_sql(f"where not (year = {ey} and month = {em})")),
+        "full_reload": over_marts(
+            "select year, month, cast(count(*) as bigint) as rows, cast(count(*) as bigint) as stamped_rows "
+            "from clean group by year, month"),
+        "incremental_load": over_marts(
+            f"select *, cast(0 as bigint) as second_run_batches from ({_months_sql()})"),
+        "bounded_lengths": over_marts(_BOUNDED),
+        "check_not_null": _checks_sql(C.checks_of_kind(("not_null",))),
+        "check_unique": _checks_sql(C.checks_of_kind(("unique",))),
+        "check_grain": _checks_sql(C.checks_of_kind(("unique_combination",))),
+        "check_accepted_values": _checks_sql(C.checks_of_kind(("accepted_values",))),
+        "check_accepted_range": _checks_sql(C.checks_of_kind(("accepted_range",))),
+        "check_summary": _checks_sql(C.default_checks(), summary=True),
+        "gate_results": _gate_sql(suites, "select * from results"),
+        "gate_suites": _gate_sql(
+            suites,
+            "select suite, cast(count(*) as bigint) as evaluated_expectations, "
+            "cast(count_if(success) as bigint) as successful_expectations, bool_and(success) as success "
+            "from results group by suite"),
+        "gate_decision": _gate_sql(
+            suites,
+            "select cast(count(*) as bigint) as evaluated_expectations, "
+            "cast(count_if(success) as bigint) as successful_expectations, bool_and(success) as gate_open "
+            "from results"),
+        "export_rows": over_marts(_EXPORT_OTP),
+        "export_batches": over_marts(_EXPORT_COUNTS),
+    }

@@ -1,56 +1,326 @@
 """Registered queries over the driver's test tables: ``(spark, sf_dir) -> DataFrame``.
 
 Every query starts from the flight-leg projection of the whole test tables
-(``sources.fixture.legs``), so its work grows with them.
+(``sources.fixture.legs``), so its work grows with them. Artefacts that the
+real pipeline keeps in storage (raw CSV files, the Parquet lake, the mart
+tables) are written once per session and scale under the shared checkpoint
+folder and read back by the queries that need them.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from flightmarts.config import scratch_path
+from flightmarts.operators import checks as C
+from flightmarts.operators import gate as G
 from flightmarts.operators import marts
-from flightmarts.operators.clean import deduplicate, drop_missing_keys
+from flightmarts.operators import reconcile as R
+from flightmarts.operators.clean import clean, deduplicate, drop_missing_keys
 from flightmarts.operators.enrich import enrich, stage
+from flightmarts.plans.monthly import build_marts, materialize
+from flightmarts.schema import FLIGHT_KEY, VARCHAR_LENGTHS
+from flightmarts.sinks import export as X
+from flightmarts.sinks.lake import load_full, overwrite_months, write_lake
 from flightmarts.sources import seeds
-from flightmarts.sources.fixture import fixture_carriers, legs
+from flightmarts.sources.fixture import fixture_carriers, legs, raw_strings
+from flightmarts.sources.lake import read_lake, read_lake_files
+from flightmarts.sources.raw import read_raw
+from flightmarts.streaming.ledger import incremental_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# --- fixed values: dates used by the registered queries
+RUN_DATE = dt.date(2001, 10, 15)       # owns data month 2001-08 (run - 2)
+AS_OF = dt.date(2001, 9, 15)           # freshness floor 2001-05-01
+EMPTIED_MONTH = (1995, 1)              # month whose source turns empty in month_overwrite
+RELOADED_MONTH = (2001, 8)             # month reloaded twice in month_overwrite
+
+# The fixture's state columns hold region names ("EUROPE", "MIDDLE EAST"),
+# longer than the raw table's VARCHAR(4) bound; ``bounded_lengths`` reports
+# them, and a bounded load would abort on them exactly as the warehouse
+# would. The load queries therefore load values unbounded.
+FIXTURE_LOAD_LENGTHS = None
+
+_WORKSPACES: dict[tuple[str, str], dict] = {}
+
+
+def _ws(spark: SparkSession, sf_dir: str) -> dict:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    return _WORKSPACES.setdefault(key, {})
+
 
 def clean_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed legs after the key filter and deterministic dedup."""
     return deduplicate(drop_missing_keys(legs(spark, sf_dir)))
 
 
-def enriched_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich(
-        stage(clean_legs(spark, sf_dir)),
-        fixture_carriers(spark, sf_dir),
-        seeds.cancellation_codes(spark),
-    )
+def raw_csv(spark: SparkSession, sf_dir: str) -> str:
+    """All-string raw files (header CSV) of the legs, written once per session."""
+    ws = _ws(spark, sf_dir)
+    if "raw_csv" not in ws:
+        path = scratch_path(spark, "raw-csv")
+        raw_strings(legs(spark, sf_dir)).write.option("header", "true").csv(path)
+        ws["raw_csv"] = path
+    return ws["raw_csv"]
+
+
+def lake_root(spark: SparkSession, sf_dir: str) -> str:
+    """The Parquet lake of the cleaned legs, written once per session."""
+    ws = _ws(spark, sf_dir)
+    if "lake" not in ws:
+        path = scratch_path(spark, "lake")
+        write_lake(clean_legs(spark, sf_dir), path)
+        ws["lake"] = path
+    return ws["lake"]
+
+
+def lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_lake(spark, lake_root(spark, sf_dir))
+
+
+def lookups(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return fixture_carriers(spark, sf_dir), seeds.cancellation_codes(spark)
+
+
+def enriched_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    carriers, codes = lookups(spark, sf_dir)
+    return enrich(stage(lake(spark, sf_dir)), carriers, codes)
+
+
+def mart_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The four marts written as tables once per session, read back."""
+    ws = _ws(spark, sf_dir)
+    if "marts" not in ws:
+        ws["marts"] = materialize(spark, build_marts(enriched_lake(spark, sf_dir)), scratch_path(spark, "marts"))
+    return ws["marts"]
+
+
+def check_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    carriers, codes = lookups(spark, sf_dir)
+    flights = lake(spark, sf_dir)
+    return {
+        "raw_flights": flights,
+        "stg_flights": stage(flights),
+        "carriers": carriers,
+        "cancellation_codes": codes,
+        **mart_tables(spark, sf_dir),
+    }
+
+
+# ---------------------------------------------------------------- queries
+
+
+def q_clean_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All-string CSV -> typed, key-complete, deduplicated legs."""
+    return clean(read_raw(spark, f"{raw_csv(spark, sf_dir)}/*.csv"))
+
+
+def q_clean_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in (observed during the write), rows out (read back), dropped."""
+    obs = Observation("rows_in")
+    raw = read_raw(spark, f"{raw_csv(spark, sf_dir)}/*.csv").observe(obs, F.count(F.lit(1)).alias("n"))
+    out = scratch_path(spark, "clean-lake")
+    write_lake(clean(raw), out)
+    rows_out = spark.read.parquet(out).count()
+    return R.reconciliation(spark, obs.get["n"], rows_out)
+
+
+def q_stage_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging projection over the lake."""
+    return stage(lake(spark, sf_dir))
+
+
+def q_enrich_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key plus the five enrichment columns."""
+    e = enriched_lake(spark, sf_dir)
+    return e.select(*FLIGHT_KEY, "carrier_name", "cancellation_reason", "month_start",
+                    "is_reportable_arrival", "is_on_time")
 
 
 def q_monthly_otp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.monthly_otp(enriched_legs(spark, sf_dir))
+    return marts.monthly_otp(enriched_lake(spark, sf_dir))
 
 
 def q_route_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.route_performance(enriched_legs(spark, sf_dir))
+    return marts.route_performance(enriched_lake(spark, sf_dir))
 
 
 def q_airport_congestion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.airport_congestion(enriched_legs(spark, sf_dir))
+    return marts.airport_congestion(enriched_lake(spark, sf_dir))
 
 
 def q_delay_causes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.delay_causes(enriched_legs(spark, sf_dir))
+    return marts.delay_causes(enriched_lake(spark, sf_dir))
+
+
+def q_rows_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.rows_by_month(lake(spark, sf_dir))
+
+
+def q_rows_by_month_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.rows_by_month_running(lake(spark, sf_dir))
+
+
+def q_missing_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 T4 J4 at carrier grain."""
+    return R.missing_months(lake(spark, sf_dir), ["carrier_code"])
+
+
+def q_missing_route_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 J4 at route grain."""
+    return R.missing_months(lake(spark, sf_dir), ["origin", "dest"])
+
+
+def q_data_month_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month owned by the run on RUN_DATE, by carrier."""
+    return R.data_month_slice(lake(spark, sf_dir), RUN_DATE)
+
+
+def q_partition_from_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """year/month parsed from file paths, no partition discovery."""
+    return R.rows_by_month(read_lake_files(spark, lake_root(spark, sf_dir)))
+
+
+def q_month_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reload one month twice (idempotent) and one month from an
+    emptied source (its old rows must go); returns the lake by month."""
+    root = scratch_path(spark, "lake-reload")
+    flights = clean_legs(spark, sf_dir)
+    write_lake(flights, root)
+    month = flights.where((F.col("year") == RELOADED_MONTH[0]) & (F.col("month") == RELOADED_MONTH[1]))
+    overwrite_months(month, root, [RELOADED_MONTH])
+    overwrite_months(month, root, [RELOADED_MONTH])
+    # the re-transformed source of EMPTIED_MONTH holds no rows at all
+    overwrite_months(flights.where(F.lit(False)), root, [EMPTIED_MONTH])
+    return R.rows_by_month(read_lake(spark, root))
+
+
+def q_full_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4 K7 K8: truncate-and-load the raw table twice; rows and audit stamps by month."""
+    root = scratch_path(spark, "raw-table")
+    flights = lake(spark, sf_dir)
+    load_full(flights, root, FIXTURE_LOAD_LENGTHS)
+    load_full(flights, root, FIXTURE_LOAD_LENGTHS)
+    raw = spark.read.parquet(root)
+    return raw.groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("_loaded_at").isNotNull()).alias("stamped_rows"),
+    )
+
+
+def q_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: two available-now runs of the ledger stream; the second loads nothing."""
+    target = scratch_path(spark, "raw-incremental")
+    ckpt = scratch_path(spark, "ledger-ckpt")
+    src = lake_root(spark, sf_dir)
+    incremental_load(spark, src, target, ckpt, max_files_per_trigger=16, lengths=FIXTURE_LOAD_LENGTHS)
+    again = incremental_load(spark, src, target, ckpt, lengths=FIXTURE_LOAD_LENGTHS)
+    out = R.rows_by_month(spark.read.parquet(target))
+    return out.withColumn("second_run_batches", F.lit(again).cast("long"))
+
+
+def q_bounded_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: longest value and violations per VARCHAR-bounded column (one scan)."""
+    flights = lake(spark, sf_dir)
+    items = list(VARCHAR_LENGTHS.items())
+    agg = flights.agg(
+        *[F.max(F.char_length(c)).alias(f"_m{i}") for i, (c, _) in enumerate(items)],
+        *[F.count_if(F.char_length(c) > n).alias(f"_v{i}") for i, (c, n) in enumerate(items)],
+    )
+    rows = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.lit(n).alias("max_length"),
+            F.col(f"_m{i}").alias("longest"),
+            F.col(f"_v{i}").alias("violations"),
+        )
+        for i, (c, n) in enumerate(items)
+    ]
+    return agg.select(F.inline(F.array(*rows)))
+
+
+def _checks(kinds: tuple[str, ...]) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return C.run_checks(check_tables(spark, sf_dir), C.checks_of_kind(kinds))
+
+    q.__doc__ = f"D1-D5: {', '.join(kinds)} checks"
+    return q
+
+
+def q_check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 29 declared checks with severity and status."""
+    return C.summarize(C.run_checks(check_tables(spark, sf_dir), C.default_checks()))
+
+
+def gate_results_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.evaluate(mart_tables(spark, sf_dir), G.default_suites(AS_OF))
+
+
+def q_gate_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per expectation (reference bands, as_of fixed)."""
+    return gate_results_df(spark, sf_dir)
+
+
+def q_gate_suites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-suite statistics."""
+    return G.suite_stats(gate_results_df(spark, sf_dir))
+
+
+def q_gate_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one-row gate decision."""
+    return G.decision(gate_results_df(spark, sf_dir))
+
+
+def q_export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed export rows of the monthly OTP mart."""
+    return X.export_frame(mart_tables(spark, sf_dir)["fct_monthly_otp"], "fct_monthly_otp")
+
+
+def q_export_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export all marts in <= 10,000-row batches; rows per table from the files."""
+    out = scratch_path(spark, "export")
+    X.write_export(mart_tables(spark, sf_dir), out)
+    b = X.export_batches(spark, out)
+    return b.select(
+        "table_name",
+        "rows",
+        (F.col("max_batch_rows") <= 10_000).alias("within_limit"),
+    )
 
 
 QUERIES: dict[str, Query] = {
+    "clean_flights": q_clean_flights,
+    "clean_reconciliation": q_clean_reconciliation,
+    "stage_flights": q_stage_flights,
+    "enrich_flights": q_enrich_flights,
     "monthly_otp": q_monthly_otp,
     "route_performance": q_route_performance,
     "airport_congestion": q_airport_congestion,
     "delay_causes": q_delay_causes,
+    "rows_by_month": q_rows_by_month,
+    "rows_by_month_running": q_rows_by_month_running,
+    "missing_months": q_missing_months,
+    "missing_route_months": q_missing_route_months,
+    "data_month_slice": q_data_month_slice,
+    "partition_from_path": q_partition_from_path,
+    "month_overwrite": q_month_overwrite,
+    "full_reload": q_full_reload,
+    "incremental_load": q_incremental_load,
+    "bounded_lengths": q_bounded_lengths,
+    "check_not_null": _checks(("not_null",)),
+    "check_unique": _checks(("unique",)),
+    "check_grain": _checks(("unique_combination",)),
+    "check_accepted_values": _checks(("accepted_values",)),
+    "check_accepted_range": _checks(("accepted_range",)),
+    "check_summary": q_check_summary,
+    "gate_results": q_gate_results,
+    "gate_suites": q_gate_suites,
+    "gate_decision": q_gate_decision,
+    "export_rows": q_export_rows,
+    "export_batches": q_export_batches,
 }

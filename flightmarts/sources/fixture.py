@@ -3,11 +3,12 @@
 The test data holds no flights, so a deterministic projection turns every
 ``lineitem`` row into one flight leg (the rules are the fixture's fixed
 values, listed in ``FIXTURES.md`` section 5). The work grows with
-``lineitem``: two shuffles of lineitem-sized data (by ``l_partkey`` for the
-part join, by ``l_orderkey`` for the orders join); ``orders`` meets
-``customer`` first so the big side never shuffles by customer; nation/region
-are broadcast behind a row-count check; supplier is left to the optimizer's
-size check (AQE turns it into a broadcast while it is small).
+``lineitem``: it shuffles by ``l_orderkey`` to meet the orders side
+(``orders`` meets ``customer`` first, so the big side never shuffles by
+customer) and, once ``part`` outgrows the broadcast threshold, by
+``l_partkey``. nation/region, supplier and part are left to the planner's
+size check (broadcast only while their file size is under the threshold,
+re-checked by AQE at runtime).
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightmarts.operators.joins import bounded_broadcast
 from flightmarts.schema import FLAG_COLUMNS, FLIGHT_COLUMNS, SOURCE_COLUMNS
 
 # --- fixed values: fixture rules
@@ -31,9 +31,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation ⋈ region as (key, city, state); small, broadcast after a size check."""
-    nation = bounded_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
-    region = bounded_broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    """nation ⋈ region as (key, city, state).
+
+    No broadcast hint: both are file-backed, so the planner knows their size
+    and broadcasts them only below ``spark.sql.autoBroadcastJoinThreshold``
+    (AQE re-checks with runtime sizes); otherwise it keeps a shuffled join.
+    """
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     return nation.join(region, nation.n_regionkey == region.r_regionkey, "inner").select(
         F.col("n_nationkey").alias("place_key"),
         F.col("n_name").alias("place_city"),
@@ -55,7 +60,7 @@ def fixture_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed flight legs (34 lake columns), one per lineitem row."""
-    place = bounded_broadcast(places(spark, sf_dir))
+    place = places(spark, sf_dir)
 
     # orders side: one row per order with its date and origin airport
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -83,15 +88,17 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("place_city").alias("dest_city"),
         F.col("place_state").alias("dest_state"),
     )
-    line_side = (
-        lineitem.join(part, lineitem.l_partkey == part.p_partkey, "inner")
+    # lineitem meets the orders side first: the narrow scan shuffles by
+    # l_orderkey, and the part/supplier/place probes run after the exchange,
+    # spread over all shuffle partitions.
+    base = (
+        lineitem.join(order_side, lineitem.l_orderkey == order_side.o_orderkey, "inner")
+        .join(part, lineitem.l_partkey == part.p_partkey, "inner")
         .join(supplier, lineitem.l_suppkey == supplier.s_suppkey, "inner")
         .withColumn("dest_key", F.col("p_size") % DEST_MODULUS)
         .join(dest, "dest_key", "left")
     )
 
-    base = line_side.join(order_side, line_side.l_orderkey == order_side.o_orderkey, "inner")
-
     tax = F.round(F.col("l_tax") * 100).cast("int")
     disc = F.round(F.col("l_discount") * 100).cast("int")
     cancelled = (F.col("l_returnflag") == "R") & (tax >= 7)

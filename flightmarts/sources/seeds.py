@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CARRIER_SCHEMA = T.StructType(
@@ -49,13 +50,13 @@ CANCELLATION_CODES: list[tuple[str, str]] = [
 
 
 def carriers(spark: SparkSession) -> DataFrame:
-    """The 20-row carrier seed (fixed size, safe to broadcast)."""
-    return spark.createDataFrame(CARRIERS, CARRIER_SCHEMA)
+    """The 20-row carrier seed; its size is fixed in code, so it is broadcast."""
+    return F.broadcast(spark.createDataFrame(CARRIERS, CARRIER_SCHEMA))
 
 
 def cancellation_codes(spark: SparkSession) -> DataFrame:
-    """The 4-row cancellation-code seed (fixed size, safe to broadcast)."""
-    return spark.createDataFrame(CANCELLATION_CODES, CANCELLATION_SCHEMA)
+    """The 4-row cancellation-code seed; fixed size, so it is broadcast."""
+    return F.broadcast(spark.createDataFrame(CANCELLATION_CODES, CANCELLATION_SCHEMA))
 
 
 def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
