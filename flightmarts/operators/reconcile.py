@@ -33,9 +33,10 @@ def reconciliation(spark: SparkSession, rows_in: int, rows_out: int) -> DataFram
     ``rows_in`` comes from an ``Observation`` on the raw scan during the write,
     ``rows_out`` from the written lake, so the raw files are read once.
     """
-    return spark.createDataFrame(
-        [(int(rows_in), int(rows_out), int(rows_in) - int(rows_out))],
-        "rows_in bigint, rows_out bigint, dropped bigint",
+    return spark.range(1).select(
+        F.lit(int(rows_in)).cast("long").alias("rows_in"),
+        F.lit(int(rows_out)).cast("long").alias("rows_out"),
+        F.lit(int(rows_in) - int(rows_out)).cast("long").alias("dropped"),
     )
 
 
@@ -59,8 +60,10 @@ def missing_months(flights: DataFrame, grain: list[str]) -> DataFrame:
     bounds = month_bounds(flights)
     spark = flights.sparkSession
     if bounds is None:
-        return spark.createDataFrame(
-            [], ", ".join([f"{g} string" for g in grain] + ["year int", "month int"])
+        return spark.range(0).select(
+            *[F.lit(None).cast("string").alias(g) for g in grain],
+            F.lit(None).cast("int").alias("year"),
+            F.lit(None).cast("int").alias("month"),
         )
     lo, hi = bounds
     spine = (

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from flightmarts.schema import DATA_COLUMNS, LAKE_DATA_SCHEMA, PARTITION_COLUMNS, VARCHAR_LENGTHS
+from flightmarts.sources.seeds import literal_frame
 
 # Upper bound of rows per Parquet file; a month of ~600K legs is one file,
 # a bigger one is split instead of growing without bound.
@@ -84,8 +85,7 @@ def overwrite_months(
     report = _report(obs)
     emptied = sorted(set(months or []) - set(report.months))
     if emptied:
-        spark = flights.sparkSession
-        empty = spark.createDataFrame([], LAKE_DATA_SCHEMA)
+        empty = literal_frame(flights.sparkSession, [], LAKE_DATA_SCHEMA)
         # one tiny write per month that turned empty (rare, bounded by the request)
         for y, m in emptied:
             empty.write.mode("overwrite").parquet(f"{root.rstrip('/')}/year={y}/month={m}")
@@ -155,10 +155,9 @@ def load_months(
     report = _report(obs)
     emptied = sorted(set(months) - set(report.months))
     if emptied:
-        spark = lake.sparkSession
-        schema = with_audit(spark.createDataFrame([], LAKE_DATA_SCHEMA)).schema
+        empty = with_audit(literal_frame(lake.sparkSession, [], LAKE_DATA_SCHEMA))
         for y, m in emptied:
-            spark.createDataFrame([], schema).write.mode("overwrite").parquet(
+            empty.write.mode("overwrite").parquet(
                 f"{raw_root.rstrip('/')}/year={y}/month={m}"
             )
     return WriteReport(rows=report.rows, months=report.months, emptied=emptied)

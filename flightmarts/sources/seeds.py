@@ -49,14 +49,29 @@ CANCELLATION_CODES: list[tuple[str, str]] = [
 ]
 
 
+def literal_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A small constant table built from literals inside the plan.
+
+    Unlike ``createDataFrame(list)`` (a Python RDD, evaluated by Python
+    workers in every job that reads it) this stays in the JVM and in codegen.
+    """
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def carriers(spark: SparkSession) -> DataFrame:
     """The 20-row carrier seed; its size is fixed in code, so it is broadcast."""
-    return F.broadcast(spark.createDataFrame(CARRIERS, CARRIER_SCHEMA))
+    return F.broadcast(literal_frame(spark, CARRIERS, CARRIER_SCHEMA))
 
 
 def cancellation_codes(spark: SparkSession) -> DataFrame:
     """The 4-row cancellation-code seed; fixed size, so it is broadcast."""
-    return F.broadcast(spark.createDataFrame(CANCELLATION_CODES, CANCELLATION_SCHEMA))
+    return F.broadcast(literal_frame(spark, CANCELLATION_CODES, CANCELLATION_SCHEMA))
 
 
 def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
