@@ -26,7 +26,7 @@ from flightmarts.operators import checks as C  # noqa: E402
 from flightmarts.operators import gate as G  # noqa: E402
 from flightmarts.operators.clean import clean  # noqa: E402
 from flightmarts.operators.enrich import enrich, stage  # noqa: E402
-from flightmarts.plans.monthly import build_marts, materialize  # noqa: E402
+from flightmarts.plans.monthly import materialize_marts  # noqa: E402
 from flightmarts.plans.queries import AS_OF, FIXTURE_LOAD_LENGTHS  # noqa: E402
 from flightmarts.sinks.export import write_export  # noqa: E402
 from flightmarts.sinks.lake import load_full, load_months, overwrite_months, write_lake  # noqa: E402
@@ -73,7 +73,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str) -> tuple[dict[str, float], di
 
     def marts_step():
         enriched = enrich(stage(spark.read.parquet(raw_table)), carriers, codes)
-        return materialize(spark, build_marts(enriched), marts_dir)
+        return materialize_marts(spark, enriched, marts_dir)
 
     marts = step("marts", marts_step)
     info["mart_rows"] = {k: v.count() for k, v in marts.items()}

@@ -21,6 +21,7 @@ from flightmarts.operators import gate as G
 from flightmarts.operators import marts as M
 from flightmarts.operators.clean import clean
 from flightmarts.operators.enrich import enrich, stage
+from flightmarts.schema import VARCHAR_LENGTHS
 from flightmarts.sinks.export import write_export
 from flightmarts.sinks.lake import load_months, overwrite_months
 from flightmarts.sources import seeds
@@ -53,6 +54,26 @@ def materialize(spark: SparkSession, frames: dict[str, DataFrame], root: str) ->
     return out
 
 
+def materialize_marts(spark: SparkSession, enriched: DataFrame, root: str) -> dict[str, DataFrame]:
+    """Write the four marts as tables; the legs are scanned three times, not four.
+
+    The carrier-month aggregate shared by M2 and M5 is written first (it is
+    small: carriers x months) and both marts are projections of the stored
+    copy, so neither recomputes the legs.
+    """
+    facts = materialize(spark, {"_carrier_month": M.carrier_month_facts(enriched)}, root)["_carrier_month"]
+    return materialize(
+        spark,
+        {
+            "fct_monthly_otp": M.monthly_otp_from(facts),
+            "fct_route_performance": M.route_performance(enriched),
+            "fct_airport_congestion": M.airport_congestion(enriched),
+            "fct_delay_causes": M.delay_causes_from(facts),
+        },
+        root,
+    )
+
+
 @dataclass
 class RunResult:
     data_month: tuple[int, int]
@@ -76,12 +97,14 @@ def run_month(
     bands: G.Bands = G.Bands(),
     carriers: DataFrame | None = None,
     cancellation_codes: DataFrame | None = None,
+    lengths: dict[str, int] | None = VARCHAR_LENGTHS,
 ) -> RunResult:
     """Process one data month end to end; export only when the gate opens.
 
     ``month`` is the ``'YYYY-MM'`` data month this run owns; ``raw_paths`` are
     its raw files. Every write is a partition overwrite, so the run is
-    idempotent and can simply be retried.
+    idempotent and can simply be retried. ``lengths`` are the raw table's
+    VARCHAR bounds (``None`` loads values unbounded).
     """
     ym = year_month(month)
     carriers = carriers if carriers is not None else seeds.carriers(spark)
@@ -94,13 +117,13 @@ def run_month(
     rows_in = int(obs.get["rows"])
 
     # 2. reload the month in the raw table (one partition overwrite)
-    load_months(read_lake(spark, lake_root, [ym]), raw_root, [ym])
+    load_months(read_lake(spark, lake_root, [ym]), raw_root, [ym], lengths)
 
     # 3. marts over the whole raw table, written as tables
     raw_table = spark.read.parquet(raw_root)
     staged = stage(raw_table)
     enriched = enrich(staged, carriers, codes)
-    marts = materialize(spark, build_marts(enriched), marts_root)
+    marts = materialize_marts(spark, enriched, marts_root)
 
     # 4. structural checks; error severity stops the run before the gate
     tables = {"raw_flights": raw_table, "stg_flights": staged, "carriers": carriers,

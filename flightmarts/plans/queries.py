@@ -22,7 +22,7 @@ from flightmarts.operators import marts
 from flightmarts.operators import reconcile as R
 from flightmarts.operators.clean import clean, deduplicate, drop_missing_keys
 from flightmarts.operators.enrich import enrich, stage
-from flightmarts.plans.monthly import build_marts, materialize
+from flightmarts.plans.monthly import materialize_marts
 from flightmarts.schema import FLIGHT_KEY, VARCHAR_LENGTHS
 from flightmarts.sinks import export as X
 from flightmarts.sinks.lake import load_full, overwrite_months, write_lake
@@ -96,7 +96,7 @@ def mart_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four marts written as tables once per session, read back."""
     ws = _ws(spark, sf_dir)
     if "marts" not in ws:
-        ws["marts"] = materialize(spark, build_marts(enriched_lake(spark, sf_dir)), scratch_path(spark, "marts"))
+        ws["marts"] = materialize_marts(spark, enriched_lake(spark, sf_dir), scratch_path(spark, "marts"))
     return ws["marts"]
 
 
