@@ -142,21 +142,34 @@ def delay_causes(enriched: DataFrame) -> DataFrame:
 
 
 def route_performance(enriched: DataFrame) -> DataFrame:
-    """M3: directed route x month; descriptive columns take the max value."""
+    """M3: directed route x month; descriptive columns take the max value.
+
+    Two levels, so no aggregation buffer holds a string: the legs are
+    hash-aggregated with the descriptive columns (city, state, distance) as
+    extra grouping keys, then the small result is reduced to one row per
+    (month, origin, dest), where ``max`` picks the descriptive values.
+    ``max`` of a string directly over the legs would force a sort-based
+    aggregate over all of them.
+    """
     rep = F.col("is_reportable_arrival")
-    agg = enriched.groupBy("month_start", "origin", "dest").agg(
-        F.max("origin_city").alias("origin_city"),
-        F.max("origin_state").alias("origin_state"),
-        F.max("dest_city").alias("dest_city"),
-        F.max("dest_state").alias("dest_state"),
-        F.max("distance_miles").alias("distance_miles"),
-        F.count(F.lit(1)).alias("scheduled_flights"),
-        F.count_if(F.col("cancelled")).alias("cancelled_flights"),
-        F.count_if(rep).alias("completed_flights"),
+    descriptive = ["origin_city", "origin_state", "dest_city", "dest_state", "distance_miles"]
+    level1 = enriched.groupBy("month_start", "origin", "dest", *descriptive).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(F.col("cancelled")).alias("_cancelled"),
+        F.count_if(rep).alias("_completed"),
         F.count_if(F.col("is_on_time")).alias("_on_time"),
         _when_sum(rep, "arr_delay_min").alias("_arr_sum"),
         _when_count(rep, "arr_delay_min").alias("_arr_n"),
     )
+    agg = level1.groupBy("month_start", "origin", "dest").agg(
+        *[F.max(c).alias(c) for c in descriptive],
+        F.sum("_n").alias("scheduled_flights"),
+        F.sum("_cancelled").alias("cancelled_flights"),
+        F.sum("_completed").alias("completed_flights"),
+        F.sum("_on_time").alias("_on_time"),
+        F.sum("_arr_sum").alias("_arr_sum"),
+        F.sum("_arr_n").alias("_arr_n"),
+    )
     return agg.select(
         "month_start", "origin", "origin_city", "origin_state",
         "dest", "dest_city", "dest_state", "distance_miles",
@@ -192,20 +205,28 @@ def airport_congestion(enriched: DataFrame) -> DataFrame:
 
     Equivalent to aggregating departures and arrivals separately and full-outer
     joining them on (airport, month) with coalesced keys and zero defaults, but
-    in one scan and one shuffle: legs are expanded to movements and aggregated
-    once. City/state come from the departure side only (NULL for
-    arrival-only airports).
+    with one scan of the legs: legs are expanded to movements and aggregated.
+    City/state come from the departure side only (NULL for arrival-only
+    airports). As in M3 the strings are grouping keys of the first,
+    hash-based level and only the small second level takes their ``max``.
     """
     is_dep = F.col("is_departure")
-    agg = airport_movements(enriched).groupBy("airport_code", "month_start").agg(
+    level1 = airport_movements(enriched).groupBy(
+        "airport_code", "month_start", "is_departure", "city", "state"
+    ).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(scaled_long("taxi_min")).alias("_taxi_sum"),
+        F.count("taxi_min").alias("_taxi_n"),
+    )
+    agg = level1.groupBy("airport_code", "month_start").agg(
         F.max(F.when(is_dep, F.col("city"))).alias("city"),
         F.max(F.when(is_dep, F.col("state"))).alias("state"),
-        F.count_if(is_dep).alias("departures"),
-        F.count_if(~is_dep).alias("arrivals"),
-        _when_sum(is_dep, "taxi_min").alias("_out_sum"),
-        _when_count(is_dep, "taxi_min").alias("_out_n"),
-        _when_sum(~is_dep, "taxi_min").alias("_in_sum"),
-        _when_count(~is_dep, "taxi_min").alias("_in_n"),
+        F.coalesce(F.sum(F.when(is_dep, F.col("_n"))), F.lit(0)).alias("departures"),
+        F.coalesce(F.sum(F.when(~is_dep, F.col("_n"))), F.lit(0)).alias("arrivals"),
+        F.sum(F.when(is_dep, F.col("_taxi_sum"))).alias("_out_sum"),
+        F.sum(F.when(is_dep, F.col("_taxi_n"))).alias("_out_n"),
+        F.sum(F.when(~is_dep, F.col("_taxi_sum"))).alias("_in_sum"),
+        F.sum(F.when(~is_dep, F.col("_taxi_n"))).alias("_in_n"),
     )
     return agg.select(
         "airport_code", "city", "state", "month_start",
