@@ -111,3 +111,13 @@ def test_route_and_shared_aggregate_agree(spark):
     assert r[("A", "B")]["avg_arr_delay_min"] == 11.5 and r[("A", "B")]["scheduled_flights"] == 2
     assert r[("B", "A")]["avg_arr_delay_min"] == -4.0
     assert F is not None
+
+
+def test_airport_expand_equals_full_outer_join(spark):
+    from flightmarts.plans import queries as Q
+    from tests.conftest import SF_SMALL
+
+    e = Q.enriched_lake(spark, SF_SMALL)
+    a = sorted(M.airport_congestion(e).collect(), key=repr)
+    b = sorted(M.airport_congestion_by_join(e).select(*M.AIRPORT_COLUMNS).collect(), key=repr)
+    assert len(a) > 0 and a == b
