@@ -23,10 +23,10 @@ from flightmarts.operators.clean import clean
 from flightmarts.operators.enrich import enrich, stage
 from flightmarts.schema import VARCHAR_LENGTHS
 from flightmarts.sinks.export import write_export
-from flightmarts.sinks.lake import load_months, overwrite_months
+from flightmarts.sinks.lake import load_months, overwrite_months, write_lake
 from flightmarts.sources import seeds
 from flightmarts.sources.lake import read_lake
-from flightmarts.sources.raw import read_raw
+from flightmarts.sources.raw import month_raw_path, read_raw
 
 
 def build_marts(enriched: DataFrame) -> dict[str, DataFrame]:
@@ -74,6 +74,59 @@ def materialize_marts(spark: SparkSession, enriched: DataFrame, root: str) -> di
     )
 
 
+@dataclass(frozen=True)
+class Reconciliation:
+    rows_in: int
+    rows_out: int
+    months: list[tuple[int, int]]
+    emptied: list[tuple[int, int]]
+
+    @property
+    def dropped(self) -> int:
+        return self.rows_in - self.rows_out
+
+
+def clean_history(spark: SparkSession, input_glob: str | list[str], lake_root: str) -> Reconciliation:
+    """Full clean: every raw file -> typed, deduplicated lake (static overwrite).
+
+    ``rows_in`` is observed on the raw scan during the write and ``rows_out``
+    comes from the write, so the raw files are read once (no second count scan).
+    """
+    obs = Observation("clean_history_in")
+    raw = read_raw(spark, input_glob).observe(obs, F.count(F.lit(1)).alias("rows"))
+    report = write_lake(clean(raw), lake_root)
+    return Reconciliation(int(obs.get["rows"]), report.rows, report.months, [])
+
+
+def backfill(
+    spark: SparkSession, raw_root: str, start: str, end: str, lake_root: str, compressed: bool = True
+) -> Reconciliation:
+    """Clean a range of months in one job (instead of one job per month).
+
+    The inclusive month list is expanded on the driver (a few hundred entries at
+    most), the month files are read together, and one dynamic overwrite
+    replaces exactly those months; a month whose file is now empty is emptied.
+    """
+    months = month_list(start, end)
+    paths = [month_raw_path(raw_root, y, m, compressed) for y, m in months]
+    obs = Observation("backfill_in")
+    raw = read_raw(spark, paths).observe(obs, F.count(F.lit(1)).alias("rows"))
+    report = overwrite_months(clean(raw), lake_root, months)
+    return Reconciliation(int(obs.get["rows"]), report.rows, report.months, report.emptied)
+
+
+def month_list(start: str, end: str) -> list[tuple[int, int]]:
+    """Inclusive (year, month) list for ``'YYYY-MM'`` bounds; start after end is an error."""
+    (y, m), last = year_month(start), year_month(end)
+    if (y, m) > last:
+        raise ValueError(f"start {start} is after end {end}")
+    out = []
+    while (y, m) <= last:
+        out.append((y, m))
+        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
+    return out
+
+
 @dataclass
 class RunResult:
     data_month: tuple[int, int]

@@ -1,5 +1,8 @@
 import datetime as dt
+import os
+import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from flightmarts.operators.reconcile import rows_by_month
@@ -35,3 +38,25 @@ def test_run_month_end_to_end_and_idempotent(spark, tmp):
     after = {(r["year"], r["month"]): r["rows"] for r in rows_by_month(spark.read.parquet(raw_table)).collect()}
     assert after == before                       # the month was replaced, not appended
     assert (second.rows_out, second.exported) == (first.rows_out, first.exported)
+
+
+def test_clean_history_and_backfill(spark, tmp):
+    from flightmarts.plans.monthly import backfill, clean_history, month_list
+
+    assert month_list("2024-11", "2025-02") == [(2024, 11), (2024, 12), (2025, 1), (2025, 2)]
+    with pytest.raises(ValueError):
+        month_list("2025-03", "2025-01")
+    all_legs = legs(spark, SF_SMALL)
+    for y, m in [(2001, 6), (2001, 7), (2001, 8)]:
+        part = all_legs.where((F.col("year") == y) & (F.col("month") == m))
+        raw_strings(part).coalesce(1).write.option("header", "true").option("compression", "gzip").csv(
+            f"{tmp}/stage/{y}/{m:02d}")
+        src = [f for f in os.listdir(f"{tmp}/stage/{y}/{m:02d}") if f.endswith(".csv.gz")][0]
+        os.makedirs(f"{tmp}/raw/{y}", exist_ok=True)
+        shutil.copy(f"{tmp}/stage/{y}/{m:02d}/{src}", f"{tmp}/raw/{y}/ontime_{y}_{m:02d}.csv.gz")
+    full = clean_history(spark, f"{tmp}/raw/*/*.csv.gz", f"{tmp}/lake")
+    assert full.months == [(2001, 6), (2001, 7), (2001, 8)] and full.dropped == full.rows_in - full.rows_out
+    again = backfill(spark, f"{tmp}/raw", "2001-07", "2001-08", f"{tmp}/lake")
+    assert again.months == [(2001, 7), (2001, 8)] and again.emptied == []
+    counts = {(r["year"], r["month"]): r["rows"] for r in rows_by_month(spark.read.parquet(f"{tmp}/lake")).collect()}
+    assert sum(counts.values()) == full.rows_out   # the re-run replaced, not appended
