@@ -50,7 +50,7 @@ def materialize(spark: SparkSession, frames: dict[str, DataFrame], root: str) ->
     for name, df in frames.items():
         path = f"{root.rstrip('/')}/{name}"
         df.write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path)
+        out[name] = spark.read.schema(df.schema).parquet(path)
     return out
 
 
