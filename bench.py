@@ -47,8 +47,15 @@ def run_pipeline(spark: SparkSession, sf_dir: str) -> tuple[dict[str, float], di
         times[name] = round(time.perf_counter() - t, 3)
         return out
 
+    # raw files land per month, like the source's monthly files: the folders
+    # carry copies of Year/Month, the files keep every source column
     raw_dir = scratch_path(spark, "bench-raw")
-    step("fixture_raw_csv", lambda: raw_strings(legs(spark, sf_dir)).write.option("header", "true").csv(raw_dir))
+    step("fixture_raw_csv", lambda: (
+        raw_strings(legs(spark, sf_dir))
+        .withColumn("landed_year", F.col("Year")).withColumn("landed_month", F.col("Month"))
+        .repartition("landed_year", "landed_month")  # one file per month
+        .write.partitionBy("landed_year", "landed_month").option("header", "true").csv(raw_dir)
+    ))
 
     lake_dir = scratch_path(spark, "bench-lake")
     raw_table = scratch_path(spark, "bench-raw-table")
@@ -59,7 +66,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str) -> tuple[dict[str, float], di
         from pyspark.sql import Observation
 
         obs = Observation("rows_in")
-        raw = read_raw(spark, f"{raw_dir}/*.csv").observe(obs, F.count(F.lit(1)).alias("n"))
+        raw = read_raw(spark, f"{raw_dir}/*/*/*.csv").observe(obs, F.count(F.lit(1)).alias("n"))
         report = write_lake(clean(raw), lake_dir)
         return int(obs.get["n"]), report.rows
 
@@ -95,9 +102,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str) -> tuple[dict[str, float], di
 
     def reload_step():
         ym = (2001, 8)
-        raw = read_raw(spark, f"{raw_dir}/*.csv").where(
-            (F.col("Year") == str(ym[0])) & (F.col("Month") == str(ym[1]))
-        )
+        raw = read_raw(spark, f"{raw_dir}/landed_year={ym[0]}/landed_month={ym[1]}/*.csv")
         overwrite_months(clean(raw), lake_dir, [ym])
         return load_months(read_lake(spark, lake_dir, [ym]), raw_table, [ym], FIXTURE_LOAD_LENGTHS).rows
 

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flightmarts.functions.months import year_month
 from flightmarts.operators import checks as C
@@ -21,12 +22,14 @@ from flightmarts.operators import gate as G
 from flightmarts.operators import marts as M
 from flightmarts.operators.clean import clean
 from flightmarts.operators.enrich import enrich, stage
+from flightmarts.operators.reconcile import rows_by_month
 from flightmarts.schema import VARCHAR_LENGTHS
 from flightmarts.sinks.export import write_export
 from flightmarts.sinks.lake import load_months, overwrite_months, write_lake
 from flightmarts.sources import seeds
 from flightmarts.sources.lake import read_lake
 from flightmarts.sources.raw import month_raw_path, read_raw
+from flightmarts.sources.seeds import literal_frame
 
 
 def build_marts(enriched: DataFrame) -> dict[str, DataFrame]:
@@ -80,6 +83,7 @@ class Reconciliation:
     rows_out: int
     months: list[tuple[int, int]]
     emptied: list[tuple[int, int]]
+    by_month: DataFrame | None = None
 
     @property
     def dropped(self) -> int:
@@ -110,9 +114,33 @@ def backfill(
     months = month_list(start, end)
     paths = [month_raw_path(raw_root, y, m, compressed) for y, m in months]
     obs = Observation("backfill_in")
-    raw = read_raw(spark, paths).observe(obs, F.count(F.lit(1)).alias("rows"))
+    ym = F.col("Year").cast("int") * 100 + F.col("Month").cast("int")
+    # rows in per requested month, observed on the same scan (one counter per month)
+    per_month = [F.count_if(ym == y * 100 + m).alias(f"m{y * 100 + m}") for y, m in months]
+    raw = read_raw(spark, paths).observe(obs, F.count(F.lit(1)).alias("rows"), *per_month)
     report = overwrite_months(clean(raw), lake_root, months)
-    return Reconciliation(int(obs.get["rows"]), report.rows, report.months, report.emptied)
+    got = obs.get
+    rows_in = {(y, m): int(got[f"m{y * 100 + m}"]) for y, m in months}
+    return Reconciliation(
+        int(got["rows"]), report.rows, report.months, report.emptied,
+        by_month=month_reconciliation(spark, rows_in, lake_root),
+    )
+
+
+def month_reconciliation(spark: SparkSession, rows_in: dict[tuple[int, int], int], lake_root: str) -> DataFrame:
+    """(year, month, rows_in, rows_out, dropped) for the given months.
+
+    ``rows_in`` was observed on the raw scan; ``rows_out`` is counted from the
+    lake, pruned to those months. Months with no rows left show ``rows_out`` 0.
+    """
+    schema = T.StructType([T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType()),
+                           T.StructField("rows_in", T.LongType())])
+    requested = literal_frame(spark, [(y, m, n) for (y, m), n in sorted(rows_in.items())], schema)
+    out = rows_by_month(read_lake(spark, lake_root, list(rows_in))).withColumnRenamed("rows", "rows_out")
+    rows_out = F.coalesce(F.col("rows_out"), F.lit(0).cast("long"))
+    return requested.join(out, ["year", "month"], "left").select(
+        "year", "month", "rows_in", rows_out.alias("rows_out"), (F.col("rows_in") - rows_out).alias("dropped")
+    )
 
 
 def month_list(start: str, end: str) -> list[tuple[int, int]]:

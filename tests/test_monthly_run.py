@@ -60,3 +60,7 @@ def test_clean_history_and_backfill(spark, tmp):
     assert again.months == [(2001, 7), (2001, 8)] and again.emptied == []
     counts = {(r["year"], r["month"]): r["rows"] for r in rows_by_month(spark.read.parquet(f"{tmp}/lake")).collect()}
     assert sum(counts.values()) == full.rows_out   # the re-run replaced, not appended
+    per = {(r["year"], r["month"]): r for r in again.by_month.collect()}
+    assert sorted(per) == [(2001, 7), (2001, 8)]
+    assert sum(r["rows_in"] for r in per.values()) == again.rows_in
+    assert all(r["rows_out"] == counts[k] and r["dropped"] == r["rows_in"] - r["rows_out"] for k, r in per.items())
