@@ -10,6 +10,7 @@ recomputing the legs.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -103,16 +104,24 @@ def clean_history(spark: SparkSession, input_glob: str | list[str], lake_root: s
 
 
 def backfill(
-    spark: SparkSession, raw_root: str, start: str, end: str, lake_root: str, compressed: bool = True
+    spark: SparkSession,
+    raw_root: str,
+    start: str,
+    end: str,
+    lake_root: str,
+    compressed: bool = True,
+    path_of: Callable[[str, int, int], str] | None = None,
 ) -> Reconciliation:
     """Clean a range of months in one job (instead of one job per month).
 
     The inclusive month list is expanded on the driver (a few hundred entries at
     most), the month files are read together, and one dynamic overwrite
     replaces exactly those months; a month whose file is now empty is emptied.
+    ``path_of(root, year, month)`` overrides the raw-zone path rule.
     """
     months = month_list(start, end)
-    paths = [month_raw_path(raw_root, y, m, compressed) for y, m in months]
+    rule = path_of or (lambda root, y, m: month_raw_path(root, y, m, compressed))
+    paths = [rule(raw_root, y, m) for y, m in months]
     obs = Observation("backfill_in")
     ym = F.col("Year").cast("int") * 100 + F.col("Month").cast("int")
     # rows in per requested month, observed on the same scan (one counter per month)

@@ -447,6 +447,7 @@ select rows_in, rows_out, rows_in - rows_out as dropped from (
         "monthly_otp": over_marts("select * from fct_monthly_otp"),
         "route_performance": over_marts("select * from fct_route_performance"),
         "airport_congestion": over_marts("select * from fct_airport_congestion"),
+        "airport_congestion_join": over_marts("select * from fct_airport_congestion"),
         "delay_causes": over_marts("select * from fct_delay_causes"),
         "rows_by_month": over_marts(_months_sql()),
         "rows_by_month_running": over_marts(
@@ -459,6 +460,17 @@ select rows_in, rows_out, rows_in - rows_out as dropped from (
             f"where year = {dy} and month = {dm} group by year, month, carrier_code"),
         "partition_from_path": over_marts(_months_sql()),
         "month_overwrite": over_marts(_months_sql(f"where not (year = {ey} and month = {em})")),
+        "backfill_months": over_marts("""
+, raw_in as (
+    select year, month,
+           count(*) + count_if(cast(flight_number as bigint) % 10 = 0) as rows_in
+    from legs group by year, month
+),
+kept as (select year, month, count(*) as rows_out from clean group by year, month)
+select r.year, r.month, cast(r.rows_in as bigint) as rows_in,
+       cast(coalesce(k.rows_out, 0) as bigint) as rows_out,
+       cast(r.rows_in - coalesce(k.rows_out, 0) as bigint) as dropped
+from raw_in r left join kept k on r.year = k.year and r.month = k.month"""),
         "full_reload": over_marts(
             "select year, month, cast(count(*) as bigint) as rows, cast(count(*) as bigint) as stamped_rows "
             "from clean group by year, month"),

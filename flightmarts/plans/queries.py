@@ -22,7 +22,7 @@ from flightmarts.operators import marts
 from flightmarts.operators import reconcile as R
 from flightmarts.operators.clean import clean, deduplicate, drop_missing_keys
 from flightmarts.operators.enrich import enrich, stage
-from flightmarts.plans.monthly import materialize_marts
+from flightmarts.plans.monthly import backfill, materialize_marts
 from flightmarts.schema import FLIGHT_KEY, VARCHAR_LENGTHS
 from flightmarts.sinks import export as X
 from flightmarts.sinks.lake import load_full, overwrite_months, write_lake
@@ -69,6 +69,28 @@ def raw_csv(spark: SparkSession, sf_dir: str) -> str:
     return ws["raw_csv"]
 
 
+def raw_by_month(spark: SparkSession, sf_dir: str) -> str:
+    """The all-string raw files landed one folder per month (one file each)."""
+    ws = _ws(spark, sf_dir)
+    if "raw_by_month" not in ws:
+        path = scratch_path(spark, "raw-monthly")
+        (
+            raw_strings(legs(spark, sf_dir))
+            .withColumn("landed_year", F.col("Year"))
+            .withColumn("landed_month", F.col("Month"))
+            .repartition("landed_year", "landed_month")
+            .write.partitionBy("landed_year", "landed_month")
+            .option("header", "true")
+            .csv(path)
+        )
+        ws["raw_by_month"] = path
+    return ws["raw_by_month"]
+
+
+def landed_month_path(root: str, year: int, month: int) -> str:
+    return f"{root}/landed_year={year}/landed_month={month}/*.csv"
+
+
 def lake_root(spark: SparkSession, sf_dir: str) -> str:
     """The Parquet lake of the cleaned legs, written once per session."""
     ws = _ws(spark, sf_dir)
@@ -158,6 +180,21 @@ def q_delay_causes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.delay_causes(enriched_lake(spark, sf_dir))
 
 
+def q_airport_congestion_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The airport mart as two endpoint aggregates and a full outer join."""
+    return marts.airport_congestion_by_join(enriched_lake(spark, sf_dir))
+
+
+def q_backfill_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every month's raw files cleaned in one backfill job; rows in,
+    out and dropped per month."""
+    bounds = R.month_bounds(lake(spark, sf_dir))
+    start, end = (f"{d.year}-{d.month:02d}" for d in bounds)
+    rec = backfill(spark, raw_by_month(spark, sf_dir), start, end, scratch_path(spark, "lake-backfill"),
+                   path_of=landed_month_path)
+    return rec.by_month
+
+
 def q_rows_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.rows_by_month(lake(spark, sf_dir))
 
@@ -301,6 +338,7 @@ QUERIES: dict[str, Query] = {
     "monthly_otp": q_monthly_otp,
     "route_performance": q_route_performance,
     "airport_congestion": q_airport_congestion,
+    "airport_congestion_join": q_airport_congestion_join,
     "delay_causes": q_delay_causes,
     "rows_by_month": q_rows_by_month,
     "rows_by_month_running": q_rows_by_month_running,
@@ -309,6 +347,7 @@ QUERIES: dict[str, Query] = {
     "data_month_slice": q_data_month_slice,
     "partition_from_path": q_partition_from_path,
     "month_overwrite": q_month_overwrite,
+    "backfill_months": q_backfill_months,
     "full_reload": q_full_reload,
     "incremental_load": q_incremental_load,
     "bounded_lengths": q_bounded_lengths,
