@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightmarts.functions.months import freshness_floor
+from flightmarts.functions.months import FRESHNESS_MONTHS
 
 RESULT_COLUMNS = [
     "suite", "expectation", "column_name", "arguments",
@@ -142,8 +142,8 @@ def decision(results: DataFrame) -> DataFrame:
 
 
 def freshness_floor_date(as_of: dt.date) -> dt.date:
-    """First day of (as_of month - 4), via the same column rule the library uses."""
-    m = as_of.month - 4
+    """First day of (as_of month - 4): the driver-side twin of ``functions.months.freshness_floor``."""
+    m = as_of.month - FRESHNESS_MONTHS
     y = as_of.year + (m - 1) // 12
     return dt.date(y, (m - 1) % 12 + 1, 1)
 
@@ -196,7 +196,6 @@ __all__ = [
     "decision",
     "default_suites",
     "evaluate",
-    "freshness_floor",
     "freshness_floor_date",
     "suite_stats",
 ]

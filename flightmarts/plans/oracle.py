@@ -185,8 +185,6 @@ def with_ctes(*ctes: str) -> str:
     return "with " + ",".join(ctes)
 
 
-BASE = with_ctes(LEGS, CLEAN, STG, ENRICHED)
-
 MONTHLY_OTP = f"""
 fct_monthly_otp as (
     select month_start, carrier_code, carrier_name,
