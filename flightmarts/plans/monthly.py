@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flightmarts.functions.months import year_month
+from flightmarts.jobs import run_concurrently
 from flightmarts.operators import checks as C
 from flightmarts.operators import gate as G
 from flightmarts.operators import marts as M
@@ -48,14 +49,16 @@ def materialize(spark: SparkSession, frames: dict[str, DataFrame], root: str) ->
     """Write each frame as a Parquet table under ``root`` and read it back (K9).
 
     Writing is also the lineage cut: downstream checks and gate read files in
-    shared storage, not a recomputation, and survive executor loss.
+    shared storage, not a recomputation, and survive executor loss. The writes
+    are independent jobs and are submitted concurrently.
     """
-    out = {}
-    for name, df in frames.items():
-        path = f"{root.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        out[name] = spark.read.schema(df.schema).parquet(path)
-    return out
+    paths = {name: f"{root.rstrip('/')}/{name}" for name in frames}
+
+    def writer(name: str) -> Callable[[], None]:
+        return lambda: frames[name].write.mode("overwrite").parquet(paths[name])
+
+    run_concurrently({name: writer(name) for name in frames})
+    return {name: spark.read.schema(df.schema).parquet(paths[name]) for name, df in frames.items()}
 
 
 def materialize_marts(spark: SparkSession, enriched: DataFrame, root: str) -> dict[str, DataFrame]:

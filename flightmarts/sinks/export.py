@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flightmarts.jobs import run_concurrently
 from flightmarts.schema import EXPORT_CASTS, EXPORT_TABLES, ROWS_PER_REQUEST
 
 
@@ -36,18 +37,22 @@ def write_export(marts: dict[str, DataFrame], out_dir: str) -> dict[str, int]:
     NULL fields are written (``ignoreNullFields=false``) so every request row
     carries the full schema.
     """
-    totals = {}
-    for table, mart in marts.items():
-        obs = Observation(f"export_{table}")
-        frame = export_frame(mart, table).observe(obs, F.count(F.lit(1)).alias("rows"))
-        (
-            frame.write.mode("overwrite")
-            .option("maxRecordsPerFile", ROWS_PER_REQUEST)
-            .option("ignoreNullFields", "false")
-            .json(f"{out_dir.rstrip('/')}/{table}")
-        )
-        totals[table] = int(obs.get["rows"])
-    return totals
+    def push(table: str, mart: DataFrame):
+        def run() -> int:
+            obs = Observation(f"export_{table}")
+            frame = export_frame(mart, table).observe(obs, F.count(F.lit(1)).alias("rows"))
+            (
+                frame.write.mode("overwrite")
+                .option("maxRecordsPerFile", ROWS_PER_REQUEST)
+                .option("ignoreNullFields", "false")
+                .json(f"{out_dir.rstrip('/')}/{table}")
+            )
+            return int(obs.get["rows"])
+
+        return run
+
+    # tables are independent: one job each, submitted side by side
+    return run_concurrently({table: push(table, mart) for table, mart in marts.items()})
 
 
 def read_export(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
