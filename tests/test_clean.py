@@ -100,3 +100,16 @@ def test_column_pruning_reaches_csv_scan(spark, tmp):
     plan = df._jdf.queryExecution().executedPlan().toString()
     read_schema = plan.split("ReadSchema: ")[1].split("\n")[0]
     assert "Reporting_Airline" in read_schema and "Extra" not in read_schema and "TaxiIn" not in read_schema
+
+
+def test_trailing_comma_files_are_read(spark, tmp):
+    # the source files end every line with a comma (an empty last column)
+    os.makedirs(f"{tmp}/trail")
+    rows = [raw_row(), raw_row(Flight_Number_Reporting_Airline="2")]
+    with open(f"{tmp}/trail/ontime.csv", "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(HEADER + ["Extra", ""])
+        for r in rows:
+            w.writerow([r[h] for h in HEADER + ["Extra"]] + [""])
+    out = clean(read_raw(spark, f"{tmp}/trail/*.csv"))
+    assert sorted(r["flight_number"] for r in out.collect()) == ["100", "2"]
