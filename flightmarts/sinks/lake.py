@@ -1,9 +1,10 @@
 """Lake and raw-table writes: partitioned, month-scoped, idempotent.
 
-All writes go through ``DataFrameWriter`` with ``partitionBy("year", "month")``
-after a ``rebalance`` hint on the same columns, so each month lands together
-while AQE still splits an oversized month into several tasks (no
-``coalesce(1)`` single-task writes). Row counts and the set of months
+All writes go through ``DataFrameWriter`` with ``partitionBy("year", "month")``.
+Writes of data not yet laid out by month (cleaned raw rows) first ``rebalance``
+on the same columns, so each month lands together while AQE still splits an
+oversized month into several tasks (no ``coalesce(1)`` single-task writes);
+copies out of the lake are map-only. Row counts and the set of months
 written are collected by an ``Observation`` during the write itself: no
 second scan of the input, no cache.
 """
@@ -42,10 +43,17 @@ def _observe(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return observed, obs
 
 
-def _writer(df: DataFrame, mode: str, dynamic: bool):
+def _writer(df: DataFrame, mode: str, dynamic: bool, rebalance: bool = True):
+    """Partitioned Parquet writer.
+
+    ``rebalance`` shuffles rows by month first so each month lands in few,
+    well-sized files; inputs already laid out by month (reads of the lake)
+    skip it, so copying the lake is a map-only job without a shuffle.
+    """
+    if rebalance:
+        df = df.hint("rebalance", *PARTITION_COLUMNS)
     w = (
-        df.hint("rebalance", *PARTITION_COLUMNS)
-        .write.mode(mode)
+        df.write.mode(mode)
         .partitionBy(*PARTITION_COLUMNS)
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .option("compression", "snappy")
@@ -128,12 +136,13 @@ def _bounded(lake: DataFrame, lengths: dict[str, int] | None) -> DataFrame:
 def load_full(lake: DataFrame, raw_root: str, lengths: dict[str, int] | None = VARCHAR_LENGTHS) -> WriteReport:
     """Truncate-and-load the raw table from the whole lake (K4, K7, K8).
 
+    The lake is already laid out by month, so the copy is map-only (no shuffle).
     ``lengths`` are the table's VARCHAR bounds: a longer value aborts the load,
     as a bounded warehouse table would. ``None`` loads values as they are.
     """
     df = _bounded(lake, lengths)
     observed, obs = _observe(df, "load_full")
-    _writer(observed, "overwrite", dynamic=False).parquet(raw_root)
+    _writer(observed, "overwrite", dynamic=False, rebalance=False).parquet(raw_root)
     return _report(obs)
 
 
@@ -151,7 +160,7 @@ def load_months(
 
     df = _bounded(lake.where(month_filter(months)), lengths)
     observed, obs = _observe(df, "load_months")
-    _writer(observed, "overwrite", dynamic=True).parquet(raw_root)
+    _writer(observed, "overwrite", dynamic=True, rebalance=False).parquet(raw_root)
     report = _report(obs)
     emptied = sorted(set(months) - set(report.months))
     if emptied:
