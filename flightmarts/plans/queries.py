@@ -3,8 +3,8 @@
 Every query starts from the flight-leg projection of the whole test tables
 (``sources.fixture.legs``), so its work grows with them. Artefacts that the
 real pipeline keeps in storage (raw CSV files, the Parquet lake, the mart
-tables) are written once per session and scale under the shared checkpoint
-folder and read back by the queries that need them.
+tables) are written once per session and scale factor under the shared
+checkpoint folder, and read back by the queries that need them.
 """
 
 from __future__ import annotations
