@@ -142,6 +142,7 @@ def main() -> None:
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "clean_rows_per_sec": round(rows_in / times["clean_to_lake"]) if times["clean_to_lake"] else None,
+        "pipeline_rows_per_sec": round(rows_in / total) if total else None,
         "cpus": cpus,
         **info,
     }))
