@@ -64,3 +64,28 @@ def test_clean_history_and_backfill(spark, tmp):
     assert sorted(per) == [(2001, 7), (2001, 8)]
     assert sum(r["rows_in"] for r in per.values()) == again.rows_in
     assert all(r["rows_out"] == counts[k] and r["dropped"] == r["rows_in"] - r["rows_out"] for k, r in per.items())
+
+
+def test_run_month_gate_closed_and_check_errors(spark, tmp):
+    from flightmarts.operators.gate import Bands
+
+    clean = Q.clean_legs(spark, SF_SMALL)
+    lake, raw_table = f"{tmp}/lake", f"{tmp}/raw"
+    write_lake(clean, lake)
+    load_full(spark.read.parquet(lake), raw_table, lengths=None)
+    month = legs(spark, SF_SMALL).where((F.col("year") == 2001) & (F.col("month") == 8))
+    raw_strings(month).write.option("header", "true").csv(f"{tmp}/landing")
+    kwargs = dict(
+        raw_paths=[f"{tmp}/landing/*.csv"], month="2001-08", lake_root=lake, raw_root=raw_table,
+        marts_root=f"{tmp}/marts", export_root=f"{tmp}/export", as_of=dt.date(2001, 9, 15), lengths=None,
+    )
+    # full-history bands: the small fixture is far below them, so nothing is published
+    closed = run_month(spark, bands=Bands(), carriers=fixture_carriers(spark, SF_SMALL), **kwargs)
+    assert closed.gate_open is False and closed.exported == {}
+    assert not os.path.exists(f"{tmp}/export")
+    failed = {r["expectation"] for r in closed.gate_rows if not r["success"]}
+    assert failed == {"row_count_between"}
+    # a duplicated carrier code breaks the seed's unique test (error severity): the run stops
+    dup = fixture_carriers(spark, SF_SMALL)
+    with pytest.raises(RuntimeError, match="carriers.unique"):
+        run_month(spark, bands=BANDS_SF0001, carriers=dup.unionByName(dup.limit(1)), **kwargs)
