@@ -17,7 +17,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from flightmarts.schema import DATA_COLUMNS, LAKE_DATA_SCHEMA, PARTITION_COLUMNS, VARCHAR_LENGTHS
+from flightmarts.schema import (
+    DATA_COLUMNS,
+    FLIGHT_SCHEMA,
+    LAKE_DATA_SCHEMA,
+    PARTITION_COLUMNS,
+    VARCHAR_LENGTHS,
+)
+from flightmarts.sources.lake import month_filter
 from flightmarts.sources.seeds import literal_frame
 
 # Upper bound of rows per Parquet file; a month of ~600K legs is one file,
@@ -156,8 +163,6 @@ def load_months(
     partitions are replaced whole, so a re-run never duplicates and never
     leaves a month half-deleted."""
     months = list(months)
-    from flightmarts.sources.lake import month_filter
-
     df = _bounded(lake.where(month_filter(months)), lengths)
     observed, obs = _observe(df, "load_months")
     _writer(observed, "overwrite", dynamic=True, rebalance=False).parquet(raw_root)
@@ -170,3 +175,33 @@ def load_months(
                 f"{raw_root.rstrip('/')}/year={y}/month={m}"
             )
     return WriteReport(rows=report.rows, months=report.months, emptied=emptied)
+
+
+def raw_table_ddl(name: str, location: str, lengths: dict[str, int] = VARCHAR_LENGTHS) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` for the raw table: VARCHAR bounds, audit column,
+    partitioned by year/month, stored as Parquet at ``location`` (K8, S6)."""
+    cols = []
+    for f in FLIGHT_SCHEMA.fields:
+        if f.name in PARTITION_COLUMNS:
+            continue
+        sql_type = f"VARCHAR({lengths[f.name]})" if f.name in lengths else f.dataType.simpleString().upper()
+        cols.append(f"  `{f.name}` {sql_type}")
+    cols.append("  `_loaded_at` TIMESTAMP_NTZ")
+    cols += ["  `year` INT", "  `month` INT"]
+    body = ",\n".join(cols)
+    return (
+        f"CREATE TABLE IF NOT EXISTS {name} (\n{body}\n) USING parquet "
+        f"PARTITIONED BY (year, month) LOCATION '{location}'"
+    )
+
+
+def declare_raw_table(spark, name: str, location: str, lengths: dict[str, int] = VARCHAR_LENGTHS):
+    """Create the raw table in the catalog if absent and register the month
+    partitions present at its location; returns ``spark.table(name)``.
+
+    Inserts through the catalog (``insertInto``/``INSERT``) enforce the VARCHAR
+    bounds natively (a too-long value fails with ``EXCEED_LIMIT_LENGTH``).
+    """
+    spark.sql(raw_table_ddl(name, location, lengths))
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return spark.table(name)

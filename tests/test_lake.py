@@ -11,7 +11,15 @@ from flightmarts.operators.reconcile import (
     rows_by_month,
     rows_by_month_running,
 )
-from flightmarts.sinks.lake import load_full, load_months, overwrite_months, write_lake
+from flightmarts.sinks.lake import (
+    declare_raw_table,
+    load_full,
+    load_months,
+    overwrite_months,
+    raw_table_ddl,
+    with_audit,
+    write_lake,
+)
 from flightmarts.sources.lake import read_lake, read_lake_files
 from tests.conftest import make_legs
 
@@ -82,3 +90,16 @@ def test_counts_and_gaps(spark, tmp):
     assert [(r["year"], r["month"]) for r in todo] == [(2023, 11), (2023, 12), (2024, 4)]
     with pytest.raises(Exception):
         month_spine(spark, "2024-05", "2024-01").collect()
+
+
+def test_declared_raw_table(spark, tmp, three_months):
+    ddl = raw_table_ddl("raw_flights_t", f"{tmp}/rawt")
+    assert "`origin_state` VARCHAR(4)" in ddl and "`_loaded_at` TIMESTAMP_NTZ" in ddl
+    write_lake(three_months, f"{tmp}/lake")
+    load_full(read_lake(spark, f"{tmp}/lake"), f"{tmp}/rawt")
+    table = declare_raw_table(spark, "raw_flights_t", f"{tmp}/rawt")
+    assert month_rows(table) == {(2024, 1): 3, (2024, 2): 2, (2024, 3): 1}
+    too_long = make_legs(spark, [{"origin_state": "EUROPE", "flight_date": dt.date(2024, 4, 1)}])
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH|exceeds"):
+        with_audit(too_long).select(*table.columns).write.insertInto("raw_flights_t")
+    spark.sql("DROP TABLE raw_flights_t")
