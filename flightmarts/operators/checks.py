@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flightmarts.operators.enrich import staging_column
 from flightmarts.schema import FLIGHT_KEY
 
 RESULT_SCHEMA = "relation string, check_name string, column_name string, severity string, failures bigint"
@@ -37,9 +38,9 @@ class Check:
         return self.kind in ("unique", "unique_combination")
 
 
-def _fails(check: Check) -> Column:
+def _fails(check: Check, col=F.col) -> Column:
     """Predicate that is TRUE exactly on a failing row (NULL never fails)."""
-    c = F.col(check.columns[0])
+    c = col(check.columns[0])
     if check.kind == "not_null":
         return c.isNull()
     if check.kind == "accepted_values":
@@ -54,13 +55,17 @@ def _fails(check: Check) -> Column:
     raise ValueError(f"not a row-level check: {check.kind}")
 
 
-def failing_rows(df: DataFrame, check: Check) -> DataFrame:
-    """The rows a check reports: violating rows, or duplicated key groups."""
+def failing_rows(df: DataFrame, check: Check, col=F.col) -> DataFrame:
+    """The rows a check reports: violating rows, or duplicated key groups.
+
+    ``col`` maps a column name to its expression over ``df`` (identity unless
+    the checked relation is a view evaluated on its base relation).
+    """
     if check.is_grain:
-        cols = list(check.columns)
-        grouped = df.where(F.col(cols[0]).isNotNull()) if check.kind == "unique" else df
-        return grouped.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1")
-    return df.where(_fails(check))
+        keys = [col(c).alias(c) for c in check.columns]
+        grouped = df.where(col(check.columns[0]).isNotNull()) if check.kind == "unique" else df
+        return grouped.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1")
+    return df.where(_fails(check, col))
 
 
 def _row(check: Check, failures: Column) -> Column:
@@ -73,22 +78,36 @@ def _row(check: Check, failures: Column) -> Column:
     )
 
 
+# Relations that are fixed projections of another relation: their checks run
+# on the base relation through the view's column expressions, so the base is
+# scanned once for the row-level checks of both.
+VIEWS = {"stg_flights": ("raw_flights", staging_column)}
+
+
 def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
-    """One result row per check: relation, check, column(s), severity, failures."""
+    """One result row per check: relation, check, column(s), severity, failures.
+
+    Row-level checks are grouped per scanned relation into one aggregate; a
+    view listed in ``VIEWS`` whose base relation is also given is evaluated on
+    the base (its results keep the view's name).
+    """
     parts: list[DataFrame] = []
-    by_relation: dict[str, list[Check]] = {}
+    by_source: dict[str, list[tuple[Check, object]]] = {}
     for chk in checks:
-        by_relation.setdefault(chk.relation, []).append(chk)
-    for relation, rel_checks in by_relation.items():
-        df = tables[relation]
-        row_checks = [c for c in rel_checks if not c.is_grain]
+        source, col = chk.relation, F.col
+        if chk.relation in VIEWS and VIEWS[chk.relation][0] in tables:
+            source, col = VIEWS[chk.relation]
+        by_source.setdefault(source, []).append((chk, col))
+    for source, items in by_source.items():
+        df = tables[source]
+        row_checks = [(c, col) for c, col in items if not c.is_grain]
         if row_checks:
-            agg = df.agg(*[F.count_if(_fails(c)).alias(f"_c{i}") for i, c in enumerate(row_checks)])
+            agg = df.agg(*[F.count_if(_fails(c, col)).alias(f"_c{i}") for i, (c, col) in enumerate(row_checks)])
             parts.append(
-                agg.select(F.inline(F.array(*[_row(c, F.col(f"_c{i}")) for i, c in enumerate(row_checks)])))
+                agg.select(F.inline(F.array(*[_row(c, F.col(f"_c{i}")) for i, (c, _) in enumerate(row_checks)])))
             )
-        for chk in (c for c in rel_checks if c.is_grain):
-            n = failing_rows(df, chk).agg(F.count(F.lit(1)).alias("_n"))
+        for chk, col in ((c, col) for c, col in items if c.is_grain):
+            n = failing_rows(df, chk, col).agg(F.count(F.lit(1)).alias("_n"))
             parts.append(n.select(F.inline(F.array(_row(chk, F.col("_n"))))))
     out = parts[0]
     for p in parts[1:]:

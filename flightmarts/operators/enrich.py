@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightmarts.functions.flags import is_on_time, is_reportable_arrival
@@ -19,18 +19,20 @@ ENRICHED_EXTRA = [
 ENRICHED_COLUMNS = FLIGHT_COLUMNS + ENRICHED_EXTRA
 
 
+def staging_column(name: str) -> Column:
+    """The staging expression of one column over the raw relation."""
+    if name == "cancellation_code":
+        return F.nullif(F.col(name), F.lit(""))
+    return F.col(name)
+
+
 def stage(flights: DataFrame) -> DataFrame:
     """Explicit 34-column staging projection; ``''`` cancellation code -> NULL.
 
     The list is explicit so a new raw column (or the load audit column) cannot
     leak downstream.
     """
-    return flights.select(
-        *[
-            F.nullif(F.col(c), F.lit("")).alias(c) if c == "cancellation_code" else F.col(c)
-            for c in FLIGHT_COLUMNS
-        ]
-    )
+    return flights.select(*[staging_column(c).alias(c) for c in FLIGHT_COLUMNS])
 
 
 def enrich(staged: DataFrame, carriers: DataFrame, cancellation_codes: DataFrame) -> DataFrame:
