@@ -57,3 +57,17 @@ def test_ledger_stream_loads_each_file_once(spark, tmp):
     assert incremental_load(spark, lake, target, ckpt) == 1
     counts = {(r["year"], r["month"]): r["rows"] for r in rows_by_month(spark.read.parquet(target)).collect()}
     assert counts == {(2024, 1): 3, (2024, 2): 1}
+
+
+def test_ledger_month_split_across_batches_is_loaded_whole(spark, tmp):
+    lake, target, ckpt = f"{tmp}/lake", f"{tmp}/target", f"{tmp}/ckpt"
+    jan_a = make_legs(spark, [{"flight_date": dt.date(2024, 1, d)} for d in (1, 2)])
+    jan_b = make_legs(spark, [{"flight_date": dt.date(2024, 1, d), "flight_number": f"9{d}"} for d in (3, 4, 5)])
+    # two files in the same month folder
+    jan_a.coalesce(1).write.mode("overwrite").partitionBy("year", "month").parquet(lake)
+    jan_b.coalesce(1).write.mode("append").partitionBy("year", "month").parquet(lake)
+    assert len([f for f in os.listdir(f"{lake}/year=2024/month=1") if f.endswith(".parquet")]) == 2
+    batches = incremental_load(spark, lake, target, ckpt, max_files_per_trigger=1)
+    assert batches == 2
+    counts = {(r["year"], r["month"]): r["rows"] for r in rows_by_month(spark.read.parquet(target)).collect()}
+    assert counts == {(2024, 1): 5}   # not just the 2 or 3 rows of the last batch
