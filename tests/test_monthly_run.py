@@ -54,8 +54,11 @@ def test_clean_history_and_backfill(spark, tmp):
         src = [f for f in os.listdir(f"{tmp}/stage/{y}/{m:02d}") if f.endswith(".csv.gz")][0]
         os.makedirs(f"{tmp}/raw/{y}", exist_ok=True)
         shutil.copy(f"{tmp}/stage/{y}/{m:02d}/{src}", f"{tmp}/raw/{y}/ontime_{y}_{m:02d}.csv.gz")
-    full = clean_history(spark, f"{tmp}/raw/*/*.csv.gz", f"{tmp}/lake")
+    full = clean_history(spark, f"{tmp}/raw/*/*.csv.gz", f"{tmp}/lake", by_month=True)
     assert full.months == [(2001, 6), (2001, 7), (2001, 8)] and full.dropped == full.rows_in - full.rows_out
+    per_full = full.by_month.collect()
+    assert len(per_full) == 3 and sum(r["rows_in"] for r in per_full) == full.rows_in
+    assert sum(r["rows_out"] for r in per_full) == full.rows_out
     again = backfill(spark, f"{tmp}/raw", "2001-07", "2001-08", f"{tmp}/lake")
     assert again.months == [(2001, 7), (2001, 8)] and again.emptied == []
     counts = {(r["year"], r["month"]): r["rows"] for r in rows_by_month(spark.read.parquet(f"{tmp}/lake")).collect()}
