@@ -54,3 +54,17 @@ def test_month_arithmetic(spark):
 def test_month_sequence_reversed_fails(spark):
     with pytest.raises(Exception):
         spark.range(1).select(month_sequence(F.lit(dt.date(2025, 3, 1)), F.lit(dt.date(2025, 1, 1)))).collect()
+
+
+def test_exact_ratio_matches_decimal_half_up(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+
+    rng = random.Random(7)
+    pairs = [(rng.randint(-10**12, 10**12), rng.randint(1, 10**7)) for _ in range(300)]
+    pairs += [(k * 5, 1000) for k in range(-40, 41)]           # exact ties at the third decimal
+    df = spark.createDataFrame(pairs, "n long, d long")
+    got = df.select("n", "d", exact_ratio(F.col("n"), F.col("d"), 2).alias("r")).collect()
+    for row in got:
+        want = float((Decimal(row["n"]) / Decimal(row["d"])).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+        assert row["r"] == want, (row["n"], row["d"], row["r"], want)
