@@ -103,3 +103,12 @@ def test_declared_raw_table(spark, tmp, three_months):
     with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH|exceeds"):
         with_audit(too_long).select(*table.columns).write.insertInto("raw_flights_t")
     spark.sql("DROP TABLE raw_flights_t")
+
+
+def test_data_month_slice_prunes_to_one_partition(spark, tmp, three_months):
+    write_lake(three_months, f"{tmp}/lake")
+    df = data_month_slice(read_lake(spark, f"{tmp}/lake"), dt.date(2024, 4, 20))   # owns 2024-02
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "= 2024" in filters and "= 2" in filters
+    assert [(r["year"], r["month"], r["flights"]) for r in df.collect()] == [(2024, 2, 2)]
