@@ -1,4 +1,4 @@
-"""Session-level helpers: shared scratch space and lookup size bounds."""
+"""Session-level helpers: shared scratch space."""
 
 from __future__ import annotations
 
@@ -7,26 +7,21 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Lookups (seeds, nation/region style dimensions) are broadcast only when they
-# hold at most this many rows; anything larger goes through a shuffled join.
-MAX_BROADCAST_ROWS = 100_000
-
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Set on the cluster; only when it is unset (local tests) a private temp
-    folder is created and registered, so lineage cuts and scratch tables always
-    land in storage every executor can reach.
+    A cluster has to set it, because executors can only share tables written to
+    storage that all of them reach. A ``local[*]`` session (tests, bench) without one
+    gets a private folder, registered as the session's checkpoint folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
-        configured = tempfile.mkdtemp(prefix="flightmarts-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+        if context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="flightmarts-ckpt-"))
+        configured = context.getCheckpointDir()
     return configured.rstrip("/")
 
 

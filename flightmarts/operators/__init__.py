@@ -3,10 +3,8 @@
 from flightmarts.operators import checks, gate, marts, reconcile
 from flightmarts.operators.clean import cast_raw, clean, deduplicate, drop_missing_keys
 from flightmarts.operators.enrich import enrich, stage
-from flightmarts.operators.joins import bounded_broadcast
 
 __all__ = [
-    "bounded_broadcast",
     "cast_raw",
     "checks",
     "clean",

@@ -41,9 +41,7 @@ def enrich(staged: DataFrame, carriers: DataFrame, cancellation_codes: DataFrame
     Unknown carrier codes survive with their code as name; a NULL cancellation
     code never matches. The built-in seeds carry a broadcast hint (their size
     is fixed in code); file-backed lookups are broadcast by the planner only
-    under its size threshold, and ``operators.joins.bounded_broadcast`` adds
-    a row-count check for lookups of unknown size. Either way the per-leg work
-    is a map-side hash probe with no shuffle of the legs.
+    under its size threshold, and joined through a shuffle beyond it.
     """
     carriers = carriers.select("carrier_code", F.col("carrier_name").alias("_carrier_name"))
     codes = cancellation_codes.select("cancellation_code", "cancellation_reason")

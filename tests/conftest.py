@@ -25,11 +25,10 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="fm-ckpt-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):  # tests only: set where unset
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="fm-ckpt-"))
     yield s
     s.stop()
 
