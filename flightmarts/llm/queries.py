@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, sentencepiece_bpe, sharding
+from . import decontaminate, pii, sentencepiece_bpe, sharding, toxicity
 from .common import table
 
 SHARDS = 24
@@ -20,6 +20,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digest(docs, PIECE_MODEL, keep=["doc_id"])
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find_personal_data(docs, pii.train(docs), keep=["doc_id"])
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.report(decontaminate.find_contamination(docs, bench, ["doc_id"]))
@@ -33,10 +38,17 @@ def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.report(toxicity.score(docs, toxicity.train(docs, labels), keep=["doc_id"]))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_personal_data": op3_personal_data,
     "op6_decontaminate": op6_decontaminate,
     "op7_hilbert_shards": op7_hilbert_shards,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
