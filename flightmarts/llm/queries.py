@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pii, sentencepiece_bpe, sharding, toxicity
+from . import decontaminate, license_scan, pii, sentencepiece_bpe, sharding, toxicity
 from .common import table
 
 SHARDS = 24
@@ -38,6 +38,10 @@ def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.report(toxicity.score(docs, toxicity.train(docs, labels), keep=["doc_id"]))
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_personal_data": op3_personal_data,
     "op6_decontaminate": op6_decontaminate,
     "op7_hilbert_shards": op7_hilbert_shards,
+    "op9_license_scan": op9_license_scan,
     "op10_toxicity": op10_toxicity,
 }
 
