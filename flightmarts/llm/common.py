@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +19,25 @@ from flightmarts.config import scratch_path
 CHUNK_BYTES = 2 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="flightmarts-py-")) / "flightmarts.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(path))
+    _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -61,6 +82,7 @@ def map_texts(
     ``fn`` gets a slice of the texts and returns one array per field. A derived
     column replaces a kept one of the same name.
     """
+    ship(df.sparkSession)
     keep = [c for c in keep if c not in fields.names]
     schema = T.StructType([df.schema[c] for c in keep] + list(fields))
     source = text if text in keep else "__text"

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import flat_bytes, map_texts, materialize, text_chunks
+from .common import flat_bytes, map_texts, materialize, ship, text_chunks
 from .textscan import ALNUM, Words
 
 WINDOW = 10
@@ -40,6 +40,7 @@ _HIT = T.StructType([
 
 def benchmark_windows(bench: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """Distinct (words, k, item_ids): the window text, its word count, its items as strings."""
+    ship(bench.sparkSession)
 
     def run(batches):
         for batch in batches:

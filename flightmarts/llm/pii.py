@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_texts
+from .common import map_texts, ship
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 3_000
@@ -278,6 +278,7 @@ def _respell(kind: int, value: str, rng: np.random.Generator) -> str:
 
 def training_set(windows: list[str], seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """Codes and tags of the windows, and of a respelled copy of those with a base span."""
+    ship(docs.sparkSession)
     rng = np.random.default_rng(seed)
     rows = []
     for text in windows:

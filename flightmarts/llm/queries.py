@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, license_scan, pii, sentencepiece_bpe, sharding, toxicity
+from . import decontaminate, license_scan, minhash, pii, quantization, sentencepiece_bpe, sharding, toxicity
 from .common import table
 
 SHARDS = 24
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=2, threshold=0.8)
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return sentencepiece_bpe.digest(docs, PIECE_MODEL, keep=["doc_id"])
@@ -38,6 +42,10 @@ def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quantization.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -48,10 +56,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash": op1_minhash,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_personal_data": op3_personal_data,
     "op6_decontaminate": op6_decontaminate,
     "op7_hilbert_shards": op7_hilbert_shards,
+    "op8_embeddings": op8_embeddings,
     "op9_license_scan": op9_license_scan,
     "op10_toxicity": op10_toxicity,
 }

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, ship
 
 BITS = 7
 
@@ -77,6 +77,7 @@ def _log_size(size: Column) -> Column:
 def hilbert_shards(df: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "text",
                    categories: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """doc_id, the dimensions, size, text_crc32, curve, shard, slot."""
+    ship(df.sparkSession)
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8
 
     @F.pandas_udf("long")
