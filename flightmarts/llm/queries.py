@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, license_scan, minhash, pii, quantization, sentencepiece_bpe, sharding, toxicity
+from . import decontaminate, license_scan, minhash, pii, quantization, sentencepiece_bpe, sharding, suffix_dedup, toxicity
 from .common import table
 
 SHARDS = 24
@@ -29,6 +29,10 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(docs, pii.train(docs), keep=["doc_id"])
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bench = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.report(decontaminate.find_contamination(docs, bench, ["doc_id"]))
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_personal_data": op3_personal_data,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_hilbert_shards": op7_hilbert_shards,
     "op8_embeddings": op8_embeddings,
