@@ -1,29 +1,57 @@
-"""Corpus pipeline: stages over ``documents``, each written and read back."""
+"""Corpus pipeline: stages over ``documents``, each written and read back.
+
+Toxic documents go, one document of each near-duplicate group stays, documents with
+benchmark passages go, personal data is redacted, and the rest is tokenized. Every
+stage but the last returns the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flightmarts.llm import decontaminate, queries, sentencepiece_bpe
+from flightmarts.llm import decontaminate, minhash, pii, queries, sentencepiece_bpe, toxicity
 from flightmarts.llm.common import materialize, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark window go."""
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below one half."""
+    docs = docs.select(*COLUMNS)
+    return toxicity.keep_clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of each group of similarity 0.8 on five-word shingles."""
+    return minhash.drop_near_duplicates(docs.select(*COLUMNS), k=5, threshold=0.8)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any benchmark window."""
     return decontaminate.decontaminate(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"), mode="documents")
 
 
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind; n_chars follows the new text."""
+    docs = docs.select(*COLUMNS)
+    redacted = pii.remove_personal_data(docs, pii.train(docs))
+    return redacted.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their token ids, kept only if the ids decode to the text."""
-    return sentencepiece_bpe.encode(docs.select(*COLUMNS), queries.PIECE_MODEL)
+    """All documents with their token ids and the digest of what the ids decode to."""
+    made = sentencepiece_bpe.encode_decode(docs.select(*COLUMNS), queries.PIECE_MODEL)
+    return made.select(*COLUMNS, "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("decontamination", decontamination),
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("personal_data", redact_personal_data),
     ("tokens", tokens),
 ]
 

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, license_scan, minhash, pii, quantization, sentencepiece_bpe, sharding, suffix_dedup, toxicity
+from flightmarts.config import scratch_path
+
+from . import decontaminate, license_scan, minhash, pii, quantization, sentencepiece_bpe, sharding, suffix_dedup, token_counts, toxicity
 from .common import table
 
 SHARDS = 24
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +33,27 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(docs, pii.train(docs), keep=["doc_id"])
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert all documents under two tokenizer versions, delete those of quality 0, revise
+    those whose repeated lines go, apply the deletes again (no effect), and read the totals."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    with open(BYTE_BPE, "rb") as f:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+    byte_pairs = token_counts.BytePairCounter("byte_bpe_50k", ranks, public_tokenizers.PATTERN)
+
+    def counted(rows: DataFrame) -> DataFrame:
+        words = token_counts.count_tokens(rows, "words", token_counts.count_words)
+        return words.unionByName(token_counts.count_tokens(rows, "byte_bpe_50k", byte_pairs))
+
+    rollup = token_counts.TokenRollup(spark, scratch_path(spark, "token-rollup"))
+    low = table(spark, sf_dir, "labels").where("quality = 0")
+    rollup.apply("0001-load", inserts=counted(docs))
+    rollup.apply("0002-low-quality", deletes=low)
+    rollup.apply("0003-repeated-lines", revisions=counted(token_counts.without_repeated_lines(docs)))
+    rollup.apply("0002-low-quality", deletes=low)
+    return rollup.totals()
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -63,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_personal_data": op3_personal_data,
+    "op4_token_counts": op4_token_counts,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_hilbert_shards": op7_hilbert_shards,
