@@ -6,10 +6,13 @@ Forward-backward gives every word's marginal; a document's score is a logistic f
 of the expected number of toxic words and the largest marginal, and the words whose
 marginal reaches one half are reported with their offsets.
 
-``labels.toxic`` marks documents, so the words are labelled from it first: a feature
-found in many toxic and next to no clean documents of the training sample marks its words.
-The sample is the only thing bounded: ``SAMPLE`` documents of each class, those of the
-smallest hash of their id, from rows outside the held-out fold. Scoring uses the text alone.
+``labels.toxic`` marks documents, so the words are labelled from it first. Features whose
+document frequency among toxic documents is far above that among clean ones are the
+only ones with a weight; those that explain the toxicity of the training documents mark
+their words. Two samples of labelled rows outside the held-out fold are bounded, both by the
+smallest hash of the id: ``COUNTED`` documents of each class for the frequencies, which are
+counted where the documents are, and ``SAMPLE`` of each class for the chain, which the
+driver fits. Scoring uses the text alone.
 
 Defined results: null and empty texts have no words and get the model's score for no
 evidence; without labelled rows of both classes every score is 0; repeated rows are scored
@@ -26,16 +29,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import flat_bytes, map_texts, text_chunks
+from .common import flat_bytes, map_texts, ship, text_chunks
 from .textscan import ALNUM, Words, mix, prefix_hash, substring_hash
 
-SAMPLE = 2_000
+COUNTED = 20_000
+SAMPLE = 1_000
+LEAST_RATIO = 20  # document frequency, toxic to clean
 BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6, 7)
 SUFFIX = 4
 WINDOW = 48  # words of a training sequence
 ROUNDS = 60
-SEQUENCES = 4_000  # training sequences of each kind: toxic words, words like them, neither
+SEQUENCES = 3_000  # training sequences of each kind: toxic words, words like them, neither
 LEAST_DOCS = 5  # a feature explains at least so many toxic documents
 LATER_SHARE = 0.02  # and this share of them in layers after the first
 FOLDS = 5
@@ -72,6 +77,7 @@ class Chain:
     """Weights by bucket, transition scores ``trans[from, to]``, document calibration."""
 
     weights: np.ndarray
+    bias: float
     trans: np.ndarray
     doc: np.ndarray  # intercept, log(1 + expected count), log odds of the largest marginal
 
@@ -96,8 +102,8 @@ class Chain:
         return fwd, bwd
 
     def marginals(self, features: np.ndarray, first: np.ndarray) -> np.ndarray:
-        emission = self.weights[features[0]].astype(np.float64)
-        for row in features[1:]:
+        emission = np.full(features.shape[1], self.bias)
+        for row in features:
             emission += self.weights[row]
         fwd, bwd = self.messages(emission, first)
         return 1 / (1 + np.exp(-np.clip(fwd + bwd, -60, 60)))
@@ -117,32 +123,32 @@ class Chain:
         return 1 / (1 + np.exp(-np.clip(self.evidence(p, first) @ self.doc, -60, 60)))
 
 
-def _label_words(features: np.ndarray, doc_of: np.ndarray, toxic_doc: np.ndarray) -> np.ndarray:
+def telling(in_toxic: np.ndarray, in_clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """Whether features mark toxic documents, by their document counts in both classes."""
+    ratio = (in_toxic + 0.1) / (n_toxic + 1) / ((in_clean + 0.1) / (n_clean + 1))
+    return (in_toxic >= LEAST_DOCS) & (ratio >= LEAST_RATIO)
+
+
+def _label_words(features: np.ndarray, doc_of: np.ndarray, toxic_doc: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     """1 for words with a feature that explains why documents of the sample are toxic.
 
-    Candidates are features whose smoothed document frequency is at least 20 times higher
-    in toxic documents. They are taken greedily: the one found in the most toxic documents
+    Candidate features are taken greedily: the one found in the most toxic documents
     not explained so far, until it would explain too few more. Then the words found leave
     and the next layer explains the documents again by other words, as most hold several.
     So words that merely repeat across copies of a toxic document are left plain.
     """
     n_docs, n_toxic = len(toxic_doc), toxic_doc.sum()
-    # each word of a document once; ``back`` leads from all words to these
-    _, once, back = np.unique(doc_of * BUCKETS + features[0], return_index=True, return_inverse=True)
-    all_docs, doc_of, features = doc_of, doc_of[once], features[:, once].astype(np.int64)
-    found = np.zeros(len(once), dtype=bool)
+    open_word = np.flatnonzero(toxic_doc[doc_of] & candidates[features].any(axis=0))
+    own, own_doc = features[:, open_word].astype(np.int64), doc_of[open_word]
+    found = np.zeros(len(open_word), dtype=bool)
     least = LEAST_DOCS
     while True:
-        pairs = np.unique((features[:, ~found] * n_docs + doc_of[~found]).ravel())
+        pairs = (own[:, ~found] * n_docs + own_doc[~found]).ravel()
+        pairs = np.unique(pairs[candidates[pairs // n_docs]])
         bucket, doc = pairs // n_docs, pairs % n_docs
-        in_toxic = np.bincount(bucket[toxic_doc[doc]], minlength=BUCKETS)
-        in_clean = np.bincount(bucket[~toxic_doc[doc]], minlength=BUCKETS)
-        ratio = (in_toxic + 0.1) / (n_toxic + 1) / ((in_clean + 0.1) / (n_docs - n_toxic + 1))
-        open_pair = ((in_toxic >= least) & (ratio >= 20))[bucket] & toxic_doc[doc]
-        bucket, doc = bucket[open_pair], doc[open_pair]
         marked = np.zeros(BUCKETS, dtype=bool)
         while len(bucket):
-            gain = np.bincount(bucket, minlength=BUCKETS)
+            gain = np.bincount(bucket)
             best = int(np.argmax(gain))
             if gain[best] < least:
                 break
@@ -151,75 +157,98 @@ def _label_words(features: np.ndarray, doc_of: np.ndarray, toxic_doc: np.ndarray
             explained[doc[bucket == best]] = True
             bucket, doc = bucket[~explained[doc]], doc[~explained[doc]]
         if not marked.any():
-            return (found[back] & toxic_doc[all_docs]).astype(np.float64)
-        found |= marked[features].any(axis=0)
+            labels = np.zeros(len(doc_of))
+            labels[open_word[found]] = 1
+            return labels
+        found |= marked[own].any(axis=0)
         least = max(LEAST_DOCS, int(LATER_SHARE * n_toxic))
 
 
-def fit(texts: list[str], toxic: list[int]) -> Chain | None:
-    """Train on labelled documents (deterministic); None without both classes."""
-    toxic_doc = np.array(toxic, dtype=bool)
-    if not toxic_doc.any() or toxic_doc.all():
-        return None
+def _featurize(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(features of all words, words per text)."""
     parts, counts = [], []
     for part in text_chunks(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["t"]), "t"):
         words = Words(*flat_bytes(part.column("t")), ALNUM)
         parts.append(word_features(words))
         counts.append(words.count)
-    features, count = np.concatenate(parts, axis=1), np.concatenate(counts)
+    return np.concatenate(parts, axis=1), np.concatenate(counts)
+
+
+def document_counts(texts: list[str], toxic: list[int]) -> np.ndarray:
+    """Candidates from the given documents alone."""
+    features, count = _featurize(texts)
+    doc_of, toxic_doc = np.repeat(np.arange(len(texts)), count), np.array(toxic, dtype=bool)
+    pairs = np.unique((features.astype(np.int64) * len(texts) + doc_of).ravel())
+    bucket, of_toxic = pairs // len(texts), toxic_doc[pairs % len(texts)]
+    in_toxic, in_clean = (np.bincount(bucket[of_toxic == v], minlength=BUCKETS) for v in (True, False))
+    return telling(in_toxic, in_clean, int(toxic_doc.sum()), int((~toxic_doc).sum()))
+
+
+def fit(texts: list[str], toxic: list[int], candidates: np.ndarray | None = None) -> Chain | None:
+    """Train on labelled documents (deterministic); None without both classes."""
+    toxic_doc = np.array(toxic, dtype=bool)
+    if not toxic_doc.any() or toxic_doc.all():
+        return None
+    if candidates is None:
+        candidates = document_counts(texts, toxic)
+    features, count = _featurize(texts)
     doc_first = np.concatenate([[0], np.cumsum(count)])
     doc_of = np.repeat(np.arange(len(texts)), count)
-    labels = _label_words(features, doc_of, toxic_doc)
-    # training sequences: the documents cut every WINDOW words, then as many of either kind
+    labels = _label_words(features, doc_of, toxic_doc, candidates)
+    # training sequences: the documents cut every WINDOW words; those with a toxic word,
+    # those with another candidate, and some with neither
     cuts = np.concatenate([np.arange(a, b, WINDOW) for a, b in zip(doc_first[:-1], doc_first[1:]) if b > a] or [[]]).astype(np.int64)
+    if not len(cuts):
+        return None
     ends = np.append(cuts[1:], len(labels))
-    total = np.concatenate([[0], np.cumsum(labels)])
-    has = total[ends] > total[cuts]
-    # plain sequences that share a feature with toxic words teach the most, so they come first
-    shared = np.zeros(BUCKETS, dtype=bool)
-    shared[features[:, labels > 0].ravel()] = True
-    total = np.concatenate([[0], np.cumsum(shared[features].any(axis=0))])
-    hard = ~has & (total[ends] > total[cuts])
+    within = lambda flag: (t := np.concatenate([[0], np.cumsum(flag)]))[ends] > t[cuts]
+    has = within(labels > 0)
+    near = within(candidates[features].any(axis=0)) & ~has
     rng = np.random.default_rng(7)
-    picked = np.sort(np.concatenate([rng.permutation(np.flatnonzero(kind))[:SEQUENCES] for kind in (has, hard, ~has & ~hard)]))
+    picked = np.sort(np.concatenate([rng.permutation(np.flatnonzero(kind))[:SEQUENCES] for kind in (has, near, ~has & ~near)]))
     size = (ends - cuts)[picked]
     first = np.concatenate([[0], np.cumsum(size)])
     at = np.repeat(cuts[picked] - first[:-1], size) + np.arange(first[-1])
-    everything, features, labels = features, features[:, at], labels[at]
-    if not len(labels):
-        return None
-    model = Chain(np.zeros(BUCKETS), np.zeros((2, 2)), np.zeros(3))
-    # only buckets of the sample have a weight
-    used, slot = np.unique(features, return_inverse=True)
-    slot = slot.reshape(features.shape)
-    weight, trans = np.full(len(used), -0.5), np.zeros((2, 2))
-    grad_w, grad_t = np.full(len(used), 1e-6), np.full((2, 2), 1e-6)
+    labels = labels[at]
+    # only candidates have a weight: slots 1 .., slot 0 is every other feature
+    listed = np.flatnonzero(candidates)
+    slot_of = np.zeros(BUCKETS, dtype=np.int32)
+    slot_of[listed] = np.arange(1, len(listed) + 1)
+    slot = slot_of[features[:, at]]
+    weight, bias, trans = np.zeros(len(listed) + 1), -4.0, np.zeros((2, 2))
+    grad_w, grad_b, grad_t = np.full(len(weight), 1e-6), 1e-6, np.full((2, 2), 1e-6)
+    model = Chain(weight, bias, trans, np.zeros(3))
     inner = np.ones(len(labels), dtype=bool)
     inner[first[:-1]] = False
     pair = np.flatnonzero(inner)
     share = np.bincount((2 * labels[pair - 1] + labels[pair]).astype(int), minlength=4).reshape(2, 2)
+    busy = [np.flatnonzero(row) for row in slot]  # words with a candidate of this kind
     for _ in range(ROUNDS):
-        emission = weight[slot].sum(axis=0)
+        emission = np.full(len(labels), bias)
+        for row, on in zip(slot, busy):
+            emission[on] += weight[row[on]]
         model.trans = trans
         fwd, bwd = model.messages(emission, first)
         p = 1 / (1 + np.exp(-np.clip(fwd + bwd, -60, 60)))
-        g = np.bincount(slot.ravel(), weights=np.tile(labels - p, len(slot)), minlength=len(used)) - 0.02 * weight
+        g = -0.02 * weight
+        for row, on in zip(slot, busy):
+            g += np.bincount(row[on], weights=(labels - p)[on], minlength=len(weight))
+        g[0] = 0
+        gb = (labels - p).sum()
         # pair marginals from the messages on both sides
         left, right = fwd[pair - 1], emission[pair] + bwd[pair]
         joint = np.stack([trans[a, b] + a * left + b * right for a in (0, 1) for b in (0, 1)])
         joint = np.exp(joint - joint.max(axis=0))
         gt = share - (joint / joint.sum(axis=0)).sum(axis=1).reshape(2, 2)
-        grad_w += g * g
-        grad_t += gt * gt
+        grad_w, grad_b, grad_t = grad_w + g * g, grad_b + gb * gb, grad_t + gt * gt
         weight = weight + 0.5 * g / np.sqrt(grad_w)
+        bias = bias + 0.2 * gb / np.sqrt(grad_b)
         trans = trans + 0.2 * gt / np.sqrt(grad_t)
     model.weights = np.zeros(BUCKETS, dtype=np.float32)
-    # a word of unseen features only is plain
-    model.weights[:] = min(-0.5, float(np.median(weight)))
-    model.weights[used] = weight
-    model.trans = trans
+    model.weights[listed] = weight[1:]
+    model.bias, model.trans = float(bias), trans
     # calibration: logistic regression by Newton steps; evidence never counts against toxicity
-    p = model.marginals(everything, doc_first)
+    p = model.marginals(features, doc_first)
     x, y, w = model.evidence(p, doc_first), toxic_doc.astype(float), np.zeros(3)
     use = np.ones(3, dtype=bool)
     for _ in range(50):
@@ -233,19 +262,45 @@ def fit(texts: list[str], toxic: list[int]) -> Chain | None:
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Chain | None:
-    """Fit on at most ``sample`` labelled documents of each class outside the held-out fold."""
-    usable = labels.where(~held_out(doc_id) & F.col("toxic").isin(0, 1)).select(F.col(doc_id).alias("__id"), "toxic").distinct()
-    order = [F.xxhash64("__id"), F.col("__id"), F.col("toxic")]
-    picked = [r for v in (0, 1) for r in usable.where(F.col("toxic") == v).orderBy(*order).limit(sample).collect()]
-    if not picked:
+def _count_features(docs: DataFrame, ids: DataFrame, text: str, n_toxic: int, n_clean: int) -> np.ndarray:
+    """Candidates, from document counts over the rows of ``ids`` (__id, toxic)."""
+    ship(docs.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            for part in text_chunks(batch, "t"):
+                words = Words(*flat_bytes(part.column("t")), ALNUM)
+                doc_of = np.repeat(np.arange(part.num_rows), words.count)
+                pairs = np.unique((word_features(words).astype(np.int64) * part.num_rows + doc_of).ravel())
+                of_toxic = np.asarray(part.column("toxic"))[pairs % part.num_rows] == 1
+                bucket, at = np.unique(pairs // part.num_rows, return_inverse=True)
+                toxic = np.bincount(at, weights=of_toxic, minlength=len(bucket)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket.astype(np.int32)), pa.array(toxic), pa.array((np.bincount(at, minlength=len(bucket)) - toxic).astype(np.int32))],
+                    names=["bucket", "in_toxic", "in_clean"],
+                )
+
+    rows = docs.select("__id", F.col(text).alias("t")).join(F.broadcast(ids), "__id").select("t", "toxic")
+    counts = rows.mapInArrow(run, "bucket int, in_toxic int, in_clean int").groupBy("bucket").agg(F.sum("in_toxic").alias("in_toxic"), F.sum("in_clean").alias("in_clean"))
+    ratio = (F.col("in_toxic") + 0.1) / F.lit(n_toxic + 1) / ((F.col("in_clean") + 0.1) / F.lit(n_clean + 1))
+    out = np.zeros(BUCKETS, dtype=bool)
+    out[[r["bucket"] for r in counts.where((F.col("in_toxic") >= LEAST_DOCS) & (ratio >= LEAST_RATIO)).select("bucket").collect()]] = True
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, counted: int = COUNTED) -> Chain | None:
+    """Fit on labelled documents outside the held-out fold (see the module)."""
+    usable = labels.where(~held_out(doc_id) & F.col("toxic").isin(0, 1)).select(F.col(doc_id).cast("string").alias("__id"), F.col("toxic").cast("int").alias("toxic")).distinct()
+    order = [F.xxhash64("__id"), F.col("__id")]
+    own = docs.select(F.col(doc_id).cast("string").alias("__id"), F.col(text)).where(F.col(text).isNotNull())
+    by_class = {v: usable.where(F.col("toxic") == v).orderBy(*order).limit(counted).collect() for v in (0, 1)}
+    if not by_class[0] or not by_class[1]:
         return None
-    wanted = docs.sparkSession.createDataFrame(picked, usable.schema)
-    rows = (
-        docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("t")).where(F.col("t").isNotNull())
-        .join(F.broadcast(wanted), "__id").groupBy("__id", "toxic").agg(F.first("t").alias("t")).orderBy(*order).collect()
-    )
-    return fit([r["t"] for r in rows], [r["toxic"] for r in rows])
+    frame = lambda rows: docs.sparkSession.createDataFrame(rows, "__id string, toxic int")
+    candidates = _count_features(own, frame(by_class[0] + by_class[1]), text, len(by_class[1]), len(by_class[0]))
+    few = frame(by_class[0][:sample] + by_class[1][:sample])
+    rows = own.join(F.broadcast(few), "__id").groupBy("__id", "toxic").agg(F.min(text).alias("t")).orderBy(*order, "toxic").collect()
+    return fit([r["t"] for r in rows], [r["toxic"] for r in rows], candidates)
 
 
 def score(docs: DataFrame, model: Chain | None, keep: list[str], text: str = "text") -> DataFrame:
