@@ -8,7 +8,6 @@ from flightmarts.functions.months import (
     month_of,
     month_sequence,
     month_start,
-    parse_year_month,
 )
 
 __all__ = [
@@ -23,5 +22,4 @@ __all__ = [
     "month_of",
     "month_sequence",
     "month_start",
-    "parse_year_month",
 ]

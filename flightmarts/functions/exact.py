@@ -12,15 +12,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Measures (minutes) are summed at this many decimals; whole-minute inputs
-# (the on-time data) are exact, finer inputs round at the third decimal.
+# Measures (minutes) are summed at this many decimals; the on-time data holds
+# whole minutes, and a finer input fails instead of being rounded.
 MEASURE_SCALE = 2
 
 
 def scaled_long(col: Column | str, scale: int = MEASURE_SCALE) -> Column:
-    """``round(col * 10^scale)`` as a ``long``; NULL stays NULL."""
+    """``col * 10^scale`` as a ``long``; NULL stays NULL, a finer value fails the job."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.round(c * (10**scale)).cast("long")
+    scaled = c * (10**scale)
+    whole = F.round(scaled)
+    message = F.concat(F.lit(f"measure is finer than {scale} decimals: "), c.cast("string"))
+    return F.when(F.abs(scaled - whole) > 1e-6, F.raise_error(message).cast("long")).otherwise(whole.cast("long"))
 
 
 def unscale(total: Column | str, scale: int = MEASURE_SCALE) -> Column:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from flightmarts.functions.strict import strict_cast
 
 
 def flag_to_bool(col: Column | str) -> Column:
@@ -12,8 +15,7 @@ def flag_to_bool(col: Column | str) -> Column:
     Empty or NULL stays NULL (unknown, never false); ``1.00`` is true and every
     other number false. The cast is strict: a non-numeric flag fails the job.
     """
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast("double") == F.lit(1.0)
+    return strict_cast(col, T.DoubleType()) == F.lit(1.0)
 
 
 def is_reportable_arrival(

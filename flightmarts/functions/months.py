@@ -26,11 +26,6 @@ def month_of(year: Column | str, month: Column | str) -> Column:
     return F.make_date(_col(year), _col(month), F.lit(1))
 
 
-def parse_year_month(text: Column | str) -> Column:
-    """``'YYYY-MM'`` text to the DATE of its first day (strict)."""
-    return F.to_date(F.concat(_col(text), F.lit("-01")), "yyyy-MM-dd")
-
-
 def month_sequence(start: Column, end: Column) -> Column:
     """Inclusive array of month starts; start after end raises an error."""
     s, e = month_start(start), month_start(end)
@@ -49,6 +44,14 @@ def freshness_floor(as_of: Column | str) -> Column:
     return F.add_months(month_start(as_of), -FRESHNESS_MONTHS)
 
 
+def month_numbers(start: str, end: str) -> list[tuple[int, int]]:
+    """All (year, month) from one ``'YYYY-MM'`` argument to another, both included."""
+    first, last = (12 * y + m - 1 for y, m in (year_month(start), year_month(end)))
+    if first > last:
+        raise ValueError(f"empty month range: {start} to {end}")
+    return [(n // 12, n % 12 + 1) for n in range(first, last + 1)]
+
+
 def year_month(text: str) -> tuple[int, int]:
     """Driver-side parse of a ``'YYYY-MM'`` argument (validated)."""
     d = dt.datetime.strptime(text + "-01", "%Y-%m-%d").date()

@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from flightmarts.operators.enrich import staging_column
 from flightmarts.schema import FLIGHT_KEY
 
-RESULT_SCHEMA = "relation string, check_name string, column_name string, severity string, failures bigint"
-
 
 @dataclass(frozen=True)
 class Check:

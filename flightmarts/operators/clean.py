@@ -2,27 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flightmarts.functions.flags import flag_to_bool
+from flightmarts.functions.strict import strict_cast
 from flightmarts.schema import FLIGHT_COLUMNS, FLIGHT_KEY, SOURCE_COLUMNS
 
 
-def _typed(source: str, target: str, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.BooleanType):
-        return flag_to_bool(source).alias(target)
-    return F.col(source).cast(dtype).alias(target)
-
-
 def cast_raw(raw: DataFrame) -> DataFrame:
     """Select the 34 used source columns by name, rename and cast.
 
-    Casts are strict under ANSI mode: a malformed value fails the job instead
-    of turning into NULL. A missing source column fails at analysis.
+    Strictness is part of the expressions, so a malformed value fails the job
+    with ANSI mode on or off. A missing source column fails at analysis.
     """
-    return raw.select(*[_typed(src, name, dtype) for src, name, dtype in SOURCE_COLUMNS])
+    flags = {name: flag_to_bool(src) for src, name, t in SOURCE_COLUMNS if t == T.BooleanType()}
+    texts = {name: F.col(src) for src, name, t in SOURCE_COLUMNS if t == T.StringType()}
+    others = {name: strict_cast(src, t) for src, name, t in SOURCE_COLUMNS if name not in flags and name not in texts}
+    typed = {**flags, **texts, **others}
+    return raw.select(*[typed[name].alias(name) for name in FLIGHT_COLUMNS])
 
 
 def drop_missing_keys(flights: DataFrame) -> DataFrame:

@@ -43,15 +43,25 @@ def enrich(staged: DataFrame, carriers: DataFrame, cancellation_codes: DataFrame
     is fixed in code); file-backed lookups are broadcast by the planner only
     under its size threshold, and joined through a shuffle beyond it.
     """
-    carriers = carriers.select("carrier_code", F.col("carrier_name").alias("_carrier_name"))
     codes = cancellation_codes.select("cancellation_code", "cancellation_reason")
+    joined = with_carrier_name(staged, carriers).join(codes, "cancellation_code", "left")
+    return with_flags(joined).select(*ENRICHED_COLUMNS)
+
+
+def with_carrier_name(rows: DataFrame, carriers: DataFrame) -> DataFrame:
+    """Adds ``carrier_name`` to rows with a ``carrier_code``; an unknown code is its own name."""
+    names = carriers.select("carrier_code", F.col("carrier_name").alias("_carrier_name"))
+    named = rows.join(names, "carrier_code", "left")
+    return named.withColumn("carrier_name", F.coalesce("_carrier_name", "carrier_code")).drop("_carrier_name")
+
+
+def with_flags(flights: DataFrame) -> DataFrame:
+    """Adds the month and the shared arrival flags; needs no lookup."""
     reportable = is_reportable_arrival()
-    joined = staged.join(carriers, "carrier_code", "left").join(codes, "cancellation_code", "left")
-    return joined.select(
-        *[F.col(c) for c in FLIGHT_COLUMNS],
-        F.coalesce(F.col("_carrier_name"), F.col("carrier_code")).alias("carrier_name"),
-        F.col("cancellation_reason"),
-        month_start("flight_date").alias("month_start"),
-        reportable.alias("is_reportable_arrival"),
-        is_on_time(reportable).alias("is_on_time"),
+    return flights.withColumns(
+        {
+            "month_start": month_start("flight_date"),
+            "is_reportable_arrival": reportable,
+            "is_on_time": is_on_time(reportable),
+        }
     )

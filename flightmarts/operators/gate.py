@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightmarts.functions.months import FRESHNESS_MONTHS
+from flightmarts.functions.months import FRESHNESS_MONTHS, freshness_floor
 
 RESULT_COLUMNS = [
     "suite", "expectation", "column_name", "arguments",
@@ -23,11 +23,11 @@ RESULT_COLUMNS = [
 
 @dataclass(frozen=True)
 class Expectation:
-    kind: str  # row_count_between | values_between | mean_between | max_at_least | not_null
+    kind: str  # row_count_between | values_between | mean_between | newest_month_fresh | not_null
     column: str | None = None
     min_value: float | None = None
     max_value: float | None = None
-    min_date: dt.date | None = None
+    as_of: dt.date | None = None
     mostly: float = 1.0
 
     @property
@@ -37,8 +37,8 @@ class Expectation:
             parts.append(f"min_value={self.min_value:g}")
         if self.max_value is not None:
             parts.append(f"max_value={self.max_value:g}")
-        if self.min_date is not None:
-            parts.append(f"min_value={self.min_date.isoformat()}")
+        if self.as_of is not None:
+            parts.append(f"as_of={self.as_of.isoformat()}, months={FRESHNESS_MONTHS}")
         if self.mostly != 1.0:
             parts.append(f"mostly={self.mostly:g}")
         return ", ".join(parts)
@@ -95,10 +95,10 @@ def _compile(suite: str, i: int, e: Expectation) -> tuple[list[Column], Column]:
         mean = F.col(p + "sum").cast("double") / F.nullif(n, F.lit(0))
         ok = F.coalesce(_between(mean, e.min_value, e.max_value), F.lit(False))
         return aggs, _result(suite, e, n, F.when(ok, 0).otherwise(1), mean, none_t, ok)
-    if e.kind == "max_at_least":
+    if e.kind == "newest_month_fresh":
         aggs = [F.count(c).alias(p + "n"), F.max(c).alias(p + "max")]
         mx = F.col(p + "max")
-        ok = F.coalesce(mx >= F.lit(e.min_date), F.lit(False))
+        ok = F.coalesce(mx >= freshness_floor(F.lit(e.as_of)), F.lit(False))
         return aggs, _result(suite, e, F.col(p + "n"), F.when(ok, 0).otherwise(1), none_d, mx, ok)
     if e.kind == "not_null":
         aggs = [F.count(F.lit(1)).alias(p + "n"), F.count_if(c.isNull()).alias(p + "bad")]
@@ -141,13 +141,6 @@ def decision(results: DataFrame) -> DataFrame:
     )
 
 
-def freshness_floor_date(as_of: dt.date) -> dt.date:
-    """First day of (as_of month - 4): the driver-side twin of ``functions.months.freshness_floor``."""
-    m = as_of.month - FRESHNESS_MONTHS
-    y = as_of.year + (m - 1) // 12
-    return dt.date(y, (m - 1) % 12 + 1, 1)
-
-
 @dataclass(frozen=True)
 class Bands:
     """Row-count bands per mart (parameters; they age with the history length)."""
@@ -160,7 +153,6 @@ class Bands:
 
 def default_suites(as_of: dt.date, bands: Bands = Bands()) -> dict[str, list[Expectation]]:
     """The 16 expectations in 4 suites; ``as_of`` fixes the freshness floor."""
-    floor = freshness_floor_date(as_of)
     E = Expectation
     return {
         "fct_monthly_otp": [
@@ -168,7 +160,7 @@ def default_suites(as_of: dt.date, bands: Bands = Bands()) -> dict[str, list[Exp
             E("values_between", "otp_pct", 0, 100),
             E("values_between", "cancellation_pct", 0, 100),
             E("mean_between", "otp_pct", 60, 95),
-            E("max_at_least", "month_start", min_date=floor),
+            E("newest_month_fresh", "month_start", as_of=as_of),
             E("not_null", "carrier_code"),
         ],
         "fct_route_performance": [
@@ -196,6 +188,5 @@ __all__ = [
     "decision",
     "default_suites",
     "evaluate",
-    "freshness_floor_date",
     "suite_stats",
 ]

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightmarts.functions.exact import MEASURE_SCALE, exact_ratio, scaled_long, unscale
+from flightmarts.operators.enrich import with_carrier_name
 from flightmarts.schema import CAUSE_COLUMNS
 
 CARRIER_MONTH = ["month_start", "carrier_code", "carrier_name"]
@@ -69,19 +70,23 @@ def _otp_measures() -> list[Column]:
     ]
 
 
-def carrier_month_facts(enriched: DataFrame) -> DataFrame:
+def carrier_month_facts(flights: DataFrame, carriers: DataFrame | None = None) -> DataFrame:
     """One aggregate at carrier x month grain feeding both M2 and M5.
 
     The two marts share their grain, so a pipeline run scans the legs and
     shuffles once for both; ``monthly_otp_from``/``delay_causes_from`` project it.
+    ``flights`` are enriched legs; with ``carriers`` they need no carrier name, as the
+    lookup then joins the aggregate.
     """
     rep = F.col("is_reportable_arrival")
-    return enriched.groupBy(*CARRIER_MONTH).agg(
+    keys = CARRIER_MONTH if carriers is None else CARRIER_MONTH[:2]
+    facts = flights.groupBy(*keys).agg(
         *_otp_measures(),
         _when_sum(rep, "dep_delay_min").alias("_dep_sum"),
         _when_count(rep, "dep_delay_min").alias("_dep_n"),
         *[F.sum(scaled_long(c)).alias(f"_{c}") for c in CAUSE_COLUMNS],
     )
+    return facts if carriers is None else with_carrier_name(facts, carriers)
 
 
 def monthly_otp_from(facts: DataFrame) -> DataFrame:
@@ -246,12 +251,18 @@ def airport_congestion_by_join(enriched: DataFrame) -> DataFrame:
     come from the departure side.
     """
     flown = enriched.where(~F.col("cancelled"))
-    deps = flown.groupBy(F.col("origin").alias("airport_code"), "month_start").agg(
+    # as in M3: strings are keys of the hash-based first level over the legs
+    by_place = flown.groupBy(F.col("origin").alias("airport_code"), "month_start", "origin_city", "origin_state").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(scaled_long("taxi_out_min")).alias("_sum"),
+        F.count("taxi_out_min").alias("_taxi_n"),
+    )
+    deps = by_place.groupBy("airport_code", "month_start").agg(
         F.max("origin_city").alias("city"),
         F.max("origin_state").alias("state"),
-        F.count(F.lit(1)).alias("departures"),
-        F.sum(scaled_long("taxi_out_min")).alias("_out_sum"),
-        F.count("taxi_out_min").alias("_out_n"),
+        F.sum("_n").alias("departures"),
+        F.sum("_sum").alias("_out_sum"),
+        F.sum("_taxi_n").alias("_out_n"),
     )
     arrs = flown.groupBy(F.col("dest").alias("airport_code"), "month_start").agg(
         F.count(F.lit(1)).alias("arrivals"),

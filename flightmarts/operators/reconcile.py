@@ -52,30 +52,19 @@ def month_bounds(flights: DataFrame) -> tuple[dt.date, dt.date] | None:
 def missing_months(flights: DataFrame, grain: list[str]) -> DataFrame:
     """(entity, year, month) with no rows between the lake's first and last month.
 
-    A per-entity month spine (``explode(sequence(...))``, one row per entity and
-    month of the bounded calendar) is anti-joined with the (entity, month) pairs
-    present. No cross join: each entity row generates its own calendar.
+    One pass over the legs collects the months of each entity (partial aggregates,
+    at most one entry per month); the rest of the calendar is the array difference,
+    so only gaps become rows.
     """
     present = flights.select(*grain, month_of("year", "month").alias("month_start")).distinct()
-    bounds = month_bounds(flights)
-    spark = flights.sparkSession
+    bounds = month_bounds(flights.select("year", "month"))
+    months = F.collect_set("month_start").alias("months")  # at most one entry per month
     if bounds is None:
-        return spark.range(0).select(
-            *[F.lit(None).cast("string").alias(g) for g in grain],
-            F.lit(None).cast("int").alias("year"),
-            F.lit(None).cast("int").alias("month"),
-        )
-    lo, hi = bounds
-    spine = (
-        present.select(*grain)
-        .distinct()
-        .select(*grain, F.explode(month_sequence(F.lit(lo), F.lit(hi))).alias("month_start"))
-    )
-    return spine.join(present, [*grain, "month_start"], "left_anti").select(
-        *grain,
-        F.year("month_start").alias("year"),
-        F.month("month_start").alias("month"),
-    )
+        every = F.lit(None).cast("array<date>")
+    else:
+        every = month_sequence(F.lit(bounds[0]), F.lit(bounds[1]))
+    gaps = present.groupBy(*grain).agg(months).select(*grain, F.explode(F.array_except(every, "months")).alias("gap"))
+    return gaps.select(*grain, F.year("gap").alias("year"), F.month("gap").alias("month"))
 
 
 def requested_months_missing(spine: DataFrame, landed: DataFrame) -> DataFrame:

@@ -10,74 +10,100 @@ recomputing the legs.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightmarts.functions.months import year_month
+from flightmarts.functions.months import month_numbers, year_month
 from flightmarts.jobs import run_concurrently
 from flightmarts.operators import checks as C
 from flightmarts.operators import gate as G
 from flightmarts.operators import marts as M
 from flightmarts.operators.clean import clean
-from flightmarts.operators.enrich import enrich, stage
-from flightmarts.operators.reconcile import rows_by_month
+from flightmarts.operators.enrich import stage, with_flags
+from flightmarts.operators.reconcile import month_spine, requested_months_missing, rows_by_month
 from flightmarts.schema import VARCHAR_LENGTHS
 from flightmarts.sinks.export import write_export
-from flightmarts.sinks.lake import load_months, overwrite_months, write_lake
+from flightmarts.sinks.lake import empty_partitions, load_months, overwrite_months, read_raw_table, write_lake
 from flightmarts.sources import seeds
-from flightmarts.sources.lake import read_lake
+from flightmarts.sources.lake import month_filter, read_lake
 from flightmarts.sources.raw import month_raw_path, read_raw
 from flightmarts.sources.seeds import literal_frame
 
 
-def build_marts(enriched: DataFrame) -> dict[str, DataFrame]:
-    """The four marts; M2 and M5 share one carrier-month aggregate (one shuffle)."""
-    facts = M.carrier_month_facts(enriched)
-    return {
-        "fct_monthly_otp": M.monthly_otp_from(facts),
-        "fct_route_performance": M.route_performance(enriched),
-        "fct_airport_congestion": M.airport_congestion(enriched),
-        "fct_delay_causes": M.delay_causes_from(facts),
-    }
-
-
-def materialize(spark: SparkSession, frames: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+def materialize(
+    spark: SparkSession, frames: dict[str, DataFrame], root: str, months: Iterable[tuple[int, int]] | None = None
+) -> dict[str, DataFrame]:
     """Write each frame as a Parquet table under ``root`` and read it back (K9).
 
+    The tables are partitioned by ``month_start``. With ``months`` only the
+    partitions of those months are replaced, by the frames' rows of those months.
+
     Writing is also the lineage cut: downstream checks and gate read files in
     shared storage, not a recomputation, and survive executor loss. The writes
     are independent jobs and are submitted concurrently.
     """
     paths = {name: f"{root.rstrip('/')}/{name}" for name in frames}
 
+    mode = "static" if months is None else "dynamic"
+
     def writer(name: str) -> Callable[[], None]:
-        return lambda: frames[name].write.mode("overwrite").parquet(paths[name])
+        # a month of a mart is small: one file each, whatever the tasks
+        dealt = frames[name].hint("rebalance", "month_start")
+        return lambda: dealt.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("month_start").parquet(paths[name])
 
     run_concurrently({name: writer(name) for name in frames})
+    if months is not None:  # months that hold no legs any more lose their old rows
+        listed = [dt.date(y, m, 1) for y, m in months]
+
+        def old(name: str) -> DataFrame:
+            stored = spark.read.schema(frames[name].schema).parquet(paths[name]).where(F.col("month_start").isin(listed))
+            return stored.join(frames[name].select("month_start").distinct(), "month_start", "left_anti").select("month_start").distinct()
+
+        for name, df in frames.items():
+            empty = literal_frame(spark, [], T.StructType([f for f in df.schema if f.name != "month_start"]))
+            empty_partitions(empty, [f"{paths[name]}/month_start={r[0].isoformat()}" for r in old(name).collect()])
     return {name: spark.read.schema(df.schema).parquet(paths[name]) for name, df in frames.items()}
 
 
-def materialize_marts(spark: SparkSession, enriched: DataFrame, root: str) -> dict[str, DataFrame]:
+def mart_frames(staged: DataFrame, carriers: DataFrame) -> dict[str, DataFrame]:
+    """The four marts straight from the staged legs.
+
+    No mart reads the cancellation reason, and only the carrier-month marts read a
+    lookup column, so the legs meet no lookup: carriers join the aggregated
+    carrier-months (a few thousand rows). That is the enriched grouping as long
+    as a code has one name, which the ``unique`` check on the lookup guards.
+    """
+    flagged = with_flags(staged)
+    return {
+        "_carrier_month": M.carrier_month_facts(flagged, carriers),
+        "fct_route_performance": M.route_performance(flagged),
+        "fct_airport_congestion": M.airport_congestion(flagged),
+    }
+
+
+def materialize_marts(
+    spark: SparkSession, staged: DataFrame, carriers: DataFrame, root: str, months: Iterable[tuple[int, int]] | None = None
+) -> dict[str, DataFrame]:
     """Write the four marts as tables; the legs are scanned three times, not four.
 
     The carrier-month aggregate shared by M2 and M5 is written first (it is
     small: carriers x months) and both marts are projections of the stored
-    copy, so neither recomputes the legs.
+    copy, so neither recomputes the legs. Every mart has the month in its grain, so
+    with ``months`` only the legs of those months are read (a partition filter) and
+    only those partitions replaced; a changed lookup needs the full form.
     """
-    facts = materialize(spark, {"_carrier_month": M.carrier_month_facts(enriched)}, root)["_carrier_month"]
+    if months is not None:
+        months = list(months)
+        staged = staged.where(month_filter(months))
+    frames = mart_frames(staged, carriers)
+    base = materialize(spark, {"_carrier_month": frames.pop("_carrier_month")}, root, months)["_carrier_month"]
+    facts = base if months is None else base.where(F.col("month_start").isin([dt.date(y, m, 1) for y, m in months]))
     return materialize(
-        spark,
-        {
-            "fct_monthly_otp": M.monthly_otp_from(facts),
-            "fct_route_performance": M.route_performance(enriched),
-            "fct_airport_congestion": M.airport_congestion(enriched),
-            "fct_delay_causes": M.delay_causes_from(facts),
-        },
-        root,
+        spark, {"fct_monthly_otp": M.monthly_otp_from(facts), **frames, "fct_delay_causes": M.delay_causes_from(facts)}, root, months
     )
 
 
@@ -129,25 +155,40 @@ def backfill(
     lake_root: str,
     compressed: bool = True,
     path_of: Callable[[str, int, int], str] | None = None,
+    skip_landed: bool = False,
 ) -> Reconciliation:
     """Clean a range of months in one job (instead of one job per month).
 
     The inclusive month list is expanded on the driver (a few hundred entries at
     most), the month files are read together, and one dynamic overwrite
-    replaces exactly those months; a month whose file is now empty is emptied.
-    ``path_of(root, year, month)`` overrides the raw-zone path rule.
+    replaces exactly those months; a month whose file is now empty is emptied, and
+    a row of any other month fails the job. ``path_of(root, year, month)``
+    overrides the raw-zone path rule. ``skip_landed`` leaves out months that the
+    lake already holds.
     """
-    months = month_list(start, end)
+    months = month_numbers(start, end)
+    if skip_landed:
+        landed = read_lake(spark, lake_root).select("year", "month")
+        missing = requested_months_missing(month_spine(spark, start, end), landed)
+        months = sorted((r["year"], r["month"]) for r in missing.collect())
+        if not months:
+            return Reconciliation(0, 0, [], [])
     rule = path_of or (lambda root, y, m: month_raw_path(root, y, m, compressed))
     paths = [rule(raw_root, y, m) for y, m in months]
     obs = Observation("backfill_in")
     ym = F.col("Year").cast("int") * 100 + F.col("Month").cast("int")
-    # rows in per requested month, observed on the same scan (one counter per month)
-    per_month = [F.count_if(ym == y * 100 + m).alias(f"m{y * 100 + m}") for y, m in months]
-    raw = read_raw(spark, paths).observe(obs, F.count(F.lit(1)).alias("rows"), *per_month)
+    # rows in per month, observed on the same scan: a histogram with a bin to spare for
+    # every month counts exactly, as bins merge only when there are too few
+    bins = len(months) + 8
+    raw = read_raw(spark, paths).observe(
+        obs, F.count(F.lit(1)).alias("rows"), F.histogram_numeric(ym.cast("double"), F.lit(bins)).alias("by_month")
+    )
     report = overwrite_months(clean(raw), lake_root, months)
     got = obs.get
-    rows_in = {(y, m): int(got[f"m{y * 100 + m}"]) for y, m in months}
+    counts = {round(b["x"]): round(b["y"]) for b in got["by_month"] or []}
+    if len(counts) >= bins:
+        raise ValueError("the raw files hold more months than were requested")
+    rows_in = {(y, m): counts.get(y * 100 + m, 0) for y, m in months}
     return Reconciliation(
         int(got["rows"]), report.rows, report.months, report.emptied,
         by_month=month_reconciliation(spark, rows_in, lake_root),
@@ -170,18 +211,6 @@ def month_reconciliation(spark: SparkSession, rows_in: dict[tuple[int, int], int
     )
 
 
-def month_list(start: str, end: str) -> list[tuple[int, int]]:
-    """Inclusive (year, month) list for ``'YYYY-MM'`` bounds; start after end is an error."""
-    (y, m), last = year_month(start), year_month(end)
-    if (y, m) > last:
-        raise ValueError(f"start {start} is after end {end}")
-    out = []
-    while (y, m) <= last:
-        out.append((y, m))
-        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
-    return out
-
-
 @dataclass
 class RunResult:
     data_month: tuple[int, int]
@@ -206,13 +235,17 @@ def run_month(
     carriers: DataFrame | None = None,
     cancellation_codes: DataFrame | None = None,
     lengths: dict[str, int] | None = VARCHAR_LENGTHS,
+    changed_only: bool = False,
 ) -> RunResult:
     """Process one data month end to end; export only when the gate opens.
 
     ``month`` is the ``'YYYY-MM'`` data month this run owns; ``raw_paths`` are
     its raw files. Every write is a partition overwrite, so the run is
     idempotent and can simply be retried. ``lengths`` are the raw table's
-    VARCHAR bounds (``None`` loads values unbounded).
+    VARCHAR bounds (``None`` loads values unbounded). ``changed_only`` rebuilds and
+    checks only this month: the marts' other partitions stay, and the grain test
+    of the legs reads the month alone. The default rebuilds and checks everything,
+    as a changed lookup requires.
     """
     ym = year_month(month)
     carriers = carriers if carriers is not None else seeds.carriers(spark)
@@ -227,11 +260,13 @@ def run_month(
     # 2. reload the month in the raw table (one partition overwrite)
     load_months(read_lake(spark, lake_root, [ym]), raw_root, [ym], lengths)
 
-    # 3. marts over the whole raw table, written as tables
-    raw_table = spark.read.parquet(raw_root)
+    # 3. marts over the raw table (or the changed month), written as tables
+    scope = [ym] if changed_only else None
+    raw_table = read_raw_table(spark, raw_root)
+    if changed_only:
+        raw_table = raw_table.where(month_filter([ym]))
     staged = stage(raw_table)
-    enriched = enrich(staged, carriers, codes)
-    marts = materialize_marts(spark, enriched, marts_root)
+    marts = materialize_marts(spark, staged, carriers, marts_root, scope)
 
     # 4. structural checks; error severity stops the run before the gate
     tables = {"raw_flights": raw_table, "stg_flights": staged, "carriers": carriers,

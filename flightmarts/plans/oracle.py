@@ -8,7 +8,7 @@ pre-registered test tables. Exact rounding uses integer arithmetic:
 
 from __future__ import annotations
 
-from flightmarts.schema import CAUSE_COLUMNS, FLIGHT_COLUMNS, FLIGHT_KEY, PAYLOAD_COLUMNS, VARCHAR_LENGTHS
+from flightmarts.schema import CAUSE_COLUMNS, EXPORT_TABLES, FLIGHT_COLUMNS, FLIGHT_KEY, PAYLOAD_COLUMNS, VARCHAR_LENGTHS
 
 SCALE = 100  # measures are summed as round(x * 100)
 
@@ -50,15 +50,15 @@ LEGS = """
 legs_src as (
     select
         cast(o.o_orderdate as date)                         as flight_date,
-        cast(s.s_nationkey as varchar)                      as carrier_code,
+        cast(l.l_suppkey % 30 as varchar)                   as carrier_code,
         cast(l.l_orderkey as varchar)                       as flight_number,
         'N' || cast(l.l_partkey % 5000 as varchar)          as tail_number,
         'A' || lpad(cast(c.c_nationkey as varchar), 2, '0') as origin,
         n1.n_name                                           as origin_city,
-        r1.r_name                                           as origin_state,
+        left(r1.r_name, 4)                                  as origin_state,
         'A' || lpad(cast(p.p_size % 30 as varchar), 2, '0') as dest,
         n2.n_name                                           as dest_city,
-        r2.r_name                                           as dest_state,
+        left(r2.r_name, 4)                                  as dest_state,
         cast(100 + abs(c.c_nationkey - p.p_size % 30) * 50 as double) as distance_miles,
         lpad(cast(l.l_linenumber * 300 as varchar), 4, '0')       as crs_dep_time,
         lpad(cast(l.l_linenumber * 300 + 100 as varchar), 4, '0') as crs_arr_time,
@@ -68,7 +68,6 @@ legs_src as (
     from lineitem l
     join orders o   on l.l_orderkey = o.o_orderkey
     join customer c on o.o_custkey = c.c_custkey
-    join supplier s on l.l_suppkey = s.s_suppkey
     join part p     on l.l_partkey = p.p_partkey
     join nation n1  on n1.n_nationkey = c.c_nationkey
     join region r1  on r1.r_regionkey = n1.n_regionkey
@@ -160,7 +159,7 @@ stg as (
 ENRICHED = """
 carriers as (
     select cast(n_nationkey as varchar) as carrier_code, n_name as carrier_name
-    from nation where n_nationkey < 20
+    from nation
 ),
 cancellation_codes as (
     select * from (values ('A', 'Carrier'), ('B', 'Weather'),
@@ -343,6 +342,16 @@ select *, case when failures = 0 then 'pass' when severity = 'warn' then 'warn'
 from results""")
 
 
+def _dirty_sql(checks) -> str:
+    """The checks over the legs as they land and a lookup with repeated codes."""
+    body = "\nunion all\n".join(_check_sql(c).replace(" from clean", " from landed").replace("from carriers", "from regions") for c in checks)
+    return with_ctes(LEGS) + f"""
+, landed as (select * from legs union all select * from legs where cast(flight_number as bigint) % 10 = 0),
+regions as (select cast(n_regionkey as varchar) as carrier_code, n_name as carrier_name from nation),
+results as ({body})
+select *, case when failures = 0 then 'pass' when severity = 'warn' then 'warn' else 'fail' end as status from results"""
+
+
 def _between_sql(c: str, lo, hi) -> str:
     conds = []
     if lo is not None:
@@ -378,8 +387,8 @@ def _expectation_sql(suite: str, e) -> str:
         return head + (f"cast(count({c}) as bigint) as n_evaluated, "
                        f"cast(case when {ok} then 0 else 1 end as bigint) as n_unexpected, "
                        f"{mean} as observed_value, {null_t} as observed_date, {ok} as success from {suite}")
-    if e.kind == "max_at_least":
-        ok = f"coalesce(max({c}) >= date '{e.min_date.isoformat()}', false)"
+    if e.kind == "newest_month_fresh":
+        ok = f"coalesce(max({c}) >= date_trunc('month', date '{e.as_of.isoformat()}') - interval 4 month, false)"
         return head + (f"cast(count({c}) as bigint) as n_evaluated, "
                        f"cast(case when {ok} then 0 else 1 end as bigint) as n_unexpected, "
                        f"{null_d} as observed_value, cast(max({c}) as date) as observed_date, "
@@ -406,16 +415,36 @@ _BOUNDED = "\nunion all\n".join(
     for c, n in VARCHAR_LENGTHS.items()
 )
 
-_EXPORT_OTP = """
-select strftime(month_start, '%Y-%m-%d') as month_start, carrier_code, carrier_name,
-    scheduled_flights, cancelled_flights, diverted_flights, completed_flights, on_time_flights,
-    otp_pct, cancellation_pct, avg_arr_delay_min, avg_dep_delay_min
-from fct_monthly_otp"""
+def _export_sql(mart: str) -> str:
+    cols = [f"strftime({n}, '%Y-%m-%d') as {n}" if kind == "Datetime" else n for n, kind in EXPORT_TABLES[mart]]
+    return over_marts(f"select {', '.join(cols)} from {mart}")
 
-_EXPORT_COUNTS = "\nunion all\n".join(
-    f"select '{t}' as table_name, cast(count(*) as bigint) as rows, true as within_limit from {t}"
-    for t in ("fct_monthly_otp", "fct_route_performance", "fct_airport_congestion", "fct_delay_causes")
-)
+
+_FOUR = ("fct_monthly_otp", "fct_route_performance", "fct_airport_congestion", "fct_delay_causes")
+_EXPORT_EACH = "\nunion all\n".join(f"select '{t}' as table_name, cast(count(*) as bigint) as rows from {t}" for t in _FOUR)
+_EXPORT_COUNTS = f"""
+, pushed as ({_EXPORT_EACH})
+select table_name, rows, true as within_limit, true as enough_batches from pushed
+union all select '(all)', cast(sum(rows) as bigint), true, true from pushed"""
+
+
+def _content(rows: str) -> str:
+    return (
+        "select year, month, cast(count(*) as bigint) as rows, cast(sum(cast(distance_miles as bigint)) as bigint) as miles, "
+        "cast(sum(cast(dep_delay_min as bigint)) as bigint) as dep_delay, cast(count_if(cancelled) as bigint) as cancelled "
+        f"from ({rows}) group by year, month"
+    )
+
+
+def _reloaded(emptied: tuple[int, int] | None, month: tuple[int, int]) -> str:
+    """The lake after one month was revised and another emptied."""
+    (y, m), gone = month, "true" if emptied is None else f"not (year = {emptied[0]} and month = {emptied[1]})"
+    here = f"(year = {y} and month = {m})"
+    cols = "year, month, dep_delay_min, cancelled"
+    return (
+        f"select {cols}, distance_miles from clean where not {here} and {gone} "
+        f"union all select {cols}, distance_miles + 1 from clean where {here} and not cancelled"
+    )
 
 
 def build_oracles() -> dict[str, str]:
@@ -425,10 +454,10 @@ def build_oracles() -> dict[str, str]:
 def _oracles() -> dict[str, str]:
     from flightmarts.operators import checks as C
     from flightmarts.operators import gate as G
-    from flightmarts.plans.queries import AS_OF, EMPTIED_MONTH, RUN_DATE
+    from flightmarts.plans.queries import AS_OF, DIRTY_CHECKS, EMPTIED_MONTH, FIXTURE_BANDS, RELOADED_MONTH, RUN_DATE
 
     suites = G.default_suites(AS_OF)
-    ey, em = EMPTIED_MONTH
+    scaled = G.default_suites(AS_OF, FIXTURE_BANDS)
     rd = RUN_DATE.month - 2
     dy, dm = (RUN_DATE.year, rd) if rd >= 1 else (RUN_DATE.year - 1, rd + 12)
     return {
@@ -457,7 +486,14 @@ select rows_in, rows_out, rows_in - rows_out as dropped from (
             f"select year, month, carrier_code, cast(count(*) as bigint) as flights from clean "
             f"where year = {dy} and month = {dm} group by year, month, carrier_code"),
         "partition_from_path": over_marts(_months_sql()),
-        "month_overwrite": over_marts(_months_sql(f"where not (year = {ey} and month = {em})")),
+        "month_overwrite": over_marts(_content(_reloaded(EMPTIED_MONTH, RELOADED_MONTH))),
+        "declared_raw_table": over_marts(_content(_reloaded(None, RELOADED_MONTH))),
+        "requested_months_missing": over_marts("""
+, bounds as (select min(make_date(year, month, 1)) as lo, max(make_date(year, month, 1)) as hi from clean),
+spine as (select cast(unnest(generate_series(lo - interval 1 year, hi + interval 1 year, interval 1 month)) as date) as m from bounds)
+select cast(year(m) as integer) as year, cast(month(m) as integer) as month from spine
+where (year(m), month(m)) not in (select (year, month) from clean)"""),
+        "seed_csv": "select cast(n_nationkey as varchar) as carrier_code, n_name as carrier_name from nation",
         "backfill_months": over_marts("""
 , raw_in as (
     select year, month,
@@ -473,7 +509,7 @@ from raw_in r left join kept k on r.year = k.year and r.month = k.month"""),
             "select year, month, cast(count(*) as bigint) as rows, cast(count(*) as bigint) as stamped_rows "
             "from clean group by year, month"),
         "incremental_load": over_marts(
-            f"select *, cast(0 as bigint) as second_run_batches from ({_months_sql()})"),
+            f"select *, cast(0 as bigint) as third_run_batches from ({_content(_reloaded(EMPTIED_MONTH, RELOADED_MONTH))})"),
         "bounded_lengths": over_marts(_BOUNDED),
         "check_not_null": _checks_sql(C.checks_of_kind(("not_null",))),
         "check_unique": _checks_sql(C.checks_of_kind(("unique",))),
@@ -481,7 +517,15 @@ from raw_in r left join kept k on r.year = k.year and r.month = k.month"""),
         "check_accepted_values": _checks_sql(C.checks_of_kind(("accepted_values",))),
         "check_accepted_range": _checks_sql(C.checks_of_kind(("accepted_range",))),
         "check_summary": _checks_sql(C.default_checks(), summary=True),
+        "check_failures": _dirty_sql(DIRTY_CHECKS),
         "gate_results": _gate_sql(suites, "select * from results"),
+        "gate_open_results": _gate_sql(scaled, "select * from results"),
+        "gated_export": over_marts(f"""
+, scaled as ({_gate_body(scaled)}), reference as ({_gate_body(suites)}),
+gates as (select 'scaled' as run, bool_and(success) as gate_open from scaled
+          union all select 'reference', bool_and(success) from reference),
+pushed as ({_EXPORT_EACH})
+select run, gate_open, table_name, case when gate_open then rows else 0 end as rows from gates, pushed"""),
         "gate_suites": _gate_sql(
             suites,
             "select suite, cast(count(*) as bigint) as evaluated_expectations, "
@@ -492,6 +536,9 @@ from raw_in r left join kept k on r.year = k.year and r.month = k.month"""),
             "select cast(count(*) as bigint) as evaluated_expectations, "
             "cast(count_if(success) as bigint) as successful_expectations, bool_and(success) as gate_open "
             "from results"),
-        "export_rows": over_marts(_EXPORT_OTP),
+        "export_rows": _export_sql("fct_monthly_otp"),
+        "export_route_rows": _export_sql("fct_route_performance"),
+        "export_airport_rows": _export_sql("fct_airport_congestion"),
+        "export_cause_rows": _export_sql("fct_delay_causes"),
         "export_batches": over_marts(_EXPORT_COUNTS),
     }

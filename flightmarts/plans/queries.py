@@ -21,15 +21,22 @@ from flightmarts.operators import gate as G
 from flightmarts.operators import marts
 from flightmarts.operators import reconcile as R
 from flightmarts.operators.clean import clean, deduplicate, drop_missing_keys
-from flightmarts.operators.enrich import enrich, stage
+from flightmarts.operators.enrich import enrich, stage, with_flags
 from flightmarts.plans.monthly import backfill, materialize_marts
 from flightmarts.schema import FLIGHT_KEY, VARCHAR_LENGTHS
 from flightmarts.sinks import export as X
-from flightmarts.sinks.lake import load_full, overwrite_months, write_lake
+from flightmarts.sinks.lake import (
+    declare_raw_table,
+    load_full,
+    load_months,
+    overwrite_months,
+    read_raw_table,
+    write_lake,
+)
 from flightmarts.sources import seeds
-from flightmarts.sources.fixture import fixture_carriers, legs, raw_strings
+from flightmarts.sources.fixture import fixture_carriers, legs, raw_strings, table
 from flightmarts.sources.lake import read_lake, read_lake_files
-from flightmarts.sources.raw import read_raw
+from flightmarts.sources.raw import month_raw_path, read_raw
 from flightmarts.streaming.ledger import incremental_load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,11 +47,8 @@ AS_OF = dt.date(2001, 9, 15)           # freshness floor 2001-05-01
 EMPTIED_MONTH = (1995, 1)              # month whose source turns empty in month_overwrite
 RELOADED_MONTH = (2001, 8)             # month reloaded twice in month_overwrite
 
-# The fixture's state columns hold region names ("EUROPE", "MIDDLE EAST"),
-# longer than the raw table's VARCHAR(4) bound; ``bounded_lengths`` reports
-# them, and a bounded load would abort on them exactly as the warehouse
-# would. The load queries therefore load values unbounded.
-FIXTURE_LOAD_LENGTHS = None
+# Row-count bands that the fixture's marts meet from sf0.001 to sf0.1
+FIXTURE_BANDS = G.Bands((700, 2_600), (5_000, 800_000), (1_000, 55_000), (700, 2_600))
 
 _WORKSPACES: dict[tuple[str, str], dict] = {}
 
@@ -70,27 +74,33 @@ def raw_csv(spark: SparkSession, sf_dir: str) -> str:
 
 
 def raw_by_month(spark: SparkSession, sf_dir: str) -> str:
-    """The all-string raw files landed one folder per month (one file each)."""
+    """The raw zone: ``<root>/<y>/ontime_<y>_<mm>.csv.gz``, one file per month.
+
+    Files of even months have the columns of the source's later layout: one more in
+    the middle and two moved. The landing renames each month's part file.
+    """
     ws = _ws(spark, sf_dir)
     if "raw_by_month" not in ws:
-        path = scratch_path(spark, "raw-monthly")
-        (
-            raw_strings(legs(spark, sf_dir))
-            .withColumn("landed_year", F.col("Year"))
-            .withColumn("landed_month", F.col("Month"))
-            .repartition("landed_year", "landed_month")
-            .write.partitionBy("landed_year", "landed_month")
-            .option("header", "true")
-            .csv(path)
-        )
-        ws["raw_by_month"] = path
+        path, root = scratch_path(spark, "raw-parts"), scratch_path(spark, "raw-zone")
+        raw = raw_strings(legs(spark, sf_dir)).withColumns({"y": F.col("Year"), "m": F.col("Month")})
+        drifted = raw.select("DestState", "FlightDate", F.lit("x").alias("DivAirportLandings"), *[c for c in raw.columns if c not in ("DestState", "FlightDate")])
+        for name, frame, odd in (("a", raw, 1), ("b", drifted, 0)):
+            (
+                frame.where(F.col("m").cast("int") % 2 == odd).repartition("y", "m")
+                .write.partitionBy("y", "m").option("header", "true").option("compression", "gzip").csv(f"{path}/{name}")
+            )
+        parts = spark.read.format("binaryFile").load([f"{path}/{n}/*/*/*.csv.gz" for n in "ab"]).select("path")
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for row in parts.collect():  # one file per month
+            keys = dict(p.split("=") for p in row["path"].split("/") if "=" in p)
+            target = jvm.org.apache.hadoop.fs.Path(month_raw_path(root, int(keys["y"]), int(keys["m"])))
+            fs = target.getFileSystem(conf)
+            fs.mkdirs(target.getParent())
+            fs.rename(jvm.org.apache.hadoop.fs.Path(row["path"]), target)
+        ws["raw_by_month"] = root
     return ws["raw_by_month"]
 
 
-def landed_month_path(root: str, year: int, month: int) -> str:
-    return f"{root}/landed_year={year}/landed_month={month}/*.csv"
-
-
 def lake_root(spark: SparkSession, sf_dir: str) -> str:
     """The Parquet lake of the cleaned legs, written once per session."""
     ws = _ws(spark, sf_dir)
@@ -114,11 +124,22 @@ def enriched_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(stage(lake(spark, sf_dir)), carriers, codes)
 
 
+def flagged_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged legs with the shared flags and no lookup, as the marts read them."""
+    return with_flags(stage(lake(spark, sf_dir)))
+
+
+def carrier_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.carrier_month_facts(flagged_lake(spark, sf_dir), fixture_carriers(spark, sf_dir))
+
+
 def mart_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four marts written as tables once per session, read back."""
     ws = _ws(spark, sf_dir)
     if "marts" not in ws:
-        ws["marts"] = materialize_marts(spark, enriched_lake(spark, sf_dir), scratch_path(spark, "marts"))
+        ws["marts"] = materialize_marts(
+            spark, stage(lake(spark, sf_dir)), fixture_carriers(spark, sf_dir), scratch_path(spark, "marts")
+        )
     return ws["marts"]
 
 
@@ -165,34 +186,33 @@ def q_enrich_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_monthly_otp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.monthly_otp(enriched_lake(spark, sf_dir))
+    return marts.monthly_otp_from(carrier_months(spark, sf_dir))
 
 
 def q_route_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.route_performance(enriched_lake(spark, sf_dir))
+    return marts.route_performance(flagged_lake(spark, sf_dir))
 
 
 def q_airport_congestion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.airport_congestion(enriched_lake(spark, sf_dir))
+    return marts.airport_congestion(flagged_lake(spark, sf_dir))
 
 
 def q_delay_causes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.delay_causes(enriched_lake(spark, sf_dir))
+    return marts.delay_causes_from(carrier_months(spark, sf_dir))
 
 
 def q_airport_congestion_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The airport mart as two endpoint aggregates and a full outer join."""
-    return marts.airport_congestion_by_join(enriched_lake(spark, sf_dir))
+    return marts.airport_congestion_by_join(flagged_lake(spark, sf_dir))
 
 
 def q_backfill_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every month's raw files cleaned in one backfill job; rows in,
-    out and dropped per month."""
+    """Every month's gzip file, found by the raw-zone path rule and read
+    under its own header, cleaned in one backfill job; rows in, out and dropped
+    per month."""
     bounds = R.month_bounds(lake(spark, sf_dir))
     start, end = (f"{d.year}-{d.month:02d}" for d in bounds)
-    rec = backfill(spark, raw_by_month(spark, sf_dir), start, end, scratch_path(spark, "lake-backfill"),
-                   path_of=landed_month_path)
-    return rec.by_month
+    return backfill(spark, raw_by_month(spark, sf_dir), start, end, scratch_path(spark, "lake-backfill")).by_month
 
 
 def q_rows_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,27 +243,42 @@ def q_partition_from_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.rows_by_month(read_lake_files(spark, lake_root(spark, sf_dir)))
 
 
+def month_content(flights: DataFrame) -> DataFrame:
+    """What a month holds: rows and sums of measures (whole numbers, so exact)."""
+    return flights.groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.col("distance_miles").cast("long")).alias("miles"),
+        F.sum(F.col("dep_delay_min").cast("long")).alias("dep_delay"),
+        F.count_if("cancelled").alias("cancelled"),
+    )
+
+
+def revised(flights: DataFrame) -> DataFrame:
+    """RELOADED_MONTH as its source was revised: longer distances, no cancelled legs."""
+    month = flights.where((F.col("year") == RELOADED_MONTH[0]) & (F.col("month") == RELOADED_MONTH[1]))
+    return month.where(~F.col("cancelled")).withColumn("distance_miles", F.col("distance_miles") + 1)
+
+
 def q_month_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reload one month twice (idempotent) and one month from an
-    emptied source (its old rows must go); returns the lake by month."""
+    """Reload one month from revised rows, twice (idempotent), and one month
+    from an emptied source (its old rows must go); the lake's content by month."""
     root = scratch_path(spark, "lake-reload")
     flights = clean_legs(spark, sf_dir)
     write_lake(flights, root)
-    month = flights.where((F.col("year") == RELOADED_MONTH[0]) & (F.col("month") == RELOADED_MONTH[1]))
-    overwrite_months(month, root, [RELOADED_MONTH])
-    overwrite_months(month, root, [RELOADED_MONTH])
+    overwrite_months(revised(flights), root, [RELOADED_MONTH])
+    overwrite_months(revised(flights), root, [RELOADED_MONTH])
     # the re-transformed source of EMPTIED_MONTH holds no rows at all
     overwrite_months(flights.where(F.lit(False)), root, [EMPTIED_MONTH])
-    return R.rows_by_month(read_lake(spark, root))
+    return month_content(read_lake(spark, root))
 
 
 def q_full_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K4 K7 K8: truncate-and-load the raw table twice; rows and audit stamps by month."""
+    """K4 K7 K8: truncate-and-load the bounded raw table twice; rows and audit stamps by month."""
     root = scratch_path(spark, "raw-table")
     flights = lake(spark, sf_dir)
-    load_full(flights, root, FIXTURE_LOAD_LENGTHS)
-    load_full(flights, root, FIXTURE_LOAD_LENGTHS)
-    raw = spark.read.parquet(root)
+    load_full(flights, root)
+    load_full(flights, root)
+    raw = read_raw_table(spark, root)
     return raw.groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("_loaded_at").isNotNull()).alias("stamped_rows"),
@@ -251,14 +286,47 @@ def q_full_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K6: two available-now runs of the ledger stream; the second loads nothing."""
-    target = scratch_path(spark, "raw-incremental")
-    ckpt = scratch_path(spark, "ledger-ckpt")
-    src = lake_root(spark, sf_dir)
-    incremental_load(spark, src, target, ckpt, max_files_per_trigger=16, lengths=FIXTURE_LOAD_LENGTHS)
-    again = incremental_load(spark, src, target, ckpt, lengths=FIXTURE_LOAD_LENGTHS)
-    out = R.rows_by_month(spark.read.parquet(target))
-    return out.withColumn("second_run_batches", F.lit(again).cast("long"))
+    """K6 K8: the ledger stream over a lake in which one month is then revised and one
+    emptied; the second run loads exactly that, the third nothing."""
+    src, target, ckpt = (scratch_path(spark, n) for n in ("lake-ledger", "raw-incremental", "ledger-ckpt"))
+    flights = lake(spark, sf_dir)
+    write_lake(flights, src)
+    incremental_load(spark, src, target, ckpt, max_files_per_trigger=16)
+    overwrite_months(revised(flights), src, [RELOADED_MONTH])
+    overwrite_months(flights.where(F.lit(False)), src, [EMPTIED_MONTH])
+    incremental_load(spark, src, target, ckpt)
+    again = incremental_load(spark, src, target, ckpt)
+    return month_content(read_raw_table(spark, target)).withColumn("third_run_batches", F.lit(again).cast("long"))
+
+
+def q_declared_raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared catalog table after a bounded load and a month reload."""
+    root = scratch_path(spark, "raw-declared")
+    name = f"raw_flights_{root.rsplit('-', 1)[-1]}"
+    flights = lake(spark, sf_dir)
+    load_full(flights, root)
+    declare_raw_table(spark, name, root)
+    changed = scratch_path(spark, "lake-declared")
+    write_lake(revised(flights), changed)
+    load_months(read_lake(spark, changed), root, [RELOADED_MONTH])
+    spark.sql(f"REFRESH TABLE {name}")
+    return month_content(declare_raw_table(spark, name, root))
+
+
+def q_requested_months_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested months (from a year before the lake to a year after it) that
+    have not landed."""
+    flights = lake(spark, sf_dir).select("year", "month")
+    lo, hi = R.month_bounds(flights)
+    spine = R.month_spine(spark, f"{lo.year - 1}-{lo.month:02d}", f"{hi.year + 1}-{hi.month:02d}")
+    return R.requested_months_missing(spine, flights)
+
+
+def q_seed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The carrier lookup written as a seed CSV and scanned with explicit types."""
+    path = scratch_path(spark, "seed-csv")
+    fixture_carriers(spark, sf_dir).write.option("header", "true").csv(path)
+    return seeds.read_seed(spark, path, seeds.CARRIER_SCHEMA)
 
 
 def q_bounded_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,6 +362,30 @@ def q_check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.summarize(C.run_checks(check_tables(spark, sf_dir), C.default_checks()))
 
 
+# Checks that the fixture's dirty relations break, and two that they pass.
+DIRTY_CHECKS = [
+    C.Check("raw_flights", "unique_combination", tuple(FLIGHT_KEY)),
+    C.Check("raw_flights", "not_null", ("dest_city",)),
+    C.Check("raw_flights", "not_null", ("flight_date",)),
+    C.Check("raw_flights", "accepted_values", ("cancellation_code",), values=("", "A", "B", "C"), severity="warn"),
+    C.Check("raw_flights", "accepted_range", ("arr_delay_min",), min_value=-50, max_value=30),
+    C.Check("raw_flights", "accepted_range", ("distance_miles",), min_value=100),
+    C.Check("carriers", "unique", ("carrier_code",)),
+]
+
+
+def q_check_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks over legs as they land (twice where the source repeats them, with
+    NULL cities, an unexpected code and late arrivals) and a lookup whose codes
+    repeat: pass, warn and fail all occur."""
+    flights = legs(spark, sf_dir)
+    tables = {
+        "raw_flights": flights.unionByName(flights.where(F.col("flight_number").cast("long") % 10 == 0)),
+        "carriers": table(spark, sf_dir, "nation").select(F.col("n_regionkey").cast("string").alias("carrier_code"), F.col("n_name").alias("carrier_name")),
+    }
+    return C.summarize(C.run_checks(tables, DIRTY_CHECKS))
+
+
 def gate_results_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.evaluate(mart_tables(spark, sf_dir), G.default_suites(AS_OF))
 
@@ -313,21 +405,55 @@ def q_gate_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.decision(gate_results_df(spark, sf_dir))
 
 
-def q_export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The typed export rows of the monthly OTP mart."""
-    return X.export_frame(mart_tables(spark, sf_dir)["fct_monthly_otp"], "fct_monthly_otp")
+def q_gate_open_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1-G6 with bands scaled to the fixture: every expectation passes."""
+    return G.evaluate(mart_tables(spark, sf_dir), G.default_suites(AS_OF, FIXTURE_BANDS))
+
+
+def q_gated_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs, one per set of bands; each exports only if its gate opens. Rows
+    exported per run and table (0 where the gate stayed closed)."""
+    tables = mart_tables(spark, sf_dir)
+    out = None
+    for run, bands in (("scaled", FIXTURE_BANDS), ("reference", G.Bands())):
+        is_open = G.decision(G.evaluate(tables, G.default_suites(AS_OF, bands))).first()["gate_open"]
+        path = scratch_path(spark, f"gated-export-{run}")
+        X.write_export(tables if is_open else {n: t.where(F.lit(False)) for n, t in tables.items()}, path)
+        for name in tables:
+            rows = X.read_export(spark, path, name).agg(F.count(F.lit(1)).alias("rows"))
+            one = rows.select(F.lit(run).alias("run"), F.lit(is_open).alias("gate_open"), F.lit(name).alias("table_name"), "rows")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _export_rows(mart: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = scratch_path(spark, f"export-{mart}")
+        X.write_export({mart: mart_tables(spark, sf_dir)[mart]}, out)
+        return X.read_export(spark, out, mart).drop("batch_file")
+
+    q.__doc__ = f"K10 P20 S7: the typed export rows of {mart}, read back from the written batches"
+    return q
 
 
 def q_export_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export all marts in <= 10,000-row batches; rows per table from the files."""
+    """All marts pushed twice in batches of at most 10,000 rows; rows and
+    batches per table from the files, and the overall total."""
     out = scratch_path(spark, "export")
     X.write_export(mart_tables(spark, sf_dir), out)
-    b = X.export_batches(spark, out)
-    return b.select(
+    X.write_export(mart_tables(spark, sf_dir), out)
+    limit = X.ROWS_PER_REQUEST
+    b = X.export_batches(spark, out).select(
         "table_name",
         "rows",
-        (F.col("max_batch_rows") <= 10_000).alias("within_limit"),
+        (F.col("max_batch_rows") <= limit).alias("within_limit"),
+        (F.col("batches") >= F.ceil(F.col("rows") / limit)).alias("enough_batches"),
+    )
+    total = b.agg(
+        F.lit("(all)").alias("table_name"), F.sum("rows").alias("rows"),
+        F.bool_and("within_limit").alias("within_limit"), F.bool_and("enough_batches").alias("enough_batches"),
     )
+    return b.unionByName(total)
 
 
 QUERIES: dict[str, Query] = {
@@ -350,6 +476,9 @@ QUERIES: dict[str, Query] = {
     "backfill_months": q_backfill_months,
     "full_reload": q_full_reload,
     "incremental_load": q_incremental_load,
+    "declared_raw_table": q_declared_raw_table,
+    "requested_months_missing": q_requested_months_missing,
+    "seed_csv": q_seed_csv,
     "bounded_lengths": q_bounded_lengths,
     "check_not_null": _checks(("not_null",)),
     "check_unique": _checks(("unique",)),
@@ -357,9 +486,15 @@ QUERIES: dict[str, Query] = {
     "check_accepted_values": _checks(("accepted_values",)),
     "check_accepted_range": _checks(("accepted_range",)),
     "check_summary": q_check_summary,
+    "check_failures": q_check_failures,
     "gate_results": q_gate_results,
+    "gate_open_results": q_gate_open_results,
+    "gated_export": q_gated_export,
     "gate_suites": q_gate_suites,
     "gate_decision": q_gate_decision,
-    "export_rows": q_export_rows,
+    "export_rows": _export_rows("fct_monthly_otp"),
+    "export_route_rows": _export_rows("fct_route_performance"),
+    "export_airport_rows": _export_rows("fct_airport_congestion"),
+    "export_cause_rows": _export_rows("fct_delay_causes"),
     "export_batches": q_export_batches,
 }

@@ -94,7 +94,6 @@ CAUSE_COLUMNS: list[str] = [
     "late_aircraft_delay_min",
 ]
 
-RAW_SCHEMA = T.StructType([T.StructField(src, STRING) for src, _, _ in SOURCE_COLUMNS])
 FLIGHT_SCHEMA = T.StructType([T.StructField(n, t) for _, n, t in SOURCE_COLUMNS])
 LAKE_DATA_SCHEMA = T.StructType([f for f in FLIGHT_SCHEMA.fields if f.name not in PARTITION_COLUMNS])
 

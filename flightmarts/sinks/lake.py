@@ -14,9 +14,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from flightmarts.jobs import run_concurrently
 from flightmarts.schema import (
     DATA_COLUMNS,
     FLIGHT_SCHEMA,
@@ -88,25 +90,46 @@ def write_lake(flights: DataFrame, root: str) -> WriteReport:
 def overwrite_months(
     flights: DataFrame, root: str, months: Iterable[tuple[int, int]] | None = None
 ) -> WriteReport:
-    """Replace exactly the months present in ``flights`` (dynamic overwrite, K2/K5).
+    """Replace exactly ``months`` (default: those present in ``flights``; K2/K5).
 
-    Other months are untouched, so re-running a month is idempotent. Dynamic
-    overwrite cannot express "this month is now empty": every month listed in
-    ``months`` that had no rows is therefore replaced by an empty partition
-    explicitly, so a month that became empty does not keep its old rows.
+    Other months are untouched, so re-running a month is idempotent. A row outside
+    ``months`` fails the job before anything is replaced: the commit comes after
+    all tasks, so the lake stays as it was. Dynamic overwrite cannot express "this
+    month is now empty": every month listed in ``months`` that had no rows is
+    therefore replaced by an empty partition explicitly.
     """
-    observed, obs = _observe(flights.select(*DATA_COLUMNS, *PARTITION_COLUMNS), "overwrite_months")
+    rows = flights.select(*DATA_COLUMNS, *PARTITION_COLUMNS)
+    if months is not None:
+        months = list(months)
+        rows = only_months(rows, months)
+    observed, obs = _observe(rows, "overwrite_months")
     _writer(observed, "overwrite", dynamic=True).parquet(root)
     report = _report(obs)
     emptied = sorted(set(months or []) - set(report.months))
-    if emptied:
-        empty = literal_frame(flights.sparkSession, [], LAKE_DATA_SCHEMA)
-        # one tiny write per month that turned empty (rare, bounded by the request)
-        for y, m in emptied:
-            empty.write.mode("overwrite").parquet(f"{root.rstrip('/')}/year={y}/month={m}")
+    empty_months(literal_frame(flights.sparkSession, [], LAKE_DATA_SCHEMA), root, emptied)
     return WriteReport(rows=report.rows, months=report.months, emptied=emptied)
 
 
+def only_months(flights: DataFrame, months: Iterable[tuple[int, int]]) -> DataFrame:
+    """The same rows; the job fails on one that belongs to another month."""
+    inside = F.coalesce(month_filter(months), F.lit(False))
+    message = F.concat(F.lit("row outside the months to replace: "), F.concat_ws("-", "year", "month"))
+    return flights.withColumn("year", F.when(inside, F.col("year")).otherwise(F.raise_error(message).cast("int")))
+
+
+def empty_months(empty: DataFrame, root: str, months: Iterable[tuple[int, int]]) -> None:
+    empty_partitions(empty, [f"{root.rstrip('/')}/year={y}/month={m}" for y, m in months])
+
+
+def empty_partitions(empty: DataFrame, paths: list[str]) -> None:
+    """Replace partitions by ones without rows (tiny independent jobs, submitted together)."""
+
+    def write(path: str):
+        return lambda: empty.write.mode("overwrite").parquet(path)
+
+    run_concurrently({p: write(p) for p in paths})
+
+
 def with_audit(flights: DataFrame) -> DataFrame:
     """Add the load audit column ``_loaded_at`` (TIMESTAMP_NTZ, K7)."""
     return flights.withColumn("_loaded_at", F.current_timestamp().cast("timestamp_ntz"))
@@ -135,6 +158,12 @@ def enforce_lengths(flights: DataFrame, lengths: dict[str, int] = VARCHAR_LENGTH
     return flights.select(*out)
 
 
+def read_raw_table(spark: SparkSession, raw_root: str) -> DataFrame:
+    """The raw table with its fixed schema (no inference job, no drift)."""
+    schema = T.StructType([*LAKE_DATA_SCHEMA, T.StructField("_loaded_at", T.TimestampNTZType()), *[FLIGHT_SCHEMA[c] for c in PARTITION_COLUMNS]])
+    return spark.read.schema(schema).parquet(raw_root)
+
+
 def _bounded(lake: DataFrame, lengths: dict[str, int] | None) -> DataFrame:
     df = lake.select(*DATA_COLUMNS, *PARTITION_COLUMNS)
     return with_audit(enforce_lengths(df, lengths) if lengths else df)
@@ -168,12 +197,7 @@ def load_months(
     _writer(observed, "overwrite", dynamic=True, rebalance=False).parquet(raw_root)
     report = _report(obs)
     emptied = sorted(set(months) - set(report.months))
-    if emptied:
-        empty = with_audit(literal_frame(lake.sparkSession, [], LAKE_DATA_SCHEMA))
-        for y, m in emptied:
-            empty.write.mode("overwrite").parquet(
-                f"{raw_root.rstrip('/')}/year={y}/month={m}"
-            )
+    empty_months(with_audit(literal_frame(lake.sparkSession, [], LAKE_DATA_SCHEMA)), raw_root, emptied)
     return WriteReport(rows=report.rows, months=report.months, emptied=emptied)
 
 

@@ -6,7 +6,7 @@ values, listed in ``FIXTURES.md`` section 5). The work grows with
 ``lineitem``: it shuffles by ``l_orderkey`` to meet the orders side
 (``orders`` meets ``customer`` first, so the big side never shuffles by
 customer) and, once ``part`` outgrows the broadcast threshold, by
-``l_partkey``. nation/region, supplier and part are left to the planner's
+``l_partkey``. nation/region and part are left to the planner's
 size check (broadcast only while their file size is under the threshold,
 re-checked by AQE at runtime).
 """
@@ -21,7 +21,8 @@ from flightmarts.schema import FLAG_COLUMNS, FLIGHT_COLUMNS, SOURCE_COLUMNS
 # --- fixed values: fixture rules
 DEST_MODULUS = 30          # dest airport = p_size % 30 (A25..A29 have no nation)
 TAIL_MODULUS = 5000        # tail number = 'N' || l_partkey % 5000
-KNOWN_CARRIERS = 20        # carrier lookup = nations with key < 20
+CARRIER_MODULUS = 30       # carrier = l_suppkey % 30; 25..29 are in no lookup
+STATE_LENGTH = 4           # state = first letters of the region, within VARCHAR(4)
 CANCEL_CODES = ["A", "B", "C", "D"]  # by l_orderkey % 4
 DUPLICATE_MODULUS = 10     # raw variant repeats rows with l_orderkey % 10 = 0
 
@@ -42,19 +43,15 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation.join(region, nation.n_regionkey == region.r_regionkey, "inner").select(
         F.col("n_nationkey").alias("place_key"),
         F.col("n_name").alias("place_city"),
-        F.col("r_name").alias("place_state"),
+        F.substring("r_name", 1, STATE_LENGTH).alias("place_state"),
     )
 
 
 def fixture_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Carrier lookup of the fixture: nations with key below 20 (code, name)."""
-    return (
-        table(spark, sf_dir, "nation")
-        .where(F.col("n_nationkey") < KNOWN_CARRIERS)
-        .select(
-            F.col("n_nationkey").cast("string").alias("carrier_code"),
-            F.col("n_name").alias("carrier_name"),
-        )
+    """Carrier lookup of the fixture: every nation (code, name)."""
+    return table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("string").alias("carrier_code"),
+        F.col("n_name").alias("carrier_name"),
     )
 
 
@@ -82,19 +79,17 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_discount", "l_tax", "l_returnflag", "l_linestatus",
     )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     dest = place.select(
         F.col("place_key").alias("dest_key"),
         F.col("place_city").alias("dest_city"),
         F.col("place_state").alias("dest_state"),
     )
     # lineitem meets the orders side first: the narrow scan shuffles by
-    # l_orderkey, and the part/supplier/place probes run after the exchange,
+    # l_orderkey, and the part/place probes run after the exchange,
     # spread over all shuffle partitions.
     base = (
         lineitem.join(order_side, lineitem.l_orderkey == order_side.o_orderkey, "inner")
         .join(part, lineitem.l_partkey == part.p_partkey, "inner")
-        .join(supplier, lineitem.l_suppkey == supplier.s_suppkey, "inner")
         .withColumn("dest_key", F.col("p_size") % DEST_MODULUS)
         .join(dest, "dest_key", "left")
     )
@@ -112,7 +107,7 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     step1 = base.select(
         F.col("o_orderdate").cast("date").alias("flight_date"),
-        F.col("s_nationkey").cast("string").alias("carrier_code"),
+        (F.col("l_suppkey") % CARRIER_MODULUS).cast("string").alias("carrier_code"),
         F.col("l_orderkey").cast("string").alias("flight_number"),
         F.concat(F.lit("N"), (F.col("l_partkey") % TAIL_MODULUS).cast("string")).alias("tail_number"),
         F.concat(F.lit("A"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0")).alias("origin"),

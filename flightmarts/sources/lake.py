@@ -11,9 +11,17 @@ from flightmarts.schema import FLIGHT_SCHEMA, LAKE_DATA_SCHEMA
 
 
 def month_filter(months: Iterable[tuple[int, int]]) -> Column:
-    """Predicate on the partition columns only, so the scan prunes folders."""
-    keys = sorted({int(y) * 100 + int(m) for y, m in months})
-    return (F.col("year") * 100 + F.col("month")).isin(keys)
+    """Predicate on the partition columns only, so the scan prunes folders.
+
+    Plain equalities on ``year`` and ``month``, which a catalog can evaluate too.
+    """
+    by_year: dict[int, list[int]] = {}
+    for y, m in sorted({(int(y), int(m)) for y, m in months}):
+        by_year.setdefault(y, []).append(m)
+    out = F.lit(False)
+    for y, own in by_year.items():
+        out = out | ((F.col("year") == y) & F.col("month").isin(own))
+    return out
 
 
 def read_lake(

@@ -6,14 +6,19 @@ re-transformed (new file names) is picked up again. Each micro-batch reloads
 the months it touches *whole*: it re-reads those partitions from the lake and
 overwrites them in the target, so a month split across two batches is never
 reduced to the second batch's rows, and replays are idempotent.
+
+A month that became empty brings no rows into any batch. So after the stream
+the months of the target are compared with those of the lake, and months that the
+lake no longer holds are emptied.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from flightmarts.schema import FLIGHT_SCHEMA, VARCHAR_LENGTHS
-from flightmarts.sinks.lake import load_months
+from flightmarts.sinks.lake import load_months, read_raw_table
 from flightmarts.sources.lake import read_lake
 
 
@@ -35,7 +40,8 @@ def incremental_load(
 ) -> int:
     """Load every lake file not yet in the ledger, then stop (``availableNow``).
 
-    Returns the number of micro-batches that carried data.
+    Returns the number of micro-batches that carried data, plus one if months had
+    to be emptied.
     """
     batches = []
 
@@ -55,4 +61,20 @@ def incremental_load(
         .start()
     )
     query.awaitTermination()
-    return len(batches)
+    stale = stale_months(spark, lake_root, target_root)
+    if stale:
+        load_months(read_lake(spark, lake_root, stale), target_root, stale, lengths)
+    return len(batches) + bool(stale)
+
+
+def stale_months(spark: SparkSession, lake_root: str, target_root: str) -> list[tuple[int, int]]:
+    """Months with rows in the target and none in the lake (a list of months)."""
+    try:
+        target = read_raw_table(spark, target_root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []  # nothing was ever loaded
+    months = target.select("year", "month").distinct()
+    left = months.join(read_lake(spark, lake_root).select("year", "month").distinct(), ["year", "month"], "left_anti")
+    return sorted((r["year"], r["month"]) for r in left.collect())

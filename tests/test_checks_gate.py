@@ -61,7 +61,7 @@ def test_gate_opens_and_closes(spark):
     assert [(r["suite"], r["expectation"]) for r in failed] == [("fct_monthly_otp", "mean_between")]
     # stale data: newest month older than the freshness floor
     stale = G.evaluate(marts, G.default_suites(dt.date(2002, 6, 1), BANDS_SF0001)).collect()
-    assert [r["expectation"] for r in stale if not r["success"]] == ["max_at_least"]
+    assert [r["expectation"] for r in stale if not r["success"]] == ["newest_month_fresh"]
 
 
 def test_mostly_tolerance(spark):

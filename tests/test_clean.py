@@ -113,3 +113,22 @@ def test_trailing_comma_files_are_read(spark, tmp):
             w.writerow([r[h] for h in HEADER + ["Extra"]] + [""])
     out = clean(read_raw(spark, f"{tmp}/trail/*.csv"))
     assert sorted(r["flight_number"] for r in out.collect()) == ["100", "2"]
+
+
+def test_files_with_other_headers_are_read_under_their_own(spark, tmp):
+    os.makedirs(f"{tmp}/drift")
+    layouts = [HEADER, HEADER[:5] + ["Added"] + HEADER[5:], list(reversed(HEADER))]
+    for i, names in enumerate(layouts):
+        row = raw_row(Flight_Number_Reporting_Airline=str(i), Extra="e")
+        with open(f"{tmp}/drift/ontime_{i}.csv", "w", newline="") as f:
+            w = csv.writer(f)
+            w.writerow(names)
+            w.writerow([row.get(h, "added") for h in names])
+    open(f"{tmp}/drift/ontime_9.csv", "w").close()  # no header, no rows
+    out = clean(read_raw(spark, f"{tmp}/drift/*.csv")).orderBy("flight_number").collect()
+    assert [r["flight_number"] for r in out] == ["0", "1", "2"]
+    assert len({tuple(v for k, v in r.asDict().items() if k != "flight_number") for r in out}) == 1
+    with open(f"{tmp}/drift/ontime_5.csv", "w", newline="") as f:
+        csv.writer(f).writerow([h for h in HEADER if h != "Origin"])
+    with pytest.raises(Exception, match="Origin"):
+        read_raw(spark, f"{tmp}/drift/*.csv")

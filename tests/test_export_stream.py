@@ -59,6 +59,24 @@ def test_ledger_stream_loads_each_file_once(spark, tmp):
     assert counts == {(2024, 1): 3, (2024, 2): 1}
 
 
+def test_ledger_empties_a_month_that_became_empty(spark, tmp):
+    lake, target, ckpt = f"{tmp}/lake", f"{tmp}/target", f"{tmp}/ckpt"
+    legs = make_legs(spark, [{"flight_date": dt.date(2024, m, 3)} for m in (1, 1, 2)])
+    write_lake(legs, lake)
+    incremental_load(spark, lake, target, ckpt)
+    overwrite_months(legs.where("false"), lake, [(2024, 1)])
+    assert incremental_load(spark, lake, target, ckpt) >= 1
+    counts = {(r["year"], r["month"]): r["rows"] for r in rows_by_month(spark.read.parquet(target)).collect()}
+    assert counts == {(2024, 2): 1}
+    assert incremental_load(spark, lake, target, ckpt) == 0
+
+
+def test_second_push_replaces_the_first(spark, tmp):
+    write_export({"fct_monthly_otp": otp_like(spark, 12_000)}, tmp)
+    assert write_export({"fct_monthly_otp": otp_like(spark, 700)}, tmp) == {"fct_monthly_otp": 700}
+    assert export_batches(spark, tmp, ["fct_monthly_otp"]).first()["rows"] == 700
+
+
 def test_ledger_month_split_across_batches_is_loaded_whole(spark, tmp):
     lake, target, ckpt = f"{tmp}/lake", f"{tmp}/target", f"{tmp}/ckpt"
     jan_a = make_legs(spark, [{"flight_date": dt.date(2024, 1, d)} for d in (1, 2)])

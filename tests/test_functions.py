@@ -9,9 +9,10 @@ from flightmarts.functions import (
     flag_to_bool,
     freshness_floor,
     month_sequence,
-    parse_year_month,
 )
-from flightmarts.operators.gate import freshness_floor_date
+from flightmarts.functions.exact import scaled_long
+from flightmarts.functions.months import month_numbers
+from flightmarts.functions.strict import strict_cast
 
 
 def test_exact_ratio_half_up_and_zero(spark):
@@ -39,16 +40,41 @@ def test_month_arithmetic(spark):
         data_month(F.lit(dt.date(2026, 1, 10))).alias("jan_run"),
         data_month(F.lit(dt.date(2025, 3, 1))).alias("mar_run"),
         freshness_floor(F.lit(dt.date(2026, 1, 31))).alias("floor"),
-        parse_year_month(F.lit("2025-07")).alias("parsed"),
         F.size(month_sequence(F.lit(dt.date(2024, 11, 5)), F.lit(dt.date(2025, 2, 1)))).alias("n"),
     ).first()
     assert row["jan_run"] == dt.date(2025, 11, 1)  # January run owns November of the year before
     assert row["mar_run"] == dt.date(2025, 1, 1)
     assert row["floor"] == dt.date(2025, 9, 1)
-    assert row["parsed"] == dt.date(2025, 7, 1)
     assert row["n"] == 4
-    assert freshness_floor_date(dt.date(2026, 1, 31)) == dt.date(2025, 9, 1)
-    assert freshness_floor_date(dt.date(2001, 9, 15)) == dt.date(2001, 5, 1)
+    assert month_numbers("2024-11", "2025-02") == [(2024, 11), (2024, 12), (2025, 1), (2025, 2)]
+    with pytest.raises(ValueError):
+        month_numbers("2025-03", "2025-01")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strict_casts_whatever_the_session_says(spark, ansi):
+    from pyspark.sql import types as T
+
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        good = spark.createDataFrame([("1.5", "2024-02-29"), (None, None)], "n string, d string")
+        cols = [strict_cast("n", T.DoubleType()).alias("n"), strict_cast("d", T.DateType()).alias("d")]
+        assert [tuple(r) for r in good.select(*cols).collect()] == [(1.5, dt.date(2024, 2, 29)), (None, None)]
+        for n, d in (("abc", "2024-02-29"), ("1.5", "2024-02-30"), ("1.5", "soon")):
+            with pytest.raises(Exception, match="cannot cast"):
+                spark.createDataFrame([(n, d)], "n string, d string").select(*cols).collect()
+        with pytest.raises(Exception, match="cannot cast"):
+            spark.createDataFrame([("yes",)], "f string").select(flag_to_bool("f")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_measures_finer_than_the_scale_fail(spark):
+    df = spark.createDataFrame([(12.34,), (None,), (-0.07,), (1e9 + 0.01,)], "v double")
+    assert [r[0] for r in df.select(scaled_long("v")).collect()] == [1234, None, -7, 100000000001]
+    with pytest.raises(Exception, match="finer"):
+        spark.createDataFrame([(0.125,)], "v double").select(scaled_long("v")).collect()
 
 
 def test_month_sequence_reversed_fails(spark):

@@ -58,6 +58,15 @@ def test_month_overwrite_is_idempotent_and_empties(spark, tmp, three_months):
     assert month_rows(read_lake(spark, root)) == {(2024, 1): 3, (2024, 2): 2}
 
 
+def test_rows_outside_the_months_abort_and_change_nothing(spark, tmp, three_months):
+    root = f"{tmp}/lake"
+    write_lake(three_months, root)
+    stray = make_legs(spark, [{"flight_date": dt.date(2024, 2, 9)}, {"flight_date": dt.date(2024, 1, 9)}])
+    with pytest.raises(Exception, match="outside the months"):
+        overwrite_months(stray, root, [(2024, 2)])
+    assert month_rows(read_lake(spark, root)) == {(2024, 1): 3, (2024, 2): 2, (2024, 3): 1}
+
+
 def test_raw_table_loads_and_length_bounds(spark, tmp, three_months):
     lake = f"{tmp}/lake"
     write_lake(three_months, lake)

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from flightmarts.operators import marts as M
 from flightmarts.operators.enrich import ENRICHED_COLUMNS, enrich, stage
-from flightmarts.plans.monthly import build_marts
 from flightmarts.sources import seeds
 from tests.conftest import make_legs
 
@@ -104,9 +103,12 @@ def test_route_and_shared_aggregate_agree(spark):
             for c, o, d, x, y in [("AA", "A", "B", 3.0, 1.0), ("AA", "A", "B", 20.0, 18.0),
                                   ("DL", "B", "A", -4.0, 0.0)]]
     e = enriched(spark, rows)
-    both = build_marts(e)
-    assert sorted(both["fct_monthly_otp"].collect()) == sorted(M.monthly_otp(e).collect())
-    assert sorted(both["fct_delay_causes"].collect()) == sorted(M.delay_causes(e).collect())
+    facts = M.carrier_month_facts(e)
+    assert sorted(M.monthly_otp_from(facts).collect()) == sorted(M.monthly_otp(e).collect())
+    assert sorted(M.delay_causes_from(facts).collect()) == sorted(M.delay_causes(e).collect())
+    # the lookup joined after the aggregate gives the same marts, unknown codes included
+    late = M.carrier_month_facts(e.drop("carrier_name"), seeds.carriers(spark))
+    assert sorted(M.monthly_otp_from(late).collect()) == sorted(M.monthly_otp(e).collect())
     r = {(x["origin"], x["dest"]): x for x in M.route_performance(e).collect()}
     assert r[("A", "B")]["avg_arr_delay_min"] == 11.5 and r[("A", "B")]["scheduled_flights"] == 2
     assert r[("B", "A")]["avg_arr_delay_min"] == -4.0

@@ -18,7 +18,7 @@ def test_run_month_end_to_end_and_idempotent(spark, tmp):
     clean = Q.clean_legs(spark, SF_SMALL)
     lake, raw_table = f"{tmp}/lake", f"{tmp}/raw"
     write_lake(clean, lake)
-    load_full(spark.read.parquet(lake), raw_table, lengths=None)
+    load_full(spark.read.parquet(lake), raw_table)
     before = {(r["year"], r["month"]): r["rows"] for r in rows_by_month(spark.read.parquet(raw_table)).collect()}
 
     month = legs(spark, SF_SMALL).where((F.col("year") == 2001) & (F.col("month") == 8))
@@ -27,7 +27,6 @@ def test_run_month_end_to_end_and_idempotent(spark, tmp):
         raw_paths=[f"{tmp}/landing/2001/08/*.csv"], month="2001-08", lake_root=lake, raw_root=raw_table,
         marts_root=f"{tmp}/marts", export_root=f"{tmp}/export", as_of=dt.date(2001, 9, 15),
         bands=BANDS_SF0001, carriers=fixture_carriers(spark, SF_SMALL),
-        lengths=None,  # the fixture's state names exceed VARCHAR(4); load them unbounded
     )
     first = run_month(spark, **kwargs)
     second = run_month(spark, **kwargs)
@@ -41,11 +40,8 @@ def test_run_month_end_to_end_and_idempotent(spark, tmp):
 
 
 def test_clean_history_and_backfill(spark, tmp):
-    from flightmarts.plans.monthly import backfill, clean_history, month_list
+    from flightmarts.plans.monthly import backfill, clean_history
 
-    assert month_list("2024-11", "2025-02") == [(2024, 11), (2024, 12), (2025, 1), (2025, 2)]
-    with pytest.raises(ValueError):
-        month_list("2025-03", "2025-01")
     all_legs = legs(spark, SF_SMALL)
     for y, m in [(2001, 6), (2001, 7), (2001, 8)]:
         part = all_legs.where((F.col("year") == y) & (F.col("month") == m))
@@ -67,6 +63,43 @@ def test_clean_history_and_backfill(spark, tmp):
     assert sorted(per) == [(2001, 7), (2001, 8)]
     assert sum(r["rows_in"] for r in per.values()) == again.rows_in
     assert all(r["rows_out"] == counts[k] and r["dropped"] == r["rows_in"] - r["rows_out"] for k, r in per.items())
+    # months that have landed are left out on request
+    skipped = backfill(spark, f"{tmp}/raw", "2001-07", "2001-08", f"{tmp}/lake", skip_landed=True)
+    assert (skipped.rows_in, skipped.months) == (0, [])
+    # a file that holds another month's rows stops the backfill and changes nothing
+    shutil.copy(f"{tmp}/raw/2001/ontime_2001_06.csv.gz", f"{tmp}/raw/2001/ontime_2001_08.csv.gz")
+    with pytest.raises(Exception, match="outside the months"):
+        backfill(spark, f"{tmp}/raw", "2001-07", "2001-08", f"{tmp}/lake")
+    assert {(r["year"], r["month"]): r["rows"] for r in rows_by_month(spark.read.parquet(f"{tmp}/lake")).collect()} == counts
+
+
+def test_changed_month_equals_a_full_rebuild(spark, tmp):
+    """Marts of one changed and one emptied month, rebuilt alone, equal the full rebuild."""
+    from flightmarts.operators.enrich import stage
+    from flightmarts.plans.monthly import materialize_marts
+
+    staged, carriers = stage(Q.clean_legs(spark, SF_SMALL)), fixture_carriers(spark, SF_SMALL)
+    materialize_marts(spark, staged, carriers, f"{tmp}/part")
+    changed = staged.where("not (year = 1996 and month = 3)").where("not (year = 2001 and month = 8 and cancelled)")
+    part = materialize_marts(spark, changed, carriers, f"{tmp}/part", [(1996, 3), (2001, 8)])
+    full = materialize_marts(spark, changed, carriers, f"{tmp}/full")
+    for name in full:
+        cols = full[name].columns
+        a, b = (sorted(map(str, df.select(*cols).collect())) for df in (part[name], full[name]))
+        assert a == b and len(a) > 0, name
+
+
+def test_run_of_the_changed_month_only(spark, tmp):
+    clean = Q.clean_legs(spark, SF_SMALL)
+    write_lake(clean, f"{tmp}/lake")
+    load_full(spark.read.parquet(f"{tmp}/lake"), f"{tmp}/raw")
+    month = legs(spark, SF_SMALL).where((F.col("year") == 2001) & (F.col("month") == 8))
+    raw_strings(month).write.option("header", "true").csv(f"{tmp}/landing")
+    kwargs = dict(raw_paths=[f"{tmp}/landing/*.csv"], month="2001-08", lake_root=f"{tmp}/lake", raw_root=f"{tmp}/raw", marts_root=f"{tmp}/marts",
+                  export_root=f"{tmp}/export", as_of=dt.date(2001, 9, 15), bands=BANDS_SF0001, carriers=fixture_carriers(spark, SF_SMALL))
+    full = run_month(spark, **kwargs)
+    again = run_month(spark, changed_only=True, **kwargs)
+    assert again.gate_open and again.exported == full.exported and again.rows_out == full.rows_out
 
 
 def test_run_month_gate_closed_and_check_errors(spark, tmp):
@@ -75,12 +108,12 @@ def test_run_month_gate_closed_and_check_errors(spark, tmp):
     clean = Q.clean_legs(spark, SF_SMALL)
     lake, raw_table = f"{tmp}/lake", f"{tmp}/raw"
     write_lake(clean, lake)
-    load_full(spark.read.parquet(lake), raw_table, lengths=None)
+    load_full(spark.read.parquet(lake), raw_table)
     month = legs(spark, SF_SMALL).where((F.col("year") == 2001) & (F.col("month") == 8))
     raw_strings(month).write.option("header", "true").csv(f"{tmp}/landing")
     kwargs = dict(
         raw_paths=[f"{tmp}/landing/*.csv"], month="2001-08", lake_root=lake, raw_root=raw_table,
-        marts_root=f"{tmp}/marts", export_root=f"{tmp}/export", as_of=dt.date(2001, 9, 15), lengths=None,
+        marts_root=f"{tmp}/marts", export_root=f"{tmp}/export", as_of=dt.date(2001, 9, 15),
     )
     # full-history bands: the small fixture is far below them, so nothing is published
     closed = run_month(spark, bands=Bands(), carriers=fixture_carriers(spark, SF_SMALL), **kwargs)

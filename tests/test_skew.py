@@ -5,7 +5,7 @@ import re
 from flightmarts.operators import marts as M
 from flightmarts.operators.clean import deduplicate
 from flightmarts.operators.enrich import enrich, stage
-from flightmarts.plans.monthly import build_marts
+from flightmarts.plans.monthly import mart_frames
 from flightmarts.sources import seeds
 from tests.conftest import make_legs
 
@@ -30,13 +30,26 @@ def test_hot_key_dedup_and_marts(spark):
     assert d.count() == 61
     assert _partial_before_exchange(d)
     e = enrich(stage(d), seeds.carriers(spark), seeds.cancellation_codes(spark))
-    for name, mart in build_marts(e).items():
+    for name, mart in mart_frames(stage(d), seeds.carriers(spark)).items():
         assert _partial_before_exchange(mart), name
-    assert _partial_before_exchange(M.airport_congestion(e))
     otp = {r["carrier_code"]: r["scheduled_flights"] for r in M.monthly_otp(e).collect()}
     assert otp == {"AA": 31, "DL": 30}
 
 
+def test_mart_plans_read_no_lookup_over_the_legs(spark):
+    from flightmarts.plans import queries as Q
+    from tests.conftest import SF_SMALL
+
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for q, joins in ((Q.q_route_performance, 0), (Q.q_airport_congestion, 0), (Q.q_airport_congestion_join, 1)):
+        text = plan(q(spark, SF_SMALL))
+        assert text.count("Join") == joins and "carrier_name" not in text
+        below = text[text.rindex("SortAggregate") :]  # sorts only what a hash aggregate has reduced
+        assert "HashAggregate" in below
+    otp = plan(Q.q_monthly_otp(spark, SF_SMALL))
+    assert otp.index("Join") < otp.rindex("HashAggregate")  # the lookup meets aggregated rows
+
+
 def test_adaptive_skew_handling_is_on(spark):
     conf = spark.conf
     assert conf.get("spark.sql.adaptive.enabled") == "true"
