@@ -15,9 +15,9 @@ match one of the next class is sketched there too.
    The collision-corrected estimate from all registers drops pairs that are below the
    threshold for all but one in 10**9, and the rest is verified on the full shingle sets.
 4. Links join components. Members of one bucket in different components are paired with
-   other hubs; what is still apart after ``STAR_ROUNDS`` rounds is compared in blocks
-   of bounded size, so that no link between components is missed and no group is ever
-   in one task or expanded into all its pairs.
+   other hubs; what is still apart after ``STAR_ROUNDS`` rounds is compared within
+   units of bounded size, so that no link between components is missed and no group is
+   ever in one task or expanded into all its pairs.
 
 Defined results: null, empty and blank texts have no shingles and are linked with
 nothing; with fewer than k words the whole sequence is the one shingle; rows of one id
@@ -44,7 +44,7 @@ BUCKETS = 256
 BANDS, ROWS = 32, 4
 FILL = 8  # hashes per bucket, at least
 STAR_ROUNDS = 2
-BLOCK = 256
+BLOCK = 1_024
 _EMPTY = 0xFFFF
 
 _SKETCH = T.StructType([
@@ -193,42 +193,77 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int, threshold: float) -> Dat
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, jaccard double").distinct()
 
 
-def _apart_in_blocks(members: DataFrame, regs: DataFrame, threshold: float) -> DataFrame:
-    """Likely pairs of members of one bucket in different components.
+def _links_apart(members: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame:
+    """Links between components that still share a bucket, verified; enough of them to
+    join all that belong together.
 
-    A bucket of c members is dealt into ceil(c / BLOCK) blocks, and each pair of blocks is
-    a unit of work of its own, so a unit holds about 2 * BLOCK members at most.
+    Members are dealt into blocks of about ``BLOCK``: those whose buckets have the same
+    smallest member (a family of copies, mostly) by the hash of their id. Two blocks that
+    meet in any bucket are one unit of work, however many buckets they share, and a unit
+    gets the members that meet there, once. It estimates all its pairs in different
+    components, verifies the likely ones on the full sets while their components are
+    apart, and returns links only.
     """
-    least = least_estimate(threshold)
-    size = members.groupBy("key").agg(F.count(F.lit(1)).alias("c")).select("key", F.expr(f"cast(ceil(c / {BLOCK}) as int)").alias("blocks"))
-    dealt = members.join(size, "key").withColumn("mine", F.expr("cast(pmod(xxhash64(rep), blocks) as int)"))
-    units = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-        "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "component", "class"
+    least, percent = least_estimate(threshold), round(100 * threshold)
+    lowest = members.groupBy("key").agg(F.min("rep").alias("low"))
+    family = materialize(members.join(lowest, "key").groupBy("rep").agg(F.min("low").alias("family")), "minhash-families")
+    size = family.groupBy("family").agg(F.expr(f"cast(ceil(count(1) / {BLOCK}) as int)").alias("blocks"))
+    block = family.join(size, "family").select("rep", F.expr("xxhash64(family, pmod(xxhash64(rep), blocks))").alias("block"))
+    placed = materialize(members.join(block, "rep").select("key", "rep", "component", "block"), "minhash-placed")
+    met = materialize(placed.select("key", F.col("block").alias("other")).distinct(), "minhash-met")
+    units = (
+        placed.join(met, "key").select("rep", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).distinct()
     )
-    rows = units.join(regs, ["rep", "class"]).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    wanted = texts.select(F.col("doc_id").alias("rep"), "text")
+    rows = materialize(units, "minhash-units").join(wanted, "rep").repartition("i", "j").sortWithinPartitions("i", "j")
 
     def compare(part: pa.Table):
-        mine = np.asarray(part["mine"].combine_chunks())
-        left, right = np.flatnonzero(mine == mine.min()), np.flatnonzero(mine == mine.max())
-        reg = np.frombuffer(b"".join(part["registers"].to_pylist()), np.uint16).reshape(-1, BUCKETS)
-        rep, comp, n = (np.asarray(part[c].combine_chunks()) for c in ("rep", "component", "n"))
-        out_a, out_b = [], []
-        for x in left:
-            y = right[(comp[right] != comp[x]) & ((mine[x] != mine[right]) | (rep[right] > rep[x]))]
-            if len(y):
+        rep, comp, block = (np.asarray(part[c].combine_chunks()) for c in ("rep", "component", "block"))
+        sets = shingle_sets(part["text"].combine_chunks(), k)
+        n = np.array([len(s) for s in sets], dtype=np.int64)
+        root = {int(c): int(c) for c in comp}
+
+        def find(c):
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        left = np.flatnonzero(block == part["i"][0].as_py())
+        right = np.flatnonzero(block == part["j"][0].as_py())
+        classes = [size_classes(x, threshold) for x in n]
+        found = []
+        for c in sorted({max(size_classes(x, threshold)[0], 0) for x in n}):  # a pair meets in its larger set's class
+            here = [v for v in range(len(n)) if c in classes[v]]
+            regs = np.zeros((len(n), BUCKETS), dtype=np.uint16)
+            for v in here:
+                regs[v] = registers(sets[v], c)
+            inside = np.zeros(len(n), dtype=bool)
+            inside[here] = True
+            own = inside & (n.astype(np.uint64) >= 1 << c) & (n < 1 << (c + 1))
+            for x in left[inside[left]]:
+                y = right[inside[right] & (comp[right] != comp[x]) & (own[right] | own[x])]
                 y = y[(np.minimum(n[x], n[y]) >= threshold * np.maximum(n[x], n[y]) - 1e-9)]
-                y = y[estimate(reg[x][None, :], reg[y], float(n[x]), n[y].astype(float)) >= least]
-                out_a.append(np.minimum(rep[x], rep[y]))
-                out_b.append(np.maximum(rep[x], rep[y]))
-        empty = np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([empty, *out])) for out in (out_a, out_b)], names=["a", "b"])
+                if not len(y):
+                    continue
+                y = y[estimate(regs[x][None, :], regs[y], float(n[x]), n[y].astype(float)) >= least]
+                for v in y:
+                    one, two = find(int(comp[x])), find(int(comp[v]))
+                    if one == two:
+                        continue
+                    both = len(np.intersect1d(sets[x], sets[v], assume_unique=True))
+                    if 100 * both >= percent * (n[x] + n[v] - both):
+                        root[max(one, two)] = min(one, two)
+                        found.append((min(int(rep[x]), int(rep[v])), max(int(rep[x]), int(rep[v])), both / (n[x] + n[v] - both)))
+        cols = list(zip(*found)) or [(), (), ()]
+        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())], names=["a", "b", "jaccard"])
 
     def run(batches):
         held, name = [], None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            unit = np.stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("key", "i", "j")], axis=1)
+            unit = np.stack([np.asarray(batch.column(c)) for c in ("i", "j")], axis=1)
             cuts = np.concatenate([[0], np.flatnonzero((unit[1:] != unit[:-1]).any(axis=1)) + 1, [len(unit)]])
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 if held and tuple(unit[lo]) != name:
@@ -239,7 +274,7 @@ def _apart_in_blocks(members: DataFrame, regs: DataFrame, threshold: float) -> D
         if held:
             yield compare(pa.Table.from_batches(held))
 
-    return rows.select("key", "i", "j", "mine", "rep", "component", "n", "registers").mapInArrow(run, "a long, b long").distinct()
+    return rows.select("i", "j", "block", "rep", "component", "text").mapInArrow(run, "a long, b long, jaccard double").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -255,7 +290,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, doc_id:
     regs = own.select("rep", "class", "registers", "n")
     # members of candidate buckets with at least two representatives
     banded = own.select("rep", "class", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    shared = materialize(banded.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "minhash-keys")
     members = materialize(banded.join(shared, "key").select("key", "class", "rep", F.col("rep").alias("component")), "minhash-members")
     wanted = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     texts = materialize(wanted.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), "minhash-texts")
@@ -273,10 +308,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, doc_id:
             pairs = members.join(hubs, "key").where("component != hub_component").select(
                 F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"), "class"
             ).distinct()
-            likely = _likely(pairs, regs, threshold)
+            new = _verify(_likely(pairs, regs, threshold), texts, k, threshold)
         else:
-            likely = _apart_in_blocks(members, regs, threshold)
-        new = materialize(_verify(likely, texts, k, threshold), "minhash-links")
+            new = _links_apart(members, texts, k, threshold)
+        new = materialize(new, "minhash-links")
         links = new if links is None else links.unionByName(new)
         found = components(links)
 
