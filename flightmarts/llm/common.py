@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 from flightmarts.config import scratch_path
 
 # Text of one numpy pass; a longer text is one pass of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 _SHIPPED: set[str] = set()
@@ -49,6 +50,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fit_in_task(sample: DataFrame, fit: Callable[[pa.Table], object], order: list[str]):
+    """Fit a model on a bounded sample inside one task, so that neither the sample nor the
+    training arrays weigh on the driver; None if the sample is empty."""
+    ship(sample.sparkSession)
+
+    def run(batches):
+        parts = [b for b in batches if b.num_rows]
+        made = pickle.dumps(fit(pa.Table.from_batches(parts))) if parts else None
+        yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], names=["model"])
+
+    rows = sample.coalesce(1).sortWithinPartitions(*order).mapInArrow(run, "model binary").collect()
+    made = [bytes(r["model"]) for r in rows if r["model"] is not None]
+    return pickle.loads(made[0]) if made else None
+
+
 def text_chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts hold about ``limit`` bytes (one row at least)."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)

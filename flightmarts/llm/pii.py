@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_texts, ship
+from .common import fit_in_task, map_texts, ship
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 3_000
@@ -309,11 +309,9 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: i
     rows = (
         docs.select(F.col(doc_id).cast("string").alias("i"), F.col(text).alias("t")).where("t is not null")
         .join(F.broadcast(picked), "i", "left_semi").select("t").mapInArrow(cut, "w string")
-        .distinct().orderBy(F.xxhash64("w"), "w").limit(windows).collect()
+        .distinct().withColumn("place", F.xxhash64("w")).orderBy("place", "w").limit(windows)
     )
-    if not rows:
-        return None
-    return Tagger().fit(*training_set([r["w"] for r in rows]))
+    return fit_in_task(rows, lambda part: Tagger().fit(*training_set(part["w"].to_pylist())), ["place", "w"])
 
 
 # -- tagging documents ------------------------------------------------------------

@@ -34,7 +34,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     def series(base: int) -> np.ndarray:
         out = np.full(n, np.uint64(base), dtype=np.uint64)
@@ -45,8 +45,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(n).bit_length())
-    return _powers(size)
+    return _powers(1 << max(21, int(n).bit_length()))  # one table for all usual blocks
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:

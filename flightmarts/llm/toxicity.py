@@ -11,8 +11,8 @@ document frequency among toxic documents is far above that among clean ones are
 only ones with a weight; those that explain the toxicity of the training documents mark
 their words. Two samples of labelled rows outside the held-out fold are bounded, both by the
 smallest hash of the id: ``COUNTED`` documents of each class for the frequencies, which are
-counted where the documents are, and ``SAMPLE`` of each class for the chain, which the
-driver fits. Scoring uses the text alone.
+counted where the documents are, and ``SAMPLE`` of each class for the chain, which one
+task fits. Scoring uses the text alone.
 
 Defined results: null and empty texts have no words and get the model's score for no
 evidence; without labelled rows of both classes every score is 0; repeated rows are scored
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import flat_bytes, map_texts, ship, text_chunks
+from .common import fit_in_task, flat_bytes, map_texts, ship, text_chunks
 from .textscan import ALNUM, Words, mix, prefix_hash, substring_hash
 
 COUNTED = 20_000
@@ -299,8 +299,16 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     frame = lambda rows: docs.sparkSession.createDataFrame(rows, "__id string, toxic int")
     candidates = _count_features(own, frame(by_class[0] + by_class[1]), text, len(by_class[1]), len(by_class[0]))
     few = frame(by_class[0][:sample] + by_class[1][:sample])
-    rows = own.join(F.broadcast(few), "__id").groupBy("__id", "toxic").agg(F.min(text).alias("t")).orderBy(*order, "toxic").collect()
-    return fit([r["t"] for r in rows], [r["toxic"] for r in rows], candidates)
+    rows = own.join(F.broadcast(few), "__id").groupBy("__id", "toxic").agg(F.min(text).alias("t"))
+    rows = rows.withColumn("place", F.xxhash64("__id"))
+    listed = np.flatnonzero(candidates)
+
+    def fit_sample(part: pa.Table) -> Chain | None:
+        flags = np.zeros(BUCKETS, dtype=bool)
+        flags[listed] = True
+        return fit(part["t"].to_pylist(), part["toxic"].to_pylist(), flags)
+
+    return fit_in_task(rows, fit_sample, ["place", "__id", "toxic"])
 
 
 def score(docs: DataFrame, model: Chain | None, keep: list[str], text: str = "text") -> DataFrame:
