@@ -48,7 +48,8 @@ GRAM = 240
 NODES = (32, 4, 1)
 RUN_WINDOWS = 1_024  # windows of one sorted suffix, at most
 RANGE_BYTES = 16 << 20  # suffix bytes of one merged range, about
-SPLITTER_SAMPLE = 4_096
+SPLITTER_SAMPLE = 1_024
+SPLITTER_BYTES = 256
 _KEY = ["d", "x"]
 
 # -- candidate windows ------------------------------------------------------------
@@ -268,8 +269,8 @@ def merge_sorted_suffixes(suffixes: DataFrame, ranges: int) -> DataFrame:
     """(load, length, shared): of every suffix (string binary, load long) the longest common
     prefix with a neighbour in the sorted order of all that fall into its range."""
     ship(suffixes.sparkSession)
-    sample = suffixes.select("string").orderBy(F.xxhash64("string"), "string").limit(SPLITTER_SAMPLE).collect()
-    ordered = sorted(bytes(r["string"]) for r in sample)
+    heads = suffixes.select(F.substring("string", 1, SPLITTER_BYTES).alias("head"), F.xxhash64("string").alias("at"))
+    ordered = sorted(bytes(r["head"]) for r in heads.orderBy("at", "head").limit(SPLITTER_SAMPLE).collect())
     splitters = sorted({ordered[i * len(ordered) // ranges] for i in range(1, ranges)}) if ordered else []
     shared = suffixes.sparkSession.sparkContext.broadcast(splitters)  # at most `ranges` strings
 
@@ -332,7 +333,8 @@ def repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     ship(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("d"), F.xxhash64(text).alias("x"), F.col(text).alias("text"))
     anchors = materialize(_anchors(texts, length, gram), "suffix-anchors")
-    twice = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram")
+    # written, so that the join below has an exchange on either side and Spark can split a hot gram
+    twice = materialize(anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram"), "suffix-grams")
     per_text = anchors.join(twice, "gram").groupBy(*_KEY).agg(F.collect_set("gram").alias("grams"))
     cand = materialize(texts.join(per_text, _KEY), "suffix-candidates")
 
