@@ -143,7 +143,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, vec_id: str = "
         rows.where("key is not null and vec_id is not null").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.first("unit").alias("unit")),
         "pq-classes",
     )
-    picked = [bytes(r["unit"]) for r in classes.orderBy(F.xxhash64("rep"), "rep").limit(sample).select("unit").collect()]
+    ids = classes.select("rep").orderBy(F.xxhash64("rep"), "rep").limit(sample)  # narrow: every task offers as many
+    picked = [bytes(r["unit"]) for r in classes.join(F.broadcast(ids), "rep", "left_semi").orderBy("rep").select("unit").collect()]
     links = spark.createDataFrame([], "rep long, links long")
     found = spark.createDataFrame([], "id long, component long")
     if picked:
