@@ -8,8 +8,11 @@ by Viterbi, and the spans of all windows of a document are reconciled together:
 span cut by a window's edge yields to the neighbour that sees it whole, overlapping
 spans of one kind join, and what contradicts a base span goes. Base spans always stay.
 
-Every kind holds a digit or an ``@``, so windows without either are plain by definition and
-are not decoded. The training sample is the only bounded thing: the ``SAMPLE``
+Every kind holds a digit or an ``@``, but an email may be spelled with the words ``at`` and
+``dot`` instead, in any case, between brackets or not. Windows without a digit, an ``@`` or
+one of these words are plain by definition and are not decoded. The words are common in
+prose, so training also sees windows that hold nothing else, as they are and with a
+spelled email put in. The training sample is the only bounded thing: the ``SAMPLE``
 documents of the smallest hash of their id.
 
 Defined results: null and empty texts have no spans; offsets are code points of the
@@ -28,14 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fit_in_task, map_texts, ship
+from .common import fit_in_task, map_texts, materialize, ship
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 3_000
-WINDOWS = 2_000  # training windows, of those with a digit or an @
+WINDOWS = 2_000  # training windows with a digit or an @, and as many with a separator in words only
 WINDOW, STRIDE = 64, 32
 HIDDEN, EMBED = 24, 12
-EPOCHS, BATCH = 5, 64
+EPOCHS, BATCH = 8, 64
+COPIES = 2  # of a training window, with a value respelled or a spelled email put in
 LEAST_P = 0.8  # mean marginal of an added span
 
 # -- base rules -------------------------------------------------------------------
@@ -46,6 +50,9 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TRIGGER = re.compile(r"[0-9@]")
+# separators of an email in words, between brackets or not: no letter or digit beside them
+_SPELLED = re.compile(r"(?<![^\W_])(?:at|dot)(?![^\W_])", re.IGNORECASE)
+_SIGN = re.compile(f"{_TRIGGER.pattern}|{_SPELLED.pattern}", re.IGNORECASE)
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -256,17 +263,41 @@ class Tagger:
 
 
 def _starts(text: str) -> list[int]:
-    """Starts of the windows that hold a digit or an @."""
-    found = {m.start() // STRIDE for m in _TRIGGER.finditer(text)}
+    """Starts of the windows that hold a digit, an @ or a separator in words."""
+    found = {m.start() // STRIDE for m in _SIGN.finditer(text)}
     return sorted({max(0, k - j) * STRIDE for k in found for j in range(WINDOW // STRIDE)})
 
 
-def _respell(kind: int, value: str, rng: np.random.Generator) -> str:
+_SEPARATORS = [
+    (" at ", "."), (" at ", "."), (" at ", " dot "), (" AT ", " DOT "), (" @ ", "."), ("[at]", "[dot]"), ("(at)", "(dot)"), (" [at] ", " [dot] "), (" (at) ", "."),
+]
+_WORD = re.compile(r"[A-Za-z]{2,}")
+_GAP = re.compile(r"\s")
+_LETTERS = list("abcdefghijklmnopqrstuvwxyz")
+_ENDINGS = ("com", "org", "net", "edu", "io", "info", "de", "fr", "es", "co.uk")
+
+
+def _part(words: list[str], rng: np.random.Generator) -> str:
+    """One of the words, or a run of any letters."""
+    return words[int(rng.integers(len(words)))] if rng.integers(2) else "".join(rng.choice(_LETTERS, 2 + int(rng.integers(8))))
+
+
+def _spelled_email(words: list[str], rng: np.random.Generator, value: str = "") -> str:
+    """An email with its separators in words: the value, or one made of words and of any letters."""
+    if not value:
+        local = ["", ".", "_", "-"][int(rng.integers(4))].join(_part(words, rng) for _ in range(1 + int(rng.integers(2))))
+        domain = ["", "-", "."][int(rng.integers(3))].join(_part(words, rng) for _ in range(1 + int(rng.integers(2))))
+        value = f"{local}@{domain}.{_ENDINGS[int(rng.integers(len(_ENDINGS)))]}"
+    local, _, domain = value.partition("@")
+    at, dot = _SEPARATORS[int(rng.integers(len(_SEPARATORS)))]
+    return f"{local}{at}{domain.replace('.', dot)}"
+
+
+def _respell(kind: int, value: str, rng: np.random.Generator, words: list[str]) -> str:
     """The value in a spelling that the base rules don't cover."""
     pick = int(rng.integers(3))
     if kind == 0:
-        local, _, domain = value.partition("@")
-        return [f"{local} at {domain}", f"{local} @ {domain}", f"{local}[at]{domain.replace('.', '[dot]')}"][pick]
+        return _spelled_email(words, rng, value if pick else "")
     if kind == 1:
         return value.replace(".", [" . ", "[.]", ","][pick])
     digits = "".join(c for c in value if c.isdigit())
@@ -277,18 +308,29 @@ def _respell(kind: int, value: str, rng: np.random.Generator) -> str:
 
 
 def training_set(windows: list[str], seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and tags of the windows, and of a respelled copy of those with a base span."""
+    """Codes and tags of the windows, of respelled copies of those with a base span, and of
+    copies, with a spelled email between the words, of those with a separator in words only."""
     rng = np.random.default_rng(seed)
+    words = sorted({w.lower() for text in windows for w in _WORD.findall(text)} - {"at", "dot"}) or ["name"]
     rows = []
     for text in windows:
         spans = base_spans(text)
         rows.append((text, _tags(len(text), spans)))
-        if spans:
+        for _ in range(COPIES if spans else 0):
             kind, a, b = spans[int(rng.integers(len(spans)))]
-            new = _respell(kind, text[a:b], rng)
+            new = _respell(kind, text[a:b], rng, words)
             other = _tags(len(text), [s for s in spans if s != (kind, a, b) and (s[2] <= a or s[1] >= b)])
             tags = np.concatenate([other[:a], _tags(len(new), [(kind, 0, len(new))]), other[b:]])
             rows.append((text[:a] + new + text[b:], tags))
+            if kind == 0:  # the words alone are no email
+                new = " ".join([*(_part(words, rng) for _ in range(1 + int(rng.integers(3)))), ("at", "At", "dot")[int(rng.integers(3))], _part(words, rng)])
+                rows.append((text[:a] + new + text[b:], np.concatenate([other[:a], np.zeros(len(new), np.int64), other[b:]])))
+        if _TRIGGER.search(text) is None and _SIGN.search(text):
+            gaps = [m.end() for m in _GAP.finditer(text)] or [0]
+            for _ in range(COPIES):
+                a, new = gaps[int(rng.integers(len(gaps)))], _spelled_email(words, rng)
+                tags = np.concatenate([np.zeros(a, np.int64), _tags(len(new), [(0, 0, len(new))]), np.zeros(1 + len(text) - a, np.int64)])
+                rows.append((f"{text[:a]}{new} {text[a:]}", tags))
     ids, tags = np.zeros((len(rows), WINDOW), np.int64), np.zeros((len(rows), WINDOW), np.int64)
     for i, (text, tag) in enumerate(rows):
         n = min(WINDOW, len(text))
@@ -297,20 +339,24 @@ def training_set(windows: list[str], seed: int = 3) -> tuple[np.ndarray, np.ndar
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, windows: int = WINDOWS) -> Tagger | None:
-    """Fit on windows of ``sample`` documents; None if none holds a digit or an @."""
+    """Fit on windows of ``sample`` documents, ``windows`` of those with a digit or an @ and as
+    many with a separator in words only; None if there is neither."""
     ship(docs.sparkSession)
 
     def cut(batches):
         for batch in batches:
             out = [(t[s : s + WINDOW]) for t in batch.column("t").to_pylist() for s in _starts(t)]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["w"])
+            worded = [_TRIGGER.search(w) is None for w in out]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(worded, pa.bool_())], ["w", "worded"])
 
     picked = docs.select(F.col(doc_id).cast("string").alias("i")).where("i is not null").distinct().orderBy(F.xxhash64("i"), "i").limit(sample)
-    rows = (
+    cuts = (
         docs.select(F.col(doc_id).cast("string").alias("i"), F.col(text).alias("t")).where("t is not null")
-        .join(F.broadcast(picked), "i", "left_semi").select("t").mapInArrow(cut, "w string")
-        .distinct().withColumn("place", F.xxhash64("w")).orderBy("place", "w").limit(windows)
+        .join(F.broadcast(picked), "i", "left_semi").select("t").mapInArrow(cut, "w string, worded boolean").distinct()
     )
+    cuts = materialize(cuts.withColumn("place", F.xxhash64("w")), "pii-windows")
+    # separators in words alone are plain words mostly: a share of their own, or they crowd out the values
+    rows = cuts.where("not worded").orderBy("place", "w").limit(windows).unionByName(cuts.where("worded").orderBy("place", "w").limit(windows))
     return fit_in_task(rows, lambda part: Tagger().fit(*training_set(part["w"].to_pylist())), ["place", "w"])
 
 
@@ -356,7 +402,8 @@ def added_spans(tagger: Tagger, texts: list[str], base: list[list[tuple[int, int
         kept: list[tuple[int, int, int]] = []
         for kind, a, b, p in sorted(joined, key=lambda x: (-x[3], x[1])):
             value = texts[d][a:b]
-            if p >= LEAST_P and _TRIGGER.search(value) and not _overlaps(base[d], a, b) and not _overlaps(kept, a, b):
+            sign = _SIGN if kind == 0 else _TRIGGER  # only an email may be spelled without a digit or an @
+            if p >= LEAST_P and sign.search(value) and not _overlaps(base[d], a, b) and not _overlaps(kept, a, b):
                 kept.append((kind, a, b))
         out.append(sorted(kept))
     return out

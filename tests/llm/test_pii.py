@@ -121,3 +121,44 @@ def test_training_reads_the_corpus(spark):
     df = documents(spark, [f"write to user{i}@mail{i}.org about item {i}" for i in range(80)])
     tagger = pii.train(df, windows=60)
     assert isinstance(tagger, pii.Tagger)
+
+
+@pytest.fixture(scope="module")
+def spelled_tagger():
+    """Trained on windows like those of a corpus: values with digits, and prose with ``at``."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 8)))
+    prose = [(" ".join(word() for _ in range(rng.randint(1, 6))) + " at " + " ".join(word() for _ in range(10)) + ".")[:64] for _ in range(pii.WINDOWS)]
+    return pii.Tagger().fit(*pii.training_set([example(rng)[0] for _ in range(200)] + prose))
+
+
+SPELLED = ["jane.doe at example.com", "bob at mail.org", "Li_Wei AT uni DOT edu", "maria[at]acme-corp[dot]net", "peter.k (at) example (dot) org", "ann [at] mail [dot] com"]
+
+
+def test_emails_without_digit_or_at_sign_are_found_and_redacted(spark, spelled_tagger):
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 8)))
+    texts, hit = [], 0
+    for n in range(120):
+        value = SPELLED[n % len(SPELLED)]
+        text = " ".join(word() for _ in range(rng.randint(0, 30))) + f" {value} " + " ".join(word() for _ in range(rng.randint(3, 30)))
+        at = text.index(value)
+        found = pii.added_spans(spelled_tagger, [text], [pii.base_spans(text)])[0]
+        hit += any(k == 0 and a < at + len(value) and at < b for k, a, b in found)
+        texts.append(text)
+    assert hit >= 100
+    clean = [r["text"] for r in pii.remove_personal_data(documents(spark, texts), spelled_tagger).collect()]
+    assert sum("<EMAIL>" in t for t in clean) >= 100
+    prose = [" ".join([word(), word(), "at", word(), word(), word()]) + "." for _ in range(200)]
+    assert sum(map(len, pii.added_spans(spelled_tagger, prose, [[]] * len(prose)))) <= 4
+
+
+def test_windows_and_spans_take_separators_in_words():
+    for text in ("a at b", "a[AT]b", "(dot)", "x_at_y", "1", "@"):
+        assert pii._starts("w " * 40 + text) == [32, 64], text
+    assert pii._starts("what dots, état, attic " * 9) == []
+
+
+def test_training_takes_windows_with_separators_in_words_only(spark):
+    df = documents(spark, [f"we {'very ' * (i % 7)}often meet at the old gate of town number" for i in range(40)])
+    assert isinstance(pii.train(df, windows=20), pii.Tagger)
