@@ -44,7 +44,6 @@ from .common import flat_bytes, materialize, ship, text_chunks
 from .textscan import mix, prefix_hash, substring_hash
 
 LENGTH = 400
-GRAM = 240
 NODES = (32, 4, 1)
 RUN_WINDOWS = 1_024  # windows of one sorted suffix, at most
 RANGE_BYTES = 16 << 20  # suffix bytes of one merged range, about
@@ -327,9 +326,12 @@ def merge_sorted_suffixes(suffixes: DataFrame, ranges: int) -> DataFrame:
 # -- the operator -------------------------------------------------------------------
 
 
-def repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+def repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(cand, spans): the texts that may hold repeats, and (d, x, s, n): n windows from
-    byte s on are repeated."""
+    byte s on are repeated. ``gram`` is three fifths of ``length`` unless given."""
+    gram = max(1, length * 3 // 5) if gram is None else gram
+    if not 1 <= gram <= length:
+        raise ValueError(f"gram {gram} is not within 1 and the length {length}")
     ship(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("d"), F.xxhash64(text).alias("x"), F.col(text).alias("text"))
     anchors = materialize(_anchors(texts, length, gram), "suffix-anchors")
@@ -404,7 +406,7 @@ def repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 _CUT = T.StructType([T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()), T.StructField("kept_bytes", T.BinaryType())])
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, with_bytes: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int | None = None, with_bytes: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and on
     request kept_bytes (what is left; a cut may fall inside a character)."""
     cand, spans = repeated_windows(docs, doc_id, text, length, gram)

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from fixtures import documents, keyed
 
 from flightmarts.llm import suffix_dedup as sd
@@ -47,6 +48,15 @@ def test_long_texts_and_kept_bytes(spark):
     assert sd.remove_repeats(documents(spark, [])).collect() == []
 
 
+def test_gram_follows_the_length(spark):
+    rng = random.Random(3)
+    passage = "".join(rng.choices("abcdefgh ", k=100))
+    docs = [(i, "".join(rng.choices("ijklmnop ", k=150)) + passage + "".join(rng.choices("qrstuvw ", k=400))) for i in range(2)]
+    assert keyed(sd.remove_repeats(documents(spark, [], docs), length=100)) == brute(docs, 100)
+    with pytest.raises(ValueError):
+        sd.remove_repeats(documents(spark, [], docs), length=100, gram=101)
+
+
 def test_loser_tree_merges_runs_and_keeps_common_prefixes():
     rng = random.Random(5)
     for _ in range(200):
