@@ -12,8 +12,9 @@ Every kind holds a digit or an ``@``, but an email may be spelled with the words
 ``dot`` instead, in any case, between brackets or not. Windows without a digit, an ``@`` or
 one of these words are plain by definition and are not decoded. The words are common in
 prose, so training also sees windows that hold nothing else, as they are and with a
-spelled email put in. The training sample is the only bounded thing: the ``SAMPLE``
-documents of the smallest hash of their id.
+spelled email put in. Training alone is bounded, twice: by the ``SAMPLE`` documents of the
+smallest hash of their id, and by ``WINDOWS`` distinct windows of each sort (with a digit or
+an ``@``, and with a separator in words only) over all those documents.
 
 Defined results: null and empty texts have no spans; offsets are code points of the
 whole text, end exclusive; repeated rows are read one by one; without any training window
