@@ -52,3 +52,14 @@ def test_documents_or_spans_go(spark):
     assert not any(r[5] for r in brute(list(spans), BENCH))
     none = bench.where("false")
     assert len(rows(dc.decontaminate(docs, none))) == len(DOCS) and rows(dc.decontaminate(docs.where("false"), bench)) == []
+
+
+@pytest.mark.parametrize("limit", [dc.MAX_WINDOWS, 1])
+def test_items_without_an_id_hit_but_are_not_named(spark, limit):
+    docs = documents(spark, [], [(1, f"before {PASSAGE} after"), (2, "a short item"), (3, "clean")])
+    bench = spark.createDataFrame([(None, PASSAGE), (None, "short item"), (7, "short item")], "item_id long, text string")
+    got = {r["doc_id"]: r for r in dc.find_contamination(docs, bench, ["doc_id"], max_windows=limit).collect()}
+    assert [(got[i]["n_hit"], got[i]["item_ids"]) for i in (1, 2, 3)] == [(11, []), (2, ["7"]), (0, [])]
+    report = {r[0]: r[1:] for r in rows(dc.report(dc.find_contamination(docs, bench, ["doc_id"], max_windows=limit)))}
+    assert report[1] == (13, 11, 0, hashlib.sha256(b"").hexdigest(), True)
+    assert [r[0] for r in rows(dc.decontaminate(docs, bench, max_windows=limit))] == [3]
