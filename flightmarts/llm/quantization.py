@@ -15,12 +15,13 @@ and their queries into chunks, so a unit of work has a bounded size whatever lis
 vector is common. Equal vectors collapse to one class first and count by weight; a unit
 returns counts and a spanning forest of its links, never the pairs.
 
-The centroids and codebooks are fitted on ``SAMPLE`` classes, those of the smallest hash of
-their id, and have a fixed size; every vector is indexed.
+Each vector length has an index of its own. Its centroids and codebooks are fitted on
+``SAMPLE`` classes of that length, those of the smallest hash of their id, and have a fixed
+size; every vector is indexed.
 
-Defined results: vectors that are null, zero, of another length than most of the sample,
-or hold null or non-finite components link with nothing; an empty table gives no rows;
-extra columns are ignored; repeated rows are vectors of their own.
+Defined results: vectors that are null, zero, or hold null or non-finite components link
+with nothing; vectors of different lengths don't link with one another; an empty table
+gives no rows; extra columns are ignored; repeated rows are vectors of their own.
 """
 
 from __future__ import annotations
@@ -143,18 +144,21 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, vec_id: str = "
         rows.where("key is not null and vec_id is not null").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.first("unit").alias("unit")),
         "pq-classes",
     )
-    ids = classes.select("rep").orderBy(F.xxhash64("rep"), "rep").limit(sample)  # narrow: every task offers as many
-    picked = [bytes(r["unit"]) for r in classes.join(F.broadcast(ids), "rep", "left_semi").orderBy("rep").select("unit").collect()]
-    links = spark.createDataFrame([], "rep long, links long")
-    found = spark.createDataFrame([], "id long, component long")
-    if picked:
-        sizes = np.array([len(p) for p in picked]) // 8
-        dim = int(np.bincount(sizes).argmax())
-        x = np.stack([np.frombuffer(p, np.float64) for p in picked if len(p) == 8 * dim])
+    sizes = classes.groupBy(F.length("unit").alias("bytes")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy("bytes").collect()
+    units = None
+    for size in sizes:  # vectors of different lengths never link, so each length has its index
+        own, dim = classes.where(F.length("unit") == size["bytes"]), size["bytes"] // 8
+        ids = own.select("rep").orderBy(F.xxhash64("rep"), "rep").limit(sample)  # narrow: every task offers as many
+        picked = [bytes(r["unit"]) for r in own.join(F.broadcast(ids), "rep", "left_semi").orderBy("rep").select("unit").collect()]
+        x = np.stack([np.frombuffer(p, np.float64) for p in picked])
         # lists grow with the square root of the classes as long as the sample can place them
-        lists = min(int(classes.count() ** 0.5) + 1, max(1, len(x) // 8))
+        lists = min(int(size["n"] ** 0.5) + 1, max(1, len(x) // 8))
         index = spark.sparkContext.broadcast(Index.fit(x, lists))
-        units = materialize(_join_lists(classes.where(F.length("unit") == 8 * dim), index, dim, threshold), "pq-links")
+        joined = materialize(_join_lists(own, index, dim, threshold), "pq-links")
+        units = joined if units is None else units.unionByName(joined)
+    links = spark.createDataFrame([], "rep long, links long")
+    found = spark.createDataFrame([], "id long, component long")
+    if units is not None:
         links = units.where("links > 0").groupBy("rep").agg(F.sum("links").alias("links"))
         found = components(units.where("rep != root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
     by_class = (

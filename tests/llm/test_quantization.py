@@ -46,6 +46,19 @@ def test_links_equal_brute_force(spark):
     assert got == brute(vectors, 24)
 
 
+def test_every_vector_length_links_within_itself(spark):
+    rng = np.random.default_rng(8)
+    vectors, want = [], {}
+    for dim, first, n in ((24, 0, 60), (16, 100, 20), (3, 200, 2), (5, 300, 1)):
+        center = rng.standard_normal(dim)
+        own = [(first + i, list(map(float, center + (0.15 if i % 3 else 0.02) * rng.standard_normal(dim))), 0) for i in range(n)]
+        own += [(first + 90, own[0][1], 0)] if n > 1 else []  # equal vectors count as links
+        vectors += own
+        want |= brute(own, dim)
+    got = {r[0]: r[1:] for r in rows(pq.near_duplicates(spark.createDataFrame(vectors, SCHEMA)))}
+    assert got == want and want[200][0] > 0 and want[100][0] > 1
+
+
 def test_small_blocks_lose_and_double_nothing(spark, monkeypatch):
     monkeypatch.setattr(pq, "INDEX_BLOCK", 7)
     monkeypatch.setattr(pq, "QUERY_CHUNK", 11)
