@@ -33,14 +33,14 @@ from .common import fit_in_task, flat_bytes, map_texts, ship, text_chunks
 from .textscan import ALNUM, Words, mix, prefix_hash, substring_hash
 
 COUNTED = 20_000
-SAMPLE = 1_000
+SAMPLE = 2_000
 LEAST_RATIO = 20  # document frequency, toxic to clean
 BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6, 7)
 SUFFIX = 4
 WINDOW = 48  # words of a training sequence
 ROUNDS = 60
-SEQUENCES = 3_000  # training sequences of each kind: toxic words, words like them, neither
+SEQUENCES = 4_000  # training sequences of each kind: toxic words, words like them, neither
 LEAST_DOCS = 5  # a feature explains at least so many toxic documents
 LATER_SHARE = 0.02  # and this share of them in layers after the first
 FOLDS = 5

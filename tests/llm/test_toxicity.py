@@ -84,3 +84,7 @@ def test_training_ignores_the_held_out_fold(spark):
     assert sum(r["predicted"] == toxic[r["doc_id"]] for r in out if r["held_out"]) >= 0.95 * len(held)
     assert tx.train(docs, labels.where("toxic = 0")) is None
     assert {r["score"] for r in tx.score(docs, None, ["doc_id"]).collect()} == {0.0}
+
+
+def test_sample_sizes_were_not_lowered():
+    assert tx.SAMPLE >= 2_000 and tx.SEQUENCES >= 4_000
