@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from flightmarts.config import scratch_path
 
-from . import decontaminate, license_scan, minhash, pii, quantization, sentencepiece_bpe, sharding, suffix_dedup, token_counts, toxicity
+from . import decontaminate, lexical_search, license_scan, lm_scoring, minhash, pii, quantization, sentencepiece_bpe, sharding, suffix_dedup, token_counts, toxicity, turn_repair
 from .common import table
 
 SHARDS = 24
@@ -84,6 +84,45 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(toxicity.score(docs, toxicity.train(docs, labels), keep=["doc_id"]))
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null doc_id counts as the empty text, whose remainder is 0: it is learned from."""
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", "text", (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1).alias("held_out"))
+    return lm_scoring.score(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, stripped of ``.!?``, repeated or made the user's, by the remainder
+    of their key; a null is one space."""
+    space = F.lit(" ")
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")])
+    rows = conversations.select(
+        "conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"), (F.crc32(key) % 20).alias("way"),
+    ).where("way != 0")
+    copies = F.when(F.col("way") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.select(
+        "conv_id", "turn", F.when(F.col("way") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("way") == 1, "").when(F.col("way") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(copies).alias("copy"),
+    ).drop("copy")
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = turn_repair.repair(damaged(conversations)).withColumnRenamed("conv_id", "c")
+    every = conversations.select("conv_id").distinct()
+    zero, empty = F.lit(0).cast("long"), F.lit("")
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("c")), "left").select(
+        "conv_id", *[F.coalesce(n, zero).alias(n) for n in numbers], F.coalesce("audit", empty).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(empty.cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_sentencepiece": op2_sentencepiece,
@@ -95,6 +134,63 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embeddings": op8_embeddings,
     "op9_license_scan": op9_license_scan,
     "op10_toxicity": op10_toxicity,
+    "op11_lm_scoring": op11_lm_scoring,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_turn_repair": op13_turn_repair,
 }
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES: dict[str, str] = {
+    "op6_decontaminate": f"""
+with d as (select row_number() over () as r, doc_id, {_TERMS.format("coalesce(text, '')")} as w from documents),
+i as (select row_number() over () as r, item_id, {_TERMS.format("coalesce(text, '')")} as w from benchmark),
+sized as (select *, least(len(w), 10) as k from i where len(w) > 0),
+windows as (
+    select distinct item_id, k, array_to_string(w[b : b + k - 1], ' ') as g
+    from (select item_id, w, k, unnest(range(1, len(w) - k + 2)) as b from sized)
+),
+lengths as (select distinct k from windows),
+places as (
+    select r, k, b, array_to_string(w[b : b + k - 1], ' ') as g
+    from (select r, w, k, unnest(range(1, len(w) - k + 2)) as b from d cross join lengths where len(w) >= k)
+),
+found as (select p.r, p.k, p.b, x.item_id from places p join windows x on p.k = x.k and p.g = x.g),
+hit as (
+    select r, count(distinct pos) as n_hit
+    from (select r, unnest(range(b, b + k)) as pos from (select distinct r, k, b from found)) group by r
+),
+items as (select r, list_sort(list(distinct cast(item_id as varchar))) as ids from found where item_id is not null group by r)
+select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(h.n_hit, 0) as bigint) as n_hit,
+    cast(coalesce(len(t.ids), 0) as bigint) as n_items, sha256(coalesce(array_to_string(t.ids, ','), '')) as items_sha256,
+    coalesce(h.n_hit, 0) > 0 as contaminated
+from d left join hit h on d.r = h.r left join items t on d.r = t.r
+""",
+    "op12_lexical_search": f"""
+with d as (select row_number() over () as r, doc_id, {_TERMS.format("coalesce(text, '')")} as w from documents),
+sizes as (select cast(count(*) as bigint) as n_docs, cast(sum(len(w)) as bigint) as n_terms from d where len(w) > 0),
+tf as (select r, term, cast(count(*) as bigint) as tf from (select r, unnest(w) as term from d) group by r, term),
+df as (select term, count(*) as df from tf group by term),
+i as (
+    select row_number() over () as q, item_id, {_TERMS.format("coalesce(text, '')")} as w
+    from (select distinct item_id, text from benchmark)
+),
+qtf as (select q, item_id, term, count(*) as n from (select q, item_id, unnest(w) as term from i) group by all),
+weight as (
+    select term, cast(floor(1000 * ln(cast(2 * n_docs + 2 as double) / cast(2 * df + 1 as double))) as bigint) as w
+    from df cross join sizes
+),
+scored as (
+    select qtf.q, qtf.item_id, d.r, d.doc_id, cast(sum(
+        qtf.n * weight.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 12 * (75 + (25 * len(d.w) * n_docs) // n_terms)))
+    ) as bigint) as score
+    from qtf join weight on qtf.term = weight.term join tf on qtf.term = tf.term join d on tf.r = d.r cross join sizes
+    group by qtf.q, qtf.item_id, d.r, d.doc_id
+),
+ranked as (
+    select *, row_number() over (partition by q order by score desc, doc_id nulls last) as rank from scored where score > 0
+)
+select item_id, cast(rank as int) as rank, doc_id, score from ranked where rank <= 20
+""",
+}
