@@ -44,8 +44,8 @@ from .textscan import NOT_SPACE, Words, mix
 
 ORDER = 2
 PRIOR = 10.0
-BLOCK_BYTES = 16 << 20  # text of one block, about
-PART_BYTES = 32 << 20  # text whose n-grams make one part, about
+BLOCK_BYTES = 4 << 20  # text of one block, about
+PART_BYTES = 8 << 20  # text whose n-grams make one part, about
 START, END = np.uint64(1), np.uint64(2)  # marks in the place of word hashes
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -63,7 +63,7 @@ def to_planes(values: np.ndarray) -> bytes:
 
 def from_planes(data: bytes) -> np.ndarray:
     planes = np.frombuffer(data, np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<i4").ravel().astype(np.int64)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
 
 
 # -- blocks of tokens ---------------------------------------------------------------
@@ -129,7 +129,7 @@ class Grams:
         self.first = np.concatenate([[0], np.cumsum(count)])
         self.vocabulary, self.ids = vocabulary, ids
         self.base = len(vocabulary) + 1  # the last number is the start mark
-        within = np.arange(len(ids)) - np.repeat(self.first[:-1], count)
+        within = np.arange(len(ids), dtype=np.int32) - np.repeat(self.first[:-1].astype(np.int32), count)
         learned = np.repeat(learn, count)
         self.hash, self.parent, self.word, self.suffix = [vocabulary], [None], [np.arange(len(vocabulary))], [None]
         self.at, self.own = [ids], [np.bincount(ids[learned], minlength=len(vocabulary))]
@@ -140,9 +140,15 @@ class Grams:
             if k == 2:
                 before = np.where(within == 0, self.base - 1, before)
                 above = np.append(above, START)
-            keys, seen, place = np.unique(before * self.base + ids[here], return_index=True, return_inverse=True)
+            pairs = before.astype(np.int64) * self.base + ids[here]
+            by_pair = np.argsort(pairs, kind="stable")
+            pairs = pairs[by_pair]
+            head = np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]
+            keys, seen = pairs[head], by_pair[head]
+            place = np.empty(len(pairs), np.int32)
+            place[by_pair] = np.cumsum(head, dtype=np.int32) - 1
             parent, word = keys // self.base, keys % self.base
-            at = np.full(len(ids), -1)
+            at = np.full(len(ids), -1, np.int32)
             at[here] = place
             self.parent.append(parent)
             self.word.append(word)
