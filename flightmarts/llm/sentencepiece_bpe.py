@@ -19,6 +19,7 @@ only the begin and end ids; texts are encoded whole.
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import heapq
 
@@ -267,11 +268,15 @@ class PieceBPE:
             if raw[:1] == b" " and not self.is_byte[ids[lead]]:
                 raw = raw[1:]
             if self.is_byte[text_ids].any():  # byte pieces may spell no valid text
-                raw = raw.decode("utf-8", "replace").encode()
+                raw = raw.decode("utf-8", "mark_each_byte").encode()
             texts.append(raw)
         return texts
 
 
+# one U+FFFD for each byte that belongs to no character
+codecs.register_error("mark_each_byte", lambda error: ("\ufffd" * (error.end - error.start), error.end))
+
+
 def load(path: str) -> PieceBPE:
     return PieceBPE(path)
 

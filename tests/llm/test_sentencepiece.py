@@ -65,3 +65,14 @@ def test_digest_query_columns(spark, library):
     assert got == sorted(want)
     empty = sentencepiece_bpe.encode_decode(df.where("false"), queries.PIECE_MODEL)
     assert rows(empty) == [] and empty.columns[-2:] == ["ids", "decoded"]
+
+
+def test_random_byte_pieces_decode_like_the_library(model, library):
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(4)
+    for _ in range(400):
+        ids = [1, *[3 + rnd.choice([0xE6, 0xBC, 0xA2, 0xF0, 0x9F, 0x98, 0x41, 0xC3, 0xED, 0xFF, rnd.randrange(256)]) if rnd.random() < 0.8 else rnd.randrange(300, 9000) for _ in range(rnd.randrange(1, 9))], 2]
+        assert model.decode(np.array(ids), np.array([0, len(ids)]))[0].decode() == library.decode(ids), ids
