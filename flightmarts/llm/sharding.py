@@ -75,8 +75,9 @@ def _log_size(size: Column) -> Column:
 
 
 def hilbert_shards(df: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "text",
-                   categories: tuple[str, ...] = ("lang", "source")) -> DataFrame:
-    """doc_id, the dimensions, size, text_crc32, curve, shard, slot."""
+                   categories: tuple[str, ...] = ("lang", "source"), carry: bool = False) -> DataFrame:
+    """doc_id, the dimensions, size, text_crc32, curve, shard, slot; with ``carry`` also
+    ``row``, the whole input row."""
     ship(df.sparkSession)
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8
 
@@ -87,6 +88,7 @@ def hilbert_shards(df: DataFrame, shards: int, doc_id: str = "doc_id", text: str
     rows = df.select(
         F.col(doc_id).alias("doc_id"), *[F.col(c).alias(f"dim_{i}") for i, c in enumerate(categories)],
         size.alias("size"), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
+        *([F.struct(*[df[c] for c in df.columns]).alias("row")] if carry else []),
     )
     cells = F.struct(*[_category(f"dim_{i}").alias(f"c{i}") for i in range(len(categories))], _log_size(F.col("size")).alias("size"))
     rows = materialize(rows.withColumn("curve", curve(cells)), "hilbert-rows")  # the range exchange samples it again
@@ -122,8 +124,12 @@ def shard_bounds(sharded: DataFrame) -> DataFrame:
     )
 
 
-def write_shards(df: DataFrame, sharded: DataFrame, path: str, doc_id: str = "doc_id") -> None:
-    """Write the rows of ``df`` as one folder per shard, in slot order."""
-    keys = sharded.select(F.col("doc_id").alias("__id"), F.col("shard"), F.col("slot"))
-    joined = df.join(keys, df[doc_id] == keys["__id"]).drop("__id")
-    joined.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+def write_shards(df: DataFrame, shards: int, path: str, doc_id: str = "doc_id", text: str = "text",
+                 categories: tuple[str, ...] = ("lang", "source")) -> None:
+    """Write every row of ``df`` once, as one folder per shard, in slot order.
+
+    The row itself travels with its place, so repeated and null ids lose nothing; ``shard``
+    and ``slot`` replace columns of those names."""
+    placed = hilbert_shards(df, shards, doc_id, text, categories, carry=True)
+    rows = placed.select(*[F.col("row")[c].alias(c) for c in df.columns if c not in ("shard", "slot")], "shard", "slot")
+    rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -3,7 +3,8 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
-import numpy as np
+from fixtures import documents, rows
+from pyspark.sql import functions as F
 from fixtures import documents, rows
 
 from flightmarts.llm import sharding
@@ -50,6 +51,15 @@ def test_bounds_prune_and_written_shards_hold_their_rows(spark, tmp):
     assert sum(b["rows"] for b in bounds) == 200 and all(b["min_size"] <= b["max_size"] for b in bounds)
     large = [b for b in bounds if b["max_size"] >= 700]
     assert len(large) < len(bounds)  # a reader of long texts skips shards
-    sharding.write_shards(df, sharded, f"{tmp}/shards")
+    sharding.write_shards(df, 8, f"{tmp}/shards")
     back = spark.read.parquet(f"{tmp}/shards")
     assert back.count() == 200 and back.select("shard").distinct().count() == 8
+
+
+def test_written_shards_keep_repeated_and_null_ids(spark, tmp):
+    made = [(1, "a"), (1, "b"), (1, "b"), (None, "c"), (2, None), (3, "d" * 500)]
+    df = documents(spark, [], made).withColumn("slot", F.lit("mine"))
+    sharding.write_shards(df, 3, f"{tmp}/shards")
+    back = spark.read.parquet(f"{tmp}/shards")
+    assert sorted(map(str, rows(back.select("doc_id", "text")))) == sorted(map(str, made))
+    assert sorted((r["shard"], r["slot"]) for r in back.collect()) == [(s, i) for s in range(3) for i in range(2)]
