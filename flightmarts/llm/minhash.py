@@ -322,11 +322,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, doc_id:
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, threshold: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group (the smallest id), with the columns of ``docs``;
-    of rows that share an id one stays, rows without an id all stay."""
-    groups = near_duplicates(docs, k, threshold, doc_id, text).where("not kept").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(groups, docs[doc_id] == groups["__id"], "left_anti")
-    repeated = docs.where(F.col(doc_id).isNotNull()).groupBy(doc_id).count().where("count > 1")
-    if repeated.isEmpty():
-        return kept
-    return kept.where(F.col(doc_id).isNull()).unionByName(kept.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]))
+    """One document of each group (the smallest id), with the columns of ``docs``; rows without
+    an id all stay. A row goes only for its own text: rows of one id and other texts are
+    compared one by one, and rows of one id and text are one document."""
+    clash = docs.where(F.col(doc_id).isNotNull()).groupBy(doc_id).count().where("count > 1")
+    if clash.isEmpty():
+        groups = near_duplicates(docs, k, threshold, doc_id, text).where("not kept").select(F.col("doc_id").alias("__id")).distinct()
+        return docs.join(groups, docs[doc_id] == groups["__id"], "left_anti")
+    # ids that name a row are needed: numbered once, written, so that all steps see the same
+    own = docs.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id, text])
+    numbered = materialize(own.withColumn("__row", F.monotonically_increasing_id()), "minhash-numbered")
+    groups = near_duplicates(numbered, k, threshold, "__row", text).select(F.col("doc_id").alias("__row"), "component_id")
+    first = numbered.select(F.col(doc_id).alias("__id"), "__row").join(groups, "__row").groupBy("component_id").agg(F.min(F.struct("__id", "__row")).alias("best"))
+    kept = numbered.join(first.select(F.col("best.__row").alias("__row")), "__row", "left_semi").select(*docs.columns)
+    return docs.where(F.col(doc_id).isNull()).unionByName(kept)

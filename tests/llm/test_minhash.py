@@ -63,6 +63,13 @@ def test_repeated_rows_null_ids_and_stage(spark):
     assert rows(minhash.near_duplicates(df.where("false"))) == []
 
 
+def test_rows_of_one_id_and_other_texts_go_only_for_their_own_text(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    docs = [(1, a), (2, a), (2, b), (3, c), (3, d), (3, d), (4, d + " end"), (5, ""), (5, None)]
+    kept = rows(minhash.drop_near_duplicates(documents(spark, [], docs)))
+    assert sorted((r[0], r[1] or "") for r in kept) == sorted([(1, a), (2, b), (3, c), (3, d), (5, ""), (5, "")])
+
+
 def test_sketches_estimate_similarity_in_every_size_class():
     rng = np.random.default_rng(1)
     for n in (6, 40, 700, 5000):
