@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import flat_bytes, map_texts, ship
+from .common import flat_bytes, map_texts, materialize, ship
 from .textscan import NOT_SPACE, Words
 
 GROUP = ["source", "lang", "version"]
@@ -86,7 +86,8 @@ class TokenRollup:
         state = self.state()
         signed = []
         if inserts is not None:
-            rows = inserts.select("doc_id", "version", "source", "lang", "n_tokens")
+            # written once: what follows reads it three times, and counting is the costly part
+            rows = materialize(inserts.select("doc_id", "version", "source", "lang", "n_tokens"), "token-inserts")
             known = rows.where("doc_id is not null").groupBy("doc_id", "version").agg(
                 F.max(F.struct("n_tokens", "source", "lang")).alias("r")
             ).select("doc_id", "version", "r.source", "r.lang", F.lit(1).cast("long").alias("n_docs"), "r.n_tokens")
@@ -95,7 +96,7 @@ class TokenRollup:
         if deletes is not None:
             signed.append(self._negative(state.join(deletes.select("doc_id").distinct(), "doc_id", "left_semi")))
         if revisions is not None:
-            new = revisions.groupBy("doc_id", "version").agg(F.max("n_tokens").alias("new"))
+            new = materialize(revisions.groupBy("doc_id", "version").agg(F.max("n_tokens").alias("new")), "token-revisions")
             signed.append(state.join(new, ["doc_id", "version"]).where("new != n_tokens").select(
                 "doc_id", "version", "source", "lang", F.lit(0).cast("long").alias("n_docs"), (F.col("new") - F.col("n_tokens")).alias("n_tokens")
             ))
