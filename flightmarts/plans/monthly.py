@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightmarts.functions.months import month_numbers, year_month
 from flightmarts.jobs import run_concurrently
 from flightmarts.operators import checks as C
 from flightmarts.operators import gate as G
@@ -29,7 +28,8 @@ from flightmarts.schema import VARCHAR_LENGTHS
 from flightmarts.sinks.export import write_export
 from flightmarts.sinks.lake import empty_partitions, load_months, overwrite_months, read_raw_table, write_lake
 from flightmarts.sources import seeds
-from flightmarts.sources.lake import month_filter, read_lake
+from flightmarts.functions.months import month_filter, month_numbers, year_month
+from flightmarts.sources.lake import read_lake
 from flightmarts.sources.raw import month_raw_path, read_raw
 from flightmarts.sources.seeds import literal_frame
 

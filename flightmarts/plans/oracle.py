@@ -447,6 +447,13 @@ def _reloaded(emptied: tuple[int, int] | None, month: tuple[int, int]) -> str:
     )
 
 
+def _fewer_sql(month: tuple[int, int]) -> str:
+    """Rows per mart without one month."""
+    return " union all ".join(
+        f"select '{t}' as table_name, count(*) as rows from {t} where month_start <> make_date({month[0]}, {month[1]}, 1)" for t in EXPORT_TABLES
+    )
+
+
 def build_oracles() -> dict[str, str]:
     return {k: portable_counts(v) for k, v in _oracles().items()}
 
@@ -522,10 +529,21 @@ from raw_in r left join kept k on r.year = k.year and r.month = k.month"""),
         "gate_open_results": _gate_sql(scaled, "select * from results"),
         "gated_export": over_marts(f"""
 , scaled as ({_gate_body(scaled)}), reference as ({_gate_body(suites)}),
-gates as (select 'scaled' as run, bool_and(success) as gate_open from scaled
-          union all select 'reference', bool_and(success) from reference),
-pushed as ({_EXPORT_EACH})
-select run, gate_open, table_name, case when gate_open then rows else 0 end as rows from gates, pushed"""),
+gates as (select (select bool_and(success) from scaled) as wide, (select bool_and(success) from reference) as narrow),
+pushed as ({_EXPORT_EACH}),
+fewer as ({_fewer_sql(RELOADED_MONTH)}),
+sizes as (select p.table_name, p.rows as every_row, f.rows as fewer_rows, wide, narrow
+          from pushed p join fewer f on p.table_name = f.table_name cross join gates),
+after as (select *, case when wide then every_row else 0 end as after1 from sizes),
+after2 as (select *, case when narrow then fewer_rows else after1 end as after2 from after)
+select cast(1 as int) as run, wide as gate_open, table_name, cast(after1 as bigint) as rows from after2
+union all select cast(2 as int), narrow, table_name, cast(after2 as bigint) from after2
+union all select cast(3 as int), wide, table_name, cast(case when wide then fewer_rows else after2 end as bigint) from after2"""),
+        "month_commit": over_marts(_content(_reloaded(EMPTIED_MONTH, RELOADED_MONTH))),
+        "fingerprint_ledger": over_marts(
+            f"select *, cast(0 as bigint) as third_run_batches from ({_content(_reloaded(EMPTIED_MONTH, RELOADED_MONTH))})"),
+        "export_push": over_marts(f", pushed as ({_EXPORT_EACH}) "
+            "select table_name, cast(rows as bigint) as rows, cast(rows as bigint) as reported_rows, true as within_limit from pushed"),
         "gate_suites": _gate_sql(
             suites,
             "select suite, cast(count(*) as bigint) as evaluated_expectations, "

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from flightmarts.committed import MonthTable, exists
 from flightmarts.config import scratch_path
 from flightmarts.operators import checks as C
 from flightmarts.operators import gate as G
@@ -23,20 +24,25 @@ from flightmarts.operators import reconcile as R
 from flightmarts.operators.clean import clean, deduplicate, drop_missing_keys
 from flightmarts.operators.enrich import enrich, stage, with_flags
 from flightmarts.plans.monthly import backfill, materialize_marts
-from flightmarts.schema import FLIGHT_KEY, VARCHAR_LENGTHS
+from flightmarts.schema import FLIGHT_KEY, FLIGHT_SCHEMA, VARCHAR_LENGTHS
 from flightmarts.sinks import export as X
+from flightmarts.sinks import push as P
 from flightmarts.sinks.lake import (
+    RAW_SCHEMA,
     declare_raw_table,
     load_full,
     load_months,
     overwrite_months,
     read_raw_table,
+    with_audit,
     write_lake,
 )
+from flightmarts.sinks.month_writer import FlightMonths
 from flightmarts.sources import seeds
 from flightmarts.sources.fixture import fixture_carriers, legs, raw_strings, table
 from flightmarts.sources.lake import read_lake, read_lake_files
 from flightmarts.sources.raw import month_raw_path, read_raw
+from flightmarts.streaming.fingerprints import load_changed
 from flightmarts.streaming.ledger import incremental_load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -313,6 +319,69 @@ def q_declared_raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return month_content(declare_raw_table(spark, name, root))
 
 
+def q_month_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 K5: a committed lake and raw table. A reload that dies between its two steps changes
+    nothing; then one month is revised and one emptied in a single commit, and the raw table
+    follows through the month writer; content of the raw table by month."""
+    root, raw = scratch_path(spark, "lake-commits"), scratch_path(spark, "raw-commits")
+    flights = lake(spark, sf_dir)
+    write_lake(flights, root, commits=True)
+    load_full(read_lake(spark, root), raw, commits=True)
+    months = [RELOADED_MONTH, EMPTIED_MONTH]
+    MonthTable(spark, root, FLIGHT_SCHEMA).stage(flights.where(F.lit(False)), "died")  # no manifest follows
+    overwrite_months(revised(flights), root, months)
+    spark.dataSource.register(FlightMonths)
+    changed = with_audit(read_lake(spark, root, months)).select(*RAW_SCHEMA.fieldNames())
+    named = ",".join(f"{y}-{m:02d}" for y, m in months)
+    changed.write.format("flight_months").option("months", named).mode("append").save(raw)
+    return month_content(read_raw_table(spark, raw))
+
+
+def q_fingerprint_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: the ledger of file fingerprints over a lake in which one month is then revised under
+    the names its files had, and one emptied; the third load finds nothing."""
+    src, target, ledger = (scratch_path(spark, n) for n in ("lake-prints", "raw-prints", "ledger-prints"))
+    flights = lake(spark, sf_dir)
+    write_lake(flights, src)
+    load_changed(spark, src, target, ledger)
+    (year, month), other = RELOADED_MONTH, scratch_path(spark, "lake-prints-revised")
+    write_lake(revised(flights).coalesce(1), other)
+    replace_in_place(spark, f"{other}/year={year}/month={month}", f"{src}/year={year}/month={month}")
+    overwrite_months(flights.where(F.lit(False)), src, [EMPTIED_MONTH])
+    load_changed(spark, src, target, ledger)
+    again = load_changed(spark, src, target, ledger)
+    return month_content(read_raw_table(spark, target)).withColumn("third_run_batches", F.lit(len(again)).cast("long"))
+
+
+def replace_in_place(spark: SparkSession, source: str, target: str) -> None:
+    """The Parquet files of ``source`` take the names of those in ``target``; further ones go."""
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    fs = path(target).getFileSystem(conf)
+    new, old = (sorted(s.getPath().toString() for s in fs.listStatus(path(p)) if s.getPath().getName().endswith(".parquet")) for p in (source, target))
+    for i, name in enumerate(old):
+        fs.delete(path(name), False)
+        if i < len(new):
+            fs.rename(path(new[i]), path(name))
+
+
+def q_export_push(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All marts pushed twice through the batch sink; rows and requests per table and
+    the totals that the pushes report."""
+    out = scratch_path(spark, "export-push")
+    tables = mart_tables(spark, sf_dir)
+    P.push_export(tables, out)
+    totals = P.push_export(tables, out)
+    limit, parts = X.ROWS_PER_REQUEST, None
+    for name, total in totals.items():
+        sizes = P.read_push(spark, out, name).groupBy("request").agg(F.count(F.lit(1)).alias("n"))
+        one = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.max("n"), F.lit(0)).alias("largest")).select(
+            F.lit(name).alias("table_name"), F.col("rows").cast("long").alias("rows"), F.lit(total).cast("long").alias("reported_rows"),
+            (F.col("largest") <= limit).alias("within_limit"),
+        )
+        parts = one if parts is None else parts.unionByName(one)
+    return parts
+
+
 def q_requested_months_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested months (from a year before the lake to a year after it) that
     have not landed."""
@@ -411,17 +480,21 @@ def q_gate_open_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_gated_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs, one per set of bands; each exports only if its gate opens. Rows
-    exported per run and table (0 where the gate stayed closed)."""
+    """One target, three runs. The first gate is open and exports the marts; the second is
+    closed, so what that run has to export (the marts without one month) stays unwritten and
+    the target keeps the first run's rows; the third, open again, replaces them. Rows in the
+    target after each run; the gates look at the whole marts."""
     tables = mart_tables(spark, sf_dir)
+    fewer = {n: t.where(F.col("month_start") != F.lit(dt.date(*RELOADED_MONTH, 1))) for n, t in tables.items()}
+    path = scratch_path(spark, "gated-export")
     out = None
-    for run, bands in (("scaled", FIXTURE_BANDS), ("reference", G.Bands())):
+    for run, bands, marts_now in ((1, FIXTURE_BANDS, tables), (2, G.Bands(), fewer), (3, FIXTURE_BANDS, fewer)):
         is_open = G.decision(G.evaluate(tables, G.default_suites(AS_OF, bands))).first()["gate_open"]
-        path = scratch_path(spark, f"gated-export-{run}")
-        X.write_export(tables if is_open else {n: t.where(F.lit(False)) for n, t in tables.items()}, path)
-        for name in tables:
-            rows = X.read_export(spark, path, name).agg(F.count(F.lit(1)).alias("rows"))
-            one = rows.select(F.lit(run).alias("run"), F.lit(is_open).alias("gate_open"), F.lit(name).alias("table_name"), "rows")
+        if is_open:
+            X.write_export(marts_now, path)
+        for name in tables:  # counted before the next run: a few rows per run
+            rows = X.read_export(spark, path, name).count() if exists(spark, f"{path}/{name}") else 0
+            one = spark.range(1).select(F.lit(run).alias("run"), F.lit(is_open).alias("gate_open"), F.lit(name).alias("table_name"), F.lit(rows).cast("long").alias("rows"))
             out = one if out is None else out.unionByName(one)
     return out
 
@@ -477,6 +550,8 @@ QUERIES: dict[str, Query] = {
     "full_reload": q_full_reload,
     "incremental_load": q_incremental_load,
     "declared_raw_table": q_declared_raw_table,
+    "month_commit": q_month_commit,
+    "fingerprint_ledger": q_fingerprint_ledger,
     "requested_months_missing": q_requested_months_missing,
     "seed_csv": q_seed_csv,
     "bounded_lengths": q_bounded_lengths,
@@ -497,4 +572,5 @@ QUERIES: dict[str, Query] = {
     "export_airport_rows": _export_rows("fct_airport_congestion"),
     "export_cause_rows": _export_rows("fct_delay_causes"),
     "export_batches": q_export_batches,
+    "export_push": q_export_push,
 }

@@ -7,6 +7,9 @@ oversized month into several tasks (no ``coalesce(1)`` single-task writes);
 copies out of the lake are map-only. Row counts and the set of months
 written are collected by an ``Observation`` during the write itself: no
 second scan of the input, no cache.
+
+A lake or raw table made with ``commits=True`` is a ``committed.MonthTable``: every write
+below then becomes visible in one step, and the readers resolve its newest version.
 """
 
 from __future__ import annotations
@@ -26,7 +29,8 @@ from flightmarts.schema import (
     PARTITION_COLUMNS,
     VARCHAR_LENGTHS,
 )
-from flightmarts.sources.lake import month_filter
+from flightmarts.committed import MonthTable, is_committed, only_months
+from flightmarts.functions.months import month_filter
 from flightmarts.sources.seeds import literal_frame
 
 # Upper bound of rows per Parquet file; a month of ~600K legs is one file,
@@ -80,8 +84,15 @@ def _report(obs: Observation, emptied: list[tuple[int, int]] | None = None) -> W
     return WriteReport(rows=int(got.get("rows") or 0), months=months, emptied=emptied or [])
 
 
-def write_lake(flights: DataFrame, root: str) -> WriteReport:
+def _committed(df: DataFrame, root: str, schema: T.StructType, months, rebalance: bool = True) -> WriteReport:
+    rows, written, emptied = MonthTable(df.sparkSession, root, schema).commit(df, months, rebalance)
+    return WriteReport(rows, written, emptied)
+
+
+def write_lake(flights: DataFrame, root: str, commits: bool = False) -> WriteReport:
     """Full overwrite of the lake, partitioned by year/month (K1, K4)."""
+    if commits or is_committed(flights.sparkSession, root):
+        return _committed(flights, root, FLIGHT_SCHEMA, None)
     observed, obs = _observe(flights.select(*DATA_COLUMNS, *PARTITION_COLUMNS), "write_lake")
     _writer(observed, "overwrite", dynamic=False).parquet(root)
     return _report(obs)
@@ -96,8 +107,13 @@ def overwrite_months(
     ``months`` fails the job before anything is replaced: the commit comes after
     all tasks, so the lake stays as it was. Dynamic overwrite cannot express "this
     month is now empty": every month listed in ``months`` that had no rows is
-    therefore replaced by an empty partition explicitly.
+    therefore replaced by an empty partition explicitly, which is a second step; a
+    committed table takes both in one.
     """
+    if is_committed(flights.sparkSession, root):
+        if months is None:
+            raise ValueError("name the months to replace in a committed table")
+        return _committed(flights, root, FLIGHT_SCHEMA, months)
     rows = flights.select(*DATA_COLUMNS, *PARTITION_COLUMNS)
     if months is not None:
         months = list(months)
@@ -110,13 +126,6 @@ def overwrite_months(
     return WriteReport(rows=report.rows, months=report.months, emptied=emptied)
 
 
-def only_months(flights: DataFrame, months: Iterable[tuple[int, int]]) -> DataFrame:
-    """The same rows; the job fails on one that belongs to another month."""
-    inside = F.coalesce(month_filter(months), F.lit(False))
-    message = F.concat(F.lit("row outside the months to replace: "), F.concat_ws("-", "year", "month"))
-    return flights.withColumn("year", F.when(inside, F.col("year")).otherwise(F.raise_error(message).cast("int")))
-
-
 def empty_months(empty: DataFrame, root: str, months: Iterable[tuple[int, int]]) -> None:
     empty_partitions(empty, [f"{root.rstrip('/')}/year={y}/month={m}" for y, m in months])
 
@@ -158,10 +167,14 @@ def enforce_lengths(flights: DataFrame, lengths: dict[str, int] = VARCHAR_LENGTH
     return flights.select(*out)
 
 
+RAW_SCHEMA = T.StructType([*LAKE_DATA_SCHEMA, T.StructField("_loaded_at", T.TimestampNTZType()), *[FLIGHT_SCHEMA[c] for c in PARTITION_COLUMNS]])
+
+
 def read_raw_table(spark: SparkSession, raw_root: str) -> DataFrame:
     """The raw table with its fixed schema (no inference job, no drift)."""
-    schema = T.StructType([*LAKE_DATA_SCHEMA, T.StructField("_loaded_at", T.TimestampNTZType()), *[FLIGHT_SCHEMA[c] for c in PARTITION_COLUMNS]])
-    return spark.read.schema(schema).parquet(raw_root)
+    if is_committed(spark, raw_root):
+        return MonthTable(spark, raw_root, RAW_SCHEMA).read()
+    return spark.read.schema(RAW_SCHEMA).parquet(raw_root)
 
 
 def _bounded(lake: DataFrame, lengths: dict[str, int] | None) -> DataFrame:
@@ -169,7 +182,9 @@ def _bounded(lake: DataFrame, lengths: dict[str, int] | None) -> DataFrame:
     return with_audit(enforce_lengths(df, lengths) if lengths else df)
 
 
-def load_full(lake: DataFrame, raw_root: str, lengths: dict[str, int] | None = VARCHAR_LENGTHS) -> WriteReport:
+def load_full(
+    lake: DataFrame, raw_root: str, lengths: dict[str, int] | None = VARCHAR_LENGTHS, commits: bool = False
+) -> WriteReport:
     """Truncate-and-load the raw table from the whole lake (K4, K7, K8).
 
     The lake is already laid out by month, so the copy is map-only (no shuffle).
@@ -177,6 +192,8 @@ def load_full(lake: DataFrame, raw_root: str, lengths: dict[str, int] | None = V
     as a bounded warehouse table would. ``None`` loads values as they are.
     """
     df = _bounded(lake, lengths)
+    if commits or is_committed(lake.sparkSession, raw_root):
+        return _committed(df, raw_root, RAW_SCHEMA, None, rebalance=False)
     observed, obs = _observe(df, "load_full")
     _writer(observed, "overwrite", dynamic=False, rebalance=False).parquet(raw_root)
     return _report(obs)
@@ -190,9 +207,11 @@ def load_months(
 ) -> WriteReport:
     """Reload some months of the raw table in one write (K5): the months'
     partitions are replaced whole, so a re-run never duplicates and never
-    leaves a month half-deleted."""
+    leaves a month half-deleted. In a committed table the emptied months go in the same step."""
     months = list(months)
     df = _bounded(lake.where(month_filter(months)), lengths)
+    if is_committed(lake.sparkSession, raw_root):
+        return _committed(df, raw_root, RAW_SCHEMA, months, rebalance=False)
     observed, obs = _observe(df, "load_months")
     _writer(observed, "overwrite", dynamic=True, rebalance=False).parquet(raw_root)
     report = _report(obs)

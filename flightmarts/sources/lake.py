@@ -4,24 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flightmarts.functions.months import month_filter
 from flightmarts.schema import FLIGHT_SCHEMA, LAKE_DATA_SCHEMA
-
-
-def month_filter(months: Iterable[tuple[int, int]]) -> Column:
-    """Predicate on the partition columns only, so the scan prunes folders.
-
-    Plain equalities on ``year`` and ``month``, which a catalog can evaluate too.
-    """
-    by_year: dict[int, list[int]] = {}
-    for y, m in sorted({(int(y), int(m)) for y, m in months}):
-        by_year.setdefault(y, []).append(m)
-    out = F.lit(False)
-    for y, own in by_year.items():
-        out = out | ((F.col("year") == y) & F.col("month").isin(own))
-    return out
+from flightmarts.committed import MonthTable, is_committed
 
 
 def read_lake(
@@ -30,8 +18,11 @@ def read_lake(
     """Read the lake back with its fixed schema (S3), optionally a set of months.
 
     ``year``/``month`` come from partition discovery; a month list becomes a
-    partition filter (``PartitionFilters`` in the scan, no other folder read).
+    partition filter (``PartitionFilters`` in the scan, no other folder read). A committed
+    lake is read at its newest version, where only the months' own folders are listed.
     """
+    if is_committed(spark, root):
+        return MonthTable(spark, root, FLIGHT_SCHEMA).read(months)
     df = spark.read.schema(FLIGHT_SCHEMA).parquet(root)
     if months is not None:
         df = df.where(month_filter(months))
