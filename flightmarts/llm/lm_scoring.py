@@ -208,7 +208,8 @@ def _counts(blocks: DataFrame, order: int, parts: int) -> DataFrame:
     def add_up(batches):
         at, held = None, []
         for batch in batches:
-            for part, block, k, hashes, counts in zip(*(batch.column(c).to_pylist() for c in ("part", "block", "k", "hashes", "counts"))):
+            packs = zip(*([v.as_buffer() for v in batch.column(c)] for c in ("hashes", "counts")))  # views, not copies
+            for part, block, k, (hashes, counts) in zip(*(batch.column(c).to_pylist() for c in ("part", "block", "k")), packs):
                 if (part, k) != at:
                     if held:
                         yield answer(*at, held)

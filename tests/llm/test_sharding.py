@@ -3,9 +3,9 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 from fixtures import documents, rows
 from pyspark.sql import functions as F
-from fixtures import documents, rows
 
 from flightmarts.llm import sharding
 
