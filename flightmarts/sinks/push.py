@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from flightmarts.jobs import run_concurrently
 from flightmarts.schema import ROWS_PER_REQUEST
 from flightmarts.sinks.export import export_frame, export_schema
 from flightmarts.files import delete_folder, listed, read_file, write_file
@@ -92,18 +91,15 @@ def pushed(out_dir: str, table: str) -> dict | None:
 
 
 def push_export(marts: dict[str, DataFrame], out_dir: str) -> dict[str, int]:
-    """Push every mart; rows per table (K12), read from the records of the pushes."""
-    for mart in marts.values():
-        mart.sparkSession.dataSource.register(FlightPush)
-
-    def push(table: str, mart: DataFrame):
-        def run() -> int:
-            export_frame(mart, table).write.format("flight_push").mode("overwrite").save(f"{out_dir.rstrip('/')}/{table}")
-            return pushed(out_dir, table)["rows"]
+    """Push every mart; rows per table (K12), read from the records of the pushes.
 
-        return run
-
-    return run_concurrently({table: push(table, mart) for table, mart in marts.items()})
+    One after another: a registered source is known to the calling thread's session only."""
+    totals = {}
+    for table, mart in marts.items():
+        mart.sparkSession.dataSource.register(FlightPush)
+        export_frame(mart, table).write.format("flight_push").mode("overwrite").save(f"{out_dir.rstrip('/')}/{table}")
+        totals[table] = pushed(out_dir, table)["rows"]
+    return totals
 
 
 def read_push(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
