@@ -26,7 +26,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from flightmarts.config import scratch_path  # noqa: E402
 from flightmarts.operators import checks as C  # noqa: E402
 from flightmarts.operators import gate as G  # noqa: E402
-from flightmarts.operators.clean import clean  # noqa: E402
+from flightmarts.operators.clean import clean_for_months, plan_by_size  # noqa: E402
 from flightmarts.operators.enrich import stage  # noqa: E402
 from flightmarts.plans.monthly import materialize_marts  # noqa: E402
 from flightmarts.plans.queries import AS_OF, FIXTURE_BANDS  # noqa: E402
@@ -41,7 +41,7 @@ from flightmarts.sinks.lake import (  # noqa: E402
 from flightmarts.sources import seeds  # noqa: E402
 from flightmarts.sources.fixture import fixture_carriers, legs, raw_strings  # noqa: E402
 from flightmarts.sources.lake import read_lake  # noqa: E402
-from flightmarts.sources.raw import read_raw  # noqa: E402
+from flightmarts.sources.raw import raw_size, read_raw  # noqa: E402
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str) -> tuple[dict[str, float], dict[str, object]]:
@@ -74,8 +74,9 @@ def run_pipeline(spark: SparkSession, sf_dir: str) -> tuple[dict[str, float], di
         from pyspark.sql import Observation
 
         obs = Observation("rows_in")
-        raw = read_raw(spark, f"{raw_dir}/*/*/*.csv").observe(obs, F.count(F.lit(1)).alias("n"))
-        report = write_lake(clean(raw), lake_dir)
+        paths = f"{raw_dir}/*/*/*.csv"
+        raw = read_raw(spark, paths).observe(obs, F.count(F.lit(1)).alias("n"))
+        report = write_lake(clean_for_months(raw, plan_by_size(*raw_size(spark, paths))), lake_dir, rebalance=False)
         return int(obs.get["n"]), report.rows
 
     rows_in, rows_out = step("clean_to_lake", clean_step)
@@ -110,8 +111,8 @@ def run_pipeline(spark: SparkSession, sf_dir: str) -> tuple[dict[str, float], di
 
     def reload_step():
         ym = (2001, 8)
-        raw = read_raw(spark, f"{raw_dir}/landed_year={ym[0]}/landed_month={ym[1]}/*.csv")
-        overwrite_months(clean(raw), lake_dir, [ym])
+        paths = f"{raw_dir}/landed_year={ym[0]}/landed_month={ym[1]}/*.csv"
+        overwrite_months(clean_for_months(read_raw(spark, paths), plan_by_size(raw_size(spark, paths)[0], 1)), lake_dir, [ym], rebalance=False)
         return load_months(read_lake(spark, lake_dir, [ym]), raw_table, [ym]).rows
 
     info["reloaded_rows"] = step("month_reload", reload_step)

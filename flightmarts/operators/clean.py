@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,3 +52,87 @@ def deduplicate(flights: DataFrame) -> DataFrame:
 def clean(raw: DataFrame) -> DataFrame:
     """Typed, key-complete, deduplicated legs from all-string raw rows."""
     return deduplicate(drop_missing_keys(cast_raw(raw))).select(*FLIGHT_COLUMNS)
+
+
+# -- cleaning for a write by month: one exchange of leg size ---------------------------
+
+ROWS_PER_BUCKET = 2_000_000  # legs that one task sorts, about
+BYTES_PER_BUCKET = 256 << 20  # raw bytes that hold about as many
+HEAVY_CELLS = 4_096
+
+
+@dataclass(frozen=True)
+class DedupPlan:
+    """How ``deduplicate_in_buckets`` deals the legs: buckets per month of flight (``default``
+    where a month is not listed), and the hashes of natural keys with very many copies."""
+
+    default: int = 1
+    buckets: dict[tuple[int, int], int] = field(default_factory=dict)
+    heavy: tuple[int, ...] = ()
+
+
+def key_hash() -> Column:
+    return F.xxhash64(*FLIGHT_KEY)
+
+
+def plan_by_size(raw_bytes: int, months: int, bytes_per_bucket: int = BYTES_PER_BUCKET) -> DedupPlan:
+    """Buckets from the size of the raw files alone, for months of similar size."""
+    return DedupPlan(default=1 + raw_bytes // (max(1, months) * bytes_per_bucket))
+
+
+def observe_skew(flights: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DedupPlan:
+    """Buckets per month and heavy keys from the data, in narrow pre-passes over the key columns.
+
+    Rows are counted by (month, cell of the key's hash), pre-aggregated per task. A month gets
+    a bucket per ``rows_per_bucket`` rows. A key with more than a quarter of that many copies
+    fills its cell, so only keys of overfull cells are counted one by one. What reaches the
+    driver: a row per month, and at most four heavy keys per ``rows_per_bucket`` rows.
+    """
+    least = max(2, rows_per_bucket // 4)
+    keyed = flights.select(F.year("flight_date").alias("y"), F.month("flight_date").alias("m"), key_hash().alias("h"))
+    cells = keyed.groupBy("y", "m", F.pmod("h", F.lit(HEAVY_CELLS)).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+    months = cells.groupBy("y", "m").agg(F.sum("n").alias("n"), F.collect_list(F.when(F.col("n") > least, F.col("cell"))).alias("full")).collect()
+    buckets = {(r["y"], r["m"]): 1 + r["n"] // rows_per_bucket for r in months}
+    full = sorted({c for r in months for c in r["full"]})
+    if not full:
+        return DedupPlan(buckets=buckets)
+    copies = keyed.where(F.pmod("h", F.lit(HEAVY_CELLS)).isin(full)).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    heavy = tuple(sorted(r["h"] for r in copies.where(F.col("n") > least).select("h").collect()))
+    return DedupPlan(buckets=buckets, heavy=heavy)
+
+
+def deduplicate_in_buckets(flights: DataFrame, plan: DedupPlan, again: DataFrame | None = None) -> DataFrame:
+    """The rows of ``deduplicate``, dealt by month of flight and bucket of the key in one exchange.
+
+    The month and the bucket follow from the natural key, so all copies of a leg meet in one
+    task, the aggregate needs no exchange of its own, and a month arrives in as many tasks as
+    its size asks for, laid out for a write by month. Heavy keys are the exception: their
+    copies are reduced per task first (``deduplicate``), so that a key with a third of all
+    rows costs one row per task instead of a third of the exchange in one task. They are read
+    by a scan of their own, from ``again`` if given (the same rows without an observation).
+    """
+    hashed = key_hash()
+    light, heavy = flights, None
+    if plan.heavy:
+        light, heavy = flights.where(~hashed.isin(*plan.heavy)), deduplicate((again or flights).where(hashed.isin(*plan.heavy)))
+    n = F.lit(plan.default)
+    if plan.buckets:
+        sizes = F.create_map(*[x for (y, m), b in sorted(plan.buckets.items()) for x in (F.lit(y * 100 + m), F.lit(b))])
+        n = F.coalesce(F.try_element_at(sizes, F.col("_flown")), n)
+    payload = [c for c in flights.columns if c not in FLIGHT_KEY]
+    flown = light.withColumn("_flown", F.year("flight_date") * 100 + F.month("flight_date")).withColumn("_bucket", F.pmod(hashed, n.cast("long")))
+    dealt = flown.repartition("_flown", "_bucket")
+    rows = (
+        dealt.groupBy("_flown", "_bucket", *FLIGHT_KEY)
+        .agg(F.min(F.struct(*[F.col(c) for c in payload])).alias("_row"))
+        .select(*[F.col(c) if c in FLIGHT_KEY else F.col(f"_row.{c}").alias(c) for c in flights.columns])
+    )
+    return rows if heavy is None else rows.unionByName(heavy)
+
+
+def clean_for_months(raw: DataFrame, plan: DedupPlan | None = None, again: DataFrame | None = None) -> DataFrame:
+    """``clean`` for a write by month; ``plan`` None observes the skew first. ``again``: the
+    raw rows without an observation, for pre-passes and heavy keys."""
+    flights, other = (drop_missing_keys(cast_raw(r)) for r in (raw, again or raw))
+    plan = observe_skew(other) if plan is None else plan
+    return deduplicate_in_buckets(flights, plan, other).select(*FLIGHT_COLUMNS)

@@ -21,7 +21,7 @@ from flightmarts.jobs import run_concurrently
 from flightmarts.operators import checks as C
 from flightmarts.operators import gate as G
 from flightmarts.operators import marts as M
-from flightmarts.operators.clean import clean
+from flightmarts.operators.clean import clean_for_months, plan_by_size
 from flightmarts.operators.enrich import stage, with_flags
 from flightmarts.operators.reconcile import month_spine, requested_months_missing, rows_by_month
 from flightmarts.schema import VARCHAR_LENGTHS
@@ -30,7 +30,7 @@ from flightmarts.sinks.lake import empty_partitions, load_months, overwrite_mont
 from flightmarts.sources import seeds
 from flightmarts.functions.months import month_filter, month_numbers, year_month
 from flightmarts.sources.lake import read_lake
-from flightmarts.sources.raw import month_raw_path, read_raw
+from flightmarts.sources.raw import month_raw_path, raw_size, read_raw
 from flightmarts.sources.seeds import literal_frame
 
 
@@ -121,7 +121,7 @@ class Reconciliation:
 
 
 def clean_history(
-    spark: SparkSession, input_glob: str | list[str], lake_root: str, by_month: bool = False
+    spark: SparkSession, input_glob: str | list[str], lake_root: str, by_month: bool = False, observe: bool = False
 ) -> Reconciliation:
     """Full clean: every raw file -> typed, deduplicated lake (static overwrite).
 
@@ -129,11 +129,16 @@ def clean_history(
     comes from the write, so the raw files are read once (no second count scan).
     ``by_month=True`` adds the per-month reconciliation; the months are not
     known before the scan, so that costs one more narrow pass over the raw
-    files (only ``Year``/``Month`` are materialised), aggregated per month.
+    files (only ``Year``/``Month`` are materialised), aggregated per month. The legs are
+    exchanged once; by default the tasks per month follow from the files' sizes,
+    ``observe=True`` measures months and heavy keys first (``operators.clean.observe_skew``).
     """
     obs = Observation("clean_history_in")
     raw = read_raw(spark, input_glob)
-    report = write_lake(clean(raw.observe(obs, F.count(F.lit(1)).alias("rows"))), lake_root)
+    plan = None if observe else plan_by_size(*raw_size(spark, input_glob))
+    observed = raw.observe(obs, F.count(F.lit(1)).alias("rows"))
+    report = write_lake(clean_for_months(observed, plan, again=raw), lake_root, rebalance=False)
+    rows_in = int(obs.get["rows"])
     per_month = None
     if by_month:
         counts = (
@@ -144,7 +149,7 @@ def clean_history(
         per_month = month_reconciliation(
             spark, {(r["year"], r["month"]): r["rows_in"] for r in counts}, lake_root
         )
-    return Reconciliation(int(obs.get["rows"]), report.rows, report.months, [], by_month=per_month)
+    return Reconciliation(rows_in, report.rows, report.months, [], by_month=per_month)
 
 
 def backfill(
@@ -177,18 +182,13 @@ def backfill(
     paths = [rule(raw_root, y, m) for y, m in months]
     obs = Observation("backfill_in")
     ym = F.col("Year").cast("int") * 100 + F.col("Month").cast("int")
-    # rows in per month, observed on the same scan: a histogram with a bin to spare for
-    # every month counts exactly, as bins merge only when there are too few
-    bins = len(months) + 8
-    raw = read_raw(spark, paths).observe(
-        obs, F.count(F.lit(1)).alias("rows"), F.histogram_numeric(ym.cast("double"), F.lit(bins)).alias("by_month")
-    )
-    report = overwrite_months(clean(raw), lake_root, months)
+    # rows in per month, observed on the same scan: one counter per requested month
+    counters = [F.count_if(ym == y * 100 + m).alias(f"m{y * 100 + m}") for y, m in months]
+    raw = read_raw(spark, paths).observe(obs, F.count(F.lit(1)).alias("rows"), *counters)
+    plan = plan_by_size(raw_size(spark, paths)[0], len(months))
+    report = overwrite_months(clean_for_months(raw, plan), lake_root, months, rebalance=False)
     got = obs.get
-    counts = {round(b["x"]): round(b["y"]) for b in got["by_month"] or []}
-    if len(counts) >= bins:
-        raise ValueError("the raw files hold more months than were requested")
-    rows_in = {(y, m): counts.get(y * 100 + m, 0) for y, m in months}
+    rows_in = {(y, m): int(got[f"m{y * 100 + m}"]) for y, m in months}
     return Reconciliation(
         int(got["rows"]), report.rows, report.months, report.emptied,
         by_month=month_reconciliation(spark, rows_in, lake_root),
@@ -254,7 +254,8 @@ def run_month(
     # 1. clean the month's raw files into the lake (one read of the raw files)
     obs = Observation("raw_in")
     raw = read_raw(spark, raw_paths).observe(obs, F.count(F.lit(1)).alias("rows"))
-    report = overwrite_months(clean(raw), lake_root, [ym])
+    plan = plan_by_size(raw_size(spark, raw_paths)[0], 1)
+    report = overwrite_months(clean_for_months(raw, plan), lake_root, [ym], rebalance=False)
     rows_in = int(obs.get["rows"])
 
     # 2. reload the month in the raw table (one partition overwrite)

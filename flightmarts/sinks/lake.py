@@ -89,17 +89,18 @@ def _committed(df: DataFrame, root: str, schema: T.StructType, months, rebalance
     return WriteReport(rows, written, emptied)
 
 
-def write_lake(flights: DataFrame, root: str, commits: bool = False) -> WriteReport:
-    """Full overwrite of the lake, partitioned by year/month (K1, K4)."""
+def write_lake(flights: DataFrame, root: str, commits: bool = False, rebalance: bool = True) -> WriteReport:
+    """Full overwrite of the lake, partitioned by year/month (K1, K4). Rows that are dealt by
+    month already (``clean_for_months``) need no ``rebalance``."""
     if commits or is_committed(flights.sparkSession, root):
-        return _committed(flights, root, FLIGHT_SCHEMA, None)
+        return _committed(flights, root, FLIGHT_SCHEMA, None, rebalance)
     observed, obs = _observe(flights.select(*DATA_COLUMNS, *PARTITION_COLUMNS), "write_lake")
-    _writer(observed, "overwrite", dynamic=False).parquet(root)
+    _writer(observed, "overwrite", dynamic=False, rebalance=rebalance).parquet(root)
     return _report(obs)
 
 
 def overwrite_months(
-    flights: DataFrame, root: str, months: Iterable[tuple[int, int]] | None = None
+    flights: DataFrame, root: str, months: Iterable[tuple[int, int]] | None = None, rebalance: bool = True
 ) -> WriteReport:
     """Replace exactly ``months`` (default: those present in ``flights``; K2/K5).
 
@@ -113,13 +114,13 @@ def overwrite_months(
     if is_committed(flights.sparkSession, root):
         if months is None:
             raise ValueError("name the months to replace in a committed table")
-        return _committed(flights, root, FLIGHT_SCHEMA, months)
+        return _committed(flights, root, FLIGHT_SCHEMA, months, rebalance)
     rows = flights.select(*DATA_COLUMNS, *PARTITION_COLUMNS)
     if months is not None:
         months = list(months)
         rows = only_months(rows, months)
     observed, obs = _observe(rows, "overwrite_months")
-    _writer(observed, "overwrite", dynamic=True).parquet(root)
+    _writer(observed, "overwrite", dynamic=True, rebalance=rebalance).parquet(root)
     report = _report(obs)
     emptied = sorted(set(months or []) - set(report.months))
     empty_months(literal_frame(flights.sparkSession, [], LAKE_DATA_SCHEMA), root, emptied)
