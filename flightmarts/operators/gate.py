@@ -123,6 +123,39 @@ def evaluate(tables: dict[str, DataFrame], suites: dict[str, list[Expectation]])
     return out.select(*RESULT_COLUMNS)
 
 
+# -- mergeable summaries: the gate of a changed month reads that month alone ------------
+
+
+def summarize(mart: DataFrame, expectations: list[Expectation], table: str = "") -> DataFrame:
+    """One row per month with what the expectations need of it: counts, exact sums, a maximum.
+
+    All of these merge, so the rows of unchanged months can be kept and the gate is decided
+    from the summaries (``evaluate_summaries``), whatever the size of the mart."""
+    aggs = [a for i, e in enumerate(expectations) for a in _compile(table, i, e)[0]]
+    return mart.groupBy("month_start").agg(*aggs)
+
+
+def _merge(name: str) -> Column:
+    if name.endswith("_max"):
+        return F.max(name).alias(name)
+    total = F.sum(name)
+    # a count over no rows is 0, a sum over none NULL
+    return (total if name.endswith("_sum") else F.coalesce(total, F.lit(0))).alias(name)
+
+
+def evaluate_summaries(summaries: dict[str, DataFrame], suites: dict[str, list[Expectation]]) -> DataFrame:
+    """The rows of ``evaluate`` from the tables' monthly summaries."""
+    parts = []
+    for table, expectations in suites.items():
+        results = [_compile(table, i, e)[1] for i, e in enumerate(expectations)]
+        names = [c for c in summaries[table].columns if c != "month_start"]
+        parts.append(summaries[table].agg(*[_merge(n) for n in names]).select(F.inline(F.array(*results))))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(*RESULT_COLUMNS)
+
+
 def suite_stats(results: DataFrame) -> DataFrame:
     """Per suite: evaluated, successful, success."""
     return results.groupBy("suite").agg(
@@ -188,5 +221,7 @@ __all__ = [
     "decision",
     "default_suites",
     "evaluate",
+    "evaluate_summaries",
     "suite_stats",
+    "summarize",
 ]

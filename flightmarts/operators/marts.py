@@ -89,6 +89,19 @@ def carrier_month_facts(flights: DataFrame, carriers: DataFrame | None = None) -
     return facts if carriers is None else with_carrier_name(facts, carriers)
 
 
+def carrier_month_rows(flagged: DataFrame) -> DataFrame:
+    """The carrier-month aggregate without names, with the number of values of each cause:
+    sums and counts only, so rows of disjoint legs add up."""
+    rep = F.col("is_reportable_arrival")
+    return flagged.groupBy(*CARRIER_MONTH[:2]).agg(
+        *_otp_measures(),
+        _when_sum(rep, "dep_delay_min").alias("_dep_sum"),
+        _when_count(rep, "dep_delay_min").alias("_dep_n"),
+        *[F.sum(scaled_long(c)).alias(f"_{c}") for c in CAUSE_COLUMNS],
+        *[F.count(c).alias(f"_n_{c}") for c in CAUSE_COLUMNS],
+    )
+
+
 def monthly_otp_from(facts: DataFrame) -> DataFrame:
     """M2 columns from the carrier-month aggregate."""
     return facts.select(
@@ -146,19 +159,13 @@ def delay_causes(enriched: DataFrame) -> DataFrame:
     return delay_causes_from(facts)
 
 
-def route_performance(enriched: DataFrame) -> DataFrame:
-    """M3: directed route x month; descriptive columns take the max value.
+ROUTE_DESCRIPTIVE = ["origin_city", "origin_state", "dest_city", "dest_state", "distance_miles"]
 
-    Two levels, so no aggregation buffer holds a string: the legs are
-    hash-aggregated with the descriptive columns (city, state, distance) as
-    extra grouping keys, then the small result is reduced to one row per
-    (month, origin, dest), where ``max`` picks the descriptive values.
-    ``max`` of a string directly over the legs would force a sort-based
-    aggregate over all of them.
-    """
+
+def route_rows(enriched: DataFrame) -> DataFrame:
+    """First level of M3: additive sums per route, month and descriptive values."""
     rep = F.col("is_reportable_arrival")
-    descriptive = ["origin_city", "origin_state", "dest_city", "dest_state", "distance_miles"]
-    level1 = enriched.groupBy("month_start", "origin", "dest", *descriptive).agg(
+    return enriched.groupBy("month_start", "origin", "dest", *ROUTE_DESCRIPTIVE).agg(
         F.count(F.lit(1)).alias("_n"),
         F.count_if(F.col("cancelled")).alias("_cancelled"),
         F.count_if(rep).alias("_completed"),
@@ -166,8 +173,12 @@ def route_performance(enriched: DataFrame) -> DataFrame:
         _when_sum(rep, "arr_delay_min").alias("_arr_sum"),
         _when_count(rep, "arr_delay_min").alias("_arr_n"),
     )
-    agg = level1.groupBy("month_start", "origin", "dest").agg(
-        *[F.max(c).alias(c) for c in descriptive],
+
+
+def route_performance_from(rows: DataFrame) -> DataFrame:
+    """M3 from its first level, where ``max`` picks the descriptive values."""
+    agg = rows.groupBy("month_start", "origin", "dest").agg(
+        *[F.max(c).alias(c) for c in ROUTE_DESCRIPTIVE],
         F.sum("_n").alias("scheduled_flights"),
         F.sum("_cancelled").alias("cancelled_flights"),
         F.sum("_completed").alias("completed_flights"),
@@ -185,6 +196,19 @@ def route_performance(enriched: DataFrame) -> DataFrame:
     )
 
 
+def route_performance(enriched: DataFrame) -> DataFrame:
+    """M3: directed route x month; descriptive columns take the max value.
+
+    Two levels, so no aggregation buffer holds a string: the legs are
+    hash-aggregated with the descriptive columns (city, state, distance) as
+    extra grouping keys, then the small result is reduced to one row per
+    (month, origin, dest), where ``max`` picks the descriptive values.
+    ``max`` of a string directly over the legs would force a sort-based
+    aggregate over all of them.
+    """
+    return route_performance_from(route_rows(enriched))
+
+
 def airport_movements(enriched: DataFrame) -> DataFrame:
     """Each non-cancelled leg as two movements: a departure at ``origin`` and an
     arrival at ``dest`` (diverted legs included). NULL ``cancelled`` drops out."""
@@ -205,25 +229,21 @@ def airport_movements(enriched: DataFrame) -> DataFrame:
     return enriched.where(~F.col("cancelled")).select("month_start", F.inline(F.array(dep, arr)))
 
 
-def airport_congestion(enriched: DataFrame) -> DataFrame:
-    """M4: airport x month volume and taxi times from both endpoints.
-
-    Equivalent to aggregating departures and arrivals separately and full-outer
-    joining them on (airport, month) with coalesced keys and zero defaults, but
-    with one scan of the legs: legs are expanded to movements and aggregated.
-    City/state come from the departure side only (NULL for arrival-only
-    airports). As in M3 the strings are grouping keys of the first,
-    hash-based level and only the small second level takes their ``max``.
-    """
-    is_dep = F.col("is_departure")
-    level1 = airport_movements(enriched).groupBy(
+def airport_rows(enriched: DataFrame) -> DataFrame:
+    """First level of M4: additive sums per airport, month, side and place name."""
+    return airport_movements(enriched).groupBy(
         "airport_code", "month_start", "is_departure", "city", "state"
     ).agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum(scaled_long("taxi_min")).alias("_taxi_sum"),
         F.count("taxi_min").alias("_taxi_n"),
     )
-    agg = level1.groupBy("airport_code", "month_start").agg(
+
+
+def airport_congestion_from(rows: DataFrame) -> DataFrame:
+    """M4 from its first level."""
+    is_dep = F.col("is_departure")
+    agg = rows.groupBy("airport_code", "month_start").agg(
         F.max(F.when(is_dep, F.col("city"))).alias("city"),
         F.max(F.when(is_dep, F.col("state"))).alias("state"),
         F.coalesce(F.sum(F.when(is_dep, F.col("_n"))), F.lit(0)).alias("departures"),
@@ -242,6 +262,19 @@ def airport_congestion(enriched: DataFrame) -> DataFrame:
     )
 
 
+def airport_congestion(enriched: DataFrame) -> DataFrame:
+    """M4: airport x month volume and taxi times from both endpoints.
+
+    Equivalent to aggregating departures and arrivals separately and full-outer
+    joining them on (airport, month) with coalesced keys and zero defaults, but
+    with one scan of the legs: legs are expanded to movements and aggregated.
+    City/state come from the departure side only (NULL for arrival-only
+    airports). As in M3 the strings are grouping keys of the first,
+    hash-based level and only the small second level takes their ``max``.
+    """
+    return airport_congestion_from(airport_rows(enriched))
+
+
 def airport_congestion_by_join(enriched: DataFrame) -> DataFrame:
     """M4 written as the two endpoint aggregates and a full outer join.
 

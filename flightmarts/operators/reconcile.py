@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flightmarts.functions.months import data_month, month_of, month_sequence
@@ -49,22 +49,60 @@ def month_bounds(flights: DataFrame) -> tuple[dt.date, dt.date] | None:
     return row["lo"], row["hi"]
 
 
-def missing_months(flights: DataFrame, grain: list[str]) -> DataFrame:
-    """(entity, year, month) with no rows between the lake's first and last month.
+BITMAP_MONTHS = 60  # months in one bitmap, a long
 
-    One pass over the legs collects the months of each entity (partial aggregates,
-    at most one entry per month); the rest of the calendar is the array difference,
-    so only gaps become rows.
-    """
-    present = flights.select(*grain, month_of("year", "month").alias("month_start")).distinct()
+
+def _month_number(year: Column, month: Column) -> Column:
+    return year * 12 + month - 1
+
+
+def coverage(flights: DataFrame, grain: list[str]) -> DataFrame:
+    """(entity, block, bits): the months that an entity has rows in, as bitmaps of 60 months.
+
+    A hash aggregate with a fixed-size buffer (``bit_or`` of a long), reduced per task;
+    no month is shuffled more than once per task, entity and block. Coverages merge."""
+    number = _month_number(F.col("year"), F.col("month"))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(year * 12 + month - 1, {BITMAP_MONTHS}) as int))")
+    return flights.groupBy(*grain, F.floor(number / BITMAP_MONTHS).cast("int").alias("block")).agg(F.bit_or(bit).alias("bits"))
+
+
+def merge_coverage(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """The coverage of all rows together, from coverages of parts of them."""
+    every = first
+    for other in others:
+        every = every.unionByName(other)
+    grain = [c for c in first.columns if c not in ("block", "bits")]
+    return every.groupBy(*grain, "block").agg(F.bit_or("bits").alias("bits"))
+
+
+def coverage_gaps(covered: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """(entity, year, month) of the months from ``first`` to ``last`` without a bit.
+
+    Per entity one small map of its blocks; the rest is bit arithmetic, and only gaps
+    become rows."""
+    grain = [c for c in covered.columns if c not in ("block", "bits")]
+    lo, hi = (d.year * 12 + d.month - 1 for d in (first, last))
+    wanted = []  # (block, the bits of the calendar in it): a constant per 60 months
+    for block in range(lo // BITMAP_MONTHS, hi // BITMAP_MONTHS + 1):
+        at = range(max(lo, block * BITMAP_MONTHS), min(hi, block * BITMAP_MONTHS + BITMAP_MONTHS - 1) + 1)
+        wanted.append((block, sum(1 << (m % BITMAP_MONTHS) for m in at)))
+    calendar = F.array(*[F.struct(F.lit(b).alias("block"), F.lit(bits).cast("long").alias("calendar")) for b, bits in wanted])
+    own = covered.groupBy(*grain).agg(F.map_from_entries(F.collect_list(F.struct("block", "bits"))).alias("own"))
+    open_bits = own.select(*grain, "own", F.inline(calendar)).select(
+        *grain, "block", F.expr("calendar & ~coalesce(try_element_at(own, block), 0L)").alias("open")
+    ).where("open != 0")
+    places = F.filter(F.sequence(F.lit(0), F.lit(BITMAP_MONTHS - 1)), lambda i: F.getbit("open", i) == 1)
+    gaps = open_bits.select(*grain, "block", F.explode(places).alias("place")).withColumn("number", F.col("block") * BITMAP_MONTHS + F.col("place"))
+    return gaps.select(*grain, F.floor(F.col("number") / 12).cast("int").alias("year"), (F.pmod("number", F.lit(12)) + 1).cast("int").alias("month"))
+
+
+def missing_months(flights: DataFrame, grain: list[str]) -> DataFrame:
+    """(entity, year, month) with no rows between the lake's first and last month."""
     bounds = month_bounds(flights.select("year", "month"))
-    months = F.collect_set("month_start").alias("months")  # at most one entry per month
+    covered = coverage(flights.select(*grain, "year", "month"), grain)
     if bounds is None:
-        every = F.lit(None).cast("array<date>")
-    else:
-        every = month_sequence(F.lit(bounds[0]), F.lit(bounds[1]))
-    gaps = present.groupBy(*grain).agg(months).select(*grain, F.explode(F.array_except(every, "months")).alias("gap"))
-    return gaps.select(*grain, F.year("gap").alias("year"), F.month("gap").alias("month"))
+        return covered.where(F.lit(False)).select(*grain, F.lit(0).alias("year"), F.lit(0).alias("month"))
+    return coverage_gaps(covered, *bounds)
 
 
 def requested_months_missing(spine: DataFrame, landed: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ from flightmarts.schema import VARCHAR_LENGTHS
 from flightmarts.sinks.export import write_export
 from flightmarts.sinks.lake import empty_partitions, load_months, overwrite_months, read_raw_table, write_lake
 from flightmarts.sources import seeds
+from flightmarts.committed import exists
 from flightmarts.functions.months import month_filter, month_numbers, year_month
 from flightmarts.sources.lake import read_lake
 from flightmarts.sources.raw import month_raw_path, raw_size, read_raw
@@ -49,23 +50,20 @@ def materialize(
     paths = {name: f"{root.rstrip('/')}/{name}" for name in frames}
 
     mode = "static" if months is None else "dynamic"
+    seen = {name: Observation(f"months_{name}") for name in frames}
 
     def writer(name: str) -> Callable[[], None]:
         # a month of a mart is small: one file each, whatever the tasks
-        dealt = frames[name].hint("rebalance", "month_start")
+        dealt = frames[name].hint("rebalance", "month_start").observe(seen[name], F.collect_set("month_start").alias("months"))
         return lambda: dealt.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("month_start").parquet(paths[name])
 
     run_concurrently({name: writer(name) for name in frames})
     if months is not None:  # months that hold no legs any more lose their old rows
-        listed = [dt.date(y, m, 1) for y, m in months]
-
-        def old(name: str) -> DataFrame:
-            stored = spark.read.schema(frames[name].schema).parquet(paths[name]).where(F.col("month_start").isin(listed))
-            return stored.join(frames[name].select("month_start").distinct(), "month_start", "left_anti").select("month_start").distinct()
-
+        listed = {dt.date(y, m, 1) for y, m in months}
         for name, df in frames.items():
             empty = literal_frame(spark, [], T.StructType([f for f in df.schema if f.name != "month_start"]))
-            empty_partitions(empty, [f"{paths[name]}/month_start={r[0].isoformat()}" for r in old(name).collect()])
+            stale = [f"{paths[name]}/month_start={d.isoformat()}" for d in sorted(listed - set(seen[name].get["months"] or []))]
+            empty_partitions(empty, [p for p in stale if exists(spark, p)])
     return {name: spark.read.schema(df.schema).parquet(paths[name]) for name, df in frames.items()}
 
 
@@ -85,6 +83,20 @@ def mart_frames(staged: DataFrame, carriers: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def update_summaries(
+    spark: SparkSession, marts: dict[str, DataFrame], suites: dict[str, list[G.Expectation]], root: str, months: Iterable[tuple[int, int]] | None = None
+) -> dict[str, DataFrame]:
+    """Write the gate's monthly summaries of the marts and read them back.
+
+    With ``months`` only those months of the marts are read and only their summaries
+    replaced, so the gate of a changed month costs that month and the summaries."""
+    if months is not None:
+        months = list(months)
+        listed = [dt.date(y, m, 1) for y, m in months]
+        marts = {n: t.where(F.col("month_start").isin(listed)) for n, t in marts.items()}
+    return materialize(spark, {t: G.summarize(marts[t], e, t) for t, e in suites.items()}, root, months)
+
+
 def materialize_marts(
     spark: SparkSession, staged: DataFrame, carriers: DataFrame, root: str, months: Iterable[tuple[int, int]] | None = None
 ) -> dict[str, DataFrame]:

@@ -447,6 +447,35 @@ def _reloaded(emptied: tuple[int, int] | None, month: tuple[int, int]) -> str:
     )
 
 
+def _changed(select: str) -> str:
+    """Over the marts of the lake after one month was revised and another emptied."""
+    from flightmarts.plans.queries import EMPTIED_MONTH, RELOADED_MONTH
+
+    (y, m), (ey, em) = RELOADED_MONTH, EMPTIED_MONTH
+    here = f"(year = {y} and month = {m})"
+    before = CLEAN.replace("clean as (", "clean_before as (", 1)
+    changed = f"""
+clean as (
+    select * from clean_before where not {here} and not (year = {ey} and month = {em})
+    union all
+    select * replace (distance_miles + 1 as distance_miles) from clean_before where {here} and not cancelled
+)"""
+    return with_ctes(LEGS, before, changed, STG, ENRICHED, MONTHLY_OTP, ROUTE, AIRPORT, DELAY) + f"\n{select}"
+
+
+def _skewed_sql() -> str:
+    """The cleaned raw rows with copies of one leg that carry other legs' values."""
+    cols = ", ".join(f"h.{c}" if c in FLIGHT_KEY or c in ("year", "month") else f"c.{c}" for c in FLIGHT_COLUMNS)
+    return with_ctes(LEGS, CLEAN_CSV) + f"""
+, hot as (select * from clean_csv order by {_KEY} limit 1),
+skewed as (
+    select {_COLS} from clean_csv
+    union all
+    select {cols} from clean_csv c cross join hot h where cast(c.flight_number as bigint) % 4 = 0
+)
+select {_COLS} from (select *, row_number() over (partition by {_KEY} order by {_ORDER}) as nth from skewed) where nth = 1"""
+
+
 def _fewer_sql(month: tuple[int, int]) -> str:
     """Rows per mart without one month."""
     return " union all ".join(
@@ -539,6 +568,13 @@ after2 as (select *, case when narrow then fewer_rows else after1 end as after2
 select cast(1 as int) as run, wide as gate_open, table_name, cast(after1 as bigint) as rows from after2
 union all select cast(2 as int), narrow, table_name, cast(after2 as bigint) from after2
 union all select cast(3 as int), wide, table_name, cast(case when wide then fewer_rows else after2 end as bigint) from after2"""),
+        "clean_skewed": _skewed_sql(),
+        "state_monthly_otp": _changed("select * from fct_monthly_otp"),
+        "state_route_performance": _changed("select * from fct_route_performance"),
+        "state_airport_congestion": _changed("select * from fct_airport_congestion"),
+        "state_delay_causes": _changed("select * from fct_delay_causes"),
+        "gate_from_summaries": _changed(f", results as ({_gate_body(scaled)}) select * from results"),
+        "merged_route_coverage": _missing_sql(["origin", "dest"]),
         "month_commit": over_marts(_content(_reloaded(EMPTIED_MONTH, RELOADED_MONTH))),
         "fingerprint_ledger": over_marts(
             f"select *, cast(0 as bigint) as third_run_batches from ({_content(_reloaded(EMPTIED_MONTH, RELOADED_MONTH))})"),

@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 
 from flightmarts.committed import MonthTable, exists
 from flightmarts.config import scratch_path
+from flightmarts.functions.months import month_filter
 from flightmarts.operators import checks as C
 from flightmarts.operators import gate as G
 from flightmarts.operators import marts
 from flightmarts.operators import reconcile as R
-from flightmarts.operators.clean import clean, deduplicate, drop_missing_keys
+from flightmarts.operators.clean import DedupPlan, cast_raw, clean, clean_for_months, deduplicate, deduplicate_in_buckets, drop_missing_keys, key_hash, observe_skew
 from flightmarts.operators.enrich import enrich, stage, with_flags
-from flightmarts.plans.monthly import backfill, materialize_marts
+from flightmarts.operators.mart_state import MartState
+from flightmarts.plans.monthly import backfill, materialize_marts, update_summaries
 from flightmarts.schema import FLIGHT_KEY, FLIGHT_SCHEMA, VARCHAR_LENGTHS
 from flightmarts.sinks import export as X
 from flightmarts.sinks import push as P
@@ -169,12 +171,24 @@ def q_clean_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(read_raw(spark, f"{raw_csv(spark, sf_dir)}/*.csv"))
 
 
+def q_clean_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 with a hot natural key: the raw rows and a quarter as many differing copies of one leg;
+    months and heavy keys are observed, and the copies reduced per task before their exchange."""
+    flights = drop_missing_keys(cast_raw(read_raw(spark, f"{raw_csv(spark, sf_dir)}/*.csv")))
+    hot = flights.agg(F.min(F.struct(*FLIGHT_KEY)).alias("k")).first()["k"]  # the leg that becomes hot
+    own = {c: F.lit(hot[c]).alias(c) for c in FLIGHT_KEY}
+    own |= {"year": F.lit(hot["flight_date"].year).alias("year"), "month": F.lit(hot["flight_date"].month).alias("month")}
+    copies = flights.where(F.col("flight_number").cast("long") % 4 == 0).select(*[own.get(c, F.col(c)) for c in flights.columns])
+    skewed = flights.unionByName(copies)
+    return deduplicate_in_buckets(skewed, observe_skew(skewed, rows_per_bucket=2_000))
+
+
 def q_clean_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows in (observed during the write), rows out (read back), dropped."""
     obs = Observation("rows_in")
-    raw = read_raw(spark, f"{raw_csv(spark, sf_dir)}/*.csv").observe(obs, F.count(F.lit(1)).alias("n"))
+    plain = read_raw(spark, f"{raw_csv(spark, sf_dir)}/*.csv")
     out = scratch_path(spark, "clean-lake")
-    write_lake(clean(raw), out)
+    write_lake(clean_for_months(plain.observe(obs, F.count(F.lit(1)).alias("n")), again=plain), out, rebalance=False)
     rows_out = spark.read.parquet(out).count()
     return R.reconciliation(spark, obs.get["n"], rows_out)
 
@@ -382,6 +396,47 @@ def q_export_push(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts
 
 
+def changed_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The marts as additive state: all legs as one batch, then one month's old legs out and its
+    revised ones in, one month's legs out, that batch a second time, and a compaction."""
+    ws = _ws(spark, sf_dir)
+    if "state" not in ws:
+        state = MartState(spark, scratch_path(spark, "mart-state"))
+        flights = lake(spark, sf_dir)
+        state.apply("0001-load", added=stage(flights))
+        old = flights.where(month_filter([RELOADED_MONTH, EMPTIED_MONTH]))
+        for _ in range(2):  # the second time it is known
+            state.apply("0002-revised", added=stage(revised(flights)), removed=stage(old))
+        state.compact("0003-compact")
+        ws["state"] = state
+    return ws["state"].marts(fixture_carriers(spark, sf_dir))
+
+
+def _state_mart(mart: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return changed_marts(spark, sf_dir)[mart]
+
+    q.__doc__ = f"K9 {mart} projected from additive state after a revised and an emptied month"
+    return q
+
+
+def q_gate_from_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1-G6 from monthly summaries: those of all marts, then one month revised and one emptied,
+    of which alone the summaries are made again."""
+    root, suites = scratch_path(spark, "gate-summaries"), G.default_suites(AS_OF, FIXTURE_BANDS)
+    update_summaries(spark, mart_tables(spark, sf_dir), suites, root)
+    summaries = update_summaries(spark, changed_marts(spark, sf_dir), suites, root, [RELOADED_MONTH, EMPTIED_MONTH])
+    return G.evaluate_summaries(summaries, suites)
+
+
+def q_merged_route_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The route-months without rows, from coverages of the odd and the even years merged."""
+    flights = lake(spark, sf_dir)
+    grain = ["origin", "dest"]
+    halves = [R.coverage(flights.where(F.col("year") % 2 == odd), grain) for odd in (0, 1)]
+    return R.coverage_gaps(R.merge_coverage(*halves), *R.month_bounds(flights))
+
+
 def q_requested_months_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested months (from a year before the lake to a year after it) that
     have not landed."""
@@ -531,6 +586,7 @@ def q_export_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "clean_flights": q_clean_flights,
+    "clean_skewed": q_clean_skewed,
     "clean_reconciliation": q_clean_reconciliation,
     "stage_flights": q_stage_flights,
     "enrich_flights": q_enrich_flights,
@@ -539,10 +595,15 @@ QUERIES: dict[str, Query] = {
     "airport_congestion": q_airport_congestion,
     "airport_congestion_join": q_airport_congestion_join,
     "delay_causes": q_delay_causes,
+    "state_monthly_otp": _state_mart("fct_monthly_otp"),
+    "state_route_performance": _state_mart("fct_route_performance"),
+    "state_airport_congestion": _state_mart("fct_airport_congestion"),
+    "state_delay_causes": _state_mart("fct_delay_causes"),
     "rows_by_month": q_rows_by_month,
     "rows_by_month_running": q_rows_by_month_running,
     "missing_months": q_missing_months,
     "missing_route_months": q_missing_route_months,
+    "merged_route_coverage": q_merged_route_coverage,
     "data_month_slice": q_data_month_slice,
     "partition_from_path": q_partition_from_path,
     "month_overwrite": q_month_overwrite,
@@ -564,6 +625,7 @@ QUERIES: dict[str, Query] = {
     "check_failures": q_check_failures,
     "gate_results": q_gate_results,
     "gate_open_results": q_gate_open_results,
+    "gate_from_summaries": q_gate_from_summaries,
     "gated_export": q_gated_export,
     "gate_suites": q_gate_suites,
     "gate_decision": q_gate_decision,
