@@ -96,14 +96,18 @@ class Index:
         return [np.flatnonzero(row) for row in open_]
 
     def lower_bounds(self, q: np.ndarray, home: int, codes: np.ndarray, error: np.ndarray) -> np.ndarray:
-        """Table-lookup distances less the errors, a row per query and a column per entry."""
+        """Table-lookup distances less the errors, a row per entry and a column per query.
+
+        A table has a row per code, so a lookup copies the row of all queries at once."""
         rest = (q - self.centers[home]).astype(np.float32)
-        total = np.zeros((len(q), len(codes)), dtype=np.float32)
+        total = np.zeros((len(codes), len(q)), dtype=np.float32)
         for s, book in enumerate(self.books):
-            part = rest[:, self.cuts[s] : self.cuts[s + 1]]
-            lookup = (part**2).sum(axis=1)[:, None] + (book**2).sum(axis=1)[None, :].astype(np.float32) - 2 * part @ book.T.astype(np.float32)
-            total += lookup[:, codes[:, s]]
-        return np.sqrt(np.maximum(total, 0)) - error[None, :]
+            part, words = rest[:, self.cuts[s] : self.cuts[s + 1]], book.astype(np.float32)
+            table = (words**2).sum(axis=1)[:, None] + (part**2).sum(axis=1)[None, :] - 2 * words @ part.T
+            total += table[codes[:, s]]
+        np.sqrt(np.maximum(total, 0, out=total), out=total)
+        total -= error[:, None].astype(np.float32)
+        return total
 
 
 def _classes(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -223,7 +227,7 @@ def _join_lists(classes: DataFrame, index, dim: int, threshold: float) -> DataFr
         at_q, at_e = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for lo in range(0, len(asked), 256):
             low = index.value.lower_bounds(asked[lo : lo + 256], home, codes, error)
-            i, j = np.nonzero(low <= radius + 1e-4)
+            j, i = np.nonzero(low <= radius + 1e-4)
             i += lo
             # within the list both vectors ask; the larger id answers
             once = (q_home[i] != home) | (q_rep[i] > rep[j])

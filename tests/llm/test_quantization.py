@@ -85,7 +85,7 @@ def test_lower_bounds_and_probes_are_safe():
     probes = index.probes(x, home, radius)
     for h in range(12):
         mine = np.flatnonzero(home == h)
-        low = index.lower_bounds(x, h, codes[mine], error[mine])
+        low = index.lower_bounds(x, h, codes[mine], error[mine]).T
         assert (low[true[:, mine] <= radius] <= radius + 1e-4).all()  # none within the radius is dropped
         assert (low <= true[:, mine] + 0.01).all()
     i, j = np.nonzero((true <= radius) & (home[:, None] >= home[None, :]))
