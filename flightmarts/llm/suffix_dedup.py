@@ -12,15 +12,18 @@ Three steps keep the suffixes to sort few without losing any repeat:
    occurrence of each repeat that they might overlap; a node goes on only if what all its
    windows share occurs twice. Counts are partial aggregates, so a passage in a third of
    all documents costs a row per task.
-3. Suffix sort. For each repeated string two occurrences (the first and the last) go
-   on, joined to runs. Their suffixes are sorted by a distributed merge sort: every task
-   sorts its suffixes and front-codes them (length of the prefix shared with the one
-   before, and the rest), splitters cut the runs for the exchange, and each range is
-   merged by a loser tree that keeps the common prefix of every head with the last
-   output and compares only bytes behind it. A string counts as repeated only if the
-   common prefix with a neighbour in that order covers it, byte by byte.
-
-What holds for the two occurrences holds for all with that string, found by its hash.
+3. Suffix sort. Hashes only picked candidates: every place whose string may be repeated
+   (all occurrences) sends the suffix from there on into a distributed merge sort. Tasks
+   sort their suffixes into runs, in which equal ones are one entry, and front-code them
+   (length of the prefix shared with the one before, and the rest); splitters cut the runs
+   for the exchange, and each range is merged by a loser tree that keeps the common prefix
+   of every head with the last output and compares only bytes behind it. The longest
+   common prefix of a suffix with its neighbours in that order decides how many windows
+   from its start are repeated.
+
+A passage in a third of all documents reaches the merge once per run; places get their
+verdict by a join on the entry's number, and (hash, windows) keys that hold more than a
+thousandth of the rows are joined by broadcast.
 
 Defined results: null and empty texts keep nothing and lose nothing; texts shorter than
 ``length`` lose nothing; overlaps of a string with itself count; repeated rows repeat each
@@ -32,11 +35,12 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_right
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,11 +49,13 @@ from .textscan import mix, prefix_hash, substring_hash
 
 LENGTH = 400
 NODES = (32, 4, 1)
-RUN_WINDOWS = 1_024  # windows of one sorted suffix, at most
+RUN_BYTES = 8 << 20  # suffix bytes of one sorted run, about
 RANGE_BYTES = 16 << 20  # suffix bytes of one merged range, about
-SPLITTER_SAMPLE = 1_024
+SPLITTERS = 4_096  # at most; more ranges than that are cut further by a hash of the prefix
 SPLITTER_BYTES = 256
+HOT_KEYS = 1_024  # keys with more than this part of the rows are joined by broadcast
 _KEY = ["d", "x"]
+_LOAD = pa.struct([("d", pa.int64()), ("x", pa.int64()), ("s", pa.int32()), ("n", pa.int32())])
 
 # -- candidate windows ------------------------------------------------------------
 
@@ -264,50 +270,82 @@ def front_code(strings: list[tuple[bytes, object]]):
         before = string
 
 
-def merge_sorted_suffixes(suffixes: DataFrame, ranges: int) -> DataFrame:
-    """(load, length, shared): of every suffix (string binary, load long) the longest common
-    prefix with a neighbour in the sorted order of all that fall into its range."""
-    ship(suffixes.sparkSession)
-    heads = suffixes.select(F.substring("string", 1, SPLITTER_BYTES).alias("head"), F.xxhash64("string").alias("at"))
-    ordered = sorted(bytes(r["head"]) for r in heads.orderBy("at", "head").limit(SPLITTER_SAMPLE).collect())
-    splitters = sorted({ordered[i * len(ordered) // ranges] for i in range(1, ranges)}) if ordered else []
-    shared = suffixes.sparkSession.sparkContext.broadcast(splitters)  # at most `ranges` strings
+def thinned(rate: float, *cols: str) -> Column:
+    """A condition that holds for about ``rate`` of the rows, by their hash."""
+    return F.pmod(F.xxhash64(*cols), F.lit(1 << 30)) < F.lit(int(min(1.0, rate) * (1 << 30)))
+
+
+def splitters_of(heads: list[bytes], ranges: int) -> list[bytes]:
+    """At most ``ranges - 1`` strings that cut a sample into equal parts."""
+    ordered = sorted(heads)
+    ranges = min(ranges, SPLITTERS)
+    return sorted({ordered[i * len(ordered) // ranges] for i in range(1, ranges)}) if ordered else []
+
+
+def suffix_runs(suffixes: DataFrame, splitters: list[bytes], buckets: int = 1, prefix: int = SPLITTER_BYTES) -> DataFrame:
+    """Sorted, front-coded runs of (string binary, load): per distinct string of a run the
+    range ``part``, its place (``run``, ``seq``), ``lcp`` and ``rest``, whether it occurs
+    ``twice`` in the run, and the ``loads`` of all that have it. Strings that share
+    ``prefix`` bytes get the same part if no splitter is longer than that. To be written
+    before use: runs follow from the batches of one execution."""
+    spark = suffixes.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(splitters)  # SPLITTERS strings of SPLITTER_BYTES at most
+
+    def coded(held: list[pa.RecordBatch], run: int) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        strings = table.column("string").to_pylist()
+        parts: dict[int, list] = {}
+        for i in sorted(range(len(strings)), key=strings.__getitem__):
+            part = bisect_right(shared.value, strings[i]) * buckets + (crc32(strings[i][:prefix]) % buckets)
+            own = parts.setdefault(part, [])
+            if own and own[-1][0] == strings[i]:
+                own[-1][1].append(i)
+            else:
+                own.append((strings[i], [i]))
+        rows = [(part, *code) for part in sorted(parts) for code in front_code(parts[part])]
+        part, lcp, rest, members = zip(*rows)
+        offsets = np.append(0, np.cumsum([len(m) for m in members])).astype(np.int32)
+        loads = table.column("load").chunk(0).take(pa.array(np.concatenate(members), pa.int64()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(part, pa.int32()), pa.array([run] * len(rows), pa.int64()), pa.array(range(len(rows)), pa.int32()), pa.array(lcp, pa.int32()),
+             pa.array(rest, pa.binary()), pa.array([len(m) > 1 for m in members]), pa.ListArray.from_arrays(offsets, loads)],
+            names=["part", "run", "seq", "lcp", "rest", "twice", "loads"],
+        )
 
     def sort_runs(batches):
-        task, run = TaskContext.get().partitionId(), 0
+        run, held, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
-            own = sorted(zip(batch.column("string").to_pylist(), batch.column("load").to_pylist()))
-            cut = [bisect_right(shared.value, s) for s, _ in own]
-            at = 0
-            while at < len(own):
-                stop = bisect_right(cut, cut[at])
-                coded = list(front_code(own[at:stop]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([cut[at]] * len(coded), pa.int32()), pa.array([(task << 32) + run] * len(coded), pa.int64()),
-                     pa.array(range(len(coded)), pa.int32()), *[pa.array([c[i] for c in coded], t) for i, t in ((0, pa.int32()), (1, pa.binary()), (2, pa.int64()))]],
-                    names=["part", "run", "seq", "lcp", "rest", "load"],
-                )
-                at = stop
-            run += 1
-
-    runs = suffixes.mapInArrow(sort_runs, "part int, run long, seq int, lcp int, rest binary, load long")
+            for piece in text_chunks(batch, "string", RUN_BYTES):
+                held.append(piece)
+                size += piece.column("string").nbytes
+                if size >= RUN_BYTES:
+                    yield coded(held, run)
+                    run, held, size = run + 1, [], 0
+        if any(p.num_rows for p in held):
+            yield coded(held, run)
+
+    load = suffixes.schema["load"].dataType.simpleString()
+    return suffixes.select("string", "load").mapInArrow(sort_runs, f"part int, run long, seq int, lcp int, rest binary, twice boolean, loads array<{load}>")
+
+
+def merge_runs(runs: DataFrame, parts: int) -> DataFrame:
+    """(run, seq, length, shared): of every entry the longest common prefix with another
+    string in the sorted order of its part; its whole length if it occurs twice itself."""
 
     def merged(part: list[list]):
         out, before = [], 0
-        for string, load, lcp in LoserTree(part):
+        for string, (run, seq, twice), lcp in LoserTree(part):
             if out:
-                out[-1][2] = max(before, lcp)
-            out.append([load, len(string), lcp])
-            before = lcp
-        return pa.RecordBatch.from_arrays(
-            [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int32()), pa.array([o[2] for o in out], pa.int32())],
-            names=["load", "length", "shared"],
-        )
+                out[-1][3] = max(out[-1][3], lcp)
+            out.append([run, seq, len(string), len(string) if twice else lcp])
+        columns = zip(*out)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["run", "seq", "length", "shared"])
 
     def merge(batches):
         part, run, held = None, None, []
         for batch in batches:
-            for p, r, lcp, rest, load in zip(*(batch.column(c).to_pylist() for c in ("part", "run", "lcp", "rest", "load"))):
+            for p, r, seq, lcp, rest, twice in zip(*(batch.column(c).to_pylist() for c in ("part", "run", "seq", "lcp", "rest", "twice"))):
                 if p != part:
                     if held:
                         yield merged(held)
@@ -315,17 +353,42 @@ def merge_sorted_suffixes(suffixes: DataFrame, ranges: int) -> DataFrame:
                 if r != run:
                     held.append([])
                     run = r
-                held[-1].append((lcp, rest, load))
+                held[-1].append((lcp, rest, (r, seq, twice)))
         if held:
             yield merged(held)
 
-    dealt = runs.repartition(max(1, ranges), "part").sortWithinPartitions("part", "run", "seq")
-    return dealt.mapInArrow(merge, "load long, length int, shared int")
+    narrow = runs.select("part", "run", "seq", "lcp", "rest", "twice")
+    dealt = narrow.repartition(max(1, parts), "part").sortWithinPartitions("part", "run", "seq")
+    return dealt.mapInArrow(merge, "run long, seq int, length int, shared int")
+
+
+def merge_sorted_suffixes(suffixes: DataFrame, ranges: int, splitters: list[bytes] | None = None, prefix: int = SPLITTER_BYTES) -> DataFrame:
+    """(load, length, shared): of every suffix (string binary, load) the longest common
+    prefix with another one in the sorted order of its range. The order is cut into at
+    least ``ranges`` parts, at ``splitters`` or at a thinned sample of the strings."""
+    if splitters is None:
+        rows = suffixes.count()
+        heads = suffixes.where(thinned(8 * min(ranges, SPLITTERS) / max(1, rows), "string", "load")).select(F.substring("string", 1, min(prefix, SPLITTER_BYTES)).alias("head"))
+        splitters = splitters_of([bytes(r["head"]) for r in heads.collect()], ranges)
+    buckets = -(-ranges // SPLITTERS)
+    runs = materialize(suffix_runs(suffixes, splitters, buckets, prefix), "suffix-runs")
+    order = materialize(merge_runs(runs, ranges), "suffix-order")
+    return runs.select("run", "seq", "loads").join(order, ["run", "seq"]).select(F.explode("loads").alias("load"), "length", "shared")
 
 
 # -- the operator -------------------------------------------------------------------
 
 
+def split_hot(rows: DataFrame, keys: DataFrame, on: list[str], count: str, total: int, how: str) -> DataFrame:
+    """``rows`` semi- or anti-joined with ``keys``, unique by ``on`` and with the number of
+    their rows in ``count``. At most about HOT_KEYS keys hold more than that part of
+    ``total`` rows; they are broadcast, the others exchanged."""
+    most = total // HOT_KEYS + 1_000
+    hot = F.broadcast(keys.where(F.col(count) > most).select(on))
+    cold = rows.join(hot, on, "left_anti").join(keys.where(F.col(count) <= most).select(on), on, how)
+    return cold if how == "left_anti" else cold.unionByName(rows.join(hot, on, "left_semi"))
+
+
 def repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(cand, spans): the texts that may hold repeats, and (d, x, s, n): n windows from
     byte s on are repeated. ``gram`` is three fifths of ``length`` unless given."""
@@ -340,67 +403,56 @@ def repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     per_text = anchors.join(twice, "gram").groupBy(*_KEY).agg(F.collect_set("gram").alias("grams"))
     cand = materialize(texts.join(per_text, _KEY), "suffix-candidates")
 
-    done, level = [], materialize(_blocks(cand, length, gram), "suffix-blocks")
+    places, level = None, materialize(_blocks(cand, length, gram), "suffix-blocks")
     for size in (*NODES, None):
-        place = F.struct(*_KEY, "s", "m")
+        total = level.count()
         found = materialize(
-            level.groupBy("h", "n").agg(F.count(F.lit(1)).alias("c"), F.min(place).alias("a"), F.max(place).alias("b"), F.min("core").alias("core"))
-            .where("c > 1").drop("c"), "suffix-repeats",
+            level.groupBy("h", "n").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct(*_KEY, "s", "m")).alias("a"), F.min("core").alias("core")).where("c > 1"), "suffix-repeats",
         )
-        done.append((level.select(*_KEY, "s", "n", "h"), found))
+        likely = split_hot(level, found, ["h", "n"], "c", total, "left_semi").select(*_KEY, "s", "n")
+        places = likely if places is None else places.unionByName(likely)
         if size is None:
             break
         # what is still open, and one occurrence of each repeat for it to be matched with
-        rest = level.join(found.select("h", "n"), ["h", "n"], "left_anti").select(*_KEY, "s", "n", "m", "w", "core")
+        rest = split_hot(level, found, ["h", "n"], "c", total, "left_anti").select(*_KEY, "s", "n", "m", "w", "core")
         again = found.select("a.d", "a.x", "a.s", "n", "a.m", F.lit(2).alias("w"), "core")
         both = rest.unionByName(again)
-        core = both.groupBy("core").agg(F.sum("w").alias("all"), F.count_if(F.col("w") == 1).alias("open")).where("all > 1 and open > 0").select("core")
-        level = materialize(_smaller(cand, both.join(core, "core"), size, length, gram), "suffix-nodes")
-
-    # two occurrences of each repeated string, joined to runs of windows
-    pairs = None
-    for _, found in done:
-        one = found.select("h", "n", "a", "b", (F.col("b.s") - F.col("a.s")).alias("shift"))
-        pairs = one if pairs is None else pairs.unionByName(one)
-    along = Window.partitionBy("a.d", "a.x", "b.d", "b.x", "shift").orderBy("a.s", "n")
-    reach = F.max(F.col("a.s") + F.col("n")).over(along.rowsBetween(Window.unboundedPreceding, -1))
-    numbered = (
-        materialize(pairs, "suffix-pairs").withColumn("opens", (F.coalesce(reach, F.lit(-1)) < F.col("a.s")).cast("int"))
-        .withColumn("run", F.sum("opens").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("run_key", F.xxhash64("a.d", "a.x", "b.d", "b.x", "shift", "run"))
-    )
-    numbered = materialize(numbered.select("h", "n", "a", "b", "run_key"), "suffix-numbered")
-    runs = numbered.groupBy("run_key").agg(
-        F.min("a").alias("a"), F.min("b").alias("b"), (F.max(F.col("a.s") + F.col("n")) - F.min("a.s")).alias("n"),
-    )
-    parts = runs.withColumn("i", F.explode(F.expr(f"sequence(0, (n - 1) div {RUN_WINDOWS})"))).select(
-        "run_key", F.xxhash64("run_key", "i").alias("load"), F.least(F.col("n") - F.col("i") * RUN_WINDOWS, F.lit(RUN_WINDOWS)).cast("int").alias("n"),
-        F.explode(F.array("a", "b")).alias("o"), (F.col("i") * RUN_WINDOWS).cast("int").alias("skip"),
-    )
-    parts = materialize(parts.select("run_key", "load", "n", F.col("o.d").alias("d"), F.col("o.x").alias("x"), (F.col("o.s") + F.col("skip")).alias("s")), "suffix-parts")
-    wanted = parts.groupBy(*_KEY).agg(F.collect_list(F.struct("s", "n", "load")).alias("items"))
+        core = both.groupBy("core").agg(F.sum("w").alias("all"), F.count_if(F.col("w") == 1).alias("open")).where("all > 1 and open > 0")
+        level = materialize(_smaller(cand, split_hot(both, core, ["core"], "all", total, "left_semi"), size, length, gram), "suffix-nodes")
 
-    def suffixes(batches):
+    # the suffixes of all occurrences, twice those of repeated rows
+    places = materialize(places.groupBy(*_KEY, "s", "n").agg((F.count(F.lit(1)) > 1).alias("twice")), "suffix-places")
+    rows, size = places.agg(F.count(F.lit(1)), F.sum(F.col("n") - 1 + length)).first()
+    ranges = 1 + (size or 0) // RANGE_BYTES
+    few = places.where(thinned(8 * min(ranges, SPLITTERS) / max(1, rows), *_KEY, "s", "n"))  # bounded by the splitters
+    one_text = cand.dropDuplicates(_KEY)
+
+    def suffixes(batches, width: int | None = None):
         for batch in batches:
-            strings, loads = [], []
-            for t, items in zip(batch.column("text").to_pylist(), batch.column("items").to_pylist()):
-                raw = t.encode()
-                for item in items:
-                    strings.append(raw[item["s"] : item["s"] + item["n"] - 1 + length])
-                    loads.append(item["load"])
-            yield pa.RecordBatch.from_arrays([pa.array(strings, pa.binary()), pa.array(loads, pa.int64())], names=["string", "load"])
-
-    strings = materialize(cand.select(*_KEY, "text").dropDuplicates(_KEY).join(wanted, _KEY).select("text", "items").mapInArrow(suffixes, "string binary, load long"), "suffix-strings")
-    total = strings.agg(F.sum(F.length("string"))).first()[0] or 0
-    ordered = materialize(merge_sorted_suffixes(strings, 1 + total // RANGE_BYTES), "suffix-order")
-    broken = ordered.where("shared < length").select("load").distinct()  # by a hash collision only
-    bad = parts.join(broken, "load", "left_semi").select("run_key").distinct()
-    good = numbered.join(bad, "run_key", "left_anti").select("h", "n")
-    spans = None
-    for level, found in done:
-        one = level.join(found.select("h", "n"), ["h", "n"]).select(*_KEY, "s", "n", "h")
-        spans = one if spans is None else spans.unionByName(one)
-    return cand, spans.join(good.distinct(), ["h", "n"]).select(*_KEY, "s", "n")
+            for part in text_chunks(batch, "text"):
+                for d, x, t, items in zip(*(part.column(c).to_pylist() for c in (*_KEY, "text", "items"))):
+                    raw, longest = t.encode(), {}
+                    for i in items:  # of the strings from one place the longest stands for all
+                        n, twice = longest.get(i["s"], (0, False))
+                        longest[i["s"]] = max(n, i["n"]), twice or i["twice"]
+                    own = [(s, n) for s, (n, twice) in longest.items() for _ in range(1 + twice)]
+                    for at in range(0, len(own), 4_096):
+                        some = own[at : at + 4_096]
+                        strings = [raw[s : s + (n - 1 + length if width is None else width)] for s, n in some]
+                        loads = [{"d": d, "x": x, "s": s, "n": n} for s, n in some]
+                        yield pa.RecordBatch.from_arrays([pa.array(strings, pa.binary()), pa.array(loads, _LOAD)], names=["string", "load"])
+
+    def of(chosen: DataFrame) -> DataFrame:
+        return chosen.groupBy(*_KEY).agg(F.collect_list(F.struct("s", "n", "twice")).alias("items"))
+
+    schema = "string binary, load struct<d: bigint, x: bigint, s: int, n: int>"
+    prefix = min(length, SPLITTER_BYTES)
+    heads = cand.join(F.broadcast(of(few)), _KEY).select(*_KEY, "text", "items").mapInArrow(lambda b: suffixes(b, prefix), schema)
+    splitters = splitters_of([bytes(r["string"]) for r in heads.select("string").distinct().collect()], ranges)
+    strings = one_text.join(of(places), _KEY).select(*_KEY, "text", "items").mapInArrow(suffixes, schema)
+    order = merge_sorted_suffixes(strings, ranges, splitters, length)
+    repeated = F.least(F.col("load.n"), F.col("shared") - length + 1)
+    return cand, order.where(F.col("shared") >= length).select("load.d", "load.x", "load.s", repeated.alias("n"))
 
 
 _CUT = T.StructType([T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()), T.StructField("kept_bytes", T.BinaryType())])
