@@ -21,9 +21,9 @@ Three steps keep the suffixes to sort few without losing any repeat:
    common prefix of a suffix with its neighbours in that order decides how many windows
    from its start are repeated.
 
-A passage in a third of all documents reaches the merge once per run; places get their
-verdict by a join on the entry's number, and (hash, windows) keys that hold more than a
-thousandth of the rows are joined by broadcast.
+A passage in a third of all documents reaches the merge once per run, where its equal
+suffixes are settled; (hash, windows) keys that hold more than a thousandth of the rows are
+joined by broadcast.
 
 Defined results: null and empty texts keep nothing and lose nothing; texts shorter than
 ``length`` lose nothing; overlaps of a string with itself count; repeated rows repeat each
@@ -39,6 +39,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -282,15 +283,17 @@ def splitters_of(heads: list[bytes], ranges: int) -> list[bytes]:
     return sorted({ordered[i * len(ordered) // ranges] for i in range(1, ranges)}) if ordered else []
 
 
-def suffix_runs(suffixes: DataFrame, splitters: list[bytes], buckets: int = 1, prefix: int = SPLITTER_BYTES) -> DataFrame:
-    """Sorted, front-coded runs of (string binary, load): per distinct string of a run the
-    range ``part``, its place (``run``, ``seq``), ``lcp`` and ``rest``, whether it occurs
-    ``twice`` in the run, and the ``loads`` of all that have it. Strings that share
-    ``prefix`` bytes get the same part if no splitter is longer than that. To be written
-    before use: runs follow from the batches of one execution."""
+def suffix_runs(suffixes: DataFrame, splitters: list[bytes], ranges: int, prefix: int = SPLITTER_BYTES) -> DataFrame:
+    """Sorted, front-coded runs of (string binary, load): of every distinct string of a run
+    the range ``part``, its place (``run``, ``seq``), ``lcp``, ``rest`` and, if one suffix
+    has it, the ``load``. Suffixes that are equal within a run are settled there: their loads
+    follow without ``rest``, with the string's length in ``lcp``, dealt evenly over parts below
+    zero, and only the string goes to its range. Strings that share ``prefix`` bytes get
+    the same part if no splitter is longer than that."""
     spark = suffixes.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(splitters)  # SPLITTERS strings of SPLITTER_BYTES at most
+    buckets = -(-ranges // SPLITTERS)
 
     def coded(held: list[pa.RecordBatch], run: int) -> pa.RecordBatch:
         table = pa.Table.from_batches(held).combine_chunks()
@@ -303,14 +306,14 @@ def suffix_runs(suffixes: DataFrame, splitters: list[bytes], buckets: int = 1, p
                 own[-1][1].append(i)
             else:
                 own.append((strings[i], [i]))
-        rows = [(part, *code) for part in sorted(parts) for code in front_code(parts[part])]
-        part, lcp, rest, members = zip(*rows)
-        offsets = np.append(0, np.cumsum([len(m) for m in members])).astype(np.int32)
-        loads = table.column("load").chunk(0).take(pa.array(np.concatenate(members), pa.int64()))
+        rows = [(part, n, rest, m[0] if len(m) == 1 else None) for part in sorted(parts) for n, rest, m in front_code(parts[part])]
+        settled = [i for own in parts.values() for _, m in own if len(m) > 1 for i in m]
+        rows += [(-1 - k % ranges, len(strings[i]), None, i) for k, i in enumerate(settled)]
+        part, lcp, rest, load = zip(*rows)
         return pa.RecordBatch.from_arrays(
             [pa.array(part, pa.int32()), pa.array([run] * len(rows), pa.int64()), pa.array(range(len(rows)), pa.int32()), pa.array(lcp, pa.int32()),
-             pa.array(rest, pa.binary()), pa.array([len(m) > 1 for m in members]), pa.ListArray.from_arrays(offsets, loads)],
-            names=["part", "run", "seq", "lcp", "rest", "twice", "loads"],
+             pa.array(rest, pa.binary()), table.column("load").chunk(0).take(pa.array(load, pa.int64()))],
+            names=["part", "run", "seq", "lcp", "rest", "load"],
         )
 
     def sort_runs(batches):
@@ -326,54 +329,57 @@ def suffix_runs(suffixes: DataFrame, splitters: list[bytes], buckets: int = 1, p
             yield coded(held, run)
 
     load = suffixes.schema["load"].dataType.simpleString()
-    return suffixes.select("string", "load").mapInArrow(sort_runs, f"part int, run long, seq int, lcp int, rest binary, twice boolean, loads array<{load}>")
+    return suffixes.select("string", "load").mapInArrow(sort_runs, f"part int, run long, seq int, lcp int, rest binary, load {load}")
 
 
-def merge_runs(runs: DataFrame, parts: int) -> DataFrame:
-    """(run, seq, length, shared): of every entry the longest common prefix with another
-    string in the sorted order of its part; its whole length if it occurs twice itself."""
+def merge_runs(runs: DataFrame, ranges: int) -> DataFrame:
+    """(load, length, shared): of every suffix the longest common prefix with another one in
+    the sorted order of its part; its whole length if it was settled in its run."""
 
-    def merged(part: list[list]):
-        out, before = [], 0
-        for string, (run, seq, twice), lcp in LoserTree(part):
+    def merged(part: list[list], kind: pa.DataType):
+        out = []
+        for string, load, lcp in LoserTree(part):
             if out:
-                out[-1][3] = max(out[-1][3], lcp)
-            out.append([run, seq, len(string), len(string) if twice else lcp])
-        columns = zip(*out)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["run", "seq", "length", "shared"])
+                out[-1][2] = max(out[-1][2], lcp)
+            out.append([load, len(string), lcp])
+        out = [o for o in out if o[0] is not None]  # strings of settled suffixes were there to be compared with
+        return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((kind, pa.int32(), pa.int32()))], names=["load", "length", "shared"])
 
     def merge(batches):
-        part, run, held = None, None, []
+        part, run, held, kind = None, None, [], None
         for batch in batches:
-            for p, r, seq, lcp, rest, twice in zip(*(batch.column(c).to_pylist() for c in ("part", "run", "seq", "lcp", "rest", "twice"))):
+            kind = batch.schema.field("load").type
+            settled = batch.filter(pc.less(batch.column("part"), 0))
+            if settled.num_rows:
+                whole = settled.column("lcp")
+                yield pa.RecordBatch.from_arrays([settled.column("load"), whole, whole], names=["load", "length", "shared"])
+            open_ = batch.filter(pc.greater_equal(batch.column("part"), 0))
+            for p, r, lcp, rest, load in zip(*(open_.column(c).to_pylist() for c in ("part", "run", "lcp", "rest", "load"))):
                 if p != part:
                     if held:
-                        yield merged(held)
+                        yield merged(held, kind)
                     part, run, held = p, None, []
                 if r != run:
                     held.append([])
                     run = r
-                held[-1].append((lcp, rest, (r, seq, twice)))
+                held[-1].append((lcp, rest, load))
         if held:
-            yield merged(held)
+            yield merged(held, kind)
 
-    narrow = runs.select("part", "run", "seq", "lcp", "rest", "twice")
-    dealt = narrow.repartition(max(1, parts), "part").sortWithinPartitions("part", "run", "seq")
-    return dealt.mapInArrow(merge, "run long, seq int, length int, shared int")
+    dealt = runs.repartition(max(1, ranges), "part").sortWithinPartitions("part", "run", "seq")
+    return dealt.mapInArrow(merge, f"load {runs.schema['load'].dataType.simpleString()}, length int, shared int")
 
 
 def merge_sorted_suffixes(suffixes: DataFrame, ranges: int, splitters: list[bytes] | None = None, prefix: int = SPLITTER_BYTES) -> DataFrame:
     """(load, length, shared): of every suffix (string binary, load) the longest common
     prefix with another one in the sorted order of its range. The order is cut into at
-    least ``ranges`` parts, at ``splitters`` or at a thinned sample of the strings."""
+    least ``ranges`` parts, at ``splitters`` or at a thinned sample of the strings. Partitions
+    of ``suffixes`` have to be in the same order when a lost task runs again."""
     if splitters is None:
         rows = suffixes.count()
         heads = suffixes.where(thinned(8 * min(ranges, SPLITTERS) / max(1, rows), "string", "load")).select(F.substring("string", 1, min(prefix, SPLITTER_BYTES)).alias("head"))
         splitters = splitters_of([bytes(r["head"]) for r in heads.collect()], ranges)
-    buckets = -(-ranges // SPLITTERS)
-    runs = materialize(suffix_runs(suffixes, splitters, buckets, prefix), "suffix-runs")
-    order = materialize(merge_runs(runs, ranges), "suffix-order")
-    return runs.select("run", "seq", "loads").join(order, ["run", "seq"]).select(F.explode("loads").alias("load"), "length", "shared")
+    return merge_runs(suffix_runs(suffixes, splitters, ranges, prefix), ranges)
 
 
 # -- the operator -------------------------------------------------------------------
@@ -435,7 +441,7 @@ def repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                     for i in items:  # of the strings from one place the longest stands for all
                         n, twice = longest.get(i["s"], (0, False))
                         longest[i["s"]] = max(n, i["n"]), twice or i["twice"]
-                    own = [(s, n) for s, (n, twice) in longest.items() for _ in range(1 + twice)]
+                    own = [(s, n) for s, (n, twice) in sorted(longest.items()) for _ in range(1 + twice)]
                     for at in range(0, len(own), 4_096):
                         some = own[at : at + 4_096]
                         strings = [raw[s : s + (n - 1 + length if width is None else width)] for s, n in some]
@@ -449,8 +455,8 @@ def repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     prefix = min(length, SPLITTER_BYTES)
     heads = cand.join(F.broadcast(of(few)), _KEY).select(*_KEY, "text", "items").mapInArrow(lambda b: suffixes(b, prefix), schema)
     splitters = splitters_of([bytes(r["string"]) for r in heads.select("string").distinct().collect()], ranges)
-    strings = one_text.join(of(places), _KEY).select(*_KEY, "text", "items").mapInArrow(suffixes, schema)
-    order = merge_sorted_suffixes(strings, ranges, splitters, length)
+    whole = one_text.join(of(places), _KEY).select(*_KEY, "text", "items").sortWithinPartitions(*_KEY)  # a lost task makes the same runs again
+    order = materialize(merge_sorted_suffixes(whole.mapInArrow(suffixes, schema), ranges, splitters, length), "suffix-order")
     repeated = F.least(F.col("load.n"), F.col("shared") - length + 1)
     return cand, order.where(F.col("shared") >= length).select("load.d", "load.x", "load.s", repeated.alias("n"))
 
