@@ -39,7 +39,6 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -284,12 +283,12 @@ def splitters_of(heads: list[bytes], ranges: int) -> list[bytes]:
 
 
 def suffix_runs(suffixes: DataFrame, splitters: list[bytes], ranges: int, prefix: int = SPLITTER_BYTES) -> DataFrame:
-    """Sorted, front-coded runs of (string binary, load): of every distinct string of a run
-    the range ``part``, its place (``run``, ``seq``), ``lcp``, ``rest`` and, if one suffix
-    has it, the ``load``. Suffixes that are equal within a run are settled there: their loads
-    follow without ``rest``, with the string's length in ``lcp``, dealt evenly over parts below
-    zero, and only the string goes to its range. Strings that share ``prefix`` bytes get
-    the same part if no splitter is longer than that."""
+    """Sorted, front-coded runs of (string binary, load), one row (``part``, ``run``,
+    ``block``) per run and range. A block is a compressed Arrow stream: of every distinct
+    string ``lcp``, ``rest`` and, if one suffix has it, the ``load``. Suffixes that are equal
+    within a run are settled there: their loads follow in a block without ``rest``, with the
+    string's length in ``lcp``, in a part below zero, and only the string goes to its range.
+    Strings that share ``prefix`` bytes get the same part if no splitter is longer."""
     spark = suffixes.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(splitters)  # SPLITTERS strings of SPLITTER_BYTES at most
@@ -306,15 +305,21 @@ def suffix_runs(suffixes: DataFrame, splitters: list[bytes], ranges: int, prefix
                 own[-1][1].append(i)
             else:
                 own.append((strings[i], [i]))
-        rows = [(part, n, rest, m[0] if len(m) == 1 else None) for part in sorted(parts) for n, rest, m in front_code(parts[part])]
-        settled = [i for own in parts.values() for _, m in own if len(m) > 1 for i in m]
-        rows += [(-1 - k % ranges, len(strings[i]), None, i) for k, i in enumerate(settled)]
-        part, lcp, rest, load = zip(*rows)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(part, pa.int32()), pa.array([run] * len(rows), pa.int64()), pa.array(range(len(rows)), pa.int32()), pa.array(lcp, pa.int32()),
-             pa.array(rest, pa.binary()), table.column("load").chunk(0).take(pa.array(load, pa.int64()))],
-            names=["part", "run", "seq", "lcp", "rest", "load"],
-        )
+        loads = table.column("load").chunk(0)
+
+        def block(rows: list[tuple]) -> bytes:
+            lcp, rest, load = zip(*rows)
+            batch = pa.RecordBatch.from_arrays([pa.array(lcp, pa.int32()), pa.array(rest, pa.binary()), loads.take(pa.array(load, pa.int64()))], names=["lcp", "rest", "load"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(batch)
+            return sink.getvalue().to_pybytes()
+
+        made = {part: block([(n, rest, m[0] if len(m) == 1 else None) for n, rest, m in front_code(own)]) for part, own in sorted(parts.items())}
+        settled = [(len(strings[i]), None, i) for own in parts.values() for _, m in own if len(m) > 1 for i in m]
+        if settled:
+            made[-1 - crc32(run.to_bytes(8, "big")) % ranges] = block(settled)
+        return pa.RecordBatch.from_arrays([pa.array(list(made), pa.int32()), pa.array([run] * len(made), pa.int64()), pa.array(list(made.values()), pa.binary())], names=["part", "run", "block"])
 
     def sort_runs(batches):
         run, held, size = TaskContext.get().partitionId() << 32, [], 0
@@ -328,11 +333,10 @@ def suffix_runs(suffixes: DataFrame, splitters: list[bytes], ranges: int, prefix
         if any(p.num_rows for p in held):
             yield coded(held, run)
 
-    load = suffixes.schema["load"].dataType.simpleString()
-    return suffixes.select("string", "load").mapInArrow(sort_runs, f"part int, run long, seq int, lcp int, rest binary, load {load}")
+    return suffixes.select("string", "load").mapInArrow(sort_runs, "part int, run long, block binary")
 
 
-def merge_runs(runs: DataFrame, ranges: int) -> DataFrame:
+def merge_runs(runs: DataFrame, ranges: int, load: T.DataType) -> DataFrame:
     """(load, length, shared): of every suffix the longest common prefix with another one in
     the sorted order of its part; its whole length if it was settled in its run."""
 
@@ -346,28 +350,25 @@ def merge_runs(runs: DataFrame, ranges: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((kind, pa.int32(), pa.int32()))], names=["load", "length", "shared"])
 
     def merge(batches):
-        part, run, held, kind = None, None, [], None
+        part, held, kind = None, [], None
         for batch in batches:
-            kind = batch.schema.field("load").type
-            settled = batch.filter(pc.less(batch.column("part"), 0))
-            if settled.num_rows:
-                whole = settled.column("lcp")
-                yield pa.RecordBatch.from_arrays([settled.column("load"), whole, whole], names=["load", "length", "shared"])
-            open_ = batch.filter(pc.greater_equal(batch.column("part"), 0))
-            for p, r, lcp, rest, load in zip(*(open_.column(c).to_pylist() for c in ("part", "run", "lcp", "rest", "load"))):
+            for p, block in zip(batch.column("part").to_pylist(), batch.column("block")):
+                run = pa.ipc.open_stream(block.as_buffer()).read_all()
+                kind = run.schema.field("load").type
+                if p < 0:
+                    whole = run.column("lcp")
+                    yield from pa.table({"load": run.column("load"), "length": whole, "shared": whole}).to_batches()
+                    continue
                 if p != part:
                     if held:
                         yield merged(held, kind)
-                    part, run, held = p, None, []
-                if r != run:
-                    held.append([])
-                    run = r
-                held[-1].append((lcp, rest, load))
+                    part, held = p, []
+                held.append(list(zip(*(run.column(c).to_pylist() for c in ("lcp", "rest", "load")))))
         if held:
             yield merged(held, kind)
 
-    dealt = runs.repartition(max(1, ranges), "part").sortWithinPartitions("part", "run", "seq")
-    return dealt.mapInArrow(merge, f"load {runs.schema['load'].dataType.simpleString()}, length int, shared int")
+    dealt = runs.repartition(max(1, ranges), "part").sortWithinPartitions("part", "run")
+    return dealt.mapInArrow(merge, f"load {load.simpleString()}, length int, shared int")
 
 
 def merge_sorted_suffixes(suffixes: DataFrame, ranges: int, splitters: list[bytes] | None = None, prefix: int = SPLITTER_BYTES) -> DataFrame:
@@ -379,7 +380,7 @@ def merge_sorted_suffixes(suffixes: DataFrame, ranges: int, splitters: list[byte
         rows = suffixes.count()
         heads = suffixes.where(thinned(8 * min(ranges, SPLITTERS) / max(1, rows), "string", "load")).select(F.substring("string", 1, min(prefix, SPLITTER_BYTES)).alias("head"))
         splitters = splitters_of([bytes(r["head"]) for r in heads.collect()], ranges)
-    return merge_runs(suffix_runs(suffixes, splitters, ranges, prefix), ranges)
+    return merge_runs(suffix_runs(suffixes, splitters, ranges, prefix), ranges, suffixes.schema["load"].dataType)
 
 
 # -- the operator -------------------------------------------------------------------
