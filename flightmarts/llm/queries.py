@@ -141,6 +141,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TERMS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_K = license_scan.K
+_TEMPLATES = ", ".join(
+    f"({i}, '{phrase}', '{label}', {i < len(license_scan.PHRASES)})" for i, (phrase, label) in enumerate((*license_scan.PHRASES, *license_scan.NOTICES))
+)
 
 ORACLES: dict[str, str] = {
     "op6_decontaminate": f"""
@@ -166,6 +170,48 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(h.n_hit, 0)
     cast(coalesce(len(t.ids), 0) as bigint) as n_items, sha256(coalesce(array_to_string(t.ids, ','), '')) as items_sha256,
     coalesce(h.n_hit, 0) > 0 as contaminated
 from d left join hit h on d.r = h.r left join items t on d.r = t.r
+""",
+    "op9_license_scan": f"""
+with t as (select template, label, base, string_split(phrase, ' ') as w from (values {_TEMPLATES}) v(template, phrase, label, base)),
+template_grams as (
+    select template, label, base, len(w) - {_K - 1} as t_grams, j as t_pos, array_to_string(w[j + 1 : j + {_K}], ' ') as g
+    from (select *, unnest(range(0, len(w) - {_K - 1})) as j from t)
+),
+d as (select row_number() over () as r, doc_id, {_TERMS.format("coalesce(text, '')")} as w from documents),
+places as (
+    select r, p, array_to_string(w[p + 1 : p + {_K}], ' ') as g
+    from (select r, w, unnest(range(0, len(w) - {_K - 1})) as p from d)
+),
+votes as (
+    select r, template, label, base, t_grams, p - t_pos as diagonal, list(distinct t_pos) as hits
+    from places join template_grams using (g) group by r, template, label, base, t_grams, p - t_pos
+),
+opened as (
+    select *, coalesce(diagonal - lag(diagonal) over (partition by r, template order by diagonal) > {license_scan.MERGE}, false) as opens
+    from votes where not base
+),
+merged as (
+    select r, template, label, t_grams, unnest(hits) as t_pos,
+        sum(cast(opens as int)) over (partition by r, template order by diagonal rows unbounded preceding) as span
+    from opened
+),
+notices as (
+    select r, label, count(distinct t_pos) / t_grams as share from merged group by r, template, label, t_grams, span
+),
+found as (
+    select r, label, base, diagonal, cast(1 as double) as share from votes where base and len(hits) = t_grams
+    union all select r, label, false, null, share from notices where share >= cast({license_scan.LEAST_SHARE} as double)
+),
+by_doc as (
+    select r, count(*) filter (base) as n_base, min(diagonal) as first_word, max(diagonal) as last_word,
+        list_sort(list(distinct label) filter (base)) as base_labels, list_sort(list(distinct label)) as labels, max(share) as score
+    from found group by r
+)
+select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_base, 0) as bigint) as n_base,
+    cast(first_word as bigint) as first_word, cast(last_word as bigint) as last_word,
+    coalesce(array_to_string(base_labels, ','), '') as base_labels, coalesce(array_to_string(labels, ','), '') as labels,
+    coalesce(score, cast(0 as double)) as score
+from d left join by_doc on d.r = by_doc.r
 """,
     "op12_lexical_search": f"""
 with d as (select row_number() over () as r, doc_id, {_TERMS.format("coalesce(text, '')")} as w from documents),
