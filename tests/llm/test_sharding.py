@@ -1,13 +1,15 @@
 import itertools
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import xxhash
 from fixtures import documents, rows
 from pyspark.sql import functions as F
 
-from flightmarts.llm import sharding
+from flightmarts.llm import queries, sharding
 
 
 def test_curve_is_a_bijection_whose_neighbours_touch():
@@ -63,3 +65,28 @@ def test_written_shards_keep_repeated_and_null_ids(spark, tmp):
     back = spark.read.parquet(f"{tmp}/shards")
     assert sorted(map(str, rows(back.select("doc_id", "text")))) == sorted(map(str, made))
     assert sorted((r["shard"], r["slot"]) for r in back.collect()) == [(s, i) for s in range(3) for i in range(2)]
+
+
+def test_registered_query_equals_ranking_by_hand(spark, tmp):
+    rng = random.Random(4)
+    texts = [None, "", "ü" * 20_000] + ["y" * rng.randint(0, 2_000) for _ in range(120)] + ["same"] * 70
+    kinds = F.xxhash64("doc_id") % 4
+    docs = documents(spark, texts, [(5, "again"), (5, "again"), (None, "no id"), (None, None)])
+    docs = docs.withColumn("lang", F.when(kinds != 0, F.concat(F.lit("l"), kinds.cast("string")))).withColumn("source", F.when(F.col("n_chars") % 3 != 0, F.lit("hot")))
+    docs.write.parquet(f"{tmp}/documents.parquet")
+
+    def cell(value):  # the engine's 64-bit hash is xxHash64 with seed 42, signed
+        return 0 if value is None else 1 + (((xxhash.xxh64_intdigest(value.encode(), seed=42) + 2**63) % 2**64) - 2**63) % 127
+
+    made = []
+    for d in docs.collect():
+        raw = (d["text"] or "").encode()
+        size = len(raw) + 8
+        point = [cell(d["lang"]), cell(d["source"]), min(127, math.floor(math.log(size) / math.log(2) * 4))]
+        curve = int(sharding.hilbert_index(np.array([point]), 7)[0])
+        made.append((curve, zlib.crc32(raw), d["doc_id"] is not None, d["doc_id"] or 0, size))
+    n, want = len(made), []
+    for rank, (curve, crc, known, doc_id, size) in enumerate(sorted(made)):
+        shard = rank * 24 // n
+        want.append((doc_id if known else None, size, crc, "rows", shard, rank - -(-shard * n // 24), None, curve))
+    assert sorted(rows(queries.op7_hilbert_shards(spark, tmp)), key=str) == sorted(want, key=str)

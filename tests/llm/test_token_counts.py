@@ -1,6 +1,13 @@
+import base64
+from collections import defaultdict
+
+import public_tokenizers
+import tiktoken
 from fixtures import NOT_SPACE, documents, rows
+from pyspark.sql import functions as F
 
 from flightmarts.config import scratch_path
+from flightmarts.llm import queries
 from flightmarts.llm import token_counts as tc
 
 
@@ -54,3 +61,36 @@ def test_counts_of_texts(spark):
     once = {r["doc_id"]: r["text"] for r in tc.without_repeated_lines(df).collect()}
     assert once == {3: "a\nb\n"}
     assert rollup(spark).totals().collect() == []
+
+
+def test_registered_query_equals_counting_by_hand(spark, tmp):
+    texts = [None, "", "one two  three", "a b\na b\nc", "Ünï  cödé 123!\n" * 40, "x" * 3_000] + [f"w{i} " * (i % 7) + "\nline of text" * (i % 4) for i in range(60)]
+    source = F.when(F.col("doc_id") % 5 != 0, F.concat(F.lit("s"), (F.col("doc_id") % 3).cast("string")))
+    docs = documents(spark, texts, [(2, "one"), (None, "a loose row"), (None, None)]).withColumn("source", source)
+    docs.write.parquet(f"{tmp}/documents.parquet")
+    low = [3, 7, 8, 20, 999]
+    labels = [(i, 0 if i in low else 3) for i in [*range(60), 999]] + [(7, 0), (None, 0), (9, None)]
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp}/labels.parquet")
+
+    with open(queries.BYTE_BPE, "rb") as f:
+        ranks = {base64.b64decode(t): int(n) for t, n in (line.split() for line in f)}
+    encoder = tiktoken.Encoding("by hand", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    counters = {"words": lambda t: len(NOT_SPACE.findall(t or "")), "byte_bpe_50k": lambda t: len(encoder.encode_ordinary(t or ""))}
+    want, held, revised = defaultdict(lambda: [0, 0]), {}, {}
+    for d in docs.collect():
+        once = "\n".join(dict.fromkeys((d["text"] or "").split("\n")))
+        for version, count in counters.items():
+            key, n = (d["doc_id"], version), count(d["text"])
+            if d["doc_id"] is None:
+                total = want[d["source"], d["lang"], version]
+                total[0], total[1] = total[0] + 1, total[1] + n
+                continue
+            held[key] = max(held.get(key, (-1,)), (n, d["source"], d["lang"]), key=lambda x: x[0])
+            if once != (d["text"] or ""):
+                revised[key] = max(revised.get(key, 0), count(once))
+    assert any(revised[k] != held[k][0] and k[0] not in low for k in revised)
+    for (doc_id, version), (n, *group) in held.items():
+        if doc_id not in low:
+            total = want[(*group, version)]
+            total[0], total[1] = total[0] + 1, total[1] + revised.get((doc_id, version), n)
+    assert sorted(rows(queries.op4_token_counts(spark, tmp)), key=str) == sorted(((*k, *v) for k, v in want.items()), key=str)
