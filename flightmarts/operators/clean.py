@@ -56,19 +56,27 @@ def clean(raw: DataFrame) -> DataFrame:
 
 # -- cleaning for a write by month: one exchange of leg size ---------------------------
 
-ROWS_PER_BUCKET = 2_000_000  # legs that one task sorts, about
-BYTES_PER_BUCKET = 256 << 20  # raw bytes that hold about as many
-HEAVY_CELLS = 4_096
+ROWS_PER_BUCKET = 320_000  # legs of a bucket at most
+BYTES_PER_BUCKET = 96 << 20  # raw bytes that hold about as many
+ROWS_PER_TASK = 4 * ROWS_PER_BUCKET  # legs that one task sorts, about 600 MB
+HEAVY_CELLS = 1_024
+MOST_HEAVY = 4_096  # a heavy key holds a larger share than 1 / this of all rows
 
 
 @dataclass(frozen=True)
 class DedupPlan:
     """How ``deduplicate_in_buckets`` deals the legs: buckets per month of flight (``default``
-    where a month is not listed), and the hashes of natural keys with very many copies."""
+    where a month is not listed), and the hashes of natural keys with very many copies.
+
+    With ``tasks`` the buckets, numbered by month, go to tasks in that order, ``per_task`` to
+    each; without, each goes where the hash of its month and number falls, so that some tasks
+    get several times what others get."""
 
     default: int = 1
     buckets: dict[tuple[int, int], int] = field(default_factory=dict)
     heavy: tuple[int, ...] = ()
+    tasks: int = field(default=0, compare=False)
+    per_task: int = field(default=1, compare=False)
 
 
 def key_hash() -> Column:
@@ -77,28 +85,59 @@ def key_hash() -> Column:
 
 def plan_by_size(raw_bytes: int, months: int, bytes_per_bucket: int = BYTES_PER_BUCKET) -> DedupPlan:
     """Buckets from the size of the raw files alone, for months of similar size."""
-    return DedupPlan(default=1 + raw_bytes // (max(1, months) * bytes_per_bucket))
+    default = 1 + raw_bytes // (max(1, months) * bytes_per_bucket)
+    per_task = min(default, ROWS_PER_TASK // ROWS_PER_BUCKET)
+    return DedupPlan(default=default, tasks=-(-default * max(1, months) // per_task), per_task=per_task)
 
 
 def observe_skew(flights: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DedupPlan:
     """Buckets per month and heavy keys from the data, in narrow pre-passes over the key columns.
 
     Rows are counted by (month, cell of the key's hash), pre-aggregated per task. A month gets
-    a bucket per ``rows_per_bucket`` rows. A key with more than a quarter of that many copies
-    fills its cell, so only keys of overfull cells are counted one by one. What reaches the
-    driver: a row per month, and at most four heavy keys per ``rows_per_bucket`` rows.
+    a bucket per ``rows_per_bucket`` rows. A key is heavy with more copies than a quarter of
+    that and than a ``MOST_HEAVY``-th of all rows; it fills its cell, so only keys of overfull
+    cells are counted one by one, however many rows there are. What reaches the driver: a row
+    per month with at most ``HEAVY_CELLS`` counts, and at most ``MOST_HEAVY`` heavy keys.
     """
     least = max(2, rows_per_bucket // 4)
     keyed = flights.select(F.year("flight_date").alias("y"), F.month("flight_date").alias("m"), key_hash().alias("h"))
     cells = keyed.groupBy("y", "m", F.pmod("h", F.lit(HEAVY_CELLS)).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
-    months = cells.groupBy("y", "m").agg(F.sum("n").alias("n"), F.collect_list(F.when(F.col("n") > least, F.col("cell"))).alias("full")).collect()
+    months = cells.groupBy("y", "m").agg(F.sum("n").alias("n"), F.collect_list(F.when(F.col("n") > least, F.struct("cell", "n"))).alias("full")).collect()
     buckets = {(r["y"], r["m"]): 1 + r["n"] // rows_per_bucket for r in months}
-    full = sorted({c for r in months for c in r["full"]})
+    rows, total = sum(r["n"] for r in months), sum(buckets.values())
+    wanted = max(-(-rows // ROWS_PER_TASK), flights.sparkSession.sparkContext.defaultParallelism)
+    per_task = max(1, -(-total // wanted))
+    tasks = -(-total // per_task)
+    least = max(least, rows // MOST_HEAVY)
+    full = sorted({c["cell"] for r in months for c in r["full"] if c["n"] > least})
     if not full:
-        return DedupPlan(buckets=buckets)
+        return DedupPlan(buckets=buckets, tasks=tasks, per_task=per_task)
     copies = keyed.where(F.pmod("h", F.lit(HEAVY_CELLS)).isin(full)).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     heavy = tuple(sorted(r["h"] for r in copies.where(F.col("n") > least).select("h").collect()))
-    return DedupPlan(buckets=buckets, heavy=heavy)
+    return DedupPlan(buckets=buckets, heavy=heavy, tasks=tasks, per_task=per_task)
+
+
+def _of_month(values: dict[tuple[int, int], int]) -> Column:
+    """The value of a leg's month, NULL for other months: an array by month number, which is
+    read in one step, unless the months lie far apart."""
+    number = F.year("flight_date") * 12 + F.month("flight_date")
+    by_number = {y * 12 + m: F.lit(v).cast("long") for (y, m), v in sorted(values.items())}
+    lo, hi = min(by_number), max(by_number)
+    if hi - lo > 2_400:
+        return F.try_element_at(F.create_map(*[x for n, v in by_number.items() for x in (F.lit(n), v)]), number)
+    return F.get(F.array(*[by_number.get(n, F.lit(None).cast("long")) for n in range(lo, hi + 1)]), number - lo)
+
+
+def _task_of(plan: DedupPlan) -> Column:
+    """The task of a leg's bucket: ``per_task`` each, in the order of their months."""
+    number = (F.year("flight_date") * 12 + F.month("flight_date")).cast("long") * plan.default  # of a month's first bucket
+    if plan.buckets:
+        firsts, first = {}, 0
+        for ym, b in sorted(plan.buckets.items()):
+            firsts[ym] = first
+            first += b
+        number = F.coalesce(_of_month(firsts), number)
+    return F.pmod(F.floor((number + F.col("_bucket")) / plan.per_task), F.lit(plan.tasks)).cast("int")
 
 
 def deduplicate_in_buckets(flights: DataFrame, plan: DedupPlan, again: DataFrame | None = None) -> DataFrame:
@@ -117,13 +156,18 @@ def deduplicate_in_buckets(flights: DataFrame, plan: DedupPlan, again: DataFrame
         light, heavy = flights.where(~hashed.isin(*plan.heavy)), deduplicate((again or flights).where(hashed.isin(*plan.heavy)))
     n = F.lit(plan.default)
     if plan.buckets:
-        sizes = F.create_map(*[x for (y, m), b in sorted(plan.buckets.items()) for x in (F.lit(y * 100 + m), F.lit(b))])
-        n = F.coalesce(F.try_element_at(sizes, F.col("_flown")), n)
+        n = F.coalesce(_of_month(plan.buckets), n)
     payload = [c for c in flights.columns if c not in FLIGHT_KEY]
     flown = light.withColumn("_flown", F.year("flight_date") * 100 + F.month("flight_date")).withColumn("_bucket", F.pmod(hashed, n.cast("long")))
-    dealt = flown.repartition("_flown", "_bucket")
+    if plan.tasks:
+        dealt = flown.withColumn("_task", _task_of(plan)).drop("_flown", "_bucket").repartitionById(plan.tasks, F.col("_task"))
+        # the aggregate sorts by its keys: one number, the date and then the hash, settles nearly every comparison
+        dealt = dealt.withColumn("_order", F.shiftleft(F.unix_date("flight_date").cast("long"), 40) + F.shiftrightunsigned(hashed, 24))
+        by = ["_order", "_task"]
+    else:
+        dealt, by = flown.repartition("_flown", "_bucket"), ["_flown", "_bucket"]
     rows = (
-        dealt.groupBy("_flown", "_bucket", *FLIGHT_KEY)
+        dealt.groupBy(*by, *FLIGHT_KEY)
         .agg(F.min(F.struct(*[F.col(c) for c in payload])).alias("_row"))
         .select(*[F.col(c) if c in FLIGHT_KEY else F.col(f"_row.{c}").alias(c) for c in flights.columns])
     )

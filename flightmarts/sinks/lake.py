@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightmarts.jobs import run_concurrently
+from flightmarts.jobs import run_concurrently, unsorted_writes
 from flightmarts.schema import (
     DATA_COLUMNS,
     FLIGHT_SCHEMA,
@@ -95,7 +95,8 @@ def write_lake(flights: DataFrame, root: str, commits: bool = False, rebalance:
     if commits or is_committed(flights.sparkSession, root):
         return _committed(flights, root, FLIGHT_SCHEMA, None, rebalance)
     observed, obs = _observe(flights.select(*DATA_COLUMNS, *PARTITION_COLUMNS), "write_lake")
-    _writer(observed, "overwrite", dynamic=False, rebalance=rebalance).parquet(root)
+    with unsorted_writes(observed.sparkSession):
+        _writer(observed, "overwrite", dynamic=False, rebalance=rebalance).parquet(root)
     return _report(obs)
 
 
