@@ -73,3 +73,12 @@ def test_a_write_by_month_does_not_sort(spark, tmp):
     write_lake(ordered, f"{tmp}/lake", rebalance=False)
     seen = [r["tail_number"] for r in spark.read.parquet(f"{tmp}/lake").where("month = 1").select("tail_number").collect()]
     assert seen == sorted(seen) and read_lake(spark, f"{tmp}/lake").count() == legs.count()
+
+
+def test_raw_rows_come_from_one_pass_over_the_legs(spark):
+    raw = fixture.raw_strings(fixture.legs(spark, SF_SMALL))
+    plan = raw._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_linenumber") and plan.count("l_suppkey#") and "Union" not in plan
+    legs = fixture.legs(spark, SF_SMALL)
+    tens = legs.where(F.col("flight_number").cast("long") % fixture.DUPLICATE_MODULUS == 0).count()
+    assert raw.count() == legs.count() + tens
