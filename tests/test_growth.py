@@ -51,6 +51,15 @@ def test_months_far_apart_are_looked_up(spark):
     assert C.deduplicate_in_buckets(legs, plan).count() == 18
 
 
+def test_a_key_is_heavy_by_its_share_of_all_rows(spark):
+    rows = [{"flight_number": f"f{i // 3}"} for i in range(900)] + [{"flight_number": "hot"}] * 90
+    legs = make_legs(spark, rows)
+    many = legs.crossJoin(spark.range(20).withColumnRenamed("id", "copy"))
+    many = many.withColumn("flight_number", F.when(F.col("flight_number") == "hot", "hot").otherwise(F.concat_ws("-", "flight_number", "copy"))).drop("copy")
+    plan = C.observe_skew(many, rows_per_bucket=8)  # 3 copies would do by the bucket alone
+    assert len(plan.heavy) == 1
+
+
 def test_a_write_by_month_does_not_sort(spark, tmp):
     legs = _months(spark)
     before = spark.conf.get(jobs.OPEN_FILES, "0")
