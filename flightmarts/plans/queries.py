@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from flightmarts.committed import MonthTable, exists
 from flightmarts.config import scratch_path
 from flightmarts.functions.months import month_filter
+from flightmarts.jobs import unsorted_writes
 from flightmarts.operators import checks as C
 from flightmarts.operators import gate as G
 from flightmarts.operators import marts
@@ -96,13 +97,15 @@ def raw_by_month(spark: SparkSession, sf_dir: str) -> str:
     ws = _ws(spark, sf_dir)
     if "raw_by_month" not in ws:
         path, root = scratch_path(spark, "raw-parts"), scratch_path(spark, "raw-zone")
-        raw = raw_strings(legs(spark, sf_dir)).withColumns({"y": F.col("Year"), "m": F.col("Month")})
-        drifted = raw.select("DestState", "FlightDate", F.lit("x").alias("DivAirportLandings"), *[c for c in raw.columns if c not in ("DestState", "FlightDate")])
-        for name, frame, odd in (("a", raw, 1), ("b", drifted, 0)):
-            (
-                frame.where(F.col("m").cast("int") % 2 == odd).repartition("y", "m")
-                .write.partitionBy("y", "m").option("header", "true").option("compression", "gzip").csv(f"{path}/{name}")
-            )
+        flights = legs(spark, sf_dir)
+        for name, odd in (("a", 1), ("b", 0)):
+            # the legs are dealt by month; strings and copies are made behind the exchange
+            own = flights.where(F.col("month") % 2 == odd).repartition("year", "month")
+            raw = raw_strings(own).withColumns({"y": F.col("Year"), "m": F.col("Month")})
+            if not odd:
+                raw = raw.select("DestState", "FlightDate", F.lit("x").alias("DivAirportLandings"), *[c for c in raw.columns if c not in ("DestState", "FlightDate")])
+            with unsorted_writes(spark):
+                raw.write.partitionBy("y", "m").option("header", "true").option("compression", "gzip").csv(f"{path}/{name}")
         parts = spark.read.format("binaryFile").load([f"{path}/{n}/*/*/*.csv.gz" for n in "ab"]).select("path")
         jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         for row in parts.collect():  # one file per month
@@ -237,7 +240,7 @@ def q_backfill_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every month's gzip file, found by the raw-zone path rule and read
     under its own header, cleaned in one backfill job; rows in, out and dropped
     per month."""
-    bounds = R.month_bounds(lake(spark, sf_dir))
+    bounds = R.month_bounds(drop_missing_keys(legs(spark, sf_dir)))
     start, end = (f"{d.year}-{d.month:02d}" for d in bounds)
     return backfill(spark, raw_by_month(spark, sf_dir), start, end, scratch_path(spark, "lake-backfill")).by_month
 

@@ -91,3 +91,11 @@ def test_raw_rows_come_from_one_pass_over_the_legs(spark):
     legs = fixture.legs(spark, SF_SMALL)
     tens = legs.where(F.col("flight_number").cast("long") % fixture.DUPLICATE_MODULUS == 0).count()
     assert raw.count() == legs.count() + tens
+
+
+def test_backfill_needs_no_lake_for_its_bounds(spark, monkeypatch):
+    def built(*_):
+        raise AssertionError("a lake of all legs is built for two dates")
+
+    monkeypatch.setattr(Q, "lake", built)
+    assert Q.q_backfill_months(spark, SF_SMALL).count() == 80
