@@ -349,7 +349,7 @@ def q_month_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     follows through the month writer; content of the raw table by month."""
     root, raw = scratch_path(spark, "lake-commits"), scratch_path(spark, "raw-commits")
     flights = lake(spark, sf_dir)
-    write_lake(flights, root, commits=True)
+    write_lake(flights, root, commits=True, rebalance=False)
     load_full(read_lake(spark, root), raw, commits=True)
     months = [RELOADED_MONTH, EMPTIED_MONTH]
     MonthTable(spark, root, FLIGHT_SCHEMA).stage(flights.where(F.lit(False)), "died")  # no manifest follows
