@@ -320,7 +320,7 @@ def q_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     emptied; the second run loads exactly that, the third nothing."""
     src, target, ckpt = (scratch_path(spark, n) for n in ("lake-ledger", "raw-incremental", "ledger-ckpt"))
     flights = lake(spark, sf_dir)
-    write_lake(flights, src)
+    write_lake(flights, src, rebalance=False)
     incremental_load(spark, src, target, ckpt, max_files_per_trigger=16)
     overwrite_months(revised(flights), src, [RELOADED_MONTH])
     overwrite_months(flights.where(F.lit(False)), src, [EMPTIED_MONTH])
@@ -366,7 +366,7 @@ def q_fingerprint_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     the names its files had, and one emptied; the third load finds nothing."""
     src, target, ledger = (scratch_path(spark, n) for n in ("lake-prints", "raw-prints", "ledger-prints"))
     flights = lake(spark, sf_dir)
-    write_lake(flights, src)
+    write_lake(flights, src, rebalance=False)
     load_changed(spark, src, target, ledger)
     (year, month), other = RELOADED_MONTH, scratch_path(spark, "lake-prints-revised")
     write_lake(revised(flights).coalesce(1), other)

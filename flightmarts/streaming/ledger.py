@@ -5,7 +5,8 @@ were already loaded: a plain re-run processes nothing, and a month that was
 re-transformed (new file names) is picked up again. Each micro-batch reloads
 the months it touches *whole*: it re-reads those partitions from the lake and
 overwrites them in the target, so a month split across two batches is never
-reduced to the second batch's rows, and replays are idempotent.
+reduced to the second batch's rows, and replays are idempotent. A month whose files
+come in several batches of one run is reloaded with the first of them only.
 
 A month that became empty brings no rows into any batch. So after the stream
 the months of the target are compared with those of the lake, and months that the
@@ -43,15 +44,20 @@ def incremental_load(
     Returns the number of micro-batches that carried data, plus one if months had
     to be emptied.
     """
-    batches = []
+    batches, loaded = [], set()
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         # distinct months of the batch: bounded by the months in the lake
         months = [(r["year"], r["month"]) for r in batch.select("year", "month").distinct().collect()]
         if not months:
             return
-        load_months(read_lake(spark, lake_root, months), target_root, months, lengths)
         batches.append(batch_id)
+        # the run's files were all listed before its first batch, so a month that an earlier
+        # batch reloaded whole holds what this batch brings of it
+        new = [ym for ym in months if ym not in loaded]
+        if new:
+            load_months(read_lake(spark, lake_root, new), target_root, new, lengths)
+            loaded.update(new)
 
     query = (
         lake_stream(spark, lake_root, max_files_per_trigger)

@@ -84,6 +84,18 @@ def test_a_write_by_month_does_not_sort(spark, tmp):
     assert seen == sorted(seen) and read_lake(spark, f"{tmp}/lake").count() == legs.count()
 
 
+def test_a_month_in_several_batches_is_loaded_once(spark, tmp, monkeypatch):
+    legs = _months(spark, 60).where("month = 1 or month = 2")
+    write_lake(legs.repartition(4), f"{tmp}/lake", rebalance=False)
+    assert len([f for f in os.listdir(f"{tmp}/lake/year=2024/month=1") if f.endswith(".parquet")]) > 1
+    loads = []
+    load = ledger.load_months
+    monkeypatch.setattr(ledger, "load_months", lambda lake, root, months, lengths: (loads.extend(months), load(lake, root, months, lengths)))
+    assert ledger.incremental_load(spark, f"{tmp}/lake", f"{tmp}/raw", f"{tmp}/ckpt", max_files_per_trigger=1) > 2
+    assert sorted(loads) == sorted(set(loads))
+    assert ledger.read_raw_table(spark, f"{tmp}/raw").count() == legs.count()
+
+
 def test_raw_rows_come_from_one_pass_over_the_legs(spark):
     raw = fixture.raw_strings(fixture.legs(spark, SF_SMALL))
     plan = raw._jdf.queryExecution().optimizedPlan().toString()
