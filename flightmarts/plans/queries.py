@@ -72,13 +72,13 @@ def clean_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(drop_missing_keys(legs(spark, sf_dir)))
 
 
-def raw_csv(spark: SparkSession, sf_dir: str) -> str:
 def dealt_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``clean_legs`` dealt by month for a write: months and heavy keys are observed first."""
     flights = drop_missing_keys(legs(spark, sf_dir))
     return deduplicate_in_buckets(flights, observe_skew(flights))
 
 
+def raw_csv(spark: SparkSession, sf_dir: str) -> str:
     """All-string raw files (header CSV) of the legs, written once per session."""
     ws = _ws(spark, sf_dir)
     if "raw_csv" not in ws:
@@ -293,8 +293,8 @@ def q_month_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reload one month from revised rows, twice (idempotent), and one month
     from an emptied source (its old rows must go); the lake's content by month."""
     root = scratch_path(spark, "lake-reload")
-    flights = clean_legs(spark, sf_dir)
-    write_lake(flights, root)
+    flights = lake(spark, sf_dir)
+    write_lake(flights, root, rebalance=False)
     overwrite_months(revised(flights), root, [RELOADED_MONTH])
     overwrite_months(revised(flights), root, [RELOADED_MONTH])
     # the re-transformed source of EMPTIED_MONTH holds no rows at all

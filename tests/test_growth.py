@@ -105,6 +105,25 @@ def test_raw_rows_come_from_one_pass_over_the_legs(spark):
     assert raw.count() == legs.count() + tens
 
 
+@pytest.mark.parametrize("name", ["month_overwrite", "incremental_load", "month_commit", "fingerprint_ledger"])
+def test_reloads_copy_the_lake_as_it_lies(spark, monkeypatch, name):
+    Q.lake(spark, SF_SMALL)
+
+    def again(*_):
+        raise AssertionError("the legs are joined and cleaned again")
+
+    monkeypatch.setattr(Q, "legs", again)
+    write, kinds = Q.write_lake, []
+
+    def spy(flights, root, commits=False, rebalance=True):
+        kinds.append(rebalance)
+        return write(flights, root, commits, rebalance)
+
+    monkeypatch.setattr(Q, "write_lake", spy)
+    assert Q.QUERIES[name](spark, SF_SMALL).count() == 79
+    assert kinds[0] is False  # no exchange for rows that lie by month
+
+
 def test_backfill_needs_no_lake_for_its_bounds(spark, monkeypatch):
     def built(*_):
         raise AssertionError("a lake of all legs is built for two dates")
