@@ -101,3 +101,56 @@ def real_prefix(a, b):
     while n < min(len(a), len(b)) and a[n] == b[n]:
         n += 1
     return n
+
+
+def test_a_long_repeat_reaches_the_sort_as_few_suffixes(spark, monkeypatch):
+    """Chains of blocks are repeats as a whole; blocks alone would send one suffix per minimiser."""
+    rng = random.Random(11)
+    passage = "".join(rng.choices("abcdefghij ", k=12_000))
+    docs = [(i, "".join(rng.choices("klmnopqrst ", k=300)) + passage + "".join(rng.choices("uvwxyz ", k=200))) for i in range(3)]
+    docs += [(3, passage[2_000:2_700]), (4, "".join(rng.choices("klm ", k=500)) + passage[7_000:9_000])]
+    made, real = {}, sd.materialize
+    monkeypatch.setattr(sd, "materialize", lambda df, name: made.setdefault(name, real(df, name)) if name == "suffix-places" else real(df, name))
+    assert keyed(sd.remove_repeats(documents(spark, [], docs), length=100, gram=60)) == brute(docs, 100)
+    raw = np.frombuffer(passage.encode(), np.uint8)
+    blocks = sd.Blocks(raw, np.array([0, len(raw)]), 100, 60)
+    assert made["suffix-places"].where("d < 3").count() < 3 * len(blocks.s) / 2
+
+
+def test_chains_start_where_equal_rows_of_blocks_say(monkeypatch):
+    rng = np.random.default_rng(2)
+    gram, n = rng.integers(0, 2**63, 500).astype(np.uint64), rng.integers(1, 40, 500)
+    s = np.cumsum(n) - n
+    whole, part = sd.chain_heads(s, n, gram), sd.chain_heads(s[100:400], n[100:400], gram[100:400])
+    assert whole[:2].all() and whole[-1] and part[:2].all() and part[-1]
+    same = whole[100:400] == part
+    first = np.flatnonzero(gram[100:400] % sd.CHAIN == 0)[0]
+    assert same[first + 1 : -1].all()
+    # a row without such a hash is cut all the same
+    assert sd.chain_heads(s, n, np.ones(500, np.uint64)).sum() >= 500 // sd.LONGEST_CHAIN
+
+
+def test_blocks_are_the_windows_of_each_minimiser():
+    rng = random.Random(6)
+    texts = [bytes(rng.choices(b"ab", k=k)) for k in (0, 5, 30, 19, 20, 21, 0, 80, 1, 64)]
+    for length, gram in ((20, 12), (1, 1), (20, 20), (7, 1)):
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        offs = np.cumsum([0, *map(len, texts)])
+        b = sd.Blocks(data, offs, length, gram)
+        seen = [(d, w) for d, s, n in zip(b.doc.tolist(), b.s.tolist(), b.n.tolist()) for w in range(s, s + n)]
+        assert seen == [(d, w) for d in range(len(texts)) for w in range(offs[d], offs[d + 1] - length + 1)]
+        picked = {}
+        for s, n, m in zip(b.s.tolist(), b.n.tolist(), b.m.tolist()):
+            for w in range(s, s + n):
+                assert w <= m <= w + length - gram
+                assert picked.setdefault(data[w : w + length].tobytes(), m - w) == m - w  # equal windows pick alike
+
+
+def test_passages_of_many_words_go_from_400_bytes_on(spark):
+    """The contract counts bytes: 60 words that are shorter than 400 of them stay."""
+    rng = random.Random(8)
+    word = lambda k: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=k))
+    short, long = (" ".join(word(k) for _ in range(60)) for k in (4, 7))
+    docs = [(i, f"{word(500)} {(short, long)[i % 2]} {word(500)}") for i in range(4)]
+    got = keyed(sd.remove_repeats(documents(spark, [], docs)))
+    assert got == brute(docs, 400) and [r[2] > 0 for r in got] == [False, True, False, True]
