@@ -56,9 +56,9 @@ def clean(raw: DataFrame) -> DataFrame:
 
 # -- cleaning for a write by month: one exchange of leg size ---------------------------
 
-ROWS_PER_BUCKET = 320_000  # legs of a bucket at most
-BYTES_PER_BUCKET = 96 << 20  # raw bytes that hold about as many
-ROWS_PER_TASK = 4 * ROWS_PER_BUCKET  # legs that one task sorts, about 600 MB
+ROWS_PER_BUCKET = 80_000  # legs of a bucket at most
+BYTES_PER_BUCKET = 24 << 20  # raw bytes that hold about as many
+ROWS_PER_TASK = 4 * ROWS_PER_BUCKET  # legs that one task sorts, about 220 MB
 HEAVY_CELLS = 1_024
 MOST_HEAVY = 4_096  # a heavy key holds a larger share than 1 / this of all rows
 
@@ -105,8 +105,9 @@ def observe_skew(flights: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) ->
     months = cells.groupBy("y", "m").agg(F.sum("n").alias("n"), F.collect_list(F.when(F.col("n") > least, F.struct("cell", "n"))).alias("full")).collect()
     buckets = {(r["y"], r["m"]): 1 + r["n"] // rows_per_bucket for r in months}
     rows, total = sum(r["n"] for r in months), sum(buckets.values())
-    wanted = max(-(-rows // ROWS_PER_TASK), flights.sparkSession.sparkContext.defaultParallelism)
-    per_task = max(1, -(-total // wanted))
+    # a task per core, but no task with more legs than ROWS_PER_TASK however many there are
+    per_task = -(-total // flights.sparkSession.sparkContext.defaultParallelism)
+    per_task = max(1, min(per_task, ROWS_PER_TASK * total // max(1, rows)))
     tasks = -(-total // per_task)
     least = max(least, rows // MOST_HEAVY)
     full = sorted({c["cell"] for r in months for c in r["full"] if c["n"] > least})

@@ -35,6 +35,21 @@ def test_buckets_are_dealt_evenly_in_one_exchange(spark):
     assert len(sizes) == plan.tasks and max(sizes) <= 2 * min(sizes)
 
 
+def test_no_task_sorts_more_legs_than_its_share_allows(spark, monkeypatch):
+    legs = _months(spark)
+    monkeypatch.setattr(C, "ROWS_PER_TASK", 30)
+    plan = C.observe_skew(legs, rows_per_bucket=20)
+    assert legs.count() / plan.tasks <= 30 and plan.per_task * plan.tasks >= sum(plan.buckets.values())
+    assert sorted(map(str, C.deduplicate_in_buckets(legs, plan).collect())) == sorted(map(str, C.deduplicate(legs).collect()))
+
+
+def test_tasks_stay_as_small_as_those_of_a_small_lake():
+    """320,000 legs are a core's share of 3.6 M legs on 12 cores; with more legs there are more tasks."""
+    assert C.ROWS_PER_TASK <= 320_000
+    plan = C.plan_by_size(80 * 40 * C.BYTES_PER_BUCKET, 80)
+    assert plan.per_task * C.ROWS_PER_BUCKET <= 320_000
+
+
 def test_buckets_by_size_alone_are_dealt_by_month(spark):
     legs = _months(spark)
     plan = C.plan_by_size(6 * 2 * C.BYTES_PER_BUCKET, 6)
