@@ -5,9 +5,11 @@ replaces those months of the committed table at ``root`` (``flightmarts.committe
 ``mode("overwrite")`` without months the whole table. Every task writes one Parquet file per
 month into a folder of its own attempt and reports it; a row outside the months raises. If
 all tasks end, ``commit`` points a new manifest at the reported attempts' files. If
-any fails, ``abort`` removes what was staged, and the table is as it was. An attempt that
-was repeated or ran twice is in nobody's report, so its rows do not count. Executors need this
-package (``--py-files``).
+any fails, ``abort`` removes what was staged, and the table is as it was. The driver alone makes
+the folder of staged files, so a task that outlives the abort ends with an error and leaves nothing
+(where a store makes a file's folders with the file, such a task may leave files nobody reads). An
+attempt that was repeated or ran twice is in nobody's report, so its rows do not count. Executors
+need this package (``--py-files``).
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ class Written(WriterCommitMessage):
 class MonthWriter(DataSourceArrowWriter):
     def __init__(self, root: str, months: list[tuple[int, int]] | None, commit: str):
         self.root, self.months, self.commit_id = root.rstrip("/"), months, commit
+        store, base = open_fs(self.staged)
+        store.create_dir(base, recursive=True)
 
     @property
     def staged(self) -> str:
@@ -58,7 +62,8 @@ class MonthWriter(DataSourceArrowWriter):
                     raise ValueError(f"row outside the months to replace: {y}-{m}")
                 own = batch.filter(pc.and_(pc.equal(keys[0], y), pc.equal(keys[1], m))).drop_columns(PARTITION_COLUMNS)
                 if (y, m) not in open_files:
-                    store.create_dir(f"{base}/year={y}/month={m}", recursive=True)
+                    for folder in (base, f"{base}/year={y}", f"{base}/year={y}/month={m}"):
+                        store.create_dir(folder, recursive=False)  # an error once the write was given up
                     out = store.open_output_stream(f"{base}/year={y}/month={m}/part-{attempt}.snappy.parquet")
                     open_files[y, m] = (out, pq.ParquetWriter(out, own.schema, compression="snappy"))
                 open_files[y, m][1].write_batch(own, row_group_size=ROWS_PER_GROUP)

@@ -124,6 +124,21 @@ def test_month_writer_aborts_without_a_trace(spark, lake, legs):
     assert not [f for f in os.listdir(f"{lake}/data") if f.startswith("staged")]
 
 
+@pytest.mark.parametrize("seen", [0, 1])
+def test_a_task_that_outlives_the_abort_leaves_nothing(lake, legs, seen):
+    writer = MonthWriter(lake, None, "late")
+    batches = [b for m in (1, 2) for b in legs.where(f"month = {m}").toArrow().combine_chunks().to_batches()]
+
+    def rows():
+        yield from batches[:seen]
+        writer.abort([])  # another task has failed meanwhile
+        yield from batches[seen:]
+
+    with pytest.raises(OSError):
+        writer.write(rows())
+    assert not [f for f in os.listdir(f"{lake}/data") if f.startswith("staged")]
+
+
 def test_a_task_that_ran_twice_counts_once(spark, lake, legs):
     writer = MonthWriter(lake, [(2024, 2)], "retry")
     (batch,) = legs.where("month = 2").toArrow().combine_chunks().to_batches()
