@@ -38,6 +38,13 @@ def tmp(tmp_path):
     return str(tmp_path)
 
 
+def shuffle_bytes(spark) -> int:
+    """What exchanges have left on the local disks of a local session."""
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = [f"{d}/{x}" for top in dirs for d, _, names in os.walk(top) for x in names if x.startswith("shuffle_")]
+    return sum(os.path.getsize(f) for f in files if os.path.exists(f))
+
+
 BASE_LEG = {
     "flight_date": dt.date(2024, 1, 10),
     "carrier_code": "AA",

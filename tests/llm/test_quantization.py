@@ -4,6 +4,7 @@ import numpy as np
 from fixtures import rows
 
 from flightmarts.llm import quantization as pq
+from tests.conftest import shuffle_bytes
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -90,3 +91,54 @@ def test_lower_bounds_and_probes_are_safe():
         assert (low <= true[:, mine] + 0.01).all()
     i, j = np.nonzero((true <= radius) & (home[:, None] >= home[None, :]))
     assert all(home[b] in probes[a] for a, b in zip(i, j))
+
+
+def test_a_class_goes_to_few_units_at_a_time(spark, monkeypatch):
+    sizes = [(home, 3 + home % 5 * 40) for home in range(40)] + [(40, 2_000)]
+    monkeypatch.setattr(pq, "INDEX_BLOCK", 300)
+    deal, blocks = pq._deal(sizes)
+    held = {}
+    for (home, n), (_, first, parts) in zip(sizes, deal):
+        for p in range(parts):
+            held[first + p] = held.get(first + p, 0) + n / parts
+    assert set(held) == set(range(blocks)) and max(held.values()) <= 300 and blocks <= 2 * sum(n for _, n in sizes) / 300
+    assert [first for _, first, _ in deal] == sorted(first for _, first, _ in deal)  # the higher list asks
+    met = {}
+    for blocks in (1, 2, 7, 12):
+        dealt = spark.range(4 * blocks).selectExpr("id as rep", f"cast(id % {blocks} as int) as block")
+        for units in pq._rounds(dealt, blocks):
+            sent = units.groupBy("lo", "hi", "block").count().collect()
+            assert sum(r["count"] for r in sent) <= 2 * pq.ROUND * 4 * blocks
+            for r in sent:
+                met.setdefault((blocks, r["lo"], r["hi"]), []).append((r["block"], r["count"]))
+        pairs = {(lo, hi): sorted(v) for (n, lo, hi), v in met.items() if n == blocks}
+        assert pairs == {(lo, hi): [(b, 4) for b in sorted({lo, hi})] for lo in range(blocks) for hi in range(lo, blocks)}
+
+
+def test_exchanges_leave_no_files_behind(spark):
+    vectors = spark.createDataFrame(cloud(4), SCHEMA)
+    before = shuffle_bytes(spark)
+    pq.near_duplicates(vectors)
+    assert shuffle_bytes(spark) <= before
+
+
+def test_links_keep_counts_and_roots_only(monkeypatch):
+    monkeypatch.setattr(pq, "PAIRS", 5)
+    rng = np.random.default_rng(1)
+    weight = rng.integers(1, 9, 60)
+    links = pq.Links(weight)
+    near = np.zeros((60, 60), bool)
+    for _ in range(40):
+        a = rng.integers(1, 60, 2)
+        b = (a * rng.random(2)).astype(int)
+        a, b = a[~near[a, b]], b[~near[a, b]]
+        if len(a) == 2 and (a[0], b[0]) == (a[1], b[1]):
+            a, b = a[:1], b[:1]
+        near[a, b] = near[b, a] = True
+        links.add(a, b)
+        assert links.pairs < 5
+    links.fold()
+    root = np.arange(60)
+    for _ in range(60):
+        root = np.array([min([root[i], *root[near[i]]]) for i in range(60)])
+    assert (links.root == root).all() and (links.linked == near @ weight).all()
