@@ -59,24 +59,26 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed flight legs (34 lake columns), one per lineitem row."""
     place = places(spark, sf_dir)
 
-    # orders side: one row per order with its date and origin airport
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # orders side: one row per order with its date and origin nation
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("flight_date"))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     origin = place.select(
         F.col("place_key").alias("c_nationkey"),
         F.col("place_city").alias("origin_city"),
         F.col("place_state").alias("origin_state"),
     )
-    order_side = (
-        orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
-        .join(origin, "c_nationkey", "inner")
-        .select("o_orderkey", "o_orderdate", "c_nationkey", "origin_city", "origin_state")
-    )
+    order_side = orders.join(customer, orders.o_custkey == customer.c_custkey, "inner").select("o_orderkey", "flight_date", "c_nationkey")
 
-    # line side: lineitem with part size, supplier nation and destination place
+    # line side: what the rules need of a line item, with part size and destination place
+    tax = F.round(F.col("l_tax") * 100).cast("int")
+    disc = F.round(F.col("l_discount") * 100).cast("int")
+    cancelled = (F.col("l_returnflag") == "R") & (tax >= 7)
     lineitem = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
+        (F.col("l_suppkey") % CARRIER_MODULUS).alias("carrier"),
+        tax.alias("tax"),
+        cancelled.alias("cancelled"),
+        (~cancelled & (F.col("l_linestatus") == "O") & (disc == 0)).alias("diverted"),
     )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
     dest = place.select(
@@ -92,12 +94,10 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(part, lineitem.l_partkey == part.p_partkey, "inner")
         .withColumn("dest_key", F.col("p_size") % DEST_MODULUS)
         .join(dest, "dest_key", "left")
+        .join(origin, "c_nationkey", "inner")
     )
 
-    tax = F.round(F.col("l_tax") * 100).cast("int")
-    disc = F.round(F.col("l_discount") * 100).cast("int")
-    cancelled = (F.col("l_returnflag") == "R") & (tax >= 7)
-    diverted = ~cancelled & (F.col("l_linestatus") == "O") & (disc == 0)
+    tax, cancelled, diverted = F.col("tax"), F.col("cancelled"), F.col("diverted")
     flown = ~cancelled & ~diverted
     dep_delay = F.when(~cancelled, F.col("l_quantity") * 2 - 60)
     arr_delay = F.when(flown, F.col("l_quantity") * 2 - 60 + tax - 4)
@@ -106,8 +106,8 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.element_at(F.array(*[F.lit(c) for c in CANCEL_CODES]), code_idx + 1)
 
     step1 = base.select(
-        F.col("o_orderdate").cast("date").alias("flight_date"),
-        (F.col("l_suppkey") % CARRIER_MODULUS).cast("string").alias("carrier_code"),
+        "flight_date",
+        F.col("carrier").cast("string").alias("carrier_code"),
         F.col("l_orderkey").cast("string").alias("flight_number"),
         F.concat(F.lit("N"), (F.col("l_partkey") % TAIL_MODULUS).cast("string")).alias("tail_number"),
         F.concat(F.lit("A"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0")).alias("origin"),
@@ -123,9 +123,9 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
         arr_delay.alias("arr_delay_min"),
         F.when(~cancelled, (F.col("l_orderkey") % 30 + 5).cast("double")).alias("taxi_out_min"),
         F.when(flown, (F.col("l_partkey") % 15 + 3).cast("double")).alias("taxi_in_min"),
-        cancelled.alias("cancelled"),
+        "cancelled",
         F.when(cancelled, code).otherwise(F.lit("")).alias("cancellation_code"),
-        diverted.alias("diverted"),
+        "diverted",
         F.col("l_orderkey").alias("_ok"),
     )
 

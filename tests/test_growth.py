@@ -1,7 +1,9 @@
 """Steps whose shuffles, spills or repeated passes grew faster than the tables."""
 
 import datetime as dt
+import gzip
 import importlib
+import itertools
 import os
 
 import pytest
@@ -13,7 +15,7 @@ from flightmarts.sinks.lake import write_lake
 from flightmarts.sources import fixture
 from flightmarts.sources.lake import read_lake
 from flightmarts.streaming import ledger
-from tests.conftest import SF_SMALL, make_legs
+from tests.conftest import SF_SMALL, make_legs, shuffle_bytes
 
 C = importlib.import_module("flightmarts.operators.clean")
 
@@ -145,3 +147,36 @@ def test_backfill_needs_no_lake_for_its_bounds(spark, monkeypatch):
 
     monkeypatch.setattr(Q, "lake", built)
     assert Q.q_backfill_months(spark, SF_SMALL).count() == 80
+
+
+@pytest.fixture
+def own_artefacts(spark, monkeypatch):
+    """Artefacts are made anew, with exchanges for all joins."""
+    monkeypatch.setattr(Q, "_WORKSPACES", {})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_raw_files_are_compressed_and_their_exchanges_gone(spark, monkeypatch, own_artefacts):
+    monkeypatch.setattr(Q, "RAW_ROWS_PER_FILE", 500)
+    before = shuffle_bytes(spark)
+    path = Q.raw_csv(spark, SF_SMALL)
+    assert shuffle_bytes(spark) <= before
+    files = [f"{path}/{x}" for x in os.listdir(path) if x.endswith(".csv.gz")]
+    texts = [gzip.open(f).read() for f in files]
+    assert sum(map(os.path.getsize, files)) < sum(map(len, texts)) / 4
+    assert max(t.count(b"\n") for t in texts) <= 501  # a task reads a file whole
+    raw = fixture.raw_strings(fixture.legs(spark, SF_SMALL))
+    assert sum(t.count(b"\n") - 1 for t in texts) == raw.count()
+    own, legs = (f(spark, SF_SMALL).drop("cancellation_code") for f in (Q.q_clean_flights, Q.clean_legs))  # an empty text is read as none
+    assert sorted(map(str, own.collect())) == sorted(map(str, legs.collect()))
+
+
+def test_the_legs_cross_their_exchanges_narrow(spark, own_artefacts):
+    """Names of places and columns that nothing uses stay behind the exchanges."""
+    plan = fixture.legs(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at, join = next((i, line.index("Join")) for i, line in enumerate(plan) if "Join Inner" in line and "p_partkey" in line)
+    below = list(itertools.takewhile(lambda line: len(line) - len(line.lstrip(" :+-")) > join, plan[at + 1 :]))
+    assert any("l_orderkey" in line for line in below)
+    assert not any(word in line for word in ("city", "state", "n_name") for line in below if "Relation" not in line)
