@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import sys
 import tempfile
+import time
 
 import pytest
 
@@ -45,6 +46,15 @@ def shuffle_bytes(spark) -> int:
     return sum(os.path.getsize(f) for f in files if os.path.exists(f))
 
 
+def released(spark, before: int) -> bool:
+    """No more than ``before`` is left; files are deleted in the background."""
+    for _ in range(50):
+        if shuffle_bytes(spark) <= before:
+            return True
+        time.sleep(0.1)
+    return False
+
+
 BASE_LEG = {
     "flight_date": dt.date(2024, 1, 10),
     "carrier_code": "AA",
