@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flightmarts.functions.months import month_filter
-from flightmarts.jobs import unsorted_writes
+from flightmarts.jobs import month_writes
 from flightmarts.schema import PARTITION_COLUMNS
 
 Month = tuple[int, int]
@@ -129,7 +129,7 @@ class MonthTable:
         seen = Observation(f"stage_{commit}")
         # at most one entry per month of the input
         rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col("year") * 100 + F.col("month")).alias("months"))
-        with unsorted_writes(self.spark):
+        with month_writes(self.spark):
             (
                 rows.write.mode("overwrite").option("partitionOverwriteMode", "static").option("maxRecordsPerFile", max_records)
                 .partitionBy(*PARTITION_COLUMNS).parquet(f"{self.root}/data/commit={commit}")

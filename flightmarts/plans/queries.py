@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from flightmarts.committed import MonthTable, exists
 from flightmarts.config import scratch_path
 from flightmarts.functions.months import month_filter
-from flightmarts.jobs import released_shuffles, unsorted_writes
+from flightmarts.jobs import month_writes, released_shuffles
 from flightmarts.operators import checks as C
 from flightmarts.operators import gate as G
 from flightmarts.operators import marts
@@ -110,7 +110,7 @@ def raw_by_month(spark: SparkSession, sf_dir: str) -> str:
             raw = raw_strings(own).withColumns({"y": F.col("Year"), "m": F.col("Month")})
             if not odd:
                 raw = raw.select("DestState", "FlightDate", F.lit("x").alias("DivAirportLandings"), *[c for c in raw.columns if c not in ("DestState", "FlightDate")])
-            with unsorted_writes(spark):
+            with month_writes(spark):
                 raw.write.partitionBy("y", "m").option("header", "true").option("compression", "gzip").csv(f"{path}/{name}")
         parts = spark.read.format("binaryFile").load([f"{path}/{n}/*/*/*.csv.gz" for n in "ab"]).select("path")
         jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

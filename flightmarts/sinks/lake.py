@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightmarts.jobs import run_concurrently, unsorted_writes
+from flightmarts.jobs import month_writes, run_concurrently
 from flightmarts.schema import (
     DATA_COLUMNS,
     FLIGHT_SCHEMA,
@@ -95,7 +95,7 @@ def write_lake(flights: DataFrame, root: str, commits: bool = False, rebalance:
     if commits or is_committed(flights.sparkSession, root):
         return _committed(flights, root, FLIGHT_SCHEMA, None, rebalance)
     observed, obs = _observe(flights.select(*DATA_COLUMNS, *PARTITION_COLUMNS), "write_lake")
-    with unsorted_writes(observed.sparkSession):
+    with month_writes(observed.sparkSession):
         _writer(observed, "overwrite", dynamic=False, rebalance=rebalance).parquet(root)
     return _report(obs)
 
@@ -121,7 +121,7 @@ def overwrite_months(
         months = list(months)
         rows = only_months(rows, months)
     observed, obs = _observe(rows, "overwrite_months")
-    with unsorted_writes(observed.sparkSession):
+    with month_writes(observed.sparkSession):
         _writer(observed, "overwrite", dynamic=True, rebalance=rebalance).parquet(root)
     report = _report(obs)
     emptied = sorted(set(months or []) - set(report.months))
@@ -198,7 +198,7 @@ def load_full(
     if commits or is_committed(lake.sparkSession, raw_root):
         return _committed(df, raw_root, RAW_SCHEMA, None, rebalance=False)
     observed, obs = _observe(df, "load_full")
-    with unsorted_writes(observed.sparkSession):
+    with month_writes(observed.sparkSession):
         _writer(observed, "overwrite", dynamic=False, rebalance=False).parquet(raw_root)
     return _report(obs)
 
@@ -217,7 +217,7 @@ def load_months(
     if is_committed(lake.sparkSession, raw_root):
         return _committed(df, raw_root, RAW_SCHEMA, months, rebalance=False)
     observed, obs = _observe(df, "load_months")
-    with unsorted_writes(observed.sparkSession):
+    with month_writes(observed.sparkSession):
         _writer(observed, "overwrite", dynamic=True, rebalance=False).parquet(raw_root)
     report = _report(obs)
     emptied = sorted(set(months) - set(report.months))

@@ -189,3 +189,16 @@ def test_observed_skew_leaves_no_exchange(spark, own_artefacts):
     skewed = Q.q_clean_skewed(spark, SF_SMALL)
     assert released(spark, before)  # only what the query itself will exchange is to come
     assert skewed.count() == Q.clean_legs(spark, SF_SMALL).count()
+
+
+def test_writes_by_month_leave_no_exchange(spark, tmp, own_artefacts):
+    legs = fixture.legs(spark, SF_SMALL)
+    n = C.deduplicate(legs).count()
+    plan = C.observe_skew(legs)
+    before = shuffle_bytes(spark) + 8_000
+    for commits in (False, True):
+        write_lake(C.deduplicate_in_buckets(legs, plan), f"{tmp}/lake-{commits}", commits=commits, rebalance=False)
+        assert released(spark, before)
+        assert read_lake(spark, f"{tmp}/lake-{commits}").count() == n
+    [row] = Q.q_clean_reconciliation(spark, SF_SMALL).collect()
+    assert released(spark, before) and row["rows_out"] == n
