@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from flightmarts.committed import MonthTable, exists
-from flightmarts.config import scratch_path
+from flightmarts.config import scratch_path, scratch_table
 from flightmarts.functions.months import month_filter
 from flightmarts.jobs import month_writes, released_shuffles
 from flightmarts.operators import checks as C
@@ -76,12 +76,6 @@ def clean_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(drop_missing_keys(legs(spark, sf_dir)))
 
 
-def dealt_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``clean_legs`` dealt by month for a write: months and heavy keys are observed first."""
-    flights = drop_missing_keys(legs(spark, sf_dir))
-    return deduplicate_in_buckets(flights, observe_skew(flights))
-
-
 def raw_csv(spark: SparkSession, sf_dir: str) -> str:
     """All-string raw files (header ``.csv.gz``) of the legs, written once per session."""
     ws = _ws(spark, sf_dir)
@@ -125,11 +119,13 @@ def raw_by_month(spark: SparkSession, sf_dir: str) -> str:
 
 
 def lake_root(spark: SparkSession, sf_dir: str) -> str:
-    """The Parquet lake of the cleaned legs, written once per session."""
+    """The Parquet lake of the cleaned legs, written once per session: months and heavy keys are
+    observed first, then the legs are dealt by month. The joined legs wait in a table for both."""
     ws = _ws(spark, sf_dir)
     if "lake" not in ws:
         path = scratch_path(spark, "lake")
-        write_lake(dealt_legs(spark, sf_dir), path, rebalance=False)
+        with scratch_table(drop_missing_keys(legs(spark, sf_dir)), "legs") as flights:
+            write_lake(deduplicate_in_buckets(flights, observe_skew(flights)), path, rebalance=False)
         ws["lake"] = path
     return ws["lake"]
 

@@ -9,7 +9,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from flightmarts import jobs
+from flightmarts import config, jobs
 from flightmarts.plans import queries as Q
 from flightmarts.sinks.lake import write_lake
 from flightmarts.sources import fixture
@@ -202,3 +202,37 @@ def test_writes_by_month_leave_no_exchange(spark, tmp, own_artefacts):
         assert read_lake(spark, f"{tmp}/lake-{commits}").count() == n
     [row] = Q.q_clean_reconciliation(spark, SF_SMALL).collect()
     assert released(spark, before) and row["rows_out"] == n
+
+
+def test_a_lake_joins_its_legs_once(spark, monkeypatch, own_artefacts):
+    """The months are observed on the joined legs as they wait in a table, which goes with its exchanges."""
+    made, roots = [], []
+    legs, path = Q.legs, config.scratch_path
+
+    def spy(s, name):
+        roots.append(path(s, name))
+        return roots[-1]
+
+    observe = Q.observe_skew
+
+    def observed(flights):
+        made.append(flights._jdf.queryExecution().optimizedPlan().toString())
+        return observe(flights)
+
+    monkeypatch.setattr(config, "scratch_path", spy)
+    monkeypatch.setattr(Q, "observe_skew", observed)
+    before = shuffle_bytes(spark) + 8_000
+    root = Q.lake_root(spark, SF_SMALL)
+    assert len(made) == 1 and "Join" not in made[0]
+    assert released(spark, before)
+    [waited] = [r for r in roots if "/legs-" in r]
+    assert not os.path.exists(waited) and os.path.exists(root)
+    assert read_lake(spark, root).count() == C.deduplicate(legs(spark, SF_SMALL)).count()
+
+
+def test_a_scratch_table_goes_when_its_block_fails(spark):
+    with pytest.raises(ZeroDivisionError), config.scratch_table(spark.range(5), "short") as rows:
+        [path] = {os.path.dirname(f.removeprefix("file://")) for f in rows.inputFiles()}
+        assert os.path.exists(path) and rows.count() == 5
+        1 / 0
+    assert not os.path.exists(path)
